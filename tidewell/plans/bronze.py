@@ -152,7 +152,7 @@ person_bronze AS (
          CAST(o.o_orderkey % 1000 AS INTEGER) AS streetNo1, c.c_mktsegment AS cityName1,
          CAST(10000 + c.c_nationkey * 100 + o.o_orderkey % 100 AS INTEGER) AS zipcode1,
          n.n_name AS country1,
-         CASE WHEN o.o_orderkey % 3 <> 0 THEN CAST(s.s_acctbal AS INTEGER) END AS streetNo2,
+         CASE WHEN o.o_orderkey % 3 <> 0 THEN CAST(trunc(s.s_acctbal) AS INTEGER) END AS streetNo2,
          CASE WHEN o.o_orderkey % 3 <> 0 THEN s.s_name END AS cityName2,
          CAST(CASE WHEN o.o_orderkey % 3 <> 0 THEN s.s_nationkey END AS INTEGER) AS zipcode2,
          CASE WHEN o.o_orderkey % 3 <> 0 THEN n2.n_name END AS country2,
