@@ -82,18 +82,28 @@ FROM s WHERE NOT EXISTS (SELECT 1 FROM t
       WHERE TRY_CAST(t.order_id AS INTEGER) = TRY_CAST(s.order_id AS INTEGER))"""
 
 
+# The same MERGE with the batches in the other order (late, older data second).
+ORDERS_SWAPPED_SQL = ORDERS_REFINE_SQL.replace(
+    "t AS (SELECT * FROM latest WHERE first_batch),\ns AS (SELECT * FROM latest WHERE NOT first_batch)",
+    "t AS (SELECT * FROM latest WHERE NOT first_batch),\ns AS (SELECT * FROM latest WHERE first_batch)")
+assert ORDERS_SWAPPED_SQL != ORDERS_REFINE_SQL
+
+
 @query("orders_refine", ORDERS_REFINE_SQL)
 def orders_refine(spark, sf_dir):
     return orders_refine_df(spark, sf_dir)
 
 
-@query("merge_accumulate", B.with_sql(B.ORDERS_BRONZE_SQL, _REFINED_SQL) + """
+MERGE_ACCUMULATE_SQL = B.with_sql(B.ORDERS_BRONZE_SQL, _REFINED_SQL) + """
 SELECT t.order_id, round(CASE WHEN s.order_id IS NOT NULL THEN t.amount + s.amount ELSE t.amount END, 2) AS amount,
        '' AS ship_status
 FROM t LEFT JOIN s ON s.order_id = t.order_id
 UNION ALL
 SELECT s.order_id, round(s.amount, 2) AS amount, '' AS ship_status
-FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.order_id = s.order_id)""")
+FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.order_id = s.order_id)"""
+
+
+@query("merge_accumulate", MERGE_ACCUMULATE_SQL)
 def merge_accumulate(spark, sf_dir):
     """M1: no versions; a matched order adds the batch amount, a new one is
     inserted with an empty ship status."""
