@@ -5,5 +5,5 @@ from tidewell.plans.registry import ORACLES, QUERIES
 
 def load_all():
     """Import every plan module so that its queries register."""
-    from tidewell.plans import orders, contact, individual, ingest, streams  # noqa: F401
+    from tidewell.plans import orders, contact, individual, ingest, streams, io  # noqa: F401
     return QUERIES, ORACLES

@@ -17,7 +17,7 @@ from tidewell.plans import bronze as B
 from tidewell.plans.orders import (MERGE_ACCUMULATE_SQL, ORDERS_SWAPPED_SQL,
                                    merge_versioned_accumulate, refine_orders)
 from tidewell.plans.registry import query
-from tidewell.session import fresh_dir, read_table
+from tidewell.session import ddl_schema, fresh_dir, read_table
 from tidewell.sources.tables import SnapshotTable
 from tidewell.streaming.refine import persisted, query_id, refine_stream
 
@@ -113,8 +113,7 @@ def stream_upsert_versioned(spark, sf_dir):
 
 
 def _schema(spark, ddl):
-    from pyspark.sql.types import _parse_datatype_string
-    return _parse_datatype_string(ddl)
+    return ddl_schema(spark, ddl)
 
 
 def _halves(spark, sf_dir):

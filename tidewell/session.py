@@ -73,3 +73,8 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str):
     return spark.read.parquet(table_path(sf_dir, name))
+
+
+def ddl_schema(spark: SparkSession, ddl: str):
+    """A StructType from a DDL string, parsed by Spark."""
+    return spark.createDataFrame([], ddl).schema

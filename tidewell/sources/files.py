@@ -66,9 +66,11 @@ def parse_json_column(df: DataFrame, column: str, schema: StructType | str, alia
 
 
 def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False,
-                 options: dict | None = None, **kw) -> DataFrame:
-    """One or several paths; ``merge_schema`` unions the file schemas."""
-    r = _reader(spark, None, **kw)
+                 schema: StructType | str | None = None, options: dict | None = None, **kw) -> DataFrame:
+    """One or several paths; ``merge_schema`` unions the file
+    schemas.  Give ``schema`` when the folder may hold unreadable files:
+    inference could otherwise pick one of them."""
+    r = _reader(spark, schema, **kw)
     if merge_schema:
         r = r.option("mergeSchema", "true")
     return _finish(r, options).parquet(*paths)

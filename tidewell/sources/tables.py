@@ -31,7 +31,7 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from tidewell.functions import bucket as bucket_col
 
@@ -136,7 +136,7 @@ class SnapshotTable:
     def _stored_schema(self) -> StructType:
         s = StructType(list(self.schema.fields))
         if self.bucket_key and "bucket" not in s.fieldNames():
-            s = s.add("bucket", "int")
+            s = s.add("bucket", IntegerType())
         return s
 
     # -- write --------------------------------------------------------------
