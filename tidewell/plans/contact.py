@@ -81,9 +81,9 @@ def _two_batches(spark, sf_dir):
     return latest.filter("first_batch"), latest.filter("NOT first_batch")
 
 
-def parties_after_two_batches(spark, sf_dir) -> DataFrame:
+def parties_after_two_batches(spark, sf_dir, strategy: str = "auto") -> DataFrame:
     first, second = _two_batches(spark, sf_dir)
-    return merge_parties(first_load_parties(first), second, cardinality="off")
+    return merge_parties(first_load_parties(first), second, cardinality="off", strategy=strategy)
 
 
 def points_after_two_batches(spark, sf_dir) -> DataFrame:
