@@ -16,7 +16,9 @@ from tidewell.plans.registry import query
 from tidewell.session import read_table
 
 SILVER_COLS = ["order_id", "record_version", "amount", "ship_status"]
-INT_KEY = [(F.expr("try_cast(target.order_id AS INT)"), F.expr("try_cast(source.order_id AS INT)"))]
+def int_key():
+    """MERGE key ``INT(source.order_id) = INT(target.order_id)`` ('007' = '7')."""
+    return [(F.expr("try_cast(target.order_id AS INT)"), F.expr("try_cast(source.order_id AS INT)"))]
 
 
 def refine_orders(bronze: DataFrame, batch_cols: list[str] = ()) -> DataFrame:
@@ -43,7 +45,7 @@ def merge_versioned_accumulate(silver: DataFrame, batch: DataFrame, advance_vers
     values = {"amount": "target.amount + source.amount"}
     if advance_version:
         values["record_version"] = "source.record_version"
-    return merge(silver, batch, INT_KEY,
+    return merge(silver, batch, int_key(),
                  matched=[update("source.record_version > target.record_version", values)],
                  not_matched=[insert(None, {"order_id": "source.order_id",
                                             "record_version": "source.record_version",
