@@ -108,6 +108,20 @@ def measured_size_bound(df: DataFrame) -> tuple[int, int]:
     return n, n * int(row["w"] or 0)
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (no job).  Not a bound: it may be
+    low (compressed files, generators), so it is only used to rule
+    broadcasting *out* without measuring."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no JVM plan access (e.g. remote session)
+        return -1
+
+
+def _is_materialized(df: DataFrame) -> bool:
+    return df.storageLevel.useMemory or df.storageLevel.useDisk
+
+
 def cardinality_conflicts(target: DataFrame, source: DataFrame, on) -> DataFrame:
     """Source keys that occur more than once and exist in the target (M6):
     ``(key columns..., n_source_rows)``.  Aggregates the source only, then a
@@ -144,7 +158,8 @@ def _check_cardinality(target, source, on, mode: str) -> None:
 
 def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
           not_matched: list[Clause] = (), cardinality: str = "merge",
-          strategy: str = "auto", broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES) -> DataFrame:
+          strategy: str = "auto", broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
+          materialize: bool = True) -> DataFrame:
     """Return ``target`` after applying ``source`` with MERGE semantics.
 
     ``on``: column names present on both sides, or ``(target_expr,
@@ -152,10 +167,24 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     ``cardinality``: ``"merge"`` fails when a duplicated source key exists in
     the target, ``"strict"`` on any duplicated source key, ``"off"`` skips the
     check (for sources unique per key by construction).
+    ``materialize``: when the source is read more than once (size bound,
+    cardinality check, the merge itself) and is not cached, cut its lineage
+    once with a reliable ``checkpoint()`` into the shared checkpoint folder
+    instead of recomputing it per read.
     """
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
     scols = set(source.columns)
+    est = estimated_bytes(source)
+    if strategy == "auto" and est > broadcast_max_bytes:
+        strategy = "shuffle"
+    # Without cost-based statistics Catalyst's estimate follows the size of
+    # the inputs of the lineage, so a small estimate means re-reading is
+    # cheaper than writing a checkpoint.
+    extra_reads = (cardinality != "off") + (strategy == "auto")
+    big = est < 0 or est > broadcast_max_bytes
+    if extra_reads and materialize and big and not _is_materialized(source):
+        source = source.checkpoint(eager=True)
     _check_cardinality(target, source, on, cardinality)
 
     pairs = _key_pairs(on)

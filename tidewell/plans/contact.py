@@ -26,7 +26,7 @@ from tidewell.operators.merge import delete, insert, merge, update
 from tidewell.operators.normalize import unpivot_slots, unpivot_union
 from tidewell.plans import bronze as B
 from tidewell.plans.registry import query
-from tidewell.session import read_table
+from tidewell.session import materialize, read_table
 
 PHONE_SLOTS = {1: {"Ph": "Ph1"}, 2: {"Ph": "Ph2"}, 3: {"Ph": "Ph3"}}
 PARTY_COLS = ["id", "name", "Ph1", "Ph2", "Ph3", "recordVersion"]
@@ -77,7 +77,8 @@ def first_load_points(points: DataFrame) -> DataFrame:
 
 
 def _two_batches(spark, sf_dir):
-    latest = latest_parties(B.contact_bronze(read_table(spark, sf_dir, "orders")), ["first_batch"])
+    latest = materialize(latest_parties(B.contact_bronze(read_table(spark, sf_dir, "orders")),
+                                        ["first_batch"]))
     return latest.filter("first_batch"), latest.filter("NOT first_batch")
 
 

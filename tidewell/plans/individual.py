@@ -19,7 +19,7 @@ from tidewell.operators.merge import insert, merge, update
 from tidewell.operators.normalize import unpivot_slots
 from tidewell.plans import bronze as B
 from tidewell.plans.registry import query
-from tidewell.session import read_table
+from tidewell.session import materialize, read_table
 
 PERSON_COLS = ["id", "firstName", "lastName", "recordVersion"]
 ADDRESS_COLS = ["id", "AddressId", "streetNo", "cityName", "zipcode", "country", "recordVersion"]
@@ -52,7 +52,7 @@ def merge_upsert(silver: DataFrame, batch: DataFrame, keys: list[str], **kw) ->
 def _two_batches(spark, sf_dir):
     b = B.person_bronze(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"),
                         read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "supplier"))
-    latest = refine_people(b, ["first_batch"])
+    latest = materialize(refine_people(b, ["first_batch"]))
     return latest.filter("first_batch"), latest.filter("NOT first_batch")
 
 

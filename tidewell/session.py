@@ -78,3 +78,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str):
 def ddl_schema(spark: SparkSession, ddl: str):
     """A StructType from a DDL string, parsed by Spark."""
     return spark.createDataFrame([], ddl).schema
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage: a reliable checkpoint into
+    the shared checkpoint folder (``spark.checkpoint.dir``).  Later reads
+    are plain scans of the written data, and a lost executor costs a
+    re-read, not a recomputation of the whole lineage."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)
