@@ -21,7 +21,9 @@ Physical plan, chosen by ``strategy``:
   over the partitions instead of piling them into one.
 * ``"auto"``: ``"broadcast"`` when a measured upper bound of the source size
   (rows x widest row, one aggregation) is under ``broadcast_max_bytes``,
-  else ``"shuffle"``.
+  else ``"shuffle"``; Catalyst's estimate only skips the measuring when it
+  already exceeds the limit.  ``"broadcast"`` asks for the broadcast plan
+  but is still measured and falls back to ``"shuffle"`` beyond the limit.
 
 Source rows with a null key never match (NULL = x is not TRUE): they skip the
 join and go to the NOT MATCHED clauses directly, so a hot null key cannot
@@ -181,11 +183,15 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     # Without cost-based statistics Catalyst's estimate follows the size of
     # the inputs of the lineage, so a small estimate means re-reading is
     # cheaper than writing a checkpoint.
-    extra_reads = (cardinality != "off") + (strategy == "auto")
+    extra_reads = (cardinality != "off") + (strategy != "shuffle")
     big = est < 0 or est > broadcast_max_bytes
     if extra_reads and materialize and big and not _is_materialized(source):
         source = source.checkpoint(eager=True)
     _check_cardinality(target, source, on, cardinality)
+    if strategy != "shuffle":
+        # Broadcast only behind a measured bound; beyond it, shuffle.
+        _, nbytes = measured_size_bound(source)
+        strategy = "broadcast" if nbytes <= broadcast_max_bytes else "shuffle"
 
     pairs = _key_pairs(on)
     src = source.withColumn("__sp", F.lit(True)).alias("source")
@@ -193,10 +199,6 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     s_null = reduce(lambda a, b: a | b, [se.isNull() for _, se in pairs])
     t_null = reduce(lambda a, b: a | b, [te.isNull() for te, _ in pairs])
 
-    if strategy == "auto":
-        _, nbytes = measured_size_bound(source)
-        strategy = "broadcast" if nbytes <= broadcast_max_bytes else "shuffle"
-
     def value_of(clause: Clause, c: str) -> Column:
         if clause.values == "*":
             return F.col(f"source.`{c}`") if c in scols else None

@@ -154,7 +154,11 @@ class SnapshotTable:
         if self.bucket_key:
             out = out.withColumn("bucket", bucket_col(self.bucket_key, self.buckets))
             parts = parts + ["bucket"]
-            out = out.repartition(self.buckets, "bucket")
+        if parts:
+            # AQE rebalances by the partition columns: a large bucket is split
+            # over several tasks, small ones are coalesced, so files stay sized
+            # without capping the write at one task per bucket.
+            out = out.hint("rebalance", *parts)
         w = out.write.mode("overwrite")
         if parts:
             w = w.partitionBy(*parts)
@@ -223,7 +227,7 @@ class SnapshotTable:
             for nm in names:
                 if nm not in self.schema.fieldNames():
                     self.schema = self.schema.add(nm, df.schema[nm].dataType)
-        return self.write(df.repartition(*names), job, 0)
+        return self.write(df, job, 0)
 
     def expire(self, keep_last: int | None = None, older_than_ms: int | None = None,
                dry_run: bool = False) -> list[Version]:
