@@ -6,7 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidewell.plans.streams import BRONZE_SCHEMA, accumulate, run_arrivals
+from tidewell.plans.streams import BRONZE_SCHEMA, accumulate, accumulate_touched, run_arrivals
 from tidewell.session import ddl_schema
 from tidewell.sources.tables import SnapshotTable
 from tidewell.streaming.refine import refine_stream
@@ -21,10 +21,11 @@ def _orders(spark, recs):
 
 def test_resume_processes_only_new_files(spark, tmp_path):
     silver = SnapshotTable(spark, str(tmp_path / "silver"),
-                           ddl_schema(spark, "order_id string, amount double, ship_status string"))
+                           ddl_schema(spark, "order_id string, amount double, ship_status string"),
+                           bucket_key="order_id", buckets=16)
     first = _orders(spark, [("1", 1, 10.0), ("2", 1, 20.0)])
     second = _orders(spark, [("1", 2, 5.0), ("3", 1, 7.0)])
-    out = run_arrivals(spark, [first, second], silver, accumulate, "t")
+    out = run_arrivals(spark, [first, second], silver, accumulate_touched, "t")
     assert rows(out) == [("1", 15.0, ""), ("2", 20.0, ""), ("3", 7.0, "")]
     assert len(silver.versions()) == 2
 

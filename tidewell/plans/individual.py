@@ -150,10 +150,10 @@ def refine_batch(persons: "SnapshotTable", addrs: "SnapshotTable", batch: DataFr
     from tidewell.streaming.refine import persisted
     src = persisted(refine_people(batch))
     try:
-        persons.publish(lambda t: merge_upsert(t, src.select(*PERSON_COLS), ["id"], cardinality="off"),
-                        job, batch_id)
-        addrs.publish(lambda t: merge_upsert(t, addresses(src), ["id", "AddressId"], cardinality="off"),
-                      job, batch_id)
+        persons.merge_touched(src.select(*PERSON_COLS), ["id"], [update(NEWER, "*")],
+                              [insert(None, "*")], job, batch_id, cardinality="off")
+        addrs.merge_touched(addresses(src), ["id", "AddressId"], [update(NEWER, "*")],
+                            [insert(None, "*")], job, batch_id, cardinality="off")
     finally:
         src.unpersist()
 
@@ -169,15 +169,19 @@ SELECT a.id, a.AddressId, p.firstName, p.lastName, a.cityName, a.country,
 FROM a LEFT JOIN p ON a.id = p.id""")
 def individual_refine(spark, sf_dir):
     """L2 end to end: two batches through the batch handler into two
-    snapshot tables (bucketed by id), read back and joined for the consumer."""
+    snapshot tables bucketed by id (each batch rewrites only the buckets
+    its ids fall into), read back and joined for the consumer."""
     from tidewell.session import ddl_schema, fresh_dir
     from tidewell.sources.tables import SnapshotTable
     b = B.person_bronze(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"),
                         read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "supplier"))
+    from tidewell.operators.merge import estimated_bytes
+    from tidewell.sources.tables import buckets_for
+    n = buckets_for(estimated_bytes(read_table(spark, sf_dir, "orders")))
     persons = SnapshotTable(spark, fresh_dir(spark, "person"), ddl_schema(spark, PERSON_TYPE),
-                            bucket_key="id", buckets=8)
+                            bucket_key="id", buckets=n)
     addrs = SnapshotTable(spark, fresh_dir(spark, "address"), ddl_schema(spark, ADDRESS_TYPE),
-                          bucket_key="id", buckets=8)
+                          bucket_key="id", buckets=n)
     for i, part in enumerate([b.filter("first_batch"), b.filter("NOT first_batch")]):
         refine_batch(persons, addrs, part.drop("first_batch"), "individual", i)
     p, a = persons.read(), addrs.read()

@@ -18,7 +18,7 @@ from tidewell.plans.orders import (MERGE_ACCUMULATE_SQL, ORDERS_SWAPPED_SQL,
                                    merge_versioned_accumulate, refine_orders)
 from tidewell.plans.registry import query
 from tidewell.session import ddl_schema, fresh_dir, read_table
-from tidewell.sources.tables import SnapshotTable
+from tidewell.sources.tables import SnapshotTable, buckets_for
 from tidewell.streaming.refine import persisted, query_id, refine_stream
 
 BRONZE_SCHEMA = ("order_id string, record_version int, amount double, arrival timestamp_ntz, "
@@ -32,9 +32,10 @@ def _bronze(spark, sf_dir) -> DataFrame:
     return B.orders_bronze(read_table(spark, sf_dir, "events")).drop("first_batch")
 
 
-def run_arrivals(spark, arrivals: list[DataFrame], silver: SnapshotTable, merge_fn, label: str) -> DataFrame:
-    """Land each arrival, run the stream once per arrival (same checkpoint),
-    each micro-batch: refine, then publish ``merge_fn(silver, batch)``."""
+def run_arrivals(spark, arrivals: list[DataFrame], silver: SnapshotTable, apply, label: str) -> DataFrame:
+    """Land each arrival, run the stream once per arrival (same checkpoint);
+    each micro-batch: refine once (persisted), then ``apply(silver, batch,
+    job, batch_id)`` publishes the MERGE under (job, batch_id)."""
     landing = fresh_dir(spark, f"{label}-landing")
     checkpoint = fresh_dir(spark, f"{label}-checkpoint")
 
@@ -44,7 +45,7 @@ def run_arrivals(spark, arrivals: list[DataFrame], silver: SnapshotTable, merge_
             return
         src = persisted(refine_orders(batch_df))
         try:
-            silver.publish(lambda t: merge_fn(t, src), job, batch_id)
+            apply(silver, src, job, batch_id)
         finally:
             src.unpersist()
 
@@ -54,24 +55,42 @@ def run_arrivals(spark, arrivals: list[DataFrame], silver: SnapshotTable, merge_
     return silver.read()
 
 
+UPSERT_COLS = ["order_id", "record_version", "amount", "arrival"]
+UPSERT_MATCHED = [update("source.record_version IS NOT NULL AND "
+                         "source.record_version > target.record_version", "*")]
+ACC_MATCHED = [update(None, {"amount": "target.amount + source.amount"})]
+ACC_INSERT = [insert(None, {"order_id": "source.order_id", "amount": "source.amount", "ship_status": "''"})]
+
+
 def upsert(t: DataFrame, s: DataFrame) -> DataFrame:
     """M4 on the orders silver: a strictly newer version overwrites the row."""
-    cols = ["order_id", "record_version", "amount", "arrival"]
-    return merge(t, s.select(*cols), ["order_id"],
-                 matched=[update("source.record_version IS NOT NULL AND "
-                                 "source.record_version > target.record_version", "*")],
+    return merge(t, s.select(*UPSERT_COLS), ["order_id"], matched=UPSERT_MATCHED,
                  not_matched=[insert(None, "*")], cardinality="off")
 
 
 def accumulate(t: DataFrame, s: DataFrame) -> DataFrame:
     """M1: matched orders add the batch amount (not idempotent by itself)."""
-    return merge(t, s, ["order_id"],
-                 matched=[update(None, {"amount": "target.amount + source.amount"})],
-                 not_matched=[insert(None, {"order_id": "source.order_id", "amount": "source.amount",
-                                            "ship_status": "''"})], cardinality="off")
+    return merge(t, s, ["order_id"], matched=ACC_MATCHED, not_matched=ACC_INSERT, cardinality="off")
+
+
+def upsert_touched(silver: SnapshotTable, src: DataFrame, job: str, batch_id: int) -> None:
+    """M4, rewriting only the order buckets the batch touches."""
+    silver.merge_touched(src.select(*UPSERT_COLS), ["order_id"], UPSERT_MATCHED,
+                         [insert(None, "*")], job, batch_id, cardinality="off")
+
+
+def accumulate_touched(silver: SnapshotTable, src: DataFrame, job: str, batch_id: int) -> None:
+    silver.merge_touched(src.select("order_id", "amount"), ["order_id"], ACC_MATCHED, ACC_INSERT,
+                         job, batch_id, cardinality="off")
 
 
 CUT1, CUT2 = "2024-01-11 00:00:00", "2024-01-21 00:00:00"
+def silver_buckets(spark, sf_dir) -> int:
+    """Bucket count of a new silver table, from the size of the table its
+    bronze comes from (a scan estimate: file sizes, no job); merges rewrite
+    only the buckets a batch touches."""
+    from tidewell.operators.merge import estimated_bytes
+    return buckets_for(estimated_bytes(read_table(spark, sf_dir, "events")))
 
 
 def _fold(prev: str, nxt: str) -> str:
@@ -108,8 +127,9 @@ def stream_upsert_versioned(spark, sf_dir):
     arrivals = [b.filter(F.col("arrival") < B.ntz(CUT1)),
                 b.filter((F.col("arrival") >= B.ntz(CUT1)) & (F.col("arrival") < B.ntz(CUT2))),
                 b.filter(F.col("arrival") >= B.ntz(CUT2))]
-    silver = SnapshotTable(spark, fresh_dir(spark, "silver-upsert"), schema=_schema(spark, UPSERT_SCHEMA))
-    return run_arrivals(spark, arrivals, silver, upsert, "upsert")
+    silver = SnapshotTable(spark, fresh_dir(spark, "silver-upsert"), schema=_schema(spark, UPSERT_SCHEMA),
+                           bucket_key="order_id", buckets=silver_buckets(spark, sf_dir))
+    return run_arrivals(spark, arrivals, silver, upsert_touched, "upsert")
 
 
 def _schema(spark, ddl):
@@ -128,8 +148,9 @@ def stream_resume(spark, sf_dir):
     only the new files are processed (the M1 amounts would double
     otherwise).  Same result as ``merge_accumulate``."""
     first, second = _halves(spark, sf_dir)
-    silver = SnapshotTable(spark, fresh_dir(spark, "silver-acc"), schema=_schema(spark, ACCUMULATE_SCHEMA))
-    out = run_arrivals(spark, [first, second], silver, accumulate, "resume")
+    silver = SnapshotTable(spark, fresh_dir(spark, "silver-acc"), schema=_schema(spark, ACCUMULATE_SCHEMA),
+                           bucket_key="order_id", buckets=silver_buckets(spark, sf_dir))
+    out = run_arrivals(spark, [first, second], silver, accumulate_touched, "resume")
     return out.select("order_id", F.round("amount", 2).alias("amount"), "ship_status")
 
 
@@ -139,8 +160,12 @@ def stream_out_of_order(spark, sf_dir):
     afterwards do not add their amounts (M3 version guard)."""
     first, second = _halves(spark, sf_dir)
     silver = SnapshotTable(spark, fresh_dir(spark, "silver-ooo"), schema=_schema(spark, VERSIONED_SCHEMA))
+    # INT(order_id) join: '007' and '7' match across buckets, so the whole
+    # table is republished per batch.
     out = run_arrivals(spark, [second, first], silver,
-                       lambda t, s: merge_versioned_accumulate(t, s, cardinality="off"), "ooo")
+                       lambda tbl, src, job, b: tbl.publish(
+                           lambda t: merge_versioned_accumulate(t, src, cardinality="off"), job, b),
+                       "ooo")
     return out.select("order_id", "record_version", F.round("amount", 2).alias("amount"))
 
 

@@ -2,26 +2,32 @@
 
 A table is a folder of version directories::
 
-    <root>/v=000007__<job>__<batch>/    complete Parquet data set of version 7
-
-Each version is written by one ordinary Spark write; Spark's commit writes
-``_SUCCESS`` last, so the highest version holding ``_SUCCESS`` is the
-current one and a half-written directory (no marker) is ignored and later
-overwritten.  This is a naming rule over Spark writes, with one writer per
-table: no log, no locks, no catalog.
-
-Idempotent publishing: ``publish(df_fn, job, batch)`` writes version n+1
-only if no committed version carries the same ``(job, batch)``; a replayed
-micro-batch (or a handler that died between two tables) is therefore
-harmless even for non-idempotent updates such as accumulating amounts.
-
-A new version rewrites the whole table, which is fine for the scales the
-per-batch merges in this library are tested at; the write is distributed,
-and an optional ``bucket`` partition column (``pmod(xxhash64(key), n)``)
-keeps files sized and lets readers prune by bucket.
-
-File-system calls go through Hadoop's ``FileSystem`` on the driver, so the
-same code works on local disks, HDFS and object stores.
+    <root>/v=000007__<job>__<batch>/             full version 7: every row
+    <root>/v=000008p__<job>__<batch>/bucket=3/   partial version 8: only the
+    <root>/v=000008p__<job>__<batch>/bucket=9/   buckets a batch touched
+
+A version is committed once its ``_SUCCESS`` marker exists; a half-written
+directory (no marker) is ignored and later overwritten.  Full versions get
+the marker from Spark's own commit; partial versions get it from the table
+after the write (and after an empty folder is made for every touched bucket
+that the batch emptied), so each version appears atomically.
+
+The current rows are: the newest committed full version, with every bucket
+that a later committed partial version holds replaced by that version's
+folder (the newest one wins).  This is a naming rule over ordinary Spark
+writes, with one writer per table: no log, no manifest, no locks.
+
+Idempotent publishing: ``publish`` / ``merge_touched`` write only if no
+committed version carries the same ``(job, batch)``, so a replayed
+micro-batch (or a handler that died between two tables) is harmless even for
+non-idempotent updates such as accumulating amounts.
+
+Cost per batch: ``publish`` rewrites the table (distributed, O(table));
+``merge_touched`` reads and rewrites only the buckets the batch's keys fall
+into (``bucket = pmod(xxhash64(key), n)``), O(touched buckets + batch).
+
+File-system calls go through Hadoop's ``FileSystem`` on the driver (metadata
+only), so local disks, HDFS and object stores work alike.
 """
 
 from __future__ import annotations
@@ -35,7 +41,10 @@ from pyspark.sql.types import IntegerType, StructType
 
 from tidewell.functions import bucket as bucket_col
 
-_VERSION_DIR = re.compile(r"^v=(\d+)__(.*)__(-?\d+)$")
+_VERSION_DIR = re.compile(r"^v=(\d+)(p?)__(.*)__(-?\d+)$")
+_NO_SUCCESS = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
+# At or below this many buckets a merge republishes the whole (small) table.
+FEW_BUCKETS = 8
 
 
 @dataclass(frozen=True)
@@ -46,6 +55,17 @@ class Version:
     path: str
     committed: bool
     modified_ms: int
+    partial: bool = False
+
+
+def buckets_for(input_bytes: int, bytes_per_bucket: int = 256 * 1024 * 1024,
+                lo: int = 4, hi: int = 8192) -> int:
+    """A bucket count for a new table: about ``bytes_per_bucket`` of input per
+    bucket, a power of two between ``lo`` and ``hi``.  Fixed for the table's
+    life; more buckets make each batch rewrite a smaller share."""
+    want = max(1, math.ceil(max(input_bytes, 0) / bytes_per_bucket))
+    n = 1 << (want - 1).bit_length()
+    return max(lo, min(hi, n))
 
 
 class _FS:
@@ -66,6 +86,12 @@ class _FS:
     def delete(self, p: str) -> bool:
         return self.fs.delete(self.Path(p), True)
 
+    def mkdirs(self, p: str) -> bool:
+        return self.fs.mkdirs(self.Path(p))
+
+    def touch(self, p: str) -> None:
+        self.fs.create(self.Path(p), True).close()
+
     def size(self, p: str) -> int:
         return self.fs.getContentSummary(self.Path(p)).getLength()
 
@@ -101,8 +127,9 @@ class SnapshotTable:
             if not m or not st.isDirectory():
                 continue
             p = f"{self.path}/{name}"
-            out.append(Version(int(m.group(1)), m.group(2), int(m.group(3)), p,
-                               self._fs.exists(f"{p}/_SUCCESS"), st.getModificationTime()))
+            out.append(Version(int(m.group(1)), m.group(3), int(m.group(4)), p,
+                               self._fs.exists(f"{p}/_SUCCESS"), st.getModificationTime(),
+                               m.group(2) == "p"))
         return sorted(out, key=lambda v: v.number)
 
     def current(self) -> Version | None:
@@ -115,23 +142,70 @@ class SnapshotTable:
                 return v
         raise KeyError(f"no committed version {number} in {self.path}")
 
+    def chain(self, upto: int | None = None) -> list[Version]:
+        """The versions that hold the rows as of ``upto`` (default: now): the
+        newest full version and the committed partial ones after it."""
+        done = [v for v in self.versions() if v.committed and (upto is None or v.number <= upto)]
+        fulls = [v for v in done if not v.partial]
+        if not fulls:
+            return done
+        base = fulls[-1]
+        return [base] + [v for v in done if v.partial and v.number > base.number]
+
+    def _bucket_dirs(self, v: Version) -> dict[int, str]:
+        out = {}
+        for st in self._fs.list(v.path):
+            name = st.getPath().getName()
+            if st.isDirectory() and name.startswith("bucket="):
+                out[int(name.split("=", 1)[1])] = f"{v.path}/{name}"
+        return out
+
+    def _leaf_paths(self, chain: list[Version], buckets: set[int] | None = None) -> list[str]:
+        owner: dict[int, str] = {}
+        for v in chain:
+            owner.update(self._bucket_dirs(v))
+        return [p for b, p in sorted(owner.items()) if buckets is None or b in buckets]
+
     # -- read ---------------------------------------------------------------
+    def _data_schema(self, chain: list[Version]) -> StructType | None:
+        if self.schema is not None:
+            return self.schema
+        for v in chain:
+            if self._fs.data_files(v.path):
+                s = self.spark.read.parquet(v.path).schema
+                return StructType([f for f in s.fields if f.name != "bucket"])
+        return None
+
+    def _read_leaves(self, paths: list[str], schema: StructType | None) -> DataFrame:
+        if not paths:
+            if schema is None:
+                raise ValueError(f"{self.path} has no rows and no declared schema")
+            return self.spark.createDataFrame([], schema)
+        r = self.spark.read
+        if schema is not None:
+            r = r.schema(schema)
+        return r.parquet(*paths)
+
     def read(self, version: int | None = None) -> DataFrame:
-        """The current version, or ``version`` (T3: time travel by number)."""
-        v = self.current() if version is None else self.version(version)
-        if v is None:
+        """The current rows, or those as of ``version`` (T3: time travel)."""
+        if version is not None:
+            self.version(version)
+        chain = self.chain(version)
+        if not chain:
             if self.schema is None:
                 raise ValueError(f"{self.path} has no version and no declared schema")
             return self.spark.createDataFrame([], self.schema)
-        r = self.spark.read
-        if self.schema is not None:
-            r = r.schema(self._stored_schema())
-        df = r.parquet(v.path)
+        if len(chain) == 1 and not chain[0].partial:
+            r = self.spark.read
+            if self.schema is not None:
+                r = r.schema(self._stored_schema())
+            df = r.parquet(chain[0].path)
+        else:
+            schema = self._data_schema(chain)
+            df = self._read_leaves(self._leaf_paths(chain), schema)
         if self.schema is not None:
-            df = df.select(*self.schema.fieldNames())
-        elif self.bucket_key:
-            df = df.drop("bucket")
-        return df
+            return df.select(*self.schema.fieldNames())
+        return df.drop("bucket") if self.bucket_key else df
 
     def _stored_schema(self) -> StructType:
         s = StructType(list(self.schema.fields))
@@ -140,17 +214,16 @@ class SnapshotTable:
         return s
 
     # -- write --------------------------------------------------------------
-    def write(self, df: DataFrame, job: str = "batch", batch: int = 0) -> Version:
-        """Write ``df`` as the next version; committed when Spark's
-        ``_SUCCESS`` marker lands."""
+    def _next(self) -> int:
         cur = self.current()
         n = (cur.number + 1) if cur else 0
-        p = f"{self.path}/v={n:06d}__{job}__{batch}"
         for stale in self.versions():
             if stale.number >= n and not stale.committed:
                 self._fs.delete(stale.path)
-        out = df
-        parts = list(self.partition_by)
+        return n
+
+    def _with_layout(self, df: DataFrame):
+        out, parts = df, list(self.partition_by)
         if self.bucket_key:
             out = out.withColumn("bucket", bucket_col(self.bucket_key, self.buckets))
             parts = parts + ["bucket"]
@@ -159,22 +232,72 @@ class SnapshotTable:
             # over several tasks, small ones are coalesced, so files stay sized
             # without capping the write at one task per bucket.
             out = out.hint("rebalance", *parts)
+        return out, parts
+
+    def write(self, df: DataFrame, job: str = "batch", batch: int = 0) -> Version:
+        """Write ``df`` as the next full version; committed when Spark's
+        ``_SUCCESS`` marker lands."""
+        n = self._next()
+        p = f"{self.path}/v={n:06d}__{job}__{batch}"
+        out, parts = self._with_layout(df)
         w = out.write.mode("overwrite")
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(p)
-        return Version(n, job, batch, p, True, 0)
+        return Version(n, job, batch, p, True, 0, False)
 
     def published(self, job: str, batch: int) -> bool:
         return any(v.committed and v.job == job and v.batch == batch for v in self.versions())
 
     def publish(self, build, job: str, batch: int) -> Version | None:
-        """Write ``build(current_frame)`` unless ``(job, batch)`` is already
-        published; return the new version or None when skipped."""
+        """Write ``build(current_frame)`` as a full version unless
+        ``(job, batch)`` is already published; None when skipped."""
         if self.published(job, batch):
             return None
         return self.write(build(self.read()), job, batch)
 
+    def touched_buckets(self, source: DataFrame, key: str | None = None) -> list[int]:
+        """Buckets of the source keys: at most ``buckets`` values, so the
+        collect is bounded by the layout, not by the data."""
+        c = bucket_col(key or self.bucket_key, self.buckets)
+        return sorted(r[0] for r in source.select(c.alias("b")).distinct().collect())
+
+    def merge_touched(self, source: DataFrame, on, matched=(), not_matched=(), job: str = "merge",
+                      batch: int = 0, **kw) -> Version | None:
+        """MERGE that reads and rewrites only the buckets the batch touches.
+
+        The join must include plain equality on ``bucket_key`` (the same
+        column name on both sides) and updates must not change it, so that a
+        row and its match always share a bucket."""
+        from tidewell.operators.merge import merge
+        if not self.bucket_key or self.partition_by:
+            raise ValueError("merge_touched needs a bucket_key and no other partition columns")
+        if self.bucket_key not in [o for o in on if isinstance(o, str)]:
+            raise ValueError(f"the MERGE key must include {self.bucket_key!r} by name")
+        if self.published(job, batch):
+            return None
+        touched = [] if self.buckets <= FEW_BUCKETS else self.touched_buckets(source)
+        if self.buckets <= FEW_BUCKETS or len(touched) >= self.buckets:
+            # Every bucket is rewritten anyway (a handful of buckets means a
+            # small table, and a batch touches them all): a full version is
+            # the same work, skips the bucket scan, and resets the chain.
+            return self.write(merge(self.read(), source, on, matched, not_matched, **kw), job, batch)
+        chain = self.chain()
+        schema = self._data_schema(chain) if chain else self.schema
+        target = self._read_leaves(self._leaf_paths(chain, set(touched)), schema)
+        if self.schema is not None:
+            target = target.select(*self.schema.fieldNames())
+        merged = merge(target, source, on, matched, not_matched, **kw)
+        n = self._next()
+        p = f"{self.path}/v={n:06d}p__{job}__{batch}"
+        out, _ = self._with_layout(merged)
+        out.write.mode("overwrite").options(**_NO_SUCCESS).partitionBy("bucket").parquet(p)
+        for b in touched:
+            if not self._fs.exists(f"{p}/bucket={b}"):
+                self._fs.mkdirs(f"{p}/bucket={b}")      # the batch emptied this bucket
+        self._fs.touch(f"{p}/_SUCCESS")
+        return Version(n, job, batch, p, True, 0, True)
+
     # -- table operations ---------------------------------------------------
     def replace(self, df: DataFrame, job: str = "replace", batch: int = 0) -> Version:
         return self.write(df, job, batch)
@@ -194,15 +317,20 @@ class SnapshotTable:
         from tidewell.operators.merge import merge
         return self.publish(lambda t: merge(t, source, on, matched, not_matched, **kw), job, batch)
 
-    def file_count(self, version: int | None = None) -> int:
-        v = self.current() if version is None else self.version(version)
-        return len(self._fs.data_files(v.path)) if v else 0
+    def _current_paths(self) -> list[str]:
+        chain = self.chain()
+        if len(chain) == 1 and not chain[0].partial:
+            return [chain[0].path]
+        return self._leaf_paths(chain)
+
+    def file_count(self) -> int:
+        return sum(len(self._fs.data_files(p)) for p in self._current_paths())
 
     def compact(self, target_bytes: int = 512 * 1024 * 1024, job: str = "compact") -> Version:
-        """Rewrite the current version into about ``size / target_bytes``
-        files per partition layout; rows unchanged."""
-        v = self.current()
-        n = max(1, math.ceil(self._fs.size(v.path) / target_bytes))
+        """Rewrite the current rows into about ``size / target_bytes``
+        files (per partition layout) as a new full version; rows unchanged."""
+        size = sum(self._fs.size(p) for p in self._current_paths())
+        n = max(1, math.ceil(size / target_bytes))
         df = self.read()
         if self.partition_by:
             df = df.repartition(n, *self.partition_by)
@@ -231,13 +359,14 @@ class SnapshotTable:
 
     def expire(self, keep_last: int | None = None, older_than_ms: int | None = None,
                dry_run: bool = False) -> list[Version]:
-        """Delete older versions; the current one is always kept, and so
-        are the ``keep_last`` newest committed ones.  Returns what went."""
+        """Delete versions no longer needed.  Always kept: every version
+        the current rows live in, and, with ``keep_last``, the versions the
+        ``keep_last`` newest states need.  Returns what went."""
         cur = self.current()
         done = [v for v in self.versions() if v.committed]
-        keep = {cur.number} if cur else set()
-        if keep_last:
-            keep |= {v.number for v in done[-keep_last:]}
+        keep = {v.number for v in self.chain()}
+        for v in done[-keep_last:] if keep_last else []:
+            keep |= {x.number for x in self.chain(v.number)}
         gone = []
         for v in self.versions():
             if v.number in keep or (cur and v.number > cur.number):
