@@ -129,19 +129,15 @@ def scan_text_linesep(spark, sf_dir):
     return files.read_text(spark, p, line_sep=",")
 
 
-@query("scan_text_whole", """SELECT conv_id,
-  string_agg(role || ': ' || text || chr(10), '' ORDER BY turn) AS value
-  FROM conversations GROUP BY conv_id""")
+@query("scan_text_whole", """SELECT doc_id, text || chr(10) AS value FROM documents""")
 def scan_text_whole(spark, sf_dir):
-    """One row per file.  Each conversation is written as one file
-    (its own partition folder, turns in order); ``wholetext`` reads each
-    file back as one value, whole."""
-    conv = read_table(spark, sf_dir, "conversations")
+    """One row per file.  Each document is written as its own file (one
+    partition folder per document: no shuffle, no rows grouped together) and
+    ``wholetext`` reads every file back as one value, whole."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("value"))
     d = fresh_dir(spark, "whole")
-    lines = conv.select("conv_id", "turn", F.concat(F.col("role"), F.lit(": "), F.col("text")).alias("value"))
-    (lines.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
-          .drop("turn").write.partitionBy("conv_id").text(d))
-    return files.read_text(spark, d, whole=True).select(F.col("conv_id").cast("long").alias("conv_id"),
+    docs.write.partitionBy("doc_id").text(d)
+    return files.read_text(spark, d, whole=True).select(F.col("doc_id").cast("long").alias("doc_id"),
                                                          "value")
 
 
