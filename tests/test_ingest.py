@@ -1,7 +1,6 @@
 """Ingestion with schema evolution on the reference's CSV and JSON people
 files (FIXTURES 1-2), typed in as literals."""
 
-import os
 import uuid
 
 import pytest
@@ -114,7 +113,6 @@ def test_profile_inferred_types(spark, fx):
 
 
 def test_case_clash_is_an_error(spark):
-    df = spark.createDataFrame([(1, 2)], "a int, A int") if False else None
     s = spark.createDataFrame([(1,)], "x int").schema
     bad = spark.createDataFrame([(1, 2)], "`Col` int, `col2` int").withColumnRenamed("col2", "COL")
     with pytest.raises(SchemaClashError):

@@ -3,8 +3,6 @@ from the checkpoint; a replayed batch leaves silver unchanged."""
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from conftest import rows
 from tidewell.plans.streams import BRONZE_SCHEMA, accumulate, accumulate_touched, run_arrivals
 from tidewell.session import ddl_schema

@@ -85,5 +85,8 @@ def materialize(df):
     the shared checkpoint folder (``spark.checkpoint.dir``).  Later reads
     are plain scans of the written data, and a lost executor costs a
     re-read, not a recomputation of the whole lineage."""
-    scratch_root(df.sparkSession)
+    spark = df.sparkSession
+    root = scratch_root(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(f"{root}/tidewell-checkpoints")
     return df.checkpoint(eager=True)
