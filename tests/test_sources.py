@@ -80,3 +80,41 @@ def test_sql_on_file(spark, tmp_path):
     p = str(tmp_path / "u")
     spark.createDataFrame([("Alyssa",), ("Ben",)], "name string").write.parquet(p)
     assert files.sql_on_file(spark, "parquet", p).count() == 2
+
+
+SPIKE = [("David", "Cooker", "17", "Redmond"), ("Kate", "Lucy", "27", "Bellevue"),
+         ("Mike", "Patrick", "44", "Seattle")]
+
+
+def test_partition_aligned_delete_and_catalog_upkeep(spark, tmp_path):
+    """Metadata delete of location = 'Redmond' on a table partitioned by
+    location; REFRESH and DROP TABLE on the catalog table."""
+    t = "tw_spike_partitioned"
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    df = spark.createDataFrame(SPIKE, "firstName string, lastName string, age string, location string")
+    df.write.partitionBy("location").option("path", str(tmp_path / "spike")).saveAsTable(t)
+    sinks.drop_partitions(spark, t, {"location": "Redmond"})
+    spark.sql(f"REFRESH TABLE {t}")
+    assert sorted(r[0] for r in spark.table(t).select("firstName").collect()) == ["Kate", "Mike"]
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    assert not spark.catalog.tableExists(t)
+
+
+def test_column_docs_record_inferred_types(spark, tmp_path):
+    from tidewell.operators.evolve import document_types
+    p = write_lines(str(tmp_path / "d.csv"), ["a,b", "1,x", "2,y"])
+    t = "tw_docs"
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    sinks.replace_table(files.read_csv(spark, p), t, str(tmp_path / "docs"))
+    document_types(spark, t, files.read_csv(spark, p, infer=True).schema)
+    docs = {r["col_name"]: r["comment"] for r in spark.sql(f"DESCRIBE TABLE {t}").collect()}
+    assert docs["a"] == "integer" and docs["b"] == "string"
+
+
+def test_console_sink_streams(spark, tmp_path):
+    p = str(tmp_path / "in")
+    spark.createDataFrame([("a",)], "v string").write.parquet(p)
+    q = (spark.readStream.schema("v string").parquet(p).writeStream.format("console")
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert not q.isActive

@@ -126,3 +126,13 @@ def append_by_name(df: DataFrame, table: str) -> str:
     """Append matching columns by name, not position."""
     df.write.mode("append").format("parquet").saveAsTable(table)
     return table
+
+
+def drop_partitions(spark, table: str, spec: dict) -> None:
+    """M7 when the predicate is a partition value: a metadata delete on a
+    partitioned catalog table (``ALTER TABLE ... DROP PARTITION``); no data
+    file is read or rewritten."""
+    def lit(v):
+        return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
+    parts = ", ".join(f"`{k}` = {lit(v)}" for k, v in spec.items())
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({parts})")
