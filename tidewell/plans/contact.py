@@ -32,6 +32,8 @@ PHONE_SLOTS = {1: {"Ph": "Ph1"}, 2: {"Ph": "Ph2"}, 3: {"Ph": "Ph3"}}
 PARTY_COLS = ["id", "name", "Ph1", "Ph2", "Ph3", "recordVersion"]
 POINT_COLS = ["ContactPointId", "PartyId", "Ph", "recordVersion"]
 PAYLOAD = ["name", "Ph1", "Ph2", "Ph3"]
+PARTY_TYPE = "id bigint, name string, Ph1 bigint, Ph2 bigint, Ph3 bigint, recordVersion int"
+POINT_TYPE = "ContactPointId string, PartyId bigint, Ph bigint, recordVersion int"
 
 
 def latest_parties(bronze: DataFrame, batch_cols: list[str] = ()) -> DataFrame:
@@ -176,3 +178,30 @@ def normalize_phones(spark, sf_dir):
     """U1/N3 in one pass: inline(array(struct per slot)), nulls kept."""
     b = B.contact_bronze(read_table(spark, sf_dir, "orders"))
     return unpivot_slots(b, ["seq", "id", "recordVersion", "recordType"], PHONE_SLOTS, "slot")
+
+
+def refine_batch(parties: "SnapshotTable", points: "SnapshotTable", batch: DataFrame, job: str,
+                 batch_id: int) -> None:
+    """One micro-batch of L3: one record per party (persisted once), then both
+    silver tables, each published once per (job, batch_id) and rewriting only
+    the buckets the batch's parties fall into."""
+    from tidewell.streaming.refine import persisted
+    src = persisted(latest_parties(batch))
+    try:
+        newer = "source.recordVersion > target.recordVersion"
+        erase = all_null([f"source.{c}" for c in PAYLOAD])
+        parties.merge_touched(
+            src.select(*PARTY_COLS, "recordType"), ["id"],
+            [delete(F.expr(newer) & ((F.col("source.recordType") == "delete") | erase)),
+             update(F.expr(newer) & (F.col("source.recordType") == "upsert"),
+                    {c: f"source.{c}" for c in PARTY_COLS})],
+            [insert(~erase, {c: f"source.{c}" for c in PARTY_COLS})],
+            job, batch_id, cardinality="off")
+        points.merge_touched(
+            contact_points(src), ["PartyId", "ContactPointId"],
+            [delete(f"{newer} AND (source.recordType = 'delete' OR source.Ph IS NULL)"),
+             update(f"{newer} AND source.recordType = 'upsert'", {c: f"source.{c}" for c in POINT_COLS})],
+            [insert("source.Ph IS NOT NULL", {c: f"source.{c}" for c in POINT_COLS})],
+            job, batch_id, cardinality="off")
+    finally:
+        src.unpersist()

@@ -256,10 +256,16 @@ class SnapshotTable:
             return None
         return self.write(build(self.read()), job, batch)
 
-    def touched_buckets(self, source: DataFrame, key: str | None = None) -> list[int]:
+    def touched_buckets(self, source: DataFrame, key_type=None) -> list[int]:
         """Buckets of the source keys: at most ``buckets`` values, so the
-        collect is bounded by the layout, not by the data."""
-        c = bucket_col(key or self.bucket_key, self.buckets)
+        collect is bounded by the layout, not by the data.  The key is hashed
+        as the table stores it (an int and a bigint 1 hash differently)."""
+        k = F.col(self.bucket_key)
+        if key_type is None and self.schema is not None:
+            key_type = self.schema[self.bucket_key].dataType
+        if key_type is not None:
+            k = k.cast(key_type)
+        c = bucket_col(k, self.buckets)
         return sorted(r[0] for r in source.select(c.alias("b")).distinct().collect())
 
     def merge_touched(self, source: DataFrame, on, matched=(), not_matched=(), job: str = "merge",
@@ -276,14 +282,15 @@ class SnapshotTable:
             raise ValueError(f"the MERGE key must include {self.bucket_key!r} by name")
         if self.published(job, batch):
             return None
-        touched = [] if self.buckets <= FEW_BUCKETS else self.touched_buckets(source)
+        chain = self.chain()
+        schema = self._data_schema(chain) if chain else self.schema
+        key_type = schema[self.bucket_key].dataType if schema is not None else None
+        touched = [] if self.buckets <= FEW_BUCKETS else self.touched_buckets(source, key_type)
         if self.buckets <= FEW_BUCKETS or len(touched) >= self.buckets:
             # Every bucket is rewritten anyway (a handful of buckets means a
             # small table, and a batch touches them all): a full version is
             # the same work, skips the bucket scan, and resets the chain.
             return self.write(merge(self.read(), source, on, matched, not_matched, **kw), job, batch)
-        chain = self.chain()
-        schema = self._data_schema(chain) if chain else self.schema
         target = self._read_leaves(self._leaf_paths(chain, set(touched)), schema)
         if self.schema is not None:
             target = target.select(*self.schema.fieldNames())
