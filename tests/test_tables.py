@@ -115,3 +115,15 @@ def test_merge_touched_needs_the_bucket_key(spark, tmp_path):
     t = SnapshotTable(spark, str(tmp_path / "kv"), schema=_kv(spark, []).schema, bucket_key="k", buckets=32)
     with pytest.raises(ValueError):
         t.merge_touched(_kv(spark, [(1, 1, 1)]), ["v"], [], [], "j", 0)
+
+
+def test_long_chain_folds_into_a_full_version(spark, tmp_path):
+    from tidewell.operators.merge import insert, update
+    t = SnapshotTable(spark, str(tmp_path / "kv"), schema=_kv(spark, []).schema, bucket_key="k",
+                      buckets=32, max_chain=2)
+    t.replace(_kv(spark, [(k, k, 1) for k in range(50)]))
+    for i in range(4):
+        t.merge_touched(_kv(spark, [(i, 100 + i, 2)]), ["k"], [update(None, "*")], [insert(None, "*")], "j", i)
+    kinds = [v.partial for v in t.versions()]
+    assert kinds == [False, True, True, False, True]
+    assert t.read().count() == 50 and (3, 103, 2) in rows(t.read())

@@ -109,7 +109,8 @@ class _FS:
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType | None = None,
                  partition_by: list[str] | None = None, bucket_key: str | None = None,
-                 buckets: int | None = None):
+                 buckets: int | None = None, max_chain: int = 64):
+        self.max_chain = max_chain
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
@@ -285,11 +286,13 @@ class SnapshotTable:
         chain = self.chain()
         schema = self._data_schema(chain) if chain else self.schema
         key_type = schema[self.bucket_key].dataType if schema is not None else None
-        touched = [] if self.buckets <= FEW_BUCKETS else self.touched_buckets(source, key_type)
-        if self.buckets <= FEW_BUCKETS or len(touched) >= self.buckets:
+        few = self.buckets <= FEW_BUCKETS
+        touched = [] if few else self.touched_buckets(source, key_type)
+        if few or len(touched) >= self.buckets or len(chain) > self.max_chain:
             # Every bucket is rewritten anyway (a handful of buckets means a
-            # small table, and a batch touches them all): a full version is
-            # the same work, skips the bucket scan, and resets the chain.
+            # small table, and a batch touches them all), or the chain of
+            # partial versions readers must list got long: write a full
+            # version, which also resets the chain.
             return self.write(merge(self.read(), source, on, matched, not_matched, **kw), job, batch)
         target = self._read_leaves(self._leaf_paths(chain, set(touched)), schema)
         if self.schema is not None:

@@ -33,10 +33,16 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 def refine_stream(spark: SparkSession, source: str, schema: StructType | str,
                   handler: Callable[[DataFrame, int], None], checkpoint: str,
                   trigger: str | None = "available_now", max_files: int | None = None,
-                  fmt: str = "parquet", options: dict | None = None):
+                  max_bytes: str | None = None, fmt: str = "parquet", options: dict | None = None):
+    """``max_files`` / ``max_bytes`` (e.g. ``"1g"``) bound each micro-batch
+    (R6), so a backlog is processed in batches of a planned size; with
+    ``availableNow`` the backlog is drained in such batches, then the query
+    stops."""
     r = spark.readStream.schema(schema).format(fmt)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
+    if max_bytes:
+        r = r.option("maxBytesPerTrigger", str(max_bytes))
     if options:
         r = r.options(**options)
     stream = r.load(source)
