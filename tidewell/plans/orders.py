@@ -37,20 +37,24 @@ def as_silver(refined: DataFrame) -> DataFrame:
     return refined.select("order_id", "record_version", "amount", F.lit("").alias("ship_status"))
 
 
+VERSIONED_INSERT = [insert(None, {"order_id": "source.order_id", "record_version": "source.record_version",
+                                   "amount": "source.amount", "ship_status": "''"})]
+
+
+def VERSIONED_MATCHED(advance_version: bool = False):  # noqa: N802 - clause list, like the constant above
+    values = {"amount": "target.amount + source.amount"}
+    if advance_version:
+        values["record_version"] = "source.record_version"
+    return [update("source.record_version > target.record_version", values)]
+
+
 def merge_versioned_accumulate(silver: DataFrame, batch: DataFrame, advance_version: bool = False,
                                **kw) -> DataFrame:
     """M2/M3: a newer source version adds its amount; an older or equal one is
     ignored; unknown orders are inserted with an empty ship status.  As in
     the reference, the target keeps its version unless ``advance_version``."""
-    values = {"amount": "target.amount + source.amount"}
-    if advance_version:
-        values["record_version"] = "source.record_version"
-    return merge(silver, batch, int_key(),
-                 matched=[update("source.record_version > target.record_version", values)],
-                 not_matched=[insert(None, {"order_id": "source.order_id",
-                                            "record_version": "source.record_version",
-                                            "amount": "source.amount",
-                                            "ship_status": "''"})], **kw)
+    return merge(silver, batch, int_key(), matched=VERSIONED_MATCHED(advance_version),
+                 not_matched=VERSIONED_INSERT, **kw)
 
 
 def _two_batches(spark, sf_dir):

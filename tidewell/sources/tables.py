@@ -109,13 +109,17 @@ class _FS:
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType | None = None,
                  partition_by: list[str] | None = None, bucket_key: str | None = None,
-                 buckets: int | None = None, max_chain: int = 64):
+                 buckets: int | None = None, max_chain: int = 64, bucket_expr: str | None = None):
+        """``bucket_key``: a column hashed into ``buckets``; or ``bucket_expr``:
+        a SQL expression over the row (e.g. ``try_cast(order_id AS INT)``) for
+        MERGEs joined on a derived key, so rows that match share a bucket."""
         self.max_chain = max_chain
+        self.bucket_expr = bucket_expr
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_by = list(partition_by or [])
-        self.bucket_key = bucket_key
+        self.bucket_key = bucket_key or (f"expr:{bucket_expr}" if bucket_expr else None)
         self.buckets = buckets
         self._fs = _FS(spark, self.path)
 
@@ -226,7 +230,7 @@ class SnapshotTable:
     def _with_layout(self, df: DataFrame):
         out, parts = df, list(self.partition_by)
         if self.bucket_key:
-            out = out.withColumn("bucket", bucket_col(self.bucket_key, self.buckets))
+            out = out.withColumn("bucket", bucket_col(self._bucket_source(), self.buckets))
             parts = parts + ["bucket"]
         if parts:
             # AQE rebalances by the partition columns: a large bucket is split
@@ -257,15 +261,19 @@ class SnapshotTable:
             return None
         return self.write(build(self.read()), job, batch)
 
+    def _bucket_source(self) -> Column:
+        return F.expr(self.bucket_expr) if self.bucket_expr else F.col(self.bucket_key)
+
     def touched_buckets(self, source: DataFrame, key_type=None) -> list[int]:
         """Buckets of the source keys: at most ``buckets`` values, so the
         collect is bounded by the layout, not by the data.  The key is hashed
         as the table stores it (an int and a bigint 1 hash differently)."""
-        k = F.col(self.bucket_key)
-        if key_type is None and self.schema is not None:
-            key_type = self.schema[self.bucket_key].dataType
-        if key_type is not None:
-            k = k.cast(key_type)
+        k = self._bucket_source()
+        if not self.bucket_expr:
+            if key_type is None and self.schema is not None:
+                key_type = self.schema[self.bucket_key].dataType
+            if key_type is not None:
+                k = k.cast(key_type)
         c = bucket_col(k, self.buckets)
         return sorted(r[0] for r in source.select(c.alias("b")).distinct().collect())
 
@@ -274,18 +282,20 @@ class SnapshotTable:
         """MERGE that reads and rewrites only the buckets the batch touches.
 
         The join must include plain equality on ``bucket_key`` (the same
-        column name on both sides) and updates must not change it, so that a
-        row and its match always share a bucket."""
+        column name on both sides), or imply equal ``bucket_expr`` values, and
+        updates must not change it, so that a row and its match always share
+        a bucket."""
         from tidewell.operators.merge import merge
         if not self.bucket_key or self.partition_by:
             raise ValueError("merge_touched needs a bucket_key and no other partition columns")
-        if self.bucket_key not in [o for o in on if isinstance(o, str)]:
+        if not self.bucket_expr and self.bucket_key not in [o for o in on if isinstance(o, str)]:
             raise ValueError(f"the MERGE key must include {self.bucket_key!r} by name")
         if self.published(job, batch):
             return None
         chain = self.chain()
         schema = self._data_schema(chain) if chain else self.schema
-        key_type = schema[self.bucket_key].dataType if schema is not None else None
+        key_type = (schema[self.bucket_key].dataType
+                    if schema is not None and not self.bucket_expr else None)
         few = self.buckets <= FEW_BUCKETS
         touched = [] if few else self.touched_buckets(source, key_type)
         if few or len(touched) >= self.buckets or len(chain) > self.max_chain:
