@@ -160,3 +160,30 @@ def test_nested_struct_aligned_by_field_name(spark):
     schema, out = evolve(table, df)
     assert schema.fieldNames() == ["id", "s"]
     assert out.collect()[0]["s"].asDict() == {"a": None, "b": "x"}
+
+
+from hypothesis import HealthCheck, given, settings, strategies as hst  # noqa: E402
+
+COLS = ["a", "b", "c", "d", "e"]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(hst.permutations(COLS), hst.lists(hst.sampled_from(COLS), min_size=1, max_size=5, unique=True),
+       hst.lists(hst.sampled_from(COLS), min_size=1, max_size=5, unique=True))
+def test_evolve_lands_every_value_by_name(spark, order, table_cols, file_cols):
+    """Random table and file column sets, random file order: every value
+    lands under its own name; missing ones are null; new ones are appended
+    as strings."""
+    table = spark.createDataFrame([], ", ".join(f"{c} int" for c in table_cols)).schema
+    file_cols = [c for c in order if c in file_cols]
+    df = spark.createDataFrame([tuple(COLS.index(c) for c in file_cols)],
+                               ", ".join(f"{c} int" for c in file_cols))
+    schema, out = evolve(table, df)
+    new = [c for c in file_cols if c not in table_cols]
+    assert schema.fieldNames() == table_cols + new
+    got = out.first().asDict()
+    for c in schema.fieldNames():
+        want = COLS.index(c) if c in file_cols else None
+        if c in new:
+            want = str(want)
+        assert got[c] == want

@@ -218,3 +218,19 @@ def test_merge_matches_model(spark, seed, strategy):
                 not_matched=[insert("source.val IS NOT NULL", "*")], strategy=strategy)
     want = sorted((k,) + v for k, v in _model(target, source).items())
     assert sorted(tuple(r) for r in out.collect()) == want
+
+
+def test_auto_strategy_follows_the_measured_bound(spark):
+    t = spark.range(0, 2000).selectExpr("CAST(id AS INT) AS k", "CAST(id AS DOUBLE) AS v")
+    s = spark.range(1500, 2500).selectExpr("CAST(id AS INT) AS k", "CAST(-id AS DOUBLE) AS v")
+    args = (t, s, ["k"], [update(None, "*")], [insert(None, "*")])
+    small = merge(*args, strategy="auto")
+    tiny_limit = merge(*args, strategy="auto", broadcast_max_bytes=100)
+    forced = merge(*args, strategy="broadcast", broadcast_max_bytes=100)   # falls back, too
+    for df in (small, tiny_limit, forced):
+        df.write.format("noop").mode("overwrite").save()
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(small) and "FullOuter" not in plan(small)
+    assert "FullOuter" in plan(tiny_limit) and "FullOuter" in plan(forced)
+    assert rows(small) == rows(tiny_limit) == rows(forced)
+    assert len(rows(small)) == 2500
