@@ -144,3 +144,23 @@ def test_bucket_expression_keeps_derived_key_matches_together(spark, tmp_path):
     want = merge(base, batch, int_key(), VERSIONED_MATCHED(), VERSIONED_INSERT, cardinality="off")
     assert rows(t.read()) == rows(want)
     assert ("7", 1, 15.0, "") in rows(t.read()) and t.read().count() == 102
+
+
+def test_append_writes_only_new_rows(spark, tmp_path):
+    from tidewell.operators.merge import insert, update
+    # plain table with a partition column
+    t = SnapshotTable(spark, str(tmp_path / "plain"), partition_by=["location"])
+    t.replace(spark.createDataFrame(SPIKE, SCHEMA))
+    v = t.append(spark.createDataFrame([("Ann", "Irelia", "29", "Redmond")], SCHEMA))
+    assert v.kind == "a" and spark.read.parquet(v.path).count() == 1
+    assert t.read().count() == 4 and t.read(version=0).count() == 3
+    assert rows(t.read().filter("location = 'Redmond'"), "firstName") == [("Ann",), ("David",)]
+    # bucketed: appended rows are read, then superseded by a partial MERGE of their bucket
+    b = SnapshotTable(spark, str(tmp_path / "kv"), schema=_kv(spark, []).schema, bucket_key="k", buckets=32)
+    b.replace(_kv(spark, [(k, k, 1) for k in range(40)]))
+    b.append(_kv(spark, [(100, 1, 1), (101, 1, 1)]))
+    assert b.read().count() == 42
+    b.merge_touched(_kv(spark, [(100, 7, 2)]), ["k"], [update("source.ver > target.ver", "*")],
+                    [insert(None, "*")], "j", 0)
+    got = rows(b.read())
+    assert len(got) == 42 and (100, 7, 2) in got and (101, 1, 1) in got and (100, 1, 1) not in got

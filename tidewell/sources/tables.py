@@ -5,6 +5,7 @@ A table is a folder of version directories::
     <root>/v=000007__<job>__<batch>/             full version 7: every row
     <root>/v=000008p__<job>__<batch>/bucket=3/   partial version 8: only the
     <root>/v=000008p__<job>__<batch>/bucket=9/   buckets a batch touched
+    <root>/v=000009a__<job>__<batch>/            append version 9: new rows only
 
 A version is committed once its ``_SUCCESS`` marker exists; a half-written
 directory (no marker) is ignored and later overwritten.  Full versions get
@@ -14,7 +15,8 @@ that the batch emptied), so each version appears atomically.
 
 The current rows are: the newest committed full version, with every bucket
 that a later committed partial version holds replaced by that version's
-folder (the newest one wins).  This is a naming rule over ordinary Spark
+folder (the newest one wins), plus the rows of the append versions after it
+(for a bucket, those after the folder that replaced it).  This is a naming rule over ordinary Spark
 writes, with one writer per table: no log, no manifest, no locks.
 
 Idempotent publishing: ``publish`` / ``merge_touched`` write only if no
@@ -41,7 +43,7 @@ from pyspark.sql.types import IntegerType, StructType
 
 from tidewell.functions import bucket as bucket_col
 
-_VERSION_DIR = re.compile(r"^v=(\d+)(p?)__(.*)__(-?\d+)$")
+_VERSION_DIR = re.compile(r"^v=(\d+)([pa]?)__(.*)__(-?\d+)$")
 _NO_SUCCESS = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 # At or below this many buckets a merge republishes the whole (small) table.
 FEW_BUCKETS = 8
@@ -55,7 +57,15 @@ class Version:
     path: str
     committed: bool
     modified_ms: int
-    partial: bool = False
+    kind: str = ""          # "" full, "p" partial (bucket replacement), "a" append
+
+    @property
+    def partial(self) -> bool:
+        return self.kind == "p"
+
+    @property
+    def full(self) -> bool:
+        return self.kind == ""
 
 
 def buckets_for(input_bytes: int, bytes_per_bucket: int = 256 * 1024 * 1024,
@@ -134,7 +144,7 @@ class SnapshotTable:
             p = f"{self.path}/{name}"
             out.append(Version(int(m.group(1)), m.group(3), int(m.group(4)), p,
                                self._fs.exists(f"{p}/_SUCCESS"), st.getModificationTime(),
-                               m.group(2) == "p"))
+                               m.group(2)))
         return sorted(out, key=lambda v: v.number)
 
     def current(self) -> Version | None:
@@ -149,13 +159,13 @@ class SnapshotTable:
 
     def chain(self, upto: int | None = None) -> list[Version]:
         """The versions that hold the rows as of ``upto`` (default: now): the
-        newest full version and the committed partial ones after it."""
+        newest full version and the committed partial / append ones after it."""
         done = [v for v in self.versions() if v.committed and (upto is None or v.number <= upto)]
-        fulls = [v for v in done if not v.partial]
+        fulls = [v for v in done if v.full]
         if not fulls:
             return done
         base = fulls[-1]
-        return [base] + [v for v in done if v.partial and v.number > base.number]
+        return [base] + [v for v in done if not v.full and v.number > base.number]
 
     def _bucket_dirs(self, v: Version) -> dict[int, str]:
         out = {}
@@ -166,10 +176,16 @@ class SnapshotTable:
         return out
 
     def _leaf_paths(self, chain: list[Version], buckets: set[int] | None = None) -> list[str]:
-        owner: dict[int, str] = {}
+        """Folders holding the rows: per bucket, its newest full or partial
+        folder plus the append folders after it."""
+        owner: dict[int, list[str]] = {}
         for v in chain:
-            owner.update(self._bucket_dirs(v))
-        return [p for b, p in sorted(owner.items()) if buckets is None or b in buckets]
+            for b, p in self._bucket_dirs(v).items():
+                if v.kind == "a":
+                    owner.setdefault(b, []).append(p)
+                else:
+                    owner[b] = [p]
+        return [p for b in sorted(owner) if buckets is None or b in buckets for p in owner[b]]
 
     # -- read ---------------------------------------------------------------
     def _data_schema(self, chain: list[Version]) -> StructType | None:
@@ -200,11 +216,17 @@ class SnapshotTable:
             if self.schema is None:
                 raise ValueError(f"{self.path} has no version and no declared schema")
             return self.spark.createDataFrame([], self.schema)
-        if len(chain) == 1 and not chain[0].partial:
+        if (len(chain) == 1 and chain[0].full) or not self.bucket_key:
+            # whole version folders (a full one and the appends after it),
+            # each read on its own so Spark discovers the partition folders
+            # under it, then unioned by name (at most ``max_chain`` + 1)
             r = self.spark.read
             if self.schema is not None:
                 r = r.schema(self._stored_schema())
-            df = r.parquet(chain[0].path)
+            frames = [r.parquet(v.path) for v in chain]
+            df = frames[0]
+            for f in frames[1:]:
+                df = df.unionByName(f)
         else:
             schema = self._data_schema(chain)
             df = self._read_leaves(self._leaf_paths(chain), schema)
@@ -249,7 +271,7 @@ class SnapshotTable:
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(p)
-        return Version(n, job, batch, p, True, 0, False)
+        return Version(n, job, batch, p, True, 0, "")
 
     def published(self, job: str, batch: int) -> bool:
         return any(v.committed and v.job == job and v.batch == batch for v in self.versions())
@@ -316,16 +338,27 @@ class SnapshotTable:
             if not self._fs.exists(f"{p}/bucket={b}"):
                 self._fs.mkdirs(f"{p}/bucket={b}")      # the batch emptied this bucket
         self._fs.touch(f"{p}/_SUCCESS")
-        return Version(n, job, batch, p, True, 0, True)
+        return Version(n, job, batch, p, True, 0, "p")
 
     # -- table operations ---------------------------------------------------
     def replace(self, df: DataFrame, job: str = "replace", batch: int = 0) -> Version:
         return self.write(df, job, batch)
 
     def append(self, df: DataFrame, job: str = "append", batch: int = 0) -> Version:
-        """Add rows, matched by column name."""
-        cur = self.read()
-        return self.write(cur.unionByName(df.select(*cur.columns)), job, batch)
+        """Add rows, matched by column name, as an append version
+        holding only the new rows (O(new rows), not O(table)).  After
+        ``max_chain`` such versions the table is folded into a full one."""
+        cols = self.read().columns
+        if len(self.chain()) > self.max_chain:
+            return self.write(self.read().unionByName(df.select(*cols)), job, batch)
+        n = self._next()
+        p = f"{self.path}/v={n:06d}a__{job}__{batch}"
+        out, parts = self._with_layout(df.select(*cols))
+        w = out.write.mode("overwrite")
+        if parts:
+            w = w.partitionBy(*parts)
+        w.parquet(p)
+        return Version(n, job, batch, p, True, 0, "a")
 
     def delete_where(self, predicate: Column | str, job: str = "delete", batch: int = 0) -> Version:
         """M7: the new version holds the rows for which ``predicate`` is not TRUE."""
@@ -339,8 +372,8 @@ class SnapshotTable:
 
     def _current_paths(self) -> list[str]:
         chain = self.chain()
-        if len(chain) == 1 and not chain[0].partial:
-            return [chain[0].path]
+        if (len(chain) == 1 and chain[0].full) or not self.bucket_key:
+            return [v.path for v in chain]
         return self._leaf_paths(chain)
 
     def file_count(self) -> int:
