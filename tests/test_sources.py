@@ -118,3 +118,17 @@ def test_console_sink_streams(spark, tmp_path):
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
     assert not q.isActive
+
+
+def test_parquet_path_list_and_insert_values(spark, tmp_path):
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    spark.createDataFrame([(1,)], "v int").write.parquet(a)
+    spark.createDataFrame([(2,)], "v int").write.parquet(b)
+    assert rows(files.read_parquet(spark, a, b)) == [(1,), (2,)]
+    assert spark.read.load(a).count() == 1            # Parquet is the default format
+    t = "tw_insert_values"
+    spark.sql(f"DROP TABLE IF EXISTS {t}")
+    spark.sql(f"CREATE TABLE {t} (v INT, s STRING) USING parquet LOCATION '{tmp_path / 't'}'")
+    spark.sql(f"INSERT INTO {t} VALUES (1, 'x'), (2, 'y')")
+    spark.sql(f"INSERT INTO {t} SELECT v + 10, 'z' FROM parquet.`{a}`")
+    assert sorted(tuple(r) for r in spark.table(t).collect()) == [(1, "x"), (2, "y"), (11, "z")]

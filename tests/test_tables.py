@@ -164,3 +164,22 @@ def test_append_writes_only_new_rows(spark, tmp_path):
                     [insert(None, "*")], "j", 0)
     got = rows(b.read())
     assert len(got) == 42 and (100, 7, 2) in got and (101, 1, 1) in got and (100, 1, 1) not in got
+
+
+def test_declared_not_null_is_enforced_on_write(spark, tmp_path):
+    import pytest
+    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+    schema = StructType([
+        StructField("level", StringType(), False),
+        StructField("event_time", StringType(), False, metadata={"comment": "EventType"}),
+        StructField("message", StringType(), False),
+        StructField("call_stack", ArrayType(StringType(), containsNull=False), True)])
+    t = SnapshotTable(spark, str(tmp_path / "logs"), schema=schema)
+    ok = spark.createDataFrame([("INFO", "2021-01-01 00:00:00", "up", ["a", "b"])], schema)
+    t.replace(ok)
+    assert t.read().count() == 1 and t.schema["event_time"].metadata["comment"] == "EventType"
+    bad = spark.createDataFrame([("INFO", None, "up", None)],
+                                "level string, event_time string, message string, call_stack array<string>")
+    with pytest.raises(Exception, match="NOT NULL column event_time"):
+        t.append(bad)
+    assert t.read().count() == 1          # the failed write never committed

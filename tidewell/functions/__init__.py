@@ -60,3 +60,21 @@ def first_true(cases: list[tuple[Column, Column]], otherwise: Column) -> Column:
         cond = F.coalesce(cond, F.lit(False))
         expr = F.when(cond, value) if expr is None else expr.when(cond, value)
     return otherwise if expr is None else expr.otherwise(otherwise)
+
+
+def guard_not_null(df, schema) -> "DataFrame":
+    """Enforce the NOT NULL columns of a declared ``schema`` (Parquet files do
+    not): a null there fails the job that writes the frame, with no extra pass
+    over the data (the check is a projection evaluated during the write)."""
+    required = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
+    if not required:
+        return df
+    out = []
+    for c in df.columns:
+        if c in required:
+            msg = F.lit(f"NOT NULL column {c} received a null")
+            out.append(F.when(F.col(f"`{c}`").isNull(), F.raise_error(msg))
+                        .otherwise(F.col(f"`{c}`")).alias(c))
+        else:
+            out.append(F.col(f"`{c}`"))
+    return df.select(*out)

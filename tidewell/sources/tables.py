@@ -41,7 +41,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from tidewell.functions import bucket as bucket_col
+from tidewell.functions import bucket as bucket_col, guard_not_null
 
 _VERSION_DIR = re.compile(r"^v=(\d+)([pa]?)__(.*)__(-?\d+)$")
 _NO_SUCCESS = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
@@ -251,6 +251,8 @@ class SnapshotTable:
 
     def _with_layout(self, df: DataFrame):
         out, parts = df, list(self.partition_by)
+        if self.schema is not None:
+            out = guard_not_null(out, self.schema)
         if self.bucket_key:
             out = out.withColumn("bucket", bucket_col(self._bucket_source(), self.buckets))
             parts = parts + ["bucket"]
