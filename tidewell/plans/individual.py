@@ -158,9 +158,11 @@ def refine_batch(persons: "SnapshotTable", addrs: "SnapshotTable", batch: DataFr
         src.unpersist()
 
 
-PERSON_TYPE = "id bigint, firstName string, lastName string, recordVersion int"
-ADDRESS_TYPE = ("id bigint, AddressId int, streetNo int, cityName string, zipcode int, country string, "
-                "recordVersion int")
+# Keys are declared NOT NULL, as in the reference's silver DDL; the snapshot
+# table enforces it while writing.
+PERSON_TYPE = "id bigint NOT NULL, firstName string, lastName string, recordVersion int"
+ADDRESS_TYPE = ("id bigint NOT NULL, AddressId int NOT NULL, streetNo int, cityName string, zipcode int, "
+                "country string, recordVersion int")
 
 
 @query("individual_refine", "WITH p AS (" + PERSON_SQL + "),\na AS (" + ADDRESS_SQL + """)
