@@ -58,3 +58,16 @@ def test_stream_flag_and_interval_trigger(spark, tmp_path):
     assert q.isActive
     q.stop()
     assert not q.isActive and sum(got) == 1
+
+
+def test_default_trigger_drains_and_stops(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    _orders(spark, [("1", 1, 1.0), ("2", 1, 2.0)]).write.parquet(landing)
+    got = []
+    q = refine_stream(spark, landing, BRONZE_SCHEMA, lambda df, i: got.append(df.count()),
+                      str(tmp_path / "ck"), trigger=None)
+    q.processAllAvailable()
+    _orders(spark, [("3", 1, 3.0)]).write.mode("append").parquet(landing)
+    q.processAllAvailable()
+    q.stop()
+    assert sum(got) == 3 and not q.isActive

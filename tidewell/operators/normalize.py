@@ -12,8 +12,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidewell.functions import surrogate_key
-
 
 def unpivot_slots(df: DataFrame, keep: list[str], slots: dict, slot_col: str | None = "slot") -> DataFrame:
     """``slots``: ``{slot_value: {out_col: in_col, ...}, ...}`` (every slot
@@ -50,7 +48,3 @@ def with_surrogate_key(df: DataFrame, id_col: str, slot_col: str, name: str) ->
     """``name = concat(id, '_', slot)``; drops the slot column."""
     return df.withColumn(name, F.concat(F.col(id_col).cast("string"), F.lit("_"),
                                         F.col(slot_col).cast("string"))).drop(slot_col)
-
-
-def slot_key(id_col: str, slot: int):
-    return surrogate_key(id_col, slot)
