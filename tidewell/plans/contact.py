@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidewell.functions import all_null
 from tidewell.operators import cleanse
 from tidewell.operators.merge import delete, insert, merge, update
-from tidewell.operators.normalize import unpivot_slots, unpivot_union
+from tidewell.operators.normalize import unpivot_slots, unpivot_union, with_surrogate_key
 from tidewell.plans import bronze as B
 from tidewell.plans.registry import query
 from tidewell.session import materialize, read_table
@@ -44,9 +44,9 @@ def latest_parties(bronze: DataFrame, batch_cols: list[str] = ()) -> DataFrame:
 def contact_points(parties: DataFrame, extra: list[str] = ()) -> DataFrame:
     """One row per phone slot, null phones kept (they delete)."""
     u = unpivot_slots(parties, ["id", "recordVersion", "recordType", *extra], PHONE_SLOTS, "slot")
-    return u.select(F.concat(F.col("id").cast("string"), F.lit("_"), F.col("slot").cast("string"))
-                    .alias("ContactPointId"),
-                    F.col("id").alias("PartyId"), "Ph", "recordVersion", "recordType", *extra)
+    return (with_surrogate_key(u, "id", "slot", "ContactPointId")
+            .select("ContactPointId", F.col("id").alias("PartyId"), "Ph", "recordVersion", "recordType",
+                    *extra))
 
 
 def merge_parties(silver: DataFrame, batch: DataFrame, **kw) -> DataFrame:
