@@ -15,9 +15,31 @@ from pyspark.sql import SparkSession
 _LOCAL_SCRATCH: dict[int, str] = {}
 
 
+MiB = 1024 * 1024
+
+
+def sizing(input_bytes: int, target_partition_bytes: int = 256 * MiB) -> dict:
+    """Partition sizing for a job reading ``input_bytes``: shuffle partitions
+    so each holds about ``target_partition_bytes`` before AQE coalesces small
+    ones (AQE cannot split a partition that is too big, except for skew, so
+    start fine-grained), file splits of the same size, and AQE's advisory
+    size.  E.g. 100 TB -> 409,600 partitions of 256 MiB; 1 GB -> 200."""
+    parts = max(200, min(1_000_000, -(-max(input_bytes, 0) // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MiB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+    }
+
+
 def build(master: str | None = None, app: str = "tidewell",
-          shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Session with UTC time zone, ANSI mode and AQE (incl. skew joins) on."""
+          shuffle_partitions: int | None = None, extra: dict | None = None,
+          input_bytes: int | None = None) -> SparkSession:
+    """Session with UTC time zone, ANSI mode and AQE (incl. skew joins) on.
+    ``input_bytes`` sizes partitions for that much input (see ``sizing``);
+    ``shuffle_partitions`` overrides the count (tests, local runs)."""
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
@@ -31,6 +53,8 @@ def build(master: str | None = None, app: str = "tidewell",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if input_bytes is not None:
+        conf.update(sizing(input_bytes))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
