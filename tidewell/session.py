@@ -23,7 +23,7 @@ def sizing(input_bytes: int, target_partition_bytes: int = 256 * MiB) -> dict:
     so each holds about ``target_partition_bytes`` before AQE coalesces small
     ones (AQE cannot split a partition that is too big, except for skew, so
     start fine-grained), file splits of the same size, and AQE's advisory
-    size.  E.g. 100 TB -> 409,600 partitions of 256 MiB; 1 GB -> 200."""
+    size.  E.g. 100 TB -> 372,530 partitions of 256 MiB; 1 GB -> 200."""
     parts = max(200, min(1_000_000, -(-max(input_bytes, 0) // target_partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
