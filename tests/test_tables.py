@@ -40,11 +40,11 @@ def test_partition_identity_compact_expire(spark, tmp_path):
 
 def test_half_written_version_is_ignored_and_replaced(spark, tmp_path):
     t = _spike(spark, tmp_path)
-    os.makedirs(os.path.join(t.path, "v=000001__crashed__7"))
+    os.makedirs(os.path.join(t.path, "tw_version=000001__crashed__7"))
     assert t.current().number == 0 and t.read().count() == 3
     v = t.append(spark.createDataFrame([("Ann", "Irelia", "29", None)], SCHEMA))
     assert v.number == 1 and t.read().count() == 4
-    assert not os.path.exists(os.path.join(t.path, "v=000001__crashed__7"))
+    assert not os.path.exists(os.path.join(t.path, "tw_version=000001__crashed__7"))
 
 
 def test_publish_is_idempotent_per_job_and_batch(spark, tmp_path):
@@ -183,3 +183,25 @@ def test_declared_not_null_is_enforced_on_write(spark, tmp_path):
     with pytest.raises(Exception, match="NOT NULL column event_time"):
         t.append(bad)
     assert t.read().count() == 1          # the failed write never committed
+
+
+def test_partition_aligned_delete_is_metadata_only_and_filtered_compaction(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "spike"), partition_by=["location"])
+    t.replace(spark.createDataFrame(SPIKE, SCHEMA).repartition(3))
+    t.append(spark.createDataFrame([("Ann", "Irelia", "29", "Bellevue")], SCHEMA))
+    v = t.delete_where("location = 'Redmond'")
+    assert v.partial and t._fs.data_files(v.path) == []            # nothing rewritten
+    assert rows(t.read(), "firstName") == [("Ann",), ("Kate",), ("Mike",)]
+    assert t.read(version=0).count() == 3                          # time travel intact
+    # a predicate on a data column is not partition-aligned: rows are filtered and rewritten
+    t.delete_where("age = '44'")
+    assert rows(t.read(), "firstName") == [("Ann",), ("Kate",)]
+    # compact only Bellevue (two files from the base and the append -> one)
+    t2 = SnapshotTable(spark, str(tmp_path / "spike2"), partition_by=["location"])
+    t2.replace(spark.createDataFrame(SPIKE, SCHEMA))
+    t2.append(spark.createDataFrame([("Ann", "Irelia", "29", "Bellevue")], SCHEMA))
+    before = t2.file_count()
+    v2 = t2.compact(target_bytes=1 << 30, where="location = 'Bellevue'")
+    assert v2.partial and sorted(t2._layout_dirs(v2)) == ["location=Bellevue"]
+    assert t2.file_count() == before - 1
+    assert rows(t2.read()) == rows(spark.createDataFrame(SPIKE + [("Ann", "Irelia", "29", "Bellevue")], SCHEMA))

@@ -2,10 +2,10 @@
 
 A table is a folder of version directories::
 
-    <root>/v=000007__<job>__<batch>/             full version 7: every row
-    <root>/v=000008p__<job>__<batch>/bucket=3/   partial version 8: only the
-    <root>/v=000008p__<job>__<batch>/bucket=9/   buckets a batch touched
-    <root>/v=000009a__<job>__<batch>/            append version 9: new rows only
+    <root>/tw_version=000007__<job>__<batch>/            full version 7: every row
+    <root>/tw_version=000008p__<job>__<batch>/bucket=3/  partial version 8: only
+    <root>/tw_version=000008p__<job>__<batch>/bucket=9/  the buckets a batch touched
+    <root>/tw_version=000009a__<job>__<batch>/           append version 9: new rows
 
 A version is committed once its ``_SUCCESS`` marker exists; a half-written
 directory (no marker) is ignored and later overwritten.  Full versions get
@@ -36,14 +36,20 @@ from __future__ import annotations
 
 import math
 import re
+from urllib.parse import unquote
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import IntegerType, StringType, StructType
 
 from tidewell.functions import bucket as bucket_col, guard_not_null
 
-_VERSION_DIR = re.compile(r"^v=(\d+)([pa]?)__(.*)__(-?\d+)$")
+# Version folders are named ``tw_version=<n><kind>__<job>__<batch>``; read with
+# the table root as base path, Spark sees them as a partition column of this
+# name, which the reader drops (so it must not be a data column).
+VERSION_COL = "tw_version"
+_VERSION_DIR = re.compile(r"^" + VERSION_COL + r"=(\d+)([pa]?)__(.*)__(-?\d+)$")
 _NO_SUCCESS = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
 # At or below this many buckets a merge republishes the whole (small) table.
 FEW_BUCKETS = 8
@@ -167,25 +173,41 @@ class SnapshotTable:
         base = fulls[-1]
         return [base] + [v for v in done if not v.full and v.number > base.number]
 
-    def _bucket_dirs(self, v: Version) -> dict[int, str]:
+    def _layout_col(self) -> str | None:
+        """The one folder level partial versions replace: the hash bucket,
+        or the table's single partition column."""
+        if self.bucket_key:
+            return "bucket"
+        return self.partition_by[0] if len(self.partition_by) == 1 else None
+
+    def _layout_dirs(self, v: Version) -> dict[str, str]:
+        col = self._layout_col()
         out = {}
+        if col is None:
+            return out
         for st in self._fs.list(v.path):
             name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("bucket="):
-                out[int(name.split("=", 1)[1])] = f"{v.path}/{name}"
+            if st.isDirectory() and name.startswith(col + "="):
+                out[name] = f"{v.path}/{name}"
         return out
 
-    def _leaf_paths(self, chain: list[Version], buckets: set[int] | None = None) -> list[str]:
-        """Folders holding the rows: per bucket, its newest full or partial
-        folder plus the append folders after it."""
-        owner: dict[int, list[str]] = {}
+    def _bucket_dirs(self, v: Version) -> dict[int, str]:
+        return {int(k.split("=", 1)[1]): p for k, p in self._layout_dirs(v).items()}
+
+    def _leaf_paths(self, chain: list[Version], keys: set[str] | None = None) -> list[str]:
+        """Folders holding the rows: per layout folder (``bucket=3``,
+        ``location=Bellevue``), its newest full or partial copy plus the
+        append copies after it.  Without a layout column: the version roots."""
+        if self._layout_col() is None:
+            return [v.path for v in chain]
+        owner: dict[str, list[str]] = {}
         for v in chain:
-            for b, p in self._bucket_dirs(v).items():
+            for k, p in self._layout_dirs(v).items():
                 if v.kind == "a":
-                    owner.setdefault(b, []).append(p)
+                    owner.setdefault(k, []).append(p)
                 else:
-                    owner[b] = [p]
-        return [p for b in sorted(owner) if buckets is None or b in buckets for p in owner[b]]
+                    owner[k] = [p]
+        return [p for k in sorted(owner) if keys is None or k in keys for p in owner[k]]
 
     # -- read ---------------------------------------------------------------
     def _data_schema(self, chain: list[Version]) -> StructType | None:
@@ -197,15 +219,21 @@ class SnapshotTable:
                 return StructType([f for f in s.fields if f.name != "bucket"])
         return None
 
-    def _read_leaves(self, paths: list[str], schema: StructType | None) -> DataFrame:
+    def _read_paths(self, paths: list[str]) -> DataFrame:
+        """One scan over version roots or layout folders.  With the table
+        root as ``basePath`` Spark discovers the version folder and the layout
+        columns below it as partition columns; the version one is dropped."""
         if not paths:
-            if schema is None:
+            if self.schema is None:
                 raise ValueError(f"{self.path} has no rows and no declared schema")
-            return self.spark.createDataFrame([], schema)
-        r = self.spark.read
-        if schema is not None:
-            r = r.schema(schema)
-        return r.parquet(*paths)
+            return self.spark.createDataFrame([], self.schema)
+        r = self.spark.read.option("basePath", self.path)
+        if self.schema is not None:
+            r = r.schema(self._stored_schema().add(VERSION_COL, StringType()))
+        df = r.parquet(*paths).drop(VERSION_COL)
+        if self.schema is not None:
+            return df.select(*self.schema.fieldNames())
+        return df.drop("bucket") if self.bucket_key else df
 
     def read(self, version: int | None = None) -> DataFrame:
         """The current rows, or those as of ``version`` (T3: time travel)."""
@@ -213,26 +241,10 @@ class SnapshotTable:
             self.version(version)
         chain = self.chain(version)
         if not chain:
-            if self.schema is None:
-                raise ValueError(f"{self.path} has no version and no declared schema")
-            return self.spark.createDataFrame([], self.schema)
-        if (len(chain) == 1 and chain[0].full) or not self.bucket_key:
-            # whole version folders (a full one and the appends after it),
-            # each read on its own so Spark discovers the partition folders
-            # under it, then unioned by name (at most ``max_chain`` + 1)
-            r = self.spark.read
-            if self.schema is not None:
-                r = r.schema(self._stored_schema())
-            frames = [r.parquet(v.path) for v in chain]
-            df = frames[0]
-            for f in frames[1:]:
-                df = df.unionByName(f)
-        else:
-            schema = self._data_schema(chain)
-            df = self._read_leaves(self._leaf_paths(chain), schema)
-        if self.schema is not None:
-            return df.select(*self.schema.fieldNames())
-        return df.drop("bucket") if self.bucket_key else df
+            return self._read_paths([])
+        if len(chain) == 1 and chain[0].full:
+            return self._read_paths([chain[0].path])
+        return self._read_paths(self._leaf_paths(chain))
 
     def _stored_schema(self) -> StructType:
         s = StructType(list(self.schema.fields))
@@ -267,7 +279,7 @@ class SnapshotTable:
         """Write ``df`` as the next full version; committed when Spark's
         ``_SUCCESS`` marker lands."""
         n = self._next()
-        p = f"{self.path}/v={n:06d}__{job}__{batch}"
+        p = f"{self.path}/{VERSION_COL}={n:06d}__{job}__{batch}"
         out, parts = self._with_layout(df)
         w = out.write.mode("overwrite")
         if parts:
@@ -328,20 +340,50 @@ class SnapshotTable:
             # partial versions readers must list got long: write a full
             # version, which also resets the chain.
             return self.write(merge(self.read(), source, on, matched, not_matched, **kw), job, batch)
-        target = self._read_leaves(self._leaf_paths(chain, set(touched)), schema)
-        if self.schema is not None:
-            target = target.select(*self.schema.fieldNames())
+        target = self._read_paths(self._leaf_paths(chain, {f"bucket={b}" for b in touched}))
         merged = merge(target, source, on, matched, not_matched, **kw)
-        n = self._next()
-        p = f"{self.path}/v={n:06d}p__{job}__{batch}"
         out, _ = self._with_layout(merged)
-        out.write.mode("overwrite").options(**_NO_SUCCESS).partitionBy("bucket").parquet(p)
-        for b in touched:
-            if not self._fs.exists(f"{p}/bucket={b}"):
-                self._fs.mkdirs(f"{p}/bucket={b}")      # the batch emptied this bucket
+        return self._write_partial(out, [f"bucket={b}" for b in touched], job, batch)
+
+    def _write_partial(self, out: DataFrame | None, folders: list[str], job: str, batch: int) -> Version:
+        """A partial version replacing exactly ``folders`` (layout folders):
+        ``out`` holds their new rows (None: all emptied); a folder that gets
+        no rows is created empty, then the version is committed."""
+        n = self._next()
+        p = f"{self.path}/{VERSION_COL}={n:06d}p__{job}__{batch}"
+        if out is not None:
+            out.write.mode("overwrite").options(**_NO_SUCCESS).partitionBy(self._layout_col()).parquet(p)
+        self._fs.mkdirs(p)
+        for f in folders:
+            if not self._fs.exists(f"{p}/{f}"):
+                self._fs.mkdirs(f"{p}/{f}")        # emptied by this version
         self._fs.touch(f"{p}/_SUCCESS")
         return Version(n, job, batch, p, True, 0, "p")
 
+    def _aligned_folders(self, chain: list[Version], predicate: Column) -> list[str] | None:
+        """The partition folders whose value satisfies ``predicate`` when the
+        predicate reads only the partition column (evaluated on the folder
+        values, one row per folder, no data read); None when it reads any
+        other column or the table has no single partition column."""
+        col = self._layout_col()
+        if col is None or self.bucket_key:
+            return None
+        names = sorted({k for v in chain for k in self._layout_dirs(v)})
+        if not names:
+            return []
+        dtype = (self.schema[col].dataType if self.schema is not None and col in self.schema.fieldNames()
+                 else self.read().schema[col].dataType)
+        raw = F.col("__raw")
+        vals = (self.spark.createDataFrame([(k, unquote(k.split("=", 1)[1])) for k in names],
+                                           "__folder string, __raw string")
+                .withColumn(col, F.when(raw == "__HIVE_DEFAULT_PARTITION__", F.lit(None))
+                                  .otherwise(raw).cast(dtype)))
+        try:
+            hit = vals.filter(F.coalesce(predicate, F.lit(False))).select("__folder").collect()
+        except AnalysisException:
+            return None
+        return [r[0] for r in hit]
+
     # -- table operations ---------------------------------------------------
     def replace(self, df: DataFrame, job: str = "replace", batch: int = 0) -> Version:
         return self.write(df, job, batch)
@@ -354,7 +396,7 @@ class SnapshotTable:
         if len(self.chain()) > self.max_chain:
             return self.write(self.read().unionByName(df.select(*cols)), job, batch)
         n = self._next()
-        p = f"{self.path}/v={n:06d}a__{job}__{batch}"
+        p = f"{self.path}/{VERSION_COL}={n:06d}a__{job}__{batch}"
         out, parts = self._with_layout(df.select(*cols))
         w = out.write.mode("overwrite")
         if parts:
@@ -363,8 +405,16 @@ class SnapshotTable:
         return Version(n, job, batch, p, True, 0, "a")
 
     def delete_where(self, predicate: Column | str, job: str = "delete", batch: int = 0) -> Version:
-        """M7: the new version holds the rows for which ``predicate`` is not TRUE."""
+        """M7: the new version holds the rows for which ``predicate`` is not
+        TRUE.  When the predicate reads only the partition column, whole
+        partition folders go: the new version is a partial one made of empty
+        folders, a metadata-only delete (no data file is read or written).
+        Otherwise the rest of the table is rewritten."""
         p = F.expr(predicate) if isinstance(predicate, str) else predicate
+        chain = self.chain()
+        folders = self._aligned_folders(chain, p) if chain else None
+        if folders is not None:
+            return self._write_partial(None, folders, job, batch)
         return self.write(self.read().filter(~F.coalesce(p, F.lit(False))), job, batch)
 
     def merge(self, source: DataFrame, on, matched=(), not_matched=(), job: str = "merge",
@@ -374,16 +424,29 @@ class SnapshotTable:
 
     def _current_paths(self) -> list[str]:
         chain = self.chain()
-        if (len(chain) == 1 and chain[0].full) or not self.bucket_key:
-            return [v.path for v in chain]
+        if len(chain) == 1 and chain[0].full:
+            return [chain[0].path]
         return self._leaf_paths(chain)
 
     def file_count(self) -> int:
         return sum(len(self._fs.data_files(p)) for p in self._current_paths())
 
-    def compact(self, target_bytes: int = 512 * 1024 * 1024, job: str = "compact") -> Version:
+    def compact(self, target_bytes: int = 512 * 1024 * 1024, job: str = "compact",
+                where: Column | str | None = None) -> Version:
         """Rewrite the current rows into about ``size / target_bytes``
-        files (per partition layout) as a new full version; rows unchanged."""
+        files as a new version; rows unchanged.  ``where`` on the partition
+        column compacts only those partition folders (a partial version)."""
+        if where is not None:
+            w = F.expr(where) if isinstance(where, str) else where
+            chain = self.chain()
+            folders = self._aligned_folders(chain, w) if chain else None
+            if folders:
+                paths = self._leaf_paths(chain, set(folders))
+                n = max(1, math.ceil(sum(self._fs.size(p) for p in paths) / target_bytes))
+                df = self._read_paths(paths)
+                if self.schema is not None:
+                    df = guard_not_null(df, self.schema)
+                return self._write_partial(df.repartition(n), folders, job, 0)
         size = sum(self._fs.size(p) for p in self._current_paths())
         n = max(1, math.ceil(size / target_bytes))
         df = self.read()
