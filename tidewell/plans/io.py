@@ -379,9 +379,11 @@ def expired_versions(spark, sf_dir):
 
 @query("table_as_of_version", "SELECT * FROM customer")
 def table_as_of_version(spark, sf_dir):
-    """After a delete, version 0 still reads the table as it was."""
+    """After a partition-aligned (metadata-only) delete and a row-level
+    delete, version 0 still reads the table as it was."""
     cust = read_table(spark, sf_dir, "customer")
-    t = SnapshotTable(spark, fresh_dir(spark, "asof"))
+    t = SnapshotTable(spark, fresh_dir(spark, "asof"), partition_by=["c_mktsegment"])
     t.replace(cust)
+    t.delete_where("c_mktsegment = 'BUILDING'")
     t.delete_where("c_acctbal > 0")
-    return t.read(version=0)
+    return t.read(version=0).select(*cust.columns)
