@@ -102,6 +102,11 @@ class _FS:
     def delete(self, p: str) -> bool:
         return self.fs.delete(self.Path(p), True)
 
+    def glob(self, pattern: str) -> list:
+        """One metadata call for every path matching ``pattern``."""
+        found = self.fs.globStatus(self.Path(pattern))
+        return list(found) if found is not None else []
+
     def mkdirs(self, p: str) -> bool:
         return self.fs.mkdirs(self.Path(p))
 
@@ -141,16 +146,18 @@ class SnapshotTable:
 
     # -- versions -----------------------------------------------------------
     def versions(self) -> list[Version]:
+        """All version folders, committed or not: two metadata calls (a list
+        of the root and one glob for the commit markers), however many."""
+        done = {st.getPath().getParent().getName()
+                for st in self._fs.glob(f"{self.path}/{VERSION_COL}=*/_SUCCESS")}
         out = []
         for st in self._fs.list(self.path):
             name = st.getPath().getName()
             m = _VERSION_DIR.match(name)
             if not m or not st.isDirectory():
                 continue
-            p = f"{self.path}/{name}"
-            out.append(Version(int(m.group(1)), m.group(3), int(m.group(4)), p,
-                               self._fs.exists(f"{p}/_SUCCESS"), st.getModificationTime(),
-                               m.group(2)))
+            out.append(Version(int(m.group(1)), m.group(3), int(m.group(4)), f"{self.path}/{name}",
+                               name in done, st.getModificationTime(), m.group(2)))
         return sorted(out, key=lambda v: v.number)
 
     def current(self) -> Version | None:
@@ -194,15 +201,29 @@ class SnapshotTable:
     def _bucket_dirs(self, v: Version) -> dict[int, str]:
         return {int(k.split("=", 1)[1]): p for k, p in self._layout_dirs(v).items()}
 
+    def _layout_index(self, chain: list[Version]) -> dict[str, dict[str, str]]:
+        """Layout folders of every version in ``chain``, from one glob."""
+        col = self._layout_col()
+        names = {v.path.rsplit("/", 1)[1] for v in chain}
+        out: dict[str, dict[str, str]] = {v.path: {} for v in chain}
+        for st in self._fs.glob(f"{self.path}/{VERSION_COL}=*/{col}=*"):
+            if not st.isDirectory():
+                continue
+            folder, version = st.getPath().getName(), st.getPath().getParent().getName()
+            if version in names:
+                out[f"{self.path}/{version}"][folder] = f"{self.path}/{version}/{folder}"
+        return out
+
     def _leaf_paths(self, chain: list[Version], keys: set[str] | None = None) -> list[str]:
         """Folders holding the rows: per layout folder (``bucket=3``,
         ``location=Bellevue``), its newest full or partial copy plus the
         append copies after it.  Without a layout column: the version roots."""
         if self._layout_col() is None:
             return [v.path for v in chain]
+        index = self._layout_index(chain)
         owner: dict[str, list[str]] = {}
         for v in chain:
-            for k, p in self._layout_dirs(v).items():
+            for k, p in index[v.path].items():
                 if v.kind == "a":
                     owner.setdefault(k, []).append(p)
                 else:
@@ -368,7 +389,7 @@ class SnapshotTable:
         col = self._layout_col()
         if col is None or self.bucket_key:
             return None
-        names = sorted({k for v in chain for k in self._layout_dirs(v)})
+        names = sorted({k for d in self._layout_index(chain).values() for k in d})
         if not names:
             return []
         dtype = (self.schema[col].dataType if self.schema is not None and col in self.schema.fieldNames()
