@@ -2,6 +2,7 @@
 rows with hot keys, null keys, null versions and ties."""
 
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from tidewell.operators import cleanse
 
@@ -72,3 +73,15 @@ def test_delete_where_keeps_null_predicate_rows(spark):
     df = spark.createDataFrame([("a", 1, 0, 0, 1.0), (None, 2, 0, 1, 2.0), ("b", 3, 0, 2, 3.0)], SCHEMA)
     out = cleanse.delete_where(df, "k = 'a'")
     assert sorted(r["id"] for r in out.collect()) == [1, 2]
+
+
+def test_text_versions_compare_as_text_and_text_arithmetic(spark):
+    """SURVEY 7.4 #2 and #12: 'V10' < 'V9' as text; '100' + '100' = '200.0'."""
+    from tidewell.functions import text_add, tolerant_int
+    df = spark.createDataFrame([("1", "V9", 0), ("1", "V10", 1)], "k string, ver string, id int")
+    top = cleanse.latest_version(df, "k", "ver", ties="one", tie_break=["id"], method="row_number")
+    assert [r["ver"] for r in top.collect()] == ["V9"]
+    row = spark.range(1).select(text_add(F.lit("100"), F.lit("100")).alias("a"),
+                                text_add(F.lit("100"), F.lit("")).alias("b"),
+                                tolerant_int(F.lit("007")).alias("c"), tolerant_int(F.lit("   ")).alias("d")).first()
+    assert (row["a"], row["b"], row["c"], row["d"]) == ("200.0", None, 7, None)
