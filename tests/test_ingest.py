@@ -12,6 +12,8 @@ from tidewell.operators.evolve import all_strings, evolve, profile_types, Schema
 from tidewell.plans.ingest import ingest
 from tidewell.sources import files
 
+# The sample CSV and JSON people files of the reference, as text,
+# in their natural order (see FIXTURES.md sections 1 and 2).
 CSV = {
     "individual.csv": ["firstName,lastName,age,location", "David,Cooker,17,Redmond", "Kate,Lucy,27,Bellevue"],
     "individual_new_field.csv": ["firstName,lastName,contactNumber", "Kathy,Bloomberg,111-222-333",

@@ -16,6 +16,9 @@ from tidewell.plans import contact, individual
 STRATEGIES = ["broadcast", "shuffle"]
 
 # --- contact (party + phones) with deletes: FIXTURES 5 --------------------------
+# The scenario rows below (ids, names, phones, versions) are the
+# reference's, as text in their natural order; so are the person/address rows
+# (FIXTURES 4) and the orders rows (FIXTURES 3) further down.
 
 BRONZE = ("id int, name string, Ph1 int, Ph2 int, Ph3 int, recordVersion int, "
           "recordType string, arrivalTime timestamp, seq int")

@@ -82,6 +82,7 @@ def test_sql_on_file(spark, tmp_path):
     assert files.sql_on_file(spark, "parquet", p).count() == 2
 
 
+# The reference's "spike" people rows (FIXTURES.md section 1).
 SPIKE = [("David", "Cooker", "17", "Redmond"), ("Kate", "Lucy", "27", "Bellevue"),
          ("Mike", "Patrick", "44", "Seattle")]
 

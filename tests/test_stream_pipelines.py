@@ -11,6 +11,8 @@ from tidewell.sources.tables import SnapshotTable
 from tidewell.streaming.refine import query_id, refine_stream
 
 T0 = dt.datetime(2021, 8, 1)
+# The scenario rows in the tests below are the reference's
+# (FIXTURES.md sections 4 and 5), in their natural order.
 
 CONTACT_IN = ("id int, name string, Ph1 int, Ph2 int, Ph3 int, recordVersion int, recordType string, "
               "arrivalTime timestamp, seq int")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tidewell.sources.tables import SnapshotTable
 
+# The reference's "spike" people rows (FIXTURES.md section 1).
 SPIKE = [("David", "Cooker", "17", "Redmond"), ("Kate", "Lucy", "27", "Bellevue"),
          ("Mike", "Patrick", "44", "Seattle")]
 SCHEMA = "firstName string, lastName string, age string, location string"
