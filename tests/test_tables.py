@@ -206,3 +206,14 @@ def test_partition_aligned_delete_is_metadata_only_and_filtered_compaction(spark
     assert v2.partial and sorted(t2._layout_dirs(v2)) == ["location=Bellevue"]
     assert t2.file_count() == before - 1
     assert rows(t2.read()) == rows(spark.createDataFrame(SPIKE + [("Ann", "Irelia", "29", "Bellevue")], SCHEMA))
+
+
+def test_create_if_not_exists_replace_and_drop(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "new"), schema=_kv(spark, []).schema, bucket_key="k", buckets=4)
+    assert not t.exists() and t.read().count() == 0
+    assert t.create() is not None and t.exists()
+    t.append(_kv(spark, [(1, 1, 1)]))
+    assert t.create() is None and t.read().count() == 1            # IF NOT EXISTS: no-op
+    t.create(replace=True)
+    assert t.read().count() == 0 and t.read(version=1).count() == 1
+    assert t.drop() and not t.exists()

@@ -406,6 +406,24 @@ class SnapshotTable:
         return [r[0] for r in hit]
 
     # -- table operations ---------------------------------------------------
+    def exists(self) -> bool:
+        return self.current() is not None
+
+    def create(self, replace: bool = False) -> Version | None:
+        """Create the table from its declared schema (an empty full
+        version); a no-op if it exists, unless ``replace`` (then the new,
+        empty version is current and older ones stay for time travel until
+        expired)."""
+        if self.schema is None:
+            raise ValueError("create needs a declared schema")
+        if self.exists() and not replace:
+            return None
+        return self.write(self.spark.createDataFrame([], self.schema), "create", 0)
+
+    def drop(self) -> bool:
+        """D3: remove the table folder with all its versions (explicit request only)."""
+        return self._fs.delete(self.path)
+
     def replace(self, df: DataFrame, job: str = "replace", batch: int = 0) -> Version:
         return self.write(df, job, batch)
 
