@@ -23,7 +23,7 @@ CSV = {
     "individual_delete_field.csv": ["firstName,lastName,age", "Ann,Irelia,29", "Tim,Frank,47"],
     "individual_data_type.csv": ["firstName,lastName,age,location,createdAt",
                                  "Monica,Fiona,53,Redmond,2021-05-22 00:00:00",
-                                 "Brand,Iceberg,36,Bellevue,2021-01-13 00:00:00"],
+                                 "Brand,Fields,36,Bellevue,2021-01-13 00:00:00"],
     "different_data_types.csv": ["boolean,int,long,float,double,timestamp,timestampz,date",
                                  "True,10,123456789123456789,1.1F,1.23456D,2021-10-23T18:25:43.511,"
                                  "2021-10-23T18:25:43.511Z,2022-09-24"],
