@@ -66,18 +66,22 @@ def max_version_per_key(df: DataFrame, key: str | list[str], version: str,
 
 
 def latest_version(df: DataFrame, key: str | list[str], version: str, ties: str = "all",
-                   tie_break: list[str | Column] | None = None, method: str = "rank") -> DataFrame:
+                   tie_break: list[str | Column] | None = None, method: str | None = None) -> DataFrame:
     """Rows of the highest version per key.
 
     ``ties="all"`` keeps every row at the top version (J1); ``ties="one"``
     keeps one, chosen by ``tie_break`` (W1).  Null keys and null versions
     are dropped, as the inner join of the reference form drops them.
 
-    ``method``: ``"rank"`` (one window, one shuffle), ``"join"`` (join with
-    the per-key maximum, as the reference writes it; the aggregate side is
-    pre-aggregated on the map side), ``"row_number"`` / ``"max_by"`` for
-    ``ties="one"``.
+    ``method`` for ``ties="all"``: ``"join"`` (default: the per-key maximum
+    by a partially pre-aggregated aggregation, joined back; a hot key's tied
+    rows sit on the streamed side of the join, which AQE's skew handling
+    splits over several tasks) or ``"rank"`` (one window and one shuffle, but
+    all rows tied at a hot key's top version are sorted in one task).  For
+    ``ties="one"``: ``"row_number"`` (default; partial top-1 before the
+    shuffle) or ``"max_by"`` (partial aggregation).
     """
+    method = method or ("join" if ties == "all" else "row_number")
     keys = [key] if isinstance(key, str) else list(key)
     clean = df.filter(F.col(version).isNotNull())
     for k in keys:
