@@ -85,3 +85,20 @@ def test_text_versions_compare_as_text_and_text_arithmetic(spark):
                                 text_add(F.lit("100"), F.lit("")).alias("b"),
                                 tolerant_int(F.lit("007")).alias("c"), tolerant_int(F.lit("   ")).alias("d")).first()
     assert (row["a"], row["b"], row["c"], row["d"]) == ("200.0", None, 7, None)
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    """A key holding a third of all rows, all tied at its top version."""
+    n = 30000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id AS STRING) END AS k",
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE CAST(id % 5 AS INT) END AS ver",
+        "CAST(id AS INT) AS ts", "CAST(id AS INT) AS id", "CAST(id AS DOUBLE) AS amount")
+    one = cleanse.latest_version(df, "k", "ver", ties="one", tie_break=["ts", "id"])
+    allt = cleanse.latest_version(df, "k", "ver", ties="all")
+    assert one.filter("k = 'hot'").collect()[0]["id"] == 29997
+    assert allt.filter("k = 'hot'").count() == n // 3 and allt.count() == n
+    p_one = one._jdf.queryExecution().executedPlan().toString()
+    p_all = allt._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in p_one and "Partial" in p_one
+    assert "Window " not in p_all and "partial_max" in p_all
