@@ -189,3 +189,14 @@ def test_evolve_lands_every_value_by_name(spark, order, table_cols, file_cols):
         if c in new:
             want = str(want)
         assert got[c] == want
+
+
+def test_new_columns_infer_keeps_their_type_and_structs_become_json(spark):
+    table = spark.createDataFrame([], "id int").schema
+    df = spark.createDataFrame([(1, 5, ("x", 2))], "id int, n int, s struct<a:string,b:int>")
+    schema, out = evolve(table, df, new_columns="infer")
+    assert [f.dataType.simpleString() for f in schema.fields] == ["int", "int", "struct<a:string,b:int>"]
+    schema2, out2 = evolve(table, df)
+    assert [f.dataType.simpleString() for f in schema2.fields] == ["int", "string", "string"]
+    r = out2.first()
+    assert r["n"] == "5" and r["s"] == '{"a":"x","b":2}'
