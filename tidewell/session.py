@@ -87,8 +87,10 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the scratch root (Spark creates it on write)."""
-    return f"{scratch_root(spark)}/tidewell/{label}-{uuid.uuid4().hex[:12]}"
+    """A new, unused path below the scratch root (Spark creates it on write),
+    grouped per Spark application so one folder never collects every run."""
+    app = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/tidewell/{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def table_path(sf_dir: str, name: str) -> str:
