@@ -161,7 +161,7 @@ def _check_cardinality(target, source, on, mode: str) -> None:
 def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
           not_matched: list[Clause] = (), cardinality: str = "merge",
           strategy: str = "auto", broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-          materialize: bool = True) -> DataFrame:
+          materialize: bool = True, source_bytes: int | None = None) -> DataFrame:
     """Return ``target`` after applying ``source`` with MERGE semantics.
 
     ``on``: column names present on both sides, or ``(target_expr,
@@ -173,6 +173,9 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     cardinality check, the merge itself) and is not cached, cut its lineage
     once with a reliable ``checkpoint()`` into the shared checkpoint folder
     instead of recomputing it per read.
+    ``source_bytes``: an upper bound of the source size the caller already
+    measured (e.g. once per micro-batch for several MERGEs of projections of
+    it); it replaces the measuring job.
     """
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
@@ -183,14 +186,14 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     # Without cost-based statistics Catalyst's estimate follows the size of
     # the inputs of the lineage, so a small estimate means re-reading is
     # cheaper than writing a checkpoint.
-    extra_reads = (cardinality != "off") + (strategy != "shuffle")
+    extra_reads = (cardinality != "off") + (strategy != "shuffle" and source_bytes is None)
     big = est < 0 or est > broadcast_max_bytes
     if extra_reads and materialize and big and not _is_materialized(source):
         source = source.checkpoint(eager=True)
     _check_cardinality(target, source, on, cardinality)
     if strategy != "shuffle":
         # Broadcast only behind a measured bound; beyond it, shuffle.
-        _, nbytes = measured_size_bound(source)
+        nbytes = source_bytes if source_bytes is not None else measured_size_bound(source)[1]
         strategy = "broadcast" if nbytes <= broadcast_max_bytes else "shuffle"
 
     pairs = _key_pairs(on)

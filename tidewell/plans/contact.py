@@ -186,8 +186,11 @@ def refine_batch(parties: "SnapshotTable", points: "SnapshotTable", batch: DataF
     silver tables, each published once per (job, batch_id) and rewriting only
     the buckets the batch's parties fall into."""
     from tidewell.streaming.refine import persisted
+    from tidewell.operators.merge import measured_size_bound
     src = persisted(latest_parties(batch))
     try:
+        # one measurement bounds both sources (a projection; three slots per row)
+        _, nbytes = measured_size_bound(src)
         newer = "source.recordVersion > target.recordVersion"
         erase = all_null([f"source.{c}" for c in PAYLOAD])
         parties.merge_touched(
@@ -196,12 +199,12 @@ def refine_batch(parties: "SnapshotTable", points: "SnapshotTable", batch: DataF
              update(F.expr(newer) & (F.col("source.recordType") == "upsert"),
                     {c: f"source.{c}" for c in PARTY_COLS})],
             [insert(~erase, {c: f"source.{c}" for c in PARTY_COLS})],
-            job, batch_id, cardinality="off")
+            job, batch_id, cardinality="off", source_bytes=nbytes)
         points.merge_touched(
             contact_points(src), ["PartyId", "ContactPointId"],
             [delete(f"{newer} AND (source.recordType = 'delete' OR source.Ph IS NULL)"),
              update(f"{newer} AND source.recordType = 'upsert'", {c: f"source.{c}" for c in POINT_COLS})],
             [insert("source.Ph IS NOT NULL", {c: f"source.{c}" for c in POINT_COLS})],
-            job, batch_id, cardinality="off")
+            job, batch_id, cardinality="off", source_bytes=3 * nbytes)
     finally:
         src.unpersist()
