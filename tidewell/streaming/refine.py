@@ -30,19 +30,31 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(rows[0]["value"])["id"]
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def size_bytes(size: int | str) -> int:
+    """``4096``, ``"512m"``, ``"4g"`` -> bytes."""
+    if isinstance(size, int):
+        return size
+    text = size.strip().lower().removesuffix("b") if size.strip().lower() != "b" else "1"
+    num, unit = (text[:-1], text[-1]) if text and text[-1] in _UNITS else (text, "")
+    return int(float(num) * _UNITS[unit])
+
+
 def refine_stream(spark: SparkSession, source: str, schema: StructType | str,
                   handler: Callable[[DataFrame, int], None], checkpoint: str,
                   trigger: str | None = "available_now", max_files: int | None = None,
-                  max_bytes: str | None = None, fmt: str = "parquet", options: dict | None = None):
-    """``max_files`` / ``max_bytes`` (e.g. ``"1g"``) bound each micro-batch
-    (R6), so a backlog is processed in batches of a planned size; with
-    ``availableNow`` the backlog is drained in such batches, then the query
-    stops."""
+                  max_bytes: int | str | None = None, fmt: str = "parquet", options: dict | None = None):
+    """``max_files`` / ``max_bytes`` (bytes, or e.g. ``"4g"``) bound each
+    micro-batch (R6), so a backlog is processed in batches of a planned size;
+    with ``availableNow`` the backlog is drained in such batches, then the
+    query stops."""
     r = spark.readStream.schema(schema).format(fmt)
     if max_files:
         r = r.option("maxFilesPerTrigger", str(max_files))
     if max_bytes:
-        r = r.option("maxBytesPerTrigger", str(max_bytes))
+        r = r.option("maxBytesPerTrigger", str(size_bytes(max_bytes)))
     if options:
         r = r.options(**options)
     stream = r.load(source)
