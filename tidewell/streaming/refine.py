@@ -25,9 +25,23 @@ from pyspark.sql.types import StructType
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
-    """The id Spark stored for the query of ``checkpoint`` (tiny metadata file)."""
-    rows = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").collect()
-    return json.loads(rows[0]["value"])["id"]
+    """The id Spark stored for the query of ``checkpoint`` (its small
+    ``metadata`` file, read on the driver through Hadoop's FileSystem; not
+    cached, since a new checkpoint at the same path has a new id)."""
+    path = f"{checkpoint.rstrip('/')}/metadata"
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        stream = fs.open(p)
+        try:
+            text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        first = text.splitlines()[0]
+    except Exception:  # noqa: BLE001 - no JVM access: read it as a tiny text file
+        first = spark.read.text(path).first()["value"]
+    return json.loads(first)["id"]
 
 
 _UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
