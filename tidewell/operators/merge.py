@@ -92,9 +92,7 @@ def _key_pairs(on) -> list[tuple[Column, Column]]:
     return pairs
 
 
-def measured_size_bound(df: DataFrame) -> tuple[int, int]:
-    """(rows, bytes) where bytes = rows x widest row: a true upper bound of the
-    data size, measured by one aggregation over ``df``."""
+def _row_width(df: DataFrame) -> Column:
     parts = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -104,12 +102,34 @@ def measured_size_bound(df: DataFrame) -> tuple[int, int]:
             parts.append(F.coalesce(F.octet_length(F.to_json(c)), F.lit(0)))
         else:
             parts.append(F.lit(_FIXED_WIDTH.get(f.dataType.typeName(), 16)))
-    width = reduce(lambda a, b: a + b, parts) if parts else F.lit(0)
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.max(width).alias("w")).first()
+    return reduce(lambda a, b: a + b, parts) if parts else F.lit(0)
+
+
+def measured_size_bound(df: DataFrame) -> tuple[int, int]:
+    """(rows, bytes) where bytes = rows x widest row: a true upper bound of the
+    data size, measured by one aggregation over ``df``."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.max(_row_width(df)).alias("w")).first()
     n = int(row["n"] or 0)
     return n, n * int(row["w"] or 0)
 
 
+def _profile(source: DataFrame, on) -> tuple[int, bool]:
+    """One aggregation over the source giving both the size bound (rows x
+    widest row) and whether a non-null join key occurs more than once:
+    grouped by the key (partial aggregation first), then reduced to one row."""
+    s = source.alias("source")
+    pairs = _key_pairs(on)
+    names = [f"__k{i}" for i in range(len(pairs))]
+    keyed = s.select(*[se.alias(n) for (_, se), n in zip(pairs, names)],
+                     _row_width(source).alias("__w"))
+    not_null = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+    per_key = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__n"), F.max("__w").alias("__w"))
+    row = per_key.agg(F.sum("__n").alias("n"), F.max("__w").alias("w"),
+                      F.max(F.when(not_null, F.col("__n"))).alias("dup")).first()
+    n = int(row["n"] or 0)
+    return n * int(row["w"] or 0), int(row["dup"] or 0) > 1
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (no job).  Not a bound: it may be
     low (compressed files, generators), so it is only used to rule
@@ -151,6 +171,12 @@ def _check_cardinality(target, source, on, mode: str) -> None:
              .groupBy(*names).count().filter(F.col("count") > 1))
     if dup.isEmpty():
         return
+    _raise_on_conflicts(target, source, on, mode)
+
+
+def _raise_on_conflicts(target, source, on, mode: str) -> None:
+    """The source has duplicated keys: always an error in "strict" mode, in
+    "merge" mode only if one of them exists in the target."""
     if mode == "strict":
         raise MergeCardinalityError("source holds duplicate keys")
     if not cardinality_conflicts(target, source, on).isEmpty():
@@ -190,7 +216,14 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     big = est < 0 or est > broadcast_max_bytes
     if extra_reads and materialize and big and not _is_materialized(source):
         source = source.checkpoint(eager=True)
-    _check_cardinality(target, source, on, cardinality)
+    need_bound = strategy != "shuffle" and source_bytes is None
+    if need_bound and cardinality != "off":
+        # one pass over the source answers both questions
+        source_bytes, dup = _profile(source, on)
+        if dup:
+            _raise_on_conflicts(target, source, on, cardinality)
+    else:
+        _check_cardinality(target, source, on, cardinality)
     if strategy != "shuffle":
         # Broadcast only behind a measured bound; beyond it, shuffle.
         nbytes = source_bytes if source_bytes is not None else measured_size_bound(source)[1]
