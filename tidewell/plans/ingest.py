@@ -83,9 +83,6 @@ def _ingest_sequence(spark, sf_dir, order: list[str], fmt: str = "csv") -> DataF
     return spark.table(t)
 
 
-_INT = "CAST({} AS INTEGER)"
-
-
 def _csv_sql(select_by_file: dict[int, str]) -> str:
     parts = [f"SELECT {sel} FROM part WHERE p_partkey % 3 = {r}" for r, sel in select_by_file.items()]
     return "\nUNION ALL\n".join(parts)
@@ -185,21 +182,22 @@ def scan_csv_sep(spark, sf_dir):
     return files.read_csv(spark, p, header=False, options={"sep": ";", "header": "true"})
 
 
-@query("scan_csv_noheader", """SELECT CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1,
-  CAST(c_nationkey AS VARCHAR) AS _c2, CAST(c_acctbal AS VARCHAR) AS _c3, c_mktsegment AS _c4,
-  concat_ws(';', CAST(c_custkey AS VARCHAR), c_name) AS whole_line FROM customer""")
+@query("scan_csv_noheader", """SELECT 'no_header' AS reader, CAST(c_custkey AS VARCHAR) AS _c0, c_name AS _c1,
+  CAST(c_nationkey AS VARCHAR) AS _c2, CAST(c_acctbal AS VARCHAR) AS _c3, c_mktsegment AS _c4 FROM customer
+UNION ALL
+SELECT 'wrong_separator' AS reader, concat_ws(';', CAST(c_custkey AS VARCHAR), c_name) AS _c0,
+  NULL AS _c1, NULL AS _c2, NULL AS _c3, NULL AS _c4 FROM customer""")
 def scan_csv_noheader(spark, sf_dir):
     """No header -> _c0.._c4; read with the wrong separator, the whole
-    line lands in _c0 (joined back here by key to show both)."""
+    line lands in _c0.  Both reads side by side (a union: no shuffle)."""
     cust = read_table(spark, sf_dir, "customer")
     p = sinks.write_csv(cust, fresh_dir(spark, "noheader"), header=False)
     semi = sinks.write_csv(cust.select("c_custkey", "c_name"), fresh_dir(spark, "semi"),
                            header=False, sep=";")
-    plain = files.read_csv(spark, p, header=False)
-    wrong = files.read_csv(spark, semi, header=False).select(F.col("_c0").alias("whole_line"))
-    key = F.split(F.col("whole_line"), ";").getItem(0)
-    return plain.join(wrong, plain["_c0"] == key, "inner").select("_c0", "_c1", "_c2", "_c3", "_c4",
-                                                                   "whole_line")
+    plain = files.read_csv(spark, p, header=False).withColumn("reader", F.lit("no_header"))
+    wrong = files.read_csv(spark, semi, header=False).withColumn("reader", F.lit("wrong_separator"))
+    return plain.unionByName(wrong, allowMissingColumns=True).select(
+        "reader", "_c0", "_c1", "_c2", "_c3", "_c4")
 
 
 @query("scan_csv_folder", f"SELECT {_CUST_TEXT} FROM customer")
