@@ -237,3 +237,12 @@ def test_auto_strategy_follows_the_measured_bound(spark):
     assert "FullOuter" in plan(tiny_limit) and "FullOuter" in plan(forced)
     assert rows(small) == rows(tiny_limit) == rows(forced)
     assert len(rows(small)) == 2500
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_composite_key_with_a_null_part(spark, strategy):
+    sch = "a int, b string, v int"
+    t = spark.createDataFrame([(1, "x", 1), (1, None, 2), (2, "y", 3)], sch)
+    s = spark.createDataFrame([(1, "x", 10), (1, None, 20), (3, "z", 30)], sch)
+    out = merge(t, s, ["a", "b"], [update(None, "*")], [insert(None, "*")], strategy=strategy)
+    assert rows(out) == [(1, None, 2), (1, None, 20), (1, "x", 10), (2, "y", 3), (3, "z", 30)]
