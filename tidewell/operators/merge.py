@@ -215,7 +215,8 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     extra_reads = (cardinality != "off") + (strategy != "shuffle" and source_bytes is None)
     big = est < 0 or est > broadcast_max_bytes
     if extra_reads and materialize and big and not _is_materialized(source):
-        source = source.checkpoint(eager=True)
+        from tidewell.session import materialize as cut_lineage
+        source = cut_lineage(source)
     need_bound = strategy != "shuffle" and source_bytes is None
     if need_bound and cardinality != "off":
         # one pass over the source answers both questions
