@@ -157,11 +157,15 @@ def test_json_key_order_is_irrelevant(spark, fx):
 
 
 def test_nested_struct_aligned_by_field_name(spark):
+    """Fields matched by name whatever their order; a missing one is null.
+    (An extra nested field is refused: see the array-of-structs test.)"""
     table = spark.createDataFrame([], "id int, s struct<a:int,b:string>").schema
-    df = spark.createDataFrame([(1, ("x", None))], "id int, s struct<b:string,c:int>")
+    df = spark.createDataFrame([(1, ("x", 3))], "id int, s struct<b:string,a:int>")
     schema, out = evolve(table, df)
     assert schema.fieldNames() == ["id", "s"]
-    assert out.collect()[0]["s"].asDict() == {"a": None, "b": "x"}
+    assert out.collect()[0]["s"].asDict() == {"a": 3, "b": "x"}
+    df2 = spark.createDataFrame([(1, ("y",))], "id int, s struct<b:string>")
+    assert evolve(table, df2)[1].collect()[0]["s"].asDict() == {"a": None, "b": "y"}
 
 
 from hypothesis import HealthCheck, given, settings, strategies as hst  # noqa: E402
@@ -200,3 +204,16 @@ def test_new_columns_infer_keeps_their_type_and_structs_become_json(spark):
     assert [f.dataType.simpleString() for f in schema2.fields] == ["int", "string", "string"]
     r = out2.first()
     assert r["n"] == "5" and r["s"] == '{"a":"x","b":2}'
+
+
+def test_array_of_structs_aligned_and_nested_additions_refused(spark):
+    import pytest as _pt
+    from tidewell.operators.evolve import NestedFieldError
+    table = spark.createDataFrame([], "id int, address array<struct<cityName:string,zip:int>>").schema
+    df = spark.createDataFrame([(1, [("Redmond",), ("Fremont",)])], "id int, address array<struct<cityName:string>>")
+    _, out = evolve(table, df)
+    got = out.first()["address"]
+    assert [a["cityName"] for a in got] == ["Redmond", "Fremont"] and got[1]["zip"] is None
+    wider = spark.createDataFrame([(1, [("Redmond", 5)])], "id int, address array<struct<cityName:string,floor:int>>")
+    with _pt.raises(NestedFieldError):
+        evolve(table, wider)

@@ -9,7 +9,9 @@ incoming file's new columns, and ``df`` aligned to it *by name*:
 * E2 table columns missing from ``df`` become typed nulls (structs too);
 * E3 column order in the file does not matter;
 * nested structs are aligned field by field by name, so a struct missing a
-  field, or with fields in another order, still lands right.
+  field, or with fields in another order, still lands right; a struct with a
+  field the table lacks is refused (``NestedFieldError``) rather than losing
+  its values, since only top-level columns are added automatically.
 
 Names match case-insensitively (Spark's rule); two incoming names that
 differ only by case are an error.  Driver-side work is schema only; the
@@ -26,6 +28,12 @@ class SchemaClashError(ValueError):
     pass
 
 
+class NestedFieldError(ValueError):
+    """An incoming struct has a field the table's struct lacks: appending
+    would drop its values, so it is refused (only top-level columns are
+    added automatically)."""
+
+
 def _by_lower(fields) -> dict[str, StructField]:
     out: dict[str, StructField] = {}
     for f in fields:
@@ -40,6 +48,10 @@ def align(c: Column, src: DataType, dst: DataType) -> Column:
     """Cast ``c`` of type ``src`` to ``dst``, matching struct fields by name."""
     if isinstance(src, StructType) and isinstance(dst, StructType):
         have = _by_lower(src.fields)
+        want = _by_lower(dst.fields)
+        extra = [f.name for f in src.fields if f.name.lower() not in want]
+        if extra:
+            raise NestedFieldError(f"nested field(s) {extra} are not in the table's struct")
         parts = []
         for f in dst.fields:
             sf = have.get(f.name.lower())
