@@ -69,6 +69,7 @@ def test_default_trigger_drains_and_stops(spark, tmp_path):
     q.processAllAvailable()
     _orders(spark, [("3", 1, 3.0)]).write.mode("append").parquet(landing)
     q.processAllAvailable()
+    assert q.isActive and "isTriggerActive" in q.status and q.lastProgress is not None
     q.stop()
     assert sum(got) == 3 and not q.isActive
 
