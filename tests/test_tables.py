@@ -169,7 +169,7 @@ def test_append_writes_only_new_rows(spark, tmp_path):
 
 def test_declared_not_null_is_enforced_on_write(spark, tmp_path):
     import pytest
-    from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+    from pyspark.sql.types import ArrayType, StringType, StructField, StructType
     schema = StructType([
         StructField("level", StringType(), False),
         StructField("event_time", StringType(), False, metadata={"comment": "EventType"}),

@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewell.operators.merge import insert, merge, update
 from tidewell.plans import bronze as B
-from tidewell.plans.orders import (MERGE_ACCUMULATE_SQL, ORDERS_SWAPPED_SQL,
-                                   merge_versioned_accumulate, refine_orders)
+from tidewell.plans.orders import MERGE_ACCUMULATE_SQL, ORDERS_SWAPPED_SQL, refine_orders
 from tidewell.plans.registry import query
 from tidewell.session import ddl_schema, fresh_dir, read_table
 from tidewell.sources.tables import SnapshotTable, buckets_for
