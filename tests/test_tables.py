@@ -217,3 +217,31 @@ def test_create_if_not_exists_replace_and_drop(spark, tmp_path):
     t.create(replace=True)
     assert t.read().count() == 0 and t.read(version=1).count() == 1
     assert t.drop() and not t.exists()
+
+
+def test_partitioned_table_history_matches_a_model(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "hist"), partition_by=["location"])
+    history = []
+
+    def state():
+        return sorted(tuple(r) for r in t.read().select(*SCHEMA_COLS).collect())
+
+    model = list(SPIKE)
+    t.replace(spark.createDataFrame(SPIKE, SCHEMA)); history.append(sorted(model))
+    new = [("Ann", "Irelia", "29", "Tacoma"), ("Tim", "Frank", "47", "Bellevue")]
+    t.append(spark.createDataFrame(new, SCHEMA)); model += new; history.append(sorted(model))
+    t.delete_where("location = 'Bellevue'"); model = [r for r in model if r[3] != "Bellevue"]
+    history.append(sorted(model))
+    t.append(spark.createDataFrame([("Ben", "Red", "31", "Tacoma")], SCHEMA))
+    model.append(("Ben", "Red", "31", "Tacoma")); history.append(sorted(model))
+    t.compact(target_bytes=1 << 30, where="location = 'Tacoma'"); history.append(sorted(model))
+    t.delete_where("age > '40'"); model = [r for r in model if not r[2] > "40"]; history.append(sorted(model))
+    assert state() == sorted(model)
+    for number, want in enumerate(history):
+        got = sorted(tuple(r) for r in t.read(version=number).select(*SCHEMA_COLS).collect())
+        assert got == want, number
+    kinds = [v.kind for v in t.versions()]
+    assert kinds == ["", "a", "p", "a", "p", ""]
+
+
+SCHEMA_COLS = ["firstName", "lastName", "age", "location"]
