@@ -272,3 +272,12 @@ def test_bucket_scoped_merges_equal_plain_merges_on_random_batches(spark, tmp_pa
         assert rows(t.read()) == rows(plain), b
     kinds = [v.kind for v in t.versions()]
     assert "p" in kinds and "a" in kinds and kinds.count("") >= 2   # the long chain was folded
+
+
+def test_delete_keys_rewrites_only_their_buckets(spark, tmp_path):
+    t = SnapshotTable(spark, str(tmp_path / "dk"), schema=_kv(spark, []).schema, bucket_key="k", buckets=32)
+    t.replace(_kv(spark, [(k, k, 1) for k in range(100)]))
+    gone = spark.createDataFrame([(5,), (6,), (5,), (777,)], "k int")
+    v = t.delete_keys(gone)
+    assert v.partial and len(t._bucket_dirs(v)) <= 3
+    assert sorted(r["k"] for r in t.read().collect()) == [k for k in range(100) if k not in (5, 6)]

@@ -456,6 +456,14 @@ class SnapshotTable:
             return self._write_partial(None, folders, job, batch)
         return self.write(self.read().filter(~F.coalesce(p, F.lit(False))), job, batch)
 
+    def delete_keys(self, keys: DataFrame, job: str = "delete_keys", batch: int = 0) -> Version | None:
+        """M7 for a set of keys (a frame with the ``bucket_key`` column): a
+        bucket-scoped MERGE with only a delete clause, so it rewrites just
+        the buckets those keys fall into."""
+        from tidewell.operators.merge import delete
+        k = keys.select(self.bucket_key).distinct()
+        return self.merge_touched(k, [self.bucket_key], [delete()], [], job, batch, cardinality="off")
+
     def merge(self, source: DataFrame, on, matched=(), not_matched=(), job: str = "merge",
               batch: int = 0, **kw) -> Version | None:
         from tidewell.operators.merge import merge
