@@ -133,3 +133,13 @@ def test_parquet_path_list_and_insert_values(spark, tmp_path):
     spark.sql(f"INSERT INTO {t} VALUES (1, 'x'), (2, 'y')")
     spark.sql(f"INSERT INTO {t} SELECT v + 10, 'z' FROM parquet.`{a}`")
     assert sorted(tuple(r) for r in spark.table(t).collect()) == [(1, "x"), (2, "y"), (11, "z")]
+
+
+def test_display_rows_and_schema(spark, capsys):
+    """Show (default 20 rows, and 50 untruncated) and printSchema."""
+    df = spark.createDataFrame([(i, "x" * 30) for i in range(60)], "id int, s string")
+    df.show()
+    df.show(50, False)
+    df.printSchema()
+    out = capsys.readouterr().out
+    assert "only showing top 20 rows" in out and "x" * 30 in out and "|-- id: integer" in out
