@@ -118,3 +118,14 @@ def test_handler_dying_between_tables_replays_safely(spark, tmp_path):
     individual.refine_batch(p, a, batch, "job", 0)          # the replay
     assert len(p.versions()) == 1 and len(a.versions()) == 1
     assert rows(p.read()) == rows(clean_p.read()) and rows(a.read()) == rows(clean_a.read())
+
+
+def test_stream_forms_equal_the_oracle_checked_batch_queries(spark):
+    """The L2/L3 handlers run in a real stream give exactly what the batch
+    queries give (and those match their DuckDB oracles)."""
+    import __spark_entry__ as E
+    from tidewell.plans.streams import contact_stream, individual_stream
+    sf = "/root/testdata/sf0.001"
+    q = E.queries()
+    assert rows(individual_stream(spark, sf)) == rows(q["individual_refine"](spark, sf))
+    assert rows(contact_stream(spark, sf)) == rows(q["contact_refine"](spark, sf))
