@@ -80,11 +80,13 @@ def signals(docs: DataFrame, text: str = "text") -> DataFrame:
         **{k: F.col(f"_l.{k}") for k in ("n_lines", "n_dup_lines")},
         "n_symbols": n_of("[" + re.escape(SYMBOLS) + "]"),
         "n_upper": n_of(r"\p{Lu}"), "n_exclaims": n_of("!"),
+        "n_plain": n_of(r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D\p{L}]+(?![^\x20\x09-\x0D])"),
+        "n_stops": n_of(r"[.,;:?](?=[\x20\x09-\x0D]|$)"),
     }).drop("_w", "_l")
 
 
 SIGNALS = ("n_words", "word_chars", "n_repeat_words", "n_lines", "n_dup_lines",
-           "n_symbols", "n_upper", "n_exclaims")
+           "n_symbols", "n_upper", "n_exclaims", "n_plain", "n_stops")
 
 
 def _vote(share: Column, good_below: float, bad_above: float, applies: Column) -> Column:
@@ -104,13 +106,16 @@ def rules() -> dict[str, Column]:
         "symbols": _vote(c("n_symbols") / words, 0.02, 0.1, c("n_words") > 0),
         "repeats": _vote(c("n_repeat_words") / words, 0.05, 0.3, c("n_words") >= 16),
         "lines": _vote(c("n_dup_lines") / F.greatest(c("n_lines"), F.lit(1)), 0.1, 0.3, c("n_lines") >= 4),
+        "letters": _vote(c("n_plain") / words, 0.1, 0.2, c("n_words") >= 10),
         "capitals": _vote(c("n_upper") / F.greatest(c("word_chars"), F.lit(1)), 0.15, 0.3, c("word_chars") >= 40),
         "exclaims": _vote(c("n_exclaims") / words, 0.05, 0.25, c("n_words") >= 10),
+        "punctuation": F.when(c("n_words") < 50, 0).when(c("n_stops") / words >= 0.06, 1)
+            .when(c("n_stops") / words < 0.03, -1).otherwise(0),
     }
 
 
 class VoteModel:
-    """Class prior and, per rule and class, the probabilities of each vote."""
+    """Class prior and, per rule, each vote's probability for (bad, good) documents."""
 
     def __init__(self, prior: float, given: dict[str, dict[int, tuple[float, float]]]):
         self.prior, self.given = prior, given
@@ -120,50 +125,50 @@ class VoteModel:
         out = {}
         for name, g in self.given.items():
             right = self.prior * g[1][1] + (1 - self.prior) * g[-1][0]
-            cast = right + self.prior * g[-1][1] + (1 - self.prior) * g[1][0]
-            out[name] = right / cast if cast else 0.5
+            wrong = self.prior * g[-1][1] + (1 - self.prior) * g[1][0]
+            out[name] = right / (right + wrong)
         return out
 
+    def weight(self, name: str, vote: int) -> float:
+        bad, good = self.given[name][vote]
+        return math.log(good / bad)
+
     def log_odds(self, votes: dict[str, int]) -> float:
-        return math.log(self.prior / (1 - self.prior)) + sum(
-            math.log(self.given[k][v][1] / self.given[k][v][0]) for k, v in votes.items() if v)
+        return math.log(self.prior / (1 - self.prior)) + sum(self.weight(k, v) for k, v in votes.items())
 
     def posterior(self, votes: dict[str, Column]) -> Column:
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for name, vote in votes.items():
-            g = self.given[name]
-            odds = odds + F.when(vote == 1, F.lit(math.log(g[1][1] / g[1][0]))).when(
-                vote == -1, F.lit(math.log(g[-1][1] / g[-1][0]))).otherwise(F.lit(0.0))
+            odds = odds + F.when(vote == 1, F.lit(self.weight(name, 1))).when(
+                vote == -1, F.lit(self.weight(name, -1))).otherwise(F.lit(self.weight(name, 0)))
         return 1 / (1 + F.exp(-odds))
 
 
+#: Where the estimation starts: how often a rule votes bad on bad and on good
+#: documents.  A bad document is mostly bad in one way, so most rules miss it;
+#: a rule seldom fires on a good one.  The other two votes start as equal.
+FIRES = (0.25, 0.002)
+
+
 def estimate(patterns: list[tuple[dict[str, int], int]], names: list[str], rounds: int = 50,
-             prior: float = 0.8, smooth: float = 1.0) -> VoteModel:
-    """Expectation-maximisation over (votes, number of documents).  It starts
-    from rules that are right four times in five, which also says which class
-    is the good one; an abstention counts for neither class, so a rule that
-    is often silent is not taken for a signal."""
-    model = VoteModel(prior, {k: {1: (0.2, 0.8), -1: (0.8, 0.2)} for k in names})
+             prior: float = 0.85, held: float = 10.0) -> VoteModel:
+    """Expectation-maximisation over (votes, number of documents).  ``held`` is
+    the number of made-up documents with the starting shares that stay in each
+    round, so that no probability becomes zero."""
+    start = {-1: FIRES, 0: tuple((1 - f) / 2 for f in FIRES), 1: tuple((1 - f) / 2 for f in FIRES)}
+    model = VoteModel(prior, {k: dict(start) for k in names})
     total = sum(n for _, n in patterns)
-    if not total:
-        return model
-    for _ in range(rounds):
-        good = 0.0
-        votes = {k: {1: [smooth, smooth * 4], -1: [smooth * 4, smooth]} for k in names}
+    for _ in range(rounds if total else 0):
+        size = [held * (1 - prior), held * prior]
+        votes = {k: {s: [size[c] * start[s][c] for c in (0, 1)] for s in start} for k in names}
         for v, n in patterns:
-            odds = max(-500.0, min(500.0, model.log_odds(v)))
-            p = 1 / (1 + math.exp(-odds))
-            good += n * p
-            for k in names:
-                if v[k]:
-                    votes[k][v[k]][0] += n * (1 - p)
-                    votes[k][v[k]][1] += n * p
-        given = {}
-        for k in names:
-            bad_all = votes[k][1][0] + votes[k][-1][0]
-            good_all = votes[k][1][1] + votes[k][-1][1]
-            given[k] = {s: (votes[k][s][0] / bad_all, votes[k][s][1] / good_all) for s in (1, -1)}
-        model = VoteModel(min(0.99, max(0.01, (good + 1) / (total + 2))), given)
+            p = 1 / (1 + math.exp(-max(-500.0, min(500.0, model.log_odds(v)))))
+            for c, share in ((0, n * (1 - p)), (1, n * p)):
+                size[c] += share
+                for k in names:
+                    votes[k][v[k]][c] += share
+        model = VoteModel(size[1] / (total + held), {
+            k: {s: (votes[k][s][0] / size[0], votes[k][s][1] / size[1]) for s in start} for k in names})
     return model
 
 
