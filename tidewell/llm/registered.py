@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, quality
+from tidewell.llm import decontaminate, quality, simhash
 from tidewell.llm.common import documents
 from tidewell.session import read_table
 
@@ -20,6 +20,12 @@ def _query(fn):
     return fn
 
 
+@_query
+def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.classes(documents(spark, sf_dir), width=3, bits=3)
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 @_query
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
