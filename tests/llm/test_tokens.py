@@ -1,0 +1,143 @@
+"""Operators 3, 9 and 10 against the tokenizer library on whole texts."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from tests.llm.helpers import corpus, frame, key
+from tidewell.llm import packing, ranks, wavelet
+from tidewell.llm.encode import Encoder
+
+
+@pytest.fixture(scope="module")
+def word_bpe():
+    return Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def ids_of(tokenizer, text):
+    return tokenizer.encode(text or "", add_special_tokens=False).ids
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def odd_texts(n=400):
+    rng = random.Random(5)
+    letters = "aA bé\n\t'sS<|>endoftx ̈ΣİǄﬀ１²\x1c\xa0。😀"
+    return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(n)] + \
+        ["<|endoftext|> a<|startoftext|>b<|endoftext|>", "aaaaaaaaaaaa", "ab" * 3000, "", "  "]
+
+
+def test_encoder_equals_library(word_bpe):
+    enc = Encoder(open(public_tokenizers.path("word_bpe_49k.json")).read())
+    texts = odd_texts() + [t or "" for _, t in corpus()]
+    got = [x.tolist() for _, _, flat, n in enc.encode(texts) for x in np.split(flat, np.cumsum(n)[:-1])]
+    assert got == [ids_of(word_bpe, t) for t in texts]
+
+
+def test_encoder_without_word_shortcut():
+    source = open(public_tokenizers.path("byte_bpe_50k.json")).read()
+    enc, lib = Encoder(source), Tokenizer.from_str(source)
+    texts = odd_texts(50)
+    got = [x.tolist() for _, _, flat, n in enc.encode(texts) for x in np.split(flat, np.cumsum(n)[:-1])]
+    assert got == [ids_of(lib, t) for t in texts]
+
+
+def test_op10_counts_equal_library(spark):
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rows = corpus() + [(1000 + i, t) for i, t in enumerate(odd_texts())]
+    got = ranks.count_tokens(frame(spark, rows, clashes=True)).select("doc_id", "n_bytes", "n_tokens", "over_limit").collect()
+    want = [(i, len((t or "").encode()), len(ids_of(lib, t)), len(ids_of(lib, t)) > 512) for i, t in rows]
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+
+
+def test_op10_empty_table(spark):
+    assert ranks.count_tokens(frame(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"documents": 3}, {"rule": "dot"}, {"tokens": 256, "attention": 70000.0, "group_pieces": 20}])
+def test_op3_pieces_and_sequences(spark, word_bpe, options):
+    rows = corpus()
+    got = packing.pack_documents(frame(spark, rows, clashes=True), ids=True, **options).collect()
+    tokens = options.get("tokens", 4096)
+    want = []
+    for i, t in rows:
+        ids = ids_of(word_bpe, t) + [1]
+        want += [(i, at // tokens, at, len(ids[at:at + tokens]), crc(ids[at:at + tokens])) for at in range(0, len(ids), tokens)]
+    assert sorted([tuple(r)[:5] for r in got], key=key) == sorted(want, key=key)
+    by = {}
+    for r in got:
+        assert crc(r.ids) == r.ids_crc32
+        by.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for placed in by.values():
+        placed.sort()
+        assert [o for o, _ in placed] == [sum(n for _, n in placed[:k]) for k in range(len(placed))]
+        assert sum(n for _, n in placed) <= tokens
+        assert len(placed) <= options.get("documents", tokens)
+        assert sum(n * n for _, n in placed) <= options.get("attention", tokens * tokens)
+    if options.keys() <= {"rule"}:
+        assert len(by) <= -(-sum(r.length for r in got) // tokens) + 1
+
+
+def test_op3_sequences_hold_the_ids(spark):
+    packed = packing.pack_documents(frame(spark, corpus()), ids=True)
+    want = {}
+    for r in sorted(packed.collect(), key=lambda r: r.offset):
+        want.setdefault(r.sequence_id, []).extend(r.ids)
+    assert {r.sequence_id: r.ids for r in packing.sequences(packed).collect()} == want
+
+
+def test_op3_edge_cases(spark):
+    assert packing.pack_documents(frame(spark, [])).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack_documents(frame(spark, [(1, "a b " * 100)]), attention=100.0)
+    with pytest.raises(ValueError):
+        packing.best_fit(np.array([1]), (1, 1, 1), (1, 1, 1), rule="first")
+
+
+@pytest.mark.parametrize("n,levels", [(0, 3), (1, 1), (5, 3), (700, 7), (5000, 16), (3000, 18)])
+def test_op9_matrix_equals_list(n, levels):
+    rng = np.random.default_rng(n)
+    ids = rng.integers(0, 1 << levels, n) // rng.integers(1, 5, n)
+    m = wavelet.WaveletMatrix.build(ids.astype(np.uint32), levels)
+    assert m.ids().tolist() == ids.tolist()
+    some = sorted(set(ids.tolist()[:20])) + [0, (1 << levels) - 1]
+    for i in range(0, n, 97):
+        assert m.access(i) == ids[i]
+        for v in some:
+            assert m.rank(v, i) == int((ids[:i] == v).sum())
+    for v in some:
+        assert m.occurrences(v) == np.flatnonzero(ids == v).tolist()
+    assert m.rank(1 << levels) == 0
+    with pytest.raises(IndexError):
+        m.access(n)
+
+
+@pytest.mark.parametrize("block_tokens", [1 << 20, 500])
+def test_op9_round_trip(spark, word_bpe, tmp_path, block_tokens):
+    rows = [r for r in corpus()]
+    path = str(tmp_path / "w")
+    wavelet.write(frame(spark, rows, clashes=True), path, block_tokens=block_tokens)
+    got = wavelet.read(spark, path, tokens=True).collect()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    at, want, every = 0, [], []
+    for i, t in order:
+        ids = ids_of(word_bpe, t) + [1]
+        want.append((i, at, len(ids), crc(ids), ids))
+        every += ids
+        at += len(ids)
+    assert sorted(map(tuple, got), key=lambda r: r[1]) == want
+    counts = {r.token_id: r.n for r in wavelet.token_counts(spark, path, [1, every[0], 49407]).collect()}
+    assert counts == {t: every.count(t) for t in (1, every[0], 49407)}
+    places = sorted(r.place for r in wavelet.token_places(spark, path, 1).collect())
+    assert places == [k for k, t in enumerate(every) if t == 1]
+
+
+def test_op9_empty_table(spark, tmp_path):
+    wavelet.write(frame(spark, []), str(tmp_path / "w"))
+    assert wavelet.read(spark, str(tmp_path / "w")).count() == 0

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, quality, simhash
-from tidewell.llm.common import documents
+from tidewell.llm import decontaminate, language, packing, quality, ranks, simhash, wavelet
+from tidewell.llm.common import documents, shared_dir
 from tidewell.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,12 +20,24 @@ def _query(fn):
     return fn
 
 
+@_query
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
 @_query
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.classes(documents(spark, sf_dir), width=3, bits=3)
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@_query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text", "lang").withColumn("held_out", language.held_out(F.col("doc_id")))
+    model = language.train(docs.filter(~F.col("held_out")))
+    return language.predict(docs.select("doc_id", "text", "held_out"), model)
+
+
 @_query
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.report(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
@@ -64,3 +76,15 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                          "base_failed", "kept", "posterior")
+
+
+@_query
+def op9_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "wavelet")
+    wavelet.write(documents(spark, sf_dir), path)
+    return wavelet.read(spark, path)
+
+
+@_query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranks.count_tokens(documents(spark, sf_dir))
