@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, language, packing, quality, ranks, simhash, wavelet
+from tidewell.llm import decontaminate, language, lines, packing, quality, ranks, secrets, simhash, wavelet
 from tidewell.llm.common import documents, shared_dir
 from tidewell.session import read_table
 
@@ -20,6 +20,11 @@ def _query(fn):
     return fn
 
 
+@_query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_deleted", "text")
+
+
 @_query
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
@@ -31,6 +36,14 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+@_query
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), F.col("at").cast("bigint").alias("word_at"),
+                        F.sha2("value", 256).alias("value_sha256"), F.col("length").cast("bigint").alias("length"),
+                        "label", "probability", "is_secret")
+
+
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text", "lang").withColumn("held_out", language.held_out(F.col("doc_id")))
