@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, language, lines, packing, quality, ranks, secrets, simhash, wavelet
+from tidewell.llm import decontaminate, language, lines, lm, packing, quality, ranks, secrets, simhash, wavelet
 from tidewell.llm.common import documents, shared_dir
 from tidewell.session import read_table
 
@@ -20,6 +20,13 @@ def _query(fn):
     return fn
 
 
+@_query
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = lm.held_out(F.col("doc_id"))
+    scored = lm.score(documents(spark, sf_dir), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @_query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_deleted", "text")
