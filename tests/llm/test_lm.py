@@ -1,0 +1,149 @@
+"""Operator 1: exact counts and base scores, and the sampler against exact laws."""
+
+import math
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from tests.llm.helpers import corpus, frame, key
+from tidewell.llm import lm
+
+
+def brute_tokens(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", text) + [None]
+
+
+def trains(doc_id):
+    return doc_id is None or zlib.crc32(str(doc_id).encode()) % 10 != 0
+
+
+def brute_base(rows):
+    counts = {}
+    for i, t in rows:
+        for w in brute_tokens(t) if trains(i) else []:
+            counts[w] = counts.get(w, 0) + 1
+    n, v = sum(counts.values()), len(counts)
+    out = []
+    for i, t in rows:
+        c = [counts.get(w, 0) for w in brute_tokens(t)]
+        out.append((i, len(c), sum(x > 0 for x in c), n, sum(math.log10((x + 0.1) / (n + 0.1 * (v + 1))) for x in c)))
+    return out
+
+
+def scored(spark, rows, **options):
+    df = lm.score(frame(spark, rows, clashes=True), ~lm.held_out(lm.F.col("doc_id")), **options)
+    return sorted(map(tuple, df.collect()), key=key)
+
+
+@pytest.mark.parametrize("options", [{}, {"bucket_tokens": 2000}])
+def test_op1_counts_and_base(spark, options):
+    rows = corpus()
+    got = scored(spark, rows, **options)
+    want = sorted(brute_base(rows), key=key)
+    assert [r[:4] for r in got] == [r[:4] for r in want]
+    for g, w in zip(got, want):
+        assert g[4] == pytest.approx(w[4], rel=1e-9) and g[5] < 0
+
+
+def test_op1_beats_base_and_buckets_agree(spark):
+    """Held-out text is more probable than under the base, and one bucket or
+    many (with split contexts) give nearly the same scores."""
+    from tests.conftest import SF_SMALL
+    from tidewell.session import read_table
+    docs = read_table(spark, SF_SMALL, "documents")
+    held = lm.held_out(lm.F.col("doc_id"))
+    one, many = (lm.score(docs, ~held, bucket_tokens=b).withColumn("held", held).collect() for b in (10_000_000, 10_000))
+    few = {r.doc_id: r for r in one}
+    assert len(few) == len(many) == docs.count()
+    out = [r for r in one if r.held]
+    assert sum(r.score for r in out) > sum(r.base_score for r in out)
+    for r in many:
+        assert r.base_score == pytest.approx(few[r.doc_id].base_score, rel=1e-9)
+    assert sum(r.score for r in many) == pytest.approx(sum(r.score for r in one), rel=0.02)
+
+
+def test_op1_no_training_rows_and_empty(spark):
+    rows = [(i, "a b a") for i in range(3)]
+    got = lm.score(frame(spark, rows), lm.F.lit(False)).collect()
+    assert all((r.n_tokens, r.n_known, r.train_tokens) == (4, 0, 0) and r.score == pytest.approx(0) and r.base_score == pytest.approx(0) for r in got)
+    assert lm.score(frame(spark, []), lm.F.lit(True)).count() == 0
+
+
+def test_hashes_of_words():
+    texts = ["the Cat\tthe cat", "", " x", "É É ÉÉ", "THE"]
+    h, n = lm.Hasher().words(texts)
+    assert n.tolist() == [4, 0, 1, 3, 1]
+    words = [w for t in texts for w in brute_tokens(t)[:-1]]
+    assert [h[i] == h[j] for i in range(9) for j in range(9)] == [a == b for a in words for b in words]
+
+
+def consistent(s):
+    for k, i in enumerate(s.many):
+        seats = s.seat[s.off[k]:s.off[k] + s.n[k]]
+        size = np.bincount(seats, minlength=s.n[k])
+        assert (size == s.size[s.off[k]:s.off[k] + s.n[k]]).all()
+        assert (size > 0).sum() == s.t[i]
+        free = s.free[s.off[k]:s.off[k] + s.n[k] - s.t[i]]
+        assert sorted(free) == np.flatnonzero(size == 0).tolist()
+    assert (s.total == np.bincount(s.r, s.t, len(s.total))).all()
+
+
+def test_seating_stays_consistent():
+    rng = np.random.default_rng(3)
+    c = np.concatenate([rng.integers(0, 12, 200), [500, 90]])
+    r = rng.integers(0, 20, len(c))
+    p = rng.random(len(c)) * 0.3 + 0.01
+    s = lm.Seating(c, r, 20, p, rng)
+    consistent(s)
+    for _ in range(30):
+        s.move(p)
+    consistent(s)
+    assert (s.t[c > 0] >= 1).all() and (s.t <= c).all()
+
+
+def law_of_tables(c, d, strength, p):
+    """Exact posterior of the number of tables of c customers of one dish."""
+    s = [[0.0] * (c + 2) for _ in range(c + 1)]
+    s[0][0] = 1.0
+    for n in range(c):
+        for t in range(n + 1):
+            s[n + 1][t + 1] += s[n][t]
+            s[n + 1][t] += s[n][t] * (n - d * t)
+    w = [s[c][t] * math.prod(strength + d * k for k in range(1, t)) * p ** t if t else 0.0 for t in range(c + 1)]
+    return [x / sum(w) for x in w]
+
+
+@pytest.mark.parametrize("c,p", [(5, 0.5), (5, 0.05), (12, 0.2), (40, 0.3)])
+def test_gibbs_moves_keep_the_exact_law(c, p):
+    """Many restaurants of one dish: shares of table counts after many moves."""
+    m = 1000
+    s = lm.Seating(np.full(m, c), np.arange(m), m, np.full(m, p), np.random.default_rng(1))
+    found = np.zeros(c + 1)
+    for k in range(80 * c):
+        s.move(np.full(m, p))
+        if k >= 40 * c and k % c == 0:
+            found += np.bincount(s.t, minlength=c + 1)
+    law = law_of_tables(c, lm.DISCOUNT, lm.STRENGTH, p)
+    assert np.abs(found / found.sum() - law).sum() < 0.05
+
+
+def test_split_of_common_contexts_loses_nothing():
+    rng = np.random.default_rng(5)
+    context, token = rng.integers(1, 40, 5000).astype(np.uint64), rng.integers(1, 90, 5000).astype(np.uint64)
+    context, token = (np.where(x < 3, x, x * np.uint64(0x9E3779B97F4A7C15)) for x in (context, token))
+    doc = np.sort(rng.integers(0, 50, 5000))
+    docs = [np.arange(50) * 3, np.arange(50), np.zeros(50, bool), np.arange(50) % 2 == 0]
+    common = np.sort(np.unique(context)[:5])
+    seen, pairs = [], {}
+    for bucket, data in lm._dealt(context, token, doc, docs, common, 7):
+        b = lm.Bucket([data])
+        seen += list(zip(b.contexts[b.u[b.pair]].tolist(), b.words[b.w[b.pair]].tolist(), b.id[b.doc].tolist()))
+        for u, w, c in zip(b.contexts[b.u].tolist(), b.words[b.w].tolist(), b.c.tolist()):
+            assert (u, w) not in pairs
+            pairs[u, w] = c
+    assert sorted(seen) == sorted(zip(context.tolist(), token.tolist(), doc.tolist()))
+    for (u, w), c in pairs.items():
+        assert c == int(((context == u) & (token == w) & docs[3][doc]).sum())

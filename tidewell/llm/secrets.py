@@ -1,6 +1,6 @@
 """Secret scan with a random forest against false positives (operator 5).
 
-Findings are long words with a digit, or after a key-like name.  Each has
+Findings are long words with a digit or a run of capitals.  Each has
 features: length, transitions between kinds of characters and between the
 characters themselves, entropy, how much of its letters is words of the
 corpus' own dictionary, what its place looks like (source, path marks) and its
@@ -49,7 +49,7 @@ def findings(docs: DataFrame, text: str = "text", source: str | None = "source")
     after (two words each), and path (the document's source)."""
     def found(w: Column) -> Column:
         at = F.transform(w, lambda x, i: F.when(
-            (F.length(x) >= MIN_LENGTH) & x.rlike(f"[0-9]|{SECRET_NAME}"), F.struct(
+            (F.length(x) >= MIN_LENGTH) & x.rlike(f"[0-9]|[A-Z]{{16}}|{SECRET_NAME}"), F.struct(
                 i.alias("at"), x.alias("word"), F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).alias("before"),
                 F.concat_ws(" ", F.get(w, i + 1), F.get(w, i + 2)).alias("after"))))
         return F.filter(at, lambda x: x.isNotNull())
@@ -60,13 +60,13 @@ def findings(docs: DataFrame, text: str = "text", source: str | None = "source")
                        F.explode(let(split_words(F.col(text)), found)).alias("x"))
     return rows.select("row", "path", "x.*").withColumn("value", F.regexp_extract("word", VALUE, 1)) \
         .withColumn("name", F.expr("left(word, locate(value, word) - 1)")) \
-        .filter((F.length("value") >= MIN_LENGTH) & F.col("value").rlike("[0-9]")).drop("word")
+        .filter((F.length("value") >= MIN_LENGTH) & F.col("value").rlike("[0-9]|[A-Z]{16}")).drop("word")
 
 
 def labelled(found: DataFrame) -> Column:
     """1.0, 0.0 or null by the finding's form, read from value, name and before."""
     v = F.col("value")
-    named = F.col("name").rlike(SECRET_NAME + r"[^A-Za-z]*[=:]") | F.col("before").rlike(SECRET_NAME + r"\W*\s*[=:]$")
+    named = F.col("name").rlike(SECRET_NAME + r"\w*\W*[=:]") | F.col("before").rlike(SECRET_NAME + r"\w*\W*[=:]$")
     return F.when(v.rlike(PLACEHOLDER), 0.0).when(v.rlike(SECRET_FORM), 1.0) \
         .when(v.rlike(PLAIN_FORM), 0.0).when(named, 1.0)
 
