@@ -12,8 +12,8 @@ import numpy as np
 import regex
 from pyspark.sql import SparkSession
 
-#: Words kept by one Python worker before it starts afresh.
-CACHE_WORDS = 400_000
+#: Words that one Python worker keeps before it forgets those it met once.
+CACHE_WORDS = 800_000
 #: Characters of text that are encoded together.
 CHUNK_CHARS = 2_000_000
 
@@ -79,12 +79,23 @@ class Encoder:
 
     def _clear(self):
         self.index = {"": 0}
-        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.starts, self.lengths, self.met = (np.zeros(1024, np.int64) for _ in range(3))
         self.ids, self.used = np.zeros(4096, np.uint32), 0
 
+    def _forget(self) -> None:
+        """Keeps the words met more than once, or none if these are too many too."""
+        n = len(self.index)
+        keep = np.append(np.array([False]), self.met[1:n] > 1)
+        if 2 * keep.sum() > CACHE_WORDS:
+            return self._clear()
+        flat, lens = self._ids(np.flatnonzero(keep))
+        words = [w for w, k in zip(self.index, keep.tolist()) if k]
+        self._clear()
+        self._put(words, flat, lens)
+
     def _put(self, words: list[str], flat: np.ndarray, lens: np.ndarray) -> None:
         at, n = len(self.index), len(words)
-        for name, need in (("starts", at + n), ("lengths", at + n), ("ids", self.used + len(flat))):
+        for name, need in (("starts", at + n), ("lengths", at + n), ("met", at + n), ("ids", self.used + len(flat))):
             old = getattr(self, name)
             if need > len(old):
                 grown = np.zeros(max(need, 2 * len(old)), old.dtype)
@@ -104,6 +115,8 @@ class Encoder:
             words = [words[i] for i in new.tolist()]
             self._learn(set(words))
             at[new] = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        met = np.bincount(at)
+        self.met[:len(met)] += met
         return at
 
     def _ids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +152,7 @@ class Encoder:
             ids = [e.ids for e in self.full.encode_batch_fast(texts, add_special_tokens=False)]
             return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
         if len(self.index) > CACHE_WORDS:
-            self._clear()
+            self._forget()
         cut = [t.replace("\n", " ").split(" ") for t in texts]
         words = list(chain.from_iterable(cut))
         flat, lens = self._ids(self._places(words))
