@@ -13,7 +13,8 @@ from tidewell.plans.ingest import ingest
 from tidewell.sources import files
 
 # The sample CSV and JSON people files of the reference, as text,
-# in their natural order (see FIXTURES.md sections 1 and 2).
+# in their natural order (see FIXTURES.md sections 1 and 2); the rows of
+# individual_data_type.csv are invented ones of the same shape.
 CSV = {
     "individual.csv": ["firstName,lastName,age,location", "David,Cooker,17,Redmond", "Kate,Lucy,27,Bellevue"],
     "individual_new_field.csv": ["firstName,lastName,contactNumber", "Kathy,Bloomberg,111-222-333",
@@ -22,8 +23,8 @@ CSV = {
                                     "34,Bryant,Mercy,Fremont"],
     "individual_delete_field.csv": ["firstName,lastName,age", "Ann,Irelia,29", "Tim,Frank,47"],
     "individual_data_type.csv": ["firstName,lastName,age,location,createdAt",
-                                 "Monica,Fiona,53,Redmond,2021-05-22 00:00:00",
-                                 "Brand,Fields,36,Bellevue,2021-01-13 00:00:00"],
+                                 "Petra,Halden,41,Tacoma,2021-03-02 00:00:00",
+                                 "Oskar,Lindt,28,Everett,2021-08-19 00:00:00"],
     "different_data_types.csv": ["boolean,int,long,float,double,timestamp,timestampz,date",
                                  "True,10,123456789123456789,1.1F,1.23456D,2021-10-23T18:25:43.511,"
                                  "2021-10-23T18:25:43.511Z,2022-09-24"],
@@ -217,3 +218,31 @@ def test_array_of_structs_aligned_and_nested_additions_refused(spark):
     wider = spark.createDataFrame([(1, [("Redmond", 5)])], "id int, address array<struct<cityName:string,floor:int>>")
     with _pt.raises(NestedFieldError):
         evolve(table, wider)
+
+
+def test_lossy_casts_are_refused(spark):
+    """3.7 into an int column, a timestamp into a date column, a long into an
+    int or double column, text into a number: errors, not other values."""
+    from tidewell.operators.evolve import LossyCastError
+    bad = [("CAST(3.7 AS DOUBLE)", "int"), ("TIMESTAMP'2024-01-01 10:00:00'", "date"), ("5000000000L", "int"),
+           ("9007199254740993L", "double"), ("'7'", "int"), ("CAST(1.25 AS DECIMAL(5,2))", "decimal(5,1)"), ("1", "float")]
+    for value, kind in bad:
+        table = spark.createDataFrame([], f"v {kind}").schema
+        with pytest.raises(LossyCastError):
+            evolve(table, spark.sql(f"SELECT {value} AS v"))
+    with pytest.raises(LossyCastError):
+        evolve(spark.createDataFrame([], "s struct<a: int>").schema, spark.sql("SELECT struct(1.5D AS a) AS s"))
+
+
+def test_widening_casts_keep_values(spark):
+    good = [("7", "bigint", 7), ("7", "double", 7.0), ("CAST(7 AS SMALLINT)", "float", 7.0), ("1.5F", "double", 1.5), ("7", "string", "7"),
+            ("DATE'2024-01-02'", "string", "2024-01-02"), ("7", "decimal(12,2)", 7), ("NULL", "int", None)]
+    for value, kind, want in good:
+        _, df = evolve(spark.createDataFrame([], f"v {kind}").schema, spark.sql(f"SELECT {value} AS v"))
+        assert df.first()["v"] == want
+
+
+def test_json_column_is_inferred(spark):
+    df = spark.createDataFrame([(1, '{"a": 1, "b": {"c": "x"}}'), (2, '{"a": 2.5, "d": [1, 2]}'), (3, None)], "id int, j string")
+    out = files.parse_json_column(df, "j", alias="p").orderBy("id").select("p.a", "p.b.c", "p.d").collect()
+    assert [tuple(r) for r in out] == [(1.0, "x", None), (2.5, None, [1, 2]), (None, None, None)]

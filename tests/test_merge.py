@@ -234,7 +234,8 @@ def test_auto_strategy_follows_the_measured_bound(spark):
         df.write.format("noop").mode("overwrite").save()
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan(small) and "FullOuter" not in plan(small)
-    assert "FullOuter" in plan(tiny_limit) and "FullOuter" in plan(forced)
+    for df in (tiny_limit, forced):
+        assert "FullOuter" not in plan(df) and "LeftOuter" in plan(df) and "LeftAnti" in plan(df)
     assert rows(small) == rows(tiny_limit) == rows(forced)
     assert len(rows(small)) == 2500
 
@@ -246,3 +247,28 @@ def test_composite_key_with_a_null_part(spark, strategy):
     s = spark.createDataFrame([(1, "x", 10), (1, None, 20), (3, "z", 30)], sch)
     out = merge(t, s, ["a", "b"], [update(None, "*")], [insert(None, "*")], strategy=strategy)
     assert rows(out) == [(1, None, 2), (1, None, 20), (1, "x", 10), (2, "y", 3), (3, "z", 30)]
+
+
+def test_shuffle_merge_splits_a_hot_target_key(spark):
+    """One key holds a third of the target; its partition of the join is split."""
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+                "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        t = spark.range(0, 90000).selectExpr("IF(id % 3 = 0, -1L, id) AS k", "id AS v", "sha2(CAST(id AS STRING), 256) AS text")
+        s = spark.range(-1, 100000, 7).selectExpr("id AS k", "1000000 + id AS v", "'new' AS text")
+        out = merge(t, s, ["k"], [update(None, "*")], [insert(None, "*")], cardinality="off", strategy="shuffle", materialize=False)
+        got = out.groupBy("text").agg(F.count("*").alias("n")).filter("text = 'new'").first()["n"]
+        keys = set(range(-1, 100000, 7))
+        hit = sum(1 for i in range(90000) if (-1 if i % 3 == 0 else i) in keys)
+        fresh = len(keys - {-1} - {i for i in range(90000) if i % 3})
+        assert got == hit + fresh
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

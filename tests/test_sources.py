@@ -143,3 +143,70 @@ def test_display_rows_and_schema(spark, capsys):
     df.printSchema()
     out = capsys.readouterr().out
     assert "only showing top 20 rows" in out and "x" * 30 in out and "|-- id: integer" in out
+
+
+def _files(path):
+    return sorted(os.path.join(d, f) for d, _, fs in os.walk(path) for f in fs if f.startswith("part-"))
+
+
+def test_bucketed_writes_one_file_per_bucket(spark, tmp_path):
+    df = spark.range(0, 4000, 1, 8).selectExpr("id", "id % 3 AS g")
+    for label, kw in (("plain", {}), ("folders", {"partition_by": "g"})):
+        path, table = str(tmp_path / label), f"tw_files_{label}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        sinks.save_bucketed(df, table, 6, "id", path=path, **kw)
+        assert len(_files(path)) == 6 * (3 if kw else 1)
+        assert spark.table(table).count() == 4000
+        info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        assert info["Num Buckets"] == "6" and "id" in info["Bucket Columns"]
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_bloom_filter_is_in_the_file(spark, tmp_path):
+    import pyarrow.parquet as pq
+    df = spark.range(2000).selectExpr("id * 7 AS k", "CAST(id AS STRING) AS s")
+    plain = sinks.write_parquet(df.coalesce(1), str(tmp_path / "plain"))
+    tuned = sinks.write_parquet_tuned(df.coalesce(1), str(tmp_path / "tuned"), bloom_ndv={"k": 2000}, dictionary=False)
+    a, b = (_files(p)[0] for p in (plain, tuned))
+    assert os.path.getsize(b) > 2000 and "PLAIN_DICTIONARY" not in str(pq.ParquetFile(b).metadata.row_group(0).column(0).encodings)
+    jvm = spark._jvm
+    def bloom(path):
+        conf = spark._jsc.hadoopConfiguration()
+        f = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+        r = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(f)
+        try:
+            block = r.getFooter().getBlocks().get(0)
+            return r.readBloomFilter(block.getColumns().get(0)) is not None
+        finally:
+            r.close()
+    assert bloom(b) and not bloom(a)
+
+
+def test_modified_window_leaves_old_files_out(spark, tmp_path):
+    d = str(tmp_path / "m")
+    spark.range(3).write.parquet(f"{d}/old")
+    files.set_modified(spark, f"{d}/old", "1999-06-01T00:00:00")
+    spark.range(10, 15).write.parquet(f"{d}/new")
+    got = files.read_parquet(spark, d, recursive=True, modified_after="2000-01-01T00:00:00", time_zone="CST")
+    assert sorted(r["id"] for r in got.collect()) == [10, 11, 12, 13, 14]
+    old = files.read_parquet(spark, d, recursive=True, modified_before="2000-01-01T00:00:00", time_zone="CST")
+    assert old.count() == 3
+
+
+def test_new_session_and_current_timestamp(spark):
+    """A session of its own views on the same context; F7: load time."""
+    other = spark.newSession()
+    spark.range(1).createOrReplaceTempView("tw_only_here")
+    assert other.sparkContext is spark.sparkContext and not other.catalog.tableExists("tw_only_here")
+    loaded = spark.range(2).withColumn("loaded_at", F.current_timestamp())
+    assert loaded.select("loaded_at").distinct().count() == 1
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+    from tidewell.session import scratch_root
+    conf = SimpleNamespace(get=lambda k, d=None: d)
+    sc = SimpleNamespace(master="spark://host:7077", applicationId="app-1", getConf=lambda: conf)
+    import pytest
+    with pytest.raises(RuntimeError):
+        scratch_root(SimpleNamespace(conf=conf, sparkContext=sc))

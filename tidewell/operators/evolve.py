@@ -21,7 +21,8 @@ data path is one projection.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType
+from pyspark.sql.types import (ArrayType, DataType, DateType, DecimalType, MapType, NullType, StringType,
+                               StructField, StructType, TimestampNTZType, TimestampType)
 
 
 class SchemaClashError(ValueError):
@@ -34,6 +35,33 @@ class NestedFieldError(ValueError):
     added automatically)."""
 
 
+class LossyCastError(TypeError):
+    """An incoming type does not fit the table's column: 3.7 would become 3, a
+    timestamp would lose its time."""
+
+
+# Numbers by width; a type fits those after it that hold all of its values.
+_FITS = {"byte": {"short", "integer", "long", "float", "double"}, "short": {"integer", "long", "float", "double"},
+         "integer": {"long", "double"}, "long": set(), "float": {"double"}, "double": set()}
+_DIGITS = {"byte": 3, "short": 5, "integer": 10, "long": 19}
+
+
+def widens(src: DataType, dst: DataType) -> bool:
+    """Whether every value of ``src`` is kept by a cast to ``dst``."""
+    if src == dst or isinstance(src, NullType):
+        return True
+    if isinstance(dst, StringType):
+        return not isinstance(src, (StructType, ArrayType, MapType))
+    if isinstance(dst, DecimalType):
+        whole = dst.precision - dst.scale
+        if isinstance(src, DecimalType):
+            return src.scale <= dst.scale and src.precision - src.scale <= whole
+        return _DIGITS.get(src.typeName(), 99) <= whole
+    if isinstance(src, DateType):
+        return isinstance(dst, (TimestampType, TimestampNTZType))
+    return dst.typeName() in _FITS.get(src.typeName(), set())
+
+
 def _by_lower(fields) -> dict[str, StructField]:
     out: dict[str, StructField] = {}
     for f in fields:
@@ -45,7 +73,8 @@ def _by_lower(fields) -> dict[str, StructField]:
 
 
 def align(c: Column, src: DataType, dst: DataType) -> Column:
-    """Cast ``c`` of type ``src`` to ``dst``, matching struct fields by name."""
+    """Cast ``c`` of type ``src`` to ``dst``, matching struct fields by name;
+    only casts that keep every value, anything else is refused."""
     if isinstance(src, StructType) and isinstance(dst, StructType):
         have = _by_lower(src.fields)
         want = _by_lower(dst.fields)
@@ -66,6 +95,8 @@ def align(c: Column, src: DataType, dst: DataType) -> Column:
         return F.to_json(c)
     if src == dst:
         return c
+    if not widens(src, dst):
+        raise LossyCastError(f"{src.simpleString()} does not fit a column of type {dst.simpleString()}")
     return c.cast(dst)
 
 

@@ -16,9 +16,10 @@ Physical plan, chosen by ``strategy``:
   streamed once, never shuffled; inserts are ``source LEFT ANTI`` the target
   keys that matched (a key-only scan of the target semi-joined with the
   broadcast batch keys, so the anti join is small on both sides).
-* ``"shuffle"``: one ``FULL OUTER`` sort-merge join, one shuffle per side.
-  Target rows with a null key never match; a deterministic salt spreads them
-  over the partitions instead of piling them into one.
+* ``"shuffle"``: the target ``LEFT JOIN`` the source, and the source ``LEFT
+  ANTI`` the target's distinct keys (reduced before their shuffle).  Both keep
+  the big side on the left, where AQE can split a hot key.  Target rows with a
+  null key never match; a deterministic salt spreads them over the partitions.
 * ``"auto"``: ``"broadcast"`` when a measured upper bound of the source size
   (rows x widest row, one aggregation) is under ``broadcast_max_bytes``,
   else ``"shuffle"``; Catalyst's estimate only skips the measuring when it
@@ -290,17 +291,17 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
         inserted = project(fresh, insert_action(), has_target=False)
         parts = [kept, inserted]
     else:
+        # Two joins that AQE can split on a hot target key (a full outer join it
+        # cannot): the target's own rows, and the source keys it lacks.
         salt_t = F.when(t_null, F.xxhash64(*[F.col(f"target.`{c}`") for c in tcols])).otherwise(F.lit(0))
         tgt_s = tgt.withColumn("__salt", salt_t).alias("target")
         src_s = src_keyed.withColumn("__salt", F.lit(0).cast("long")).alias("source")
-        jcond = cond & (F.col("target.__salt") == F.col("source.__salt"))
-        full = tgt_s.join(src_s, jcond, "full_outer")
-        tp = F.col("target.__tp").isNotNull()
-        sp = F.col("source.__sp").isNotNull()
-        act = (F.when(tp & sp, matched_action())
-                .when(tp, F.lit("keep"))
-                .otherwise(insert_action()))
-        parts = [project(full, act)]
+        left = tgt_s.join(src_s, cond & (F.col("target.__salt") == F.col("source.__salt")), "left")
+        act = F.when(F.col("source.__sp").isNull(), F.lit("keep")).otherwise(matched_action())
+        tkeys = tgt.filter(~t_null).select(*[te.alias(f"__k{i}") for i, (te, _) in enumerate(pairs)]).distinct().alias("hit")
+        hcond = reduce(lambda a, b: a & b, [se == F.col(f"hit.__k{i}") for i, (_, se) in enumerate(pairs)])
+        fresh = src_keyed.join(tkeys, hcond, "left_anti")
+        parts = [project(left, act), project(fresh, insert_action(), has_target=False)]
 
     parts.append(project(src_nullkey, insert_action(), has_target=False))
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -80,7 +80,7 @@ def first_load_points(points: DataFrame) -> DataFrame:
 
 def _two_batches(spark, sf_dir):
     latest = materialize(latest_parties(B.contact_bronze(read_table(spark, sf_dir, "orders")),
-                                        ["first_batch"]))
+                                        ["first_batch"]), "first_batch")
     return latest.filter("first_batch"), latest.filter("NOT first_batch")
 
 

@@ -52,7 +52,7 @@ def merge_upsert(silver: DataFrame, batch: DataFrame, keys: list[str], **kw) ->
 def _two_batches(spark, sf_dir):
     b = B.person_bronze(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"),
                         read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "supplier"))
-    latest = materialize(refine_people(b, ["first_batch"]))
+    latest = materialize(refine_people(b, ["first_batch"]), "first_batch")
     return latest.filter("first_batch"), latest.filter("NOT first_batch")
 
 

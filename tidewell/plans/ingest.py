@@ -47,15 +47,19 @@ WIDE_COLS = ["p_partkey", "p_name", "p_brand", "p_size", "p_type", "p_retailpric
 REORDERED_COLS = ["p_size", "p_brand", "p_name", "p_partkey"]
 
 
-def part_files(spark, sf_dir, fmt: str = "csv") -> dict[str, str]:
-    """Write ``part`` as three files: base columns (p_partkey % 3 = 0), two
-    new columns (= 1), base columns reordered (= 2)."""
+COLUMNS = {"base": BASE_COLS, "wide": WIDE_COLS, "reordered": REORDERED_COLS}
+
+
+def part_files(spark, sf_dir, names: list[str], fmt: str = "csv") -> dict[str, str]:
+    """Write all of ``part`` as one file set per name, the k-th holding the keys
+    with ``p_partkey % len(names) = k``: base columns, two new columns, or base
+    columns reordered."""
     part = read_table(spark, sf_dir, "part")
     root = fresh_dir(spark, f"parts-{fmt}")
-    spec = {"base": (0, BASE_COLS), "wide": (1, WIDE_COLS), "reordered": (2, REORDERED_COLS)}
     out = {}
-    for name, (r, cols) in spec.items():
-        d = part.filter(F.col("p_partkey") % 3 == r).select(*cols)
+    for r, name in enumerate(names):
+        cols = COLUMNS[name]
+        d = part.filter(F.col("p_partkey") % len(names) == r).select(*cols)
         if fmt == "json":
             d = d.select(*[c for c in cols if c not in ("p_brand", "p_size")],
                          F.struct("p_brand", "p_size").alias("spec"))
@@ -75,7 +79,7 @@ def _read(spark, path, fmt):
 
 
 def _ingest_sequence(spark, sf_dir, order: list[str], fmt: str = "csv") -> DataFrame:
-    paths = part_files(spark, sf_dir, fmt)
+    paths = part_files(spark, sf_dir, order, fmt)
     t = table_name(f"ingest_{fmt}")
     loc = fresh_dir(spark, t)
     for name in order:
@@ -84,7 +88,7 @@ def _ingest_sequence(spark, sf_dir, order: list[str], fmt: str = "csv") -> DataF
 
 
 def _csv_sql(select_by_file: dict[int, str]) -> str:
-    parts = [f"SELECT {sel} FROM part WHERE p_partkey % 3 = {r}" for r, sel in select_by_file.items()]
+    parts = [f"SELECT {sel} FROM part WHERE p_partkey % {len(select_by_file)} = {r}" for r, sel in select_by_file.items()]
     return "\nUNION ALL\n".join(parts)
 
 
@@ -101,14 +105,14 @@ def evolve_add_column(spark, sf_dir):
 
 
 @query("evolve_missing_column", _csv_sql({
-    1: _BASE_SEL + ", p_type, p_retailprice",
-    0: _BASE_SEL + ", CAST(NULL AS VARCHAR) AS p_type, CAST(NULL AS DOUBLE) AS p_retailprice"}))
+    0: _BASE_SEL + ", p_type, p_retailprice",
+    1: _BASE_SEL + ", CAST(NULL AS VARCHAR) AS p_type, CAST(NULL AS DOUBLE) AS p_retailprice"}))
 def evolve_missing_column(spark, sf_dir):
     """The second file lacks two table columns: typed nulls."""
     return _ingest_sequence(spark, sf_dir, ["wide", "base"])
 
 
-@query("evolve_reorder", _csv_sql({0: _BASE_SEL, 2: _BASE_SEL}))
+@query("evolve_reorder", _csv_sql({0: _BASE_SEL, 1: _BASE_SEL}))
 def evolve_reorder(spark, sf_dir):
     """The second file has the columns in another order: matched by name."""
     return _ingest_sequence(spark, sf_dir, ["base", "reordered"])
@@ -140,7 +144,9 @@ def ingest_evolving_json(spark, sf_dir):
                     F.col("spec.p_size").alias("size"), "p_type", "p_retailprice")
 
 
-@query("profile_inferred_types")
+@query("profile_inferred_types", """SELECT * FROM (VALUES ('c_custkey', 'string', 'integer'), ('c_name', 'string', 'string'),
+  ('c_nationkey', 'string', 'integer'), ('c_acctbal', 'string', 'double'), ('c_mktsegment', 'string', 'string'))
+  AS t("column", stored_type, inferred_type) WHERE (SELECT count(*) FROM customer) > 0""")
 def profile_inferred_types(spark, sf_dir):
     """Per column of an all-string CSV table, the type inference finds."""
     cust = read_table(spark, sf_dir, "customer")

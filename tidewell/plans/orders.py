@@ -16,9 +16,21 @@ from tidewell.plans.registry import query
 from tidewell.session import materialize, read_table
 
 SILVER_COLS = ["order_id", "record_version", "amount", "ship_status"]
-def int_key():
-    """MERGE key ``INT(source.order_id) = INT(target.order_id)`` ('007' = '7')."""
-    return [(F.expr("try_cast(target.order_id AS INT)"), F.expr("try_cast(source.order_id AS INT)"))]
+def order_key(column: str) -> str:
+    """The order's number without leading zeros as text ('007' = '7'), whatever
+    its size up to 18 digits; an id that is no number is its own key."""
+    return (f"CASE WHEN regexp_like(trim({column}), '^[+-]?[0-9]{{1,18}}$') "
+            f"THEN CAST(CAST(trim({column}) AS BIGINT) AS STRING) ELSE {column} END")
+
+
+def order_key_sql(column: str) -> str:
+    """``order_key`` in DuckDB's words."""
+    return order_key(column).replace("regexp_like", "regexp_matches").replace("AS STRING", "AS VARCHAR")
+
+
+def number_key():
+    """MERGE key: equal order numbers."""
+    return [(F.expr(order_key("target.order_id")), F.expr(order_key("source.order_id")))]
 
 
 def refine_orders(bronze: DataFrame, batch_cols: list[str] = ()) -> DataFrame:
@@ -53,7 +65,7 @@ def merge_versioned_accumulate(silver: DataFrame, batch: DataFrame, advance_vers
     """M2/M3: a newer source version adds its amount; an older or equal one is
     ignored; unknown orders are inserted with an empty ship status.  As in
     the reference, the target keeps its version unless ``advance_version``."""
-    return merge(silver, batch, int_key(), matched=VERSIONED_MATCHED(advance_version),
+    return merge(silver, batch, number_key(), matched=VERSIONED_MATCHED(advance_version),
                  not_matched=VERSIONED_INSERT, **kw)
 
 
@@ -61,7 +73,7 @@ def _two_batches(spark, sf_dir):
     """Both batches refined in one pass, then materialized once: the MERGE
     reads each side several times (join, key semi/anti joins)."""
     refined = materialize(refine_orders(B.orders_bronze(read_table(spark, sf_dir, "events")),
-                                        ["first_batch"]))
+                                        ["first_batch"]), "first_batch")
     return refined.filter("first_batch"), refined.filter("NOT first_batch")
 
 
@@ -80,15 +92,17 @@ latest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY first_batch,
 t AS (SELECT * FROM latest WHERE first_batch),
 s AS (SELECT * FROM latest WHERE NOT first_batch)"""
 
-ORDERS_REFINE_SQL = B.with_sql(B.ORDERS_BRONZE_SQL, _REFINED_SQL) + """
+_SAME_ORDER = f"{order_key_sql('s.order_id')} = {order_key_sql('t.order_id')}"
+
+ORDERS_REFINE_SQL = B.with_sql(B.ORDERS_BRONZE_SQL, _REFINED_SQL) + f"""
 SELECT t.order_id, t.record_version,
        round(CASE WHEN s.record_version > t.record_version THEN t.amount + s.amount
                   ELSE t.amount END, 2) AS amount
-FROM t LEFT JOIN s ON TRY_CAST(s.order_id AS INTEGER) = TRY_CAST(t.order_id AS INTEGER)
+FROM t LEFT JOIN s ON {_SAME_ORDER}
 UNION ALL
 SELECT s.order_id, s.record_version, round(s.amount, 2) AS amount
 FROM s WHERE NOT EXISTS (SELECT 1 FROM t
-      WHERE TRY_CAST(t.order_id AS INTEGER) = TRY_CAST(s.order_id AS INTEGER))"""
+      WHERE {_SAME_ORDER})"""
 
 
 # The same MERGE with the batches in the other order (late, older data second).
@@ -142,14 +156,14 @@ t AS (SELECT * FROM top WHERE first_batch),
 s AS (SELECT * FROM top WHERE NOT first_batch)"""
 
 
-@query("merge_accumulate_versioned", B.with_sql(B.SEQUENCED_BRONZE_SQL, _SEQ_SQL) + """
+@query("merge_accumulate_versioned", B.with_sql(B.SEQUENCED_BRONZE_SQL, _SEQ_SQL) + f"""
 SELECT t.order_id, t.record_version,
        round(CASE WHEN s.record_version > t.record_version THEN t.amount + s.amount ELSE t.amount END, 2) AS amount
-FROM t LEFT JOIN s ON TRY_CAST(s.order_id AS INTEGER) = TRY_CAST(t.order_id AS INTEGER)
+FROM t LEFT JOIN s ON {_SAME_ORDER}
 UNION ALL
 SELECT s.order_id, s.record_version, round(s.amount, 2) AS amount
 FROM s WHERE NOT EXISTS (SELECT 1 FROM t
-      WHERE TRY_CAST(t.order_id AS INTEGER) = TRY_CAST(s.order_id AS INTEGER))""")
+      WHERE {_SAME_ORDER})""")
 def merge_accumulate_versioned(spark, sf_dir):
     seq = B.sequenced_orders_bronze(read_table(spark, sf_dir, "events"))
     top = _max_version_distinct(seq)

@@ -10,13 +10,16 @@ replaces (an equal version from a later batch is ignored).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidewell.operators.merge import insert, merge, update
 from tidewell.plans import bronze as B
-from tidewell.plans.orders import MERGE_ACCUMULATE_SQL, ORDERS_SWAPPED_SQL, refine_orders
+from tidewell.plans.orders import MERGE_ACCUMULATE_SQL, ORDERS_SWAPPED_SQL, order_key, refine_orders
 from tidewell.plans.registry import query
 from tidewell.session import ddl_schema, fresh_dir, read_table
+from tidewell.sources import sinks
 from tidewell.sources.tables import SnapshotTable, buckets_for
 from tidewell.streaming.refine import persisted, query_id, refine_stream
 
@@ -73,10 +76,10 @@ def accumulate(t: DataFrame, s: DataFrame) -> DataFrame:
 
 
 def versioned_accumulate_touched(silver: SnapshotTable, src: DataFrame, job: str, batch_id: int) -> None:
-    """M3 by buckets of INT(order_id)."""
-    from tidewell.plans.orders import VERSIONED_INSERT, VERSIONED_MATCHED, int_key
-    silver.merge_touched(src, int_key(), VERSIONED_MATCHED(), VERSIONED_INSERT, job, batch_id,
-                         cardinality="off")
+    """M3 by buckets of the order number.  The batch is unique by id text, so
+    '7' and '007' may both be in it: the cardinality rule is checked."""
+    from tidewell.plans.orders import VERSIONED_INSERT, VERSIONED_MATCHED, number_key
+    silver.merge_touched(src, number_key(), VERSIONED_MATCHED(), VERSIONED_INSERT, job, batch_id)
 
 
 def upsert_touched(silver: SnapshotTable, src: DataFrame, job: str, batch_id: int) -> None:
@@ -165,29 +168,29 @@ def stream_out_of_order(spark, sf_dir):
     """The later half arrives first; older or equal versions arriving
     afterwards do not add their amounts (M3 version guard)."""
     first, second = _halves(spark, sf_dir)
-    # The MERGE joins on INT(order_id) ('007' = '7'), so the table buckets on
-    # that expression: matching rows share a bucket.
+    # The MERGE joins on the order number ('007' = '7'), so the table buckets
+    # on that expression: matching rows share a bucket.
     silver = SnapshotTable(spark, fresh_dir(spark, "silver-ooo"), schema=_schema(spark, VERSIONED_SCHEMA),
-                           bucket_expr="try_cast(order_id AS INT)", buckets=silver_buckets(spark, sf_dir))
+                           bucket_expr=order_key("order_id"), buckets=silver_buckets(spark, sf_dir))
     out = run_arrivals(spark, [second, first], silver, versioned_accumulate_touched, "ooo")
     return out.select("order_id", "record_version", F.round("amount", 2).alias("amount"))
 
 
 @query("stream_append_copy", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_append_copy(spark, sf_dir):
-    """S22 + R9: stream a Parquet table, pass every row through, file sink
-    (exactly-once via its commit log); read the sink back."""
+    """S22 + R9: stream a catalog table that is appended to between two runs,
+    pass every row through, file sink (exactly-once via its commit log)."""
     src = read_table(spark, sf_dir, "events")
-    landing = fresh_dir(spark, "append-src")
-    src.write.parquet(landing)
-    out = fresh_dir(spark, "append-out")
-    stream = spark.readStream.schema(src.schema).parquet(landing)
-    assert stream.isStreaming
-    q = (stream.select("*").writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", fresh_dir(spark, "append-ckpt"))
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(out)
+    name = f"tw_stream_{uuid.uuid4().hex[:10]}"
+    sinks.replace_table(src.filter("event_id % 2 = 0"), name, fresh_dir(spark, "append-src"))
+    out, checkpoint = fresh_dir(spark, "append-out"), fresh_dir(spark, "append-ckpt")
+    for more in (None, src.filter("event_id % 2 <> 0")):
+        if more is not None:
+            sinks.append_by_name(more, name)
+        q = (spark.readStream.table(name).writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.schema(src.schema).parquet(out)
 
 
 # --- L2 / L3 as streams (same handlers as the batch queries) -----------------

@@ -12,7 +12,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-_LOCAL_SCRATCH: dict[int, str] = {}
+_LOCAL_SCRATCH: dict[str, str] = {}
 
 
 MiB = 1024 * 1024
@@ -24,7 +24,7 @@ def sizing(input_bytes: int, target_partition_bytes: int = 256 * MiB) -> dict:
     ones (AQE cannot split a partition that is too big, except for skew, so
     start fine-grained), file splits of the same size, and AQE's advisory
     size.  E.g. 100 TB -> 372,530 partitions of 256 MiB; 1 GB -> 200."""
-    parts = max(200, min(1_000_000, -(-max(input_bytes, 0) // target_partition_bytes)))
+    parts = max(200, -(-max(input_bytes, 0) // target_partition_bytes))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -69,21 +69,20 @@ def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names a shared file system (HDFS, object
-    store) that every executor and the driver can reach.  Only when it is
-    unset (local tests) a private temporary folder is created and registered
-    as the checkpoint directory of this session.
+    store) that every executor and the driver can reach, and it must be set.
+    Only in local mode (tests) a private temporary folder stands in for it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    key = id(spark.sparkContext)
-    if key not in _LOCAL_SCRATCH:
-        d = tempfile.mkdtemp(prefix="tidewell-")
-        spark.sparkContext.setCheckpointDir(os.path.join(d, "rdd"))
-        _LOCAL_SCRATCH[key] = d
-    return _LOCAL_SCRATCH[key]
+    sc = spark.sparkContext
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    if sc.applicationId not in _LOCAL_SCRATCH:
+        _LOCAL_SCRATCH[sc.applicationId] = tempfile.mkdtemp(prefix="tidewell-")
+    return _LOCAL_SCRATCH[sc.applicationId]
 
 
 def fresh_dir(spark: SparkSession, label: str) -> str:
@@ -106,13 +105,16 @@ def ddl_schema(spark: SparkSession, ddl: str):
     return spark.createDataFrame([], ddl).schema
 
 
-def materialize(df):
-    """Compute ``df`` once and cut its lineage: a reliable checkpoint into
-    the shared checkpoint folder (``spark.checkpoint.dir``).  Later reads
-    are plain scans of the written data, and a lost executor costs a
-    re-read, not a recomputation of the whole lineage."""
+def materialize(df, partition_by=(), label: str = "materialized"):
+    """Compute ``df`` once and cut its lineage: Parquet in the shared folder,
+    read back with the same schema, so later reads prune columns and push
+    filters down, and a lost executor costs a re-read.  A filter on a column
+    of ``partition_by`` reads only its folder."""
     spark = df.sparkSession
-    root = scratch_root(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{root}/tidewell-checkpoints")
-    return df.checkpoint(eager=True)
+    path = fresh_dir(spark, label)
+    names = [partition_by] if isinstance(partition_by, str) else list(partition_by)
+    w = df.write
+    if names:
+        w = w.partitionBy(*names)
+    w.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)

@@ -9,6 +9,8 @@ given whenever it is known.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -60,9 +62,19 @@ def read_json(spark: SparkSession, path, primitives_as_string: bool = False,
     return _finish(r, options).json(path)
 
 
-def parse_json_column(df: DataFrame, column: str, schema: StructType | str, alias: str | None = None) -> DataFrame:
-    """S8 at scale: parse a JSON text column per row with a known schema."""
-    return df.withColumn(alias or column, F.from_json(F.col(column), schema))
+def infer_json_schema(df: DataFrame, column: str) -> StructType:
+    """The schema Spark infers from a column of JSON texts (one job)."""
+    spark = df.sparkSession
+    texts = df.select(F.col(column).cast("string"))._jdf
+    strings = getattr(texts, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    return DataFrame(spark._jsparkSession.read().json(strings), spark).schema
+
+
+def parse_json_column(df: DataFrame, column: str, schema: StructType | str | None = None,
+                      alias: str | None = None) -> DataFrame:
+    """Parse a JSON text column per row; without ``schema`` it is inferred
+    from the whole column first."""
+    return df.withColumn(alias or column, F.from_json(F.col(column), infer_json_schema(df, column) if schema is None else schema))
 
 
 def read_parquet(spark: SparkSession, *paths: str, merge_schema: bool = False,
@@ -87,6 +99,16 @@ def read_text(spark: SparkSession, path, line_sep: str | None = None, whole: boo
     return r.text(path)
 
 
+def set_modified(spark: SparkSession, folder: str, when: str) -> None:
+    """Gives the files directly in ``folder`` a modification time (UTC)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    ms = int(datetime.fromisoformat(when).replace(tzinfo=timezone.utc).timestamp() * 1000)
+    for st in fs.listStatus(p):
+        fs.setTimes(st.getPath(), ms, -1)
+
+
 def sql_on_file(spark: SparkSession, fmt: str, path: str, where: str | None = None,
                 columns: str = "*") -> DataFrame:
     """``SELECT ... FROM fmt.`path```."""

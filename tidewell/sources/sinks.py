@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by=None,
@@ -56,9 +56,13 @@ def save_bucketed(df: DataFrame, table: str, buckets: int, by, sort_by=None, par
     joins and aggregations on ``by`` with the same bucket count skip the
     shuffle.  ``path`` keeps the files in a shared location of choice."""
     by = [by] if isinstance(by, str) else list(by)
+    folders = [partition_by] if isinstance(partition_by, str) else list(partition_by or [])
+    # rows of a bucket (and folder) meet in one task, hashed as Spark's own
+    # bucketing does: one file per bucket and folder, not one per task
+    df = df.repartition(buckets, *by) if not folders else df.repartition(*folders, F.pmod(F.hash(*by), F.lit(buckets)))
     w = df.write.mode(mode).format("parquet")
-    if partition_by:
-        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    if folders:
+        w = w.partitionBy(*folders)
     w = w.bucketBy(buckets, *by)
     if sort_by:
         w = w.sortBy(*([sort_by] if isinstance(sort_by, str) else sort_by))

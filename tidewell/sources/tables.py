@@ -1,43 +1,38 @@
-"""Versioned Parquet tables in plain directories.
-
-A table is a folder of version directories::
-
-    <root>/tw_version=000007__<job>__<batch>/            full version 7: every row
-    <root>/tw_version=000008p__<job>__<batch>/bucket=3/  partial version 8: only
-    <root>/tw_version=000008p__<job>__<batch>/bucket=9/  the buckets a batch touched
-    <root>/tw_version=000009a__<job>__<batch>/           append version 9: new rows
-
-A version is committed once its ``_SUCCESS`` marker exists; a half-written
-directory (no marker) is ignored and later overwritten.  Full versions get
-the marker from Spark's own commit; partial versions get it from the table
-after the write (and after an empty folder is made for every touched bucket
-that the batch emptied), so each version appears atomically.
-
-The current rows are: the newest committed full version, with every bucket
-that a later committed partial version holds replaced by that version's
-folder (the newest one wins), plus the rows of the append versions after it
-(for a bucket, those after the folder that replaced it).  This is a naming rule over ordinary Spark
-writes, with one writer per table: no log, no manifest, no locks.
-
-Idempotent publishing: ``publish`` / ``merge_touched`` write only if no
-committed version carries the same ``(job, batch)``, so a replayed
-micro-batch (or a handler that died between two tables) is harmless even for
-non-idempotent updates such as accumulating amounts.
-
-Cost per batch: ``publish`` rewrites the table (distributed, O(table));
-``merge_touched`` reads and rewrites only the buckets the batch's keys fall
-into (``bucket = pmod(xxhash64(key), n)``), O(touched buckets + batch).
-
-File-system calls go through Hadoop's ``FileSystem`` on the driver (metadata
-only), so local disks, HDFS and object stores work alike.
+"""Parquet tables that a MERGE can publish to.
+
+A table is a folder of version folders written by ordinary Spark jobs::
+
+    <root>/tw_version=000007__<job>__<batch>/            full: every row
+    <root>/tw_version=000008p__<job>__<batch>/bucket=3/  partial: the new rows of
+    <root>/tw_version=000008p__<job>__<batch>/bucket=9/  the folders it replaces
+    <root>/tw_version=000009a__<job>__<batch>/           append: new rows only
+
+A version counts once its ``_SUCCESS`` marker exists; a half-written one is
+ignored and later overwritten.  The current rows are the newest full version,
+each layout folder (hash bucket, or the one partition column) replaced by its
+newest partial copy, plus the appended rows after that.  One writer per table.
+
+``merge_touched`` reads and rewrites only the buckets the batch's keys fall into
+(``bucket = pmod(xxhash64(key), n)``), at every table size: O(touched buckets +
+batch).  A merge that touches a bucket also folds the appends made to it.
+The layout (key, number of buckets, partition columns) is stored in
+``_layout`` with the first version; opening the table with another one fails.
+
+Exactly once: a (job, batch) that was published leaves a marker in ``_done``,
+which compaction and ``vacuum`` do not touch, so a replayed micro-batch is
+skipped.  ``vacuum`` deletes the folders that hold none of the current rows.
+
+File-system calls go through Hadoop's ``FileSystem`` on the driver: names of
+versions and layout folders only, never of data files.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
-from urllib.parse import unquote
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -45,14 +40,15 @@ from pyspark.sql.types import IntegerType, StringType, StructType
 
 from tidewell.functions import bucket as bucket_col, guard_not_null
 
-# Version folders are named ``tw_version=<n><kind>__<job>__<batch>``; read with
-# the table root as base path, Spark sees them as a partition column of this
-# name, which the reader drops (so it must not be a data column).
+# Read with the table root as base path, Spark sees the version folder as a
+# partition column of this name, which the reader drops.
 VERSION_COL = "tw_version"
 _VERSION_DIR = re.compile(r"^" + VERSION_COL + r"=(\d+)([pa]?)__(.*)__(-?\d+)$")
 _NO_SUCCESS = {"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"}
-# At or below this many buckets a merge republishes the whole (small) table.
-FEW_BUCKETS = 8
+
+
+class LayoutError(ValueError):
+    """The table was written with another layout."""
 
 
 @dataclass(frozen=True)
@@ -62,8 +58,7 @@ class Version:
     batch: int
     path: str
     committed: bool
-    modified_ms: int
-    kind: str = ""          # "" full, "p" partial (bucket replacement), "a" append
+    kind: str = ""          # "" full, "p" partial (folder replacement), "a" append
 
     @property
     def partial(self) -> bool:
@@ -74,176 +69,146 @@ class Version:
         return self.kind == ""
 
 
-def buckets_for(input_bytes: int, bytes_per_bucket: int = 256 * 1024 * 1024,
-                lo: int = 4, hi: int = 8192) -> int:
+def buckets_for(input_bytes: int, bytes_per_bucket: int = 256 * 1024 * 1024, lo: int = 8) -> int:
     """A bucket count for a new table: about ``bytes_per_bucket`` of input per
-    bucket, a power of two between ``lo`` and ``hi``.  Fixed for the table's
-    life; more buckets make each batch rewrite a smaller share."""
-    want = max(1, math.ceil(max(input_bytes, 0) / bytes_per_bucket))
-    n = 1 << (want - 1).bit_length()
-    return max(lo, min(hi, n))
+    bucket, a power of two, ``lo`` at least, so that small batches stay local in
+    small tables too.  Fixed for the table's life."""
+    want = max(lo, math.ceil(max(input_bytes, 0) / bytes_per_bucket))
+    return 1 << (want - 1).bit_length()
 
 
 class _FS:
     def __init__(self, spark: SparkSession, path: str):
         jvm = spark.sparkContext._jvm
+        self.jvm = jvm
         self.Path = jvm.org.apache.hadoop.fs.Path
-        self.root = self.Path(path)
-        self.fs = self.root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.fs = self.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def exists(self, p: str) -> bool:
         return self.fs.exists(self.Path(p))
 
-    def list(self, p: str):
-        if not self.fs.exists(self.Path(p)):
-            return []
-        return list(self.fs.listStatus(self.Path(p)))
-
     def delete(self, p: str) -> bool:
         return self.fs.delete(self.Path(p), True)
 
-    def glob(self, pattern: str) -> list:
-        """One metadata call for every path matching ``pattern``."""
+    def glob(self, pattern: str) -> list[tuple[str, str]]:
+        """(name, parent's name) of every path matching ``pattern``: one metadata call."""
         found = self.fs.globStatus(self.Path(pattern))
-        return list(found) if found is not None else []
+        paths = [st.getPath() for st in found] if found is not None else []
+        return [(p.getName(), p.getParent().getName()) for p in paths]
 
     def mkdirs(self, p: str) -> bool:
         return self.fs.mkdirs(self.Path(p))
 
-    def touch(self, p: str) -> None:
-        self.fs.create(self.Path(p), True).close()
-
-    def size(self, p: str) -> int:
-        return self.fs.getContentSummary(self.Path(p)).getLength()
+    def put(self, p: str, text: str = "") -> None:
+        out = self.fs.create(self.Path(p), True)
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
 
-    def data_files(self, p: str) -> list:
-        out = []
-        it = self.fs.listFiles(self.Path(p), True)
-        while it.hasNext():
-            st = it.next()
-            name = st.getPath().getName()
-            if not name.startswith("_") and not name.startswith("."):
-                out.append(st)
-        return out
+    def get(self, p: str) -> str:
+        stream = self.fs.open(self.Path(p))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType | None = None,
                  partition_by: list[str] | None = None, bucket_key: str | None = None,
-                 buckets: int | None = None, max_chain: int = 64, bucket_expr: str | None = None):
+                 buckets: int | None = None, bucket_expr: str | None = None):
         """``bucket_key``: a column hashed into ``buckets``; or ``bucket_expr``:
-        a SQL expression over the row (e.g. ``try_cast(order_id AS INT)``) for
-        MERGEs joined on a derived key, so rows that match share a bucket."""
-        self.max_chain = max_chain
-        self.bucket_expr = bucket_expr
+        a SQL expression over the row for MERGEs joined on a derived key, so
+        rows that match share a bucket."""
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_by = list(partition_by or [])
+        self.bucket_expr = bucket_expr
         self.bucket_key = bucket_key or (f"expr:{bucket_expr}" if bucket_expr else None)
         self.buckets = buckets
         self._fs = _FS(spark, self.path)
+        self._check_layout()
+
+    # -- layout ---------------------------------------------------------------
+    def _layout(self) -> dict:
+        return {"bucket": self.bucket_key, "buckets": self.buckets if self.bucket_key else None,
+                "partition_by": self.partition_by}
+
+    def _check_layout(self) -> None:
+        """Takes the stored layout over what was not given, refuses any other."""
+        if not self._fs.exists(f"{self.path}/_layout"):
+            return
+        stored = json.loads(self._fs.get(f"{self.path}/_layout"))
+        if self.bucket_key is None and not self.partition_by:
+            self.bucket_key, self.buckets, self.partition_by = stored["bucket"], stored["buckets"], stored["partition_by"]
+            if self.bucket_key and self.bucket_key.startswith("expr:"):
+                self.bucket_expr = self.bucket_key[5:]
+        elif self.bucket_key and self.buckets is None:
+            self.buckets = stored["buckets"]
+        if self._layout() != stored:
+            raise LayoutError(f"{self.path} has layout {stored}, not {self._layout()}")
 
-    # -- versions -----------------------------------------------------------
+    def _layout_col(self) -> str | None:
+        """The one folder level partial versions replace."""
+        if self.bucket_key:
+            return "bucket"
+        return self.partition_by[0] if len(self.partition_by) == 1 else None
+
+    # -- versions -------------------------------------------------------------
     def versions(self) -> list[Version]:
-        """All version folders, committed or not: two metadata calls (a list
-        of the root and one glob for the commit markers), however many."""
-        done = {st.getPath().getParent().getName()
-                for st in self._fs.glob(f"{self.path}/{VERSION_COL}=*/_SUCCESS")}
+        """All version folders, committed or not: two metadata calls."""
+        done = {parent for _, parent in self._fs.glob(f"{self.path}/{VERSION_COL}=*/_SUCCESS")}
         out = []
-        for st in self._fs.list(self.path):
-            name = st.getPath().getName()
+        for name, _ in self._fs.glob(f"{self.path}/{VERSION_COL}=*"):
             m = _VERSION_DIR.match(name)
-            if not m or not st.isDirectory():
-                continue
-            out.append(Version(int(m.group(1)), m.group(3), int(m.group(4)), f"{self.path}/{name}",
-                               name in done, st.getModificationTime(), m.group(2)))
+            if m:
+                out.append(Version(int(m.group(1)), m.group(3), int(m.group(4)), f"{self.path}/{name}",
+                                   name in done, m.group(2)))
         return sorted(out, key=lambda v: v.number)
 
     def current(self) -> Version | None:
         done = [v for v in self.versions() if v.committed]
         return done[-1] if done else None
 
-    def version(self, number: int) -> Version:
-        for v in self.versions():
-            if v.number == number and v.committed:
-                return v
-        raise KeyError(f"no committed version {number} in {self.path}")
-
-    def chain(self, upto: int | None = None) -> list[Version]:
-        """The versions that hold the rows as of ``upto`` (default: now): the
-        newest full version and the committed partial / append ones after it."""
-        done = [v for v in self.versions() if v.committed and (upto is None or v.number <= upto)]
+    def chain(self) -> list[Version]:
+        """The newest full version and the committed ones after it."""
+        done = [v for v in self.versions() if v.committed]
         fulls = [v for v in done if v.full]
-        if not fulls:
-            return done
-        base = fulls[-1]
-        return [base] + [v for v in done if not v.full and v.number > base.number]
-
-    def _layout_col(self) -> str | None:
-        """The one folder level partial versions replace: the hash bucket,
-        or the table's single partition column."""
-        if self.bucket_key:
-            return "bucket"
-        return self.partition_by[0] if len(self.partition_by) == 1 else None
+        return done if not fulls else [v for v in done if v.number >= fulls[-1].number]
 
-    def _layout_dirs(self, v: Version) -> dict[str, str]:
-        col = self._layout_col()
-        out = {}
-        if col is None:
-            return out
-        for st in self._fs.list(v.path):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith(col + "="):
-                out[name] = f"{v.path}/{name}"
-        return out
-
-    def _bucket_dirs(self, v: Version) -> dict[int, str]:
-        return {int(k.split("=", 1)[1]): p for k, p in self._layout_dirs(v).items()}
-
-    def _layout_index(self, chain: list[Version]) -> dict[str, dict[str, str]]:
-        """Layout folders of every version in ``chain``, from one glob."""
-        col = self._layout_col()
-        names = {v.path.rsplit("/", 1)[1] for v in chain}
+    def _folders(self, chain: list[Version]) -> dict[str, dict[str, str]]:
+        """Layout folders of each version of ``chain``, from one glob."""
         out: dict[str, dict[str, str]] = {v.path: {} for v in chain}
-        for st in self._fs.glob(f"{self.path}/{VERSION_COL}=*/{col}=*"):
-            if not st.isDirectory():
-                continue
-            folder, version = st.getPath().getName(), st.getPath().getParent().getName()
-            if version in names:
+        for folder, version in self._fs.glob(f"{self.path}/{VERSION_COL}=*/{self._layout_col()}=*"):
+            if f"{self.path}/{version}" in out:
                 out[f"{self.path}/{version}"][folder] = f"{self.path}/{version}/{folder}"
         return out
 
-    def _leaf_paths(self, chain: list[Version], keys: set[str] | None = None) -> list[str]:
-        """Folders holding the rows: per layout folder (``bucket=3``,
-        ``location=Bellevue``), its newest full or partial copy plus the
-        append copies after it.  Without a layout column: the version roots."""
-        if self._layout_col() is None:
+    def folders_of(self, v: Version) -> list[str]:
+        return sorted(self._folders([v])[v.path])
+
+    def _paths(self, chain: list[Version], keys: set[str] | None = None) -> list[str]:
+        """Folders holding the rows: per layout folder its newest full or
+        partial copy and the appends after it; without layout, the versions."""
+        if self._layout_col() is None or (len(chain) == 1 and keys is None):
             return [v.path for v in chain]
-        index = self._layout_index(chain)
+        index = self._folders(chain)
         owner: dict[str, list[str]] = {}
         for v in chain:
             for k, p in index[v.path].items():
-                if v.kind == "a":
-                    owner.setdefault(k, []).append(p)
-                else:
-                    owner[k] = [p]
+                owner[k] = owner.get(k, []) + [p] if v.kind == "a" else [p]
         return [p for k in sorted(owner) if keys is None or k in keys for p in owner[k]]
 
-    # -- read ---------------------------------------------------------------
-    def _data_schema(self, chain: list[Version]) -> StructType | None:
-        if self.schema is not None:
-            return self.schema
-        for v in chain:
-            if self._fs.data_files(v.path):
-                s = self.spark.read.parquet(v.path).schema
-                return StructType([f for f in s.fields if f.name != "bucket"])
-        return None
+    # -- read -----------------------------------------------------------------
+    def _stored_schema(self) -> StructType:
+        s = StructType(list(self.schema.fields))
+        if self.bucket_key and "bucket" not in s.fieldNames():
+            s = s.add("bucket", IntegerType())
+        return s
 
     def _read_paths(self, paths: list[str]) -> DataFrame:
-        """One scan over version roots or layout folders.  With the table
-        root as ``basePath`` Spark discovers the version folder and the layout
-        columns below it as partition columns; the version one is dropped."""
         if not paths:
             if self.schema is None:
                 raise ValueError(f"{self.path} has no rows and no declared schema")
@@ -256,60 +221,63 @@ class SnapshotTable:
             return df.select(*self.schema.fieldNames())
         return df.drop("bucket") if self.bucket_key else df
 
-    def read(self, version: int | None = None) -> DataFrame:
-        """The current rows, or those as of ``version`` (T3: time travel)."""
-        if version is not None:
-            self.version(version)
-        chain = self.chain(version)
-        if not chain:
-            return self._read_paths([])
-        if len(chain) == 1 and chain[0].full:
-            return self._read_paths([chain[0].path])
-        return self._read_paths(self._leaf_paths(chain))
+    def read(self) -> DataFrame:
+        """The current rows."""
+        return self._read_paths(self._paths(self.chain()))
 
-    def _stored_schema(self) -> StructType:
-        s = StructType(list(self.schema.fields))
-        if self.bucket_key and "bucket" not in s.fieldNames():
-            s = s.add("bucket", IntegerType())
-        return s
+    def as_view(self, name: str) -> DataFrame:
+        """The current rows under ``name``, for ``SELECT * FROM name`` and
+        ``spark.table(name)``; call again after a publish."""
+        df = self.read()
+        df.createOrReplaceTempView(name)
+        return df
 
-    # -- write --------------------------------------------------------------
+    # -- write ----------------------------------------------------------------
     def _next(self) -> int:
-        cur = self.current()
-        n = (cur.number + 1) if cur else 0
-        for stale in self.versions():
+        """The next version's number; stores the layout, drops half-written versions."""
+        every = self.versions()
+        n = max((v.number + 1 for v in every if v.committed), default=0)
+        for stale in every:
             if stale.number >= n and not stale.committed:
                 self._fs.delete(stale.path)
+        self._check_layout()
+        if not self._fs.exists(f"{self.path}/_layout"):
+            self._fs.put(f"{self.path}/_layout", json.dumps(self._layout()))
         return n
 
-    def _with_layout(self, df: DataFrame):
+    def _with_layout(self, df: DataFrame, balance: bool = True):
         out, parts = df, list(self.partition_by)
         if self.schema is not None:
             out = guard_not_null(out, self.schema)
         if self.bucket_key:
             out = out.withColumn("bucket", bucket_col(self._bucket_source(), self.buckets))
             parts = parts + ["bucket"]
-        if parts:
-            # AQE rebalances by the partition columns: a large bucket is split
-            # over several tasks, small ones are coalesced, so files stay sized
-            # without capping the write at one task per bucket.
+        if parts and balance:
+            # AQE splits a large folder over several tasks and joins small ones
             out = out.hint("rebalance", *parts)
         return out, parts
 
-    def write(self, df: DataFrame, job: str = "batch", batch: int = 0) -> Version:
-        """Write ``df`` as the next full version; committed when Spark's
-        ``_SUCCESS`` marker lands."""
+    def _write(self, out: DataFrame, parts: list[str], kind: str, job: str, batch: int) -> Version:
         n = self._next()
-        p = f"{self.path}/{VERSION_COL}={n:06d}__{job}__{batch}"
-        out, parts = self._with_layout(df)
+        p = f"{self.path}/{VERSION_COL}={n:06d}{kind}__{job}__{batch}"
         w = out.write.mode("overwrite")
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(p)
-        return Version(n, job, batch, p, True, 0, "")
+        return self._done(Version(n, job, batch, p, True, kind))
+
+    def _done(self, v: Version) -> Version:
+        self._fs.put(f"{self.path}/_done/{v.job}__{v.batch}")
+        return v
+
+    def write(self, df: DataFrame, job: str = "batch", batch: int = 0) -> Version:
+        """Write ``df`` as the next full version."""
+        return self._write(*self._with_layout(df), "", job, batch)
 
     def published(self, job: str, batch: int) -> bool:
-        return any(v.committed and v.job == job and v.batch == batch for v in self.versions())
+        """Whether this batch is in the table; true after upkeep as well."""
+        return self._fs.exists(f"{self.path}/_done/{job}__{batch}") or any(
+            v.committed and (v.job, v.batch) == (job, batch) for v in self.versions())
 
     def publish(self, build, job: str, batch: int) -> Version | None:
         """Write ``build(current_frame)`` as a full version unless
@@ -321,16 +289,13 @@ class SnapshotTable:
     def _bucket_source(self) -> Column:
         return F.expr(self.bucket_expr) if self.bucket_expr else F.col(self.bucket_key)
 
-    def touched_buckets(self, source: DataFrame, key_type=None) -> list[int]:
-        """Buckets of the source keys: at most ``buckets`` values, so the
-        collect is bounded by the layout, not by the data.  The key is hashed
-        as the table stores it (an int and a bigint 1 hash differently)."""
+    def touched_buckets(self, source: DataFrame) -> list[int]:
+        """Buckets of the source keys: at most ``buckets`` values.  The key is
+        hashed as the table stores it (an int and a bigint 1 hash differently)."""
         k = self._bucket_source()
         if not self.bucket_expr:
-            if key_type is None and self.schema is not None:
-                key_type = self.schema[self.bucket_key].dataType
-            if key_type is not None:
-                k = k.cast(key_type)
+            stored = self.schema if self.schema is not None else (self.read().schema if self.exists() else source.schema)
+            k = k.cast(stored[self.bucket_key].dataType)
         c = bucket_col(k, self.buckets)
         return sorted(r[0] for r in source.select(c.alias("b")).distinct().collect())
 
@@ -349,22 +314,11 @@ class SnapshotTable:
             raise ValueError(f"the MERGE key must include {self.bucket_key!r} by name")
         if self.published(job, batch):
             return None
-        chain = self.chain()
-        schema = self._data_schema(chain) if chain else self.schema
-        key_type = (schema[self.bucket_key].dataType
-                    if schema is not None and not self.bucket_expr else None)
-        few = self.buckets <= FEW_BUCKETS
-        touched = [] if few else self.touched_buckets(source, key_type)
-        if few or len(touched) >= self.buckets or len(chain) > self.max_chain:
-            # Every bucket is rewritten anyway (a handful of buckets means a
-            # small table, and a batch touches them all), or the chain of
-            # partial versions readers must list got long: write a full
-            # version, which also resets the chain.
-            return self.write(merge(self.read(), source, on, matched, not_matched, **kw), job, batch)
-        target = self._read_paths(self._leaf_paths(chain, {f"bucket={b}" for b in touched}))
-        merged = merge(target, source, on, matched, not_matched, **kw)
-        out, _ = self._with_layout(merged)
-        return self._write_partial(out, [f"bucket={b}" for b in touched], job, batch)
+        touched = [f"bucket={b}" for b in self.touched_buckets(source)]
+        paths = self._paths(self.chain(), set(touched))
+        target = self._read_paths(paths) if paths or self.schema is not None else self.read().limit(0)
+        out, _ = self._with_layout(merge(target, source, on, matched, not_matched, **kw))
+        return self._write_partial(out, touched, job, batch)
 
     def _write_partial(self, out: DataFrame | None, folders: list[str], job: str, batch: int) -> Version:
         """A partial version replacing exactly ``folders`` (layout folders):
@@ -375,25 +329,25 @@ class SnapshotTable:
         if out is not None:
             out.write.mode("overwrite").options(**_NO_SUCCESS).partitionBy(self._layout_col()).parquet(p)
         self._fs.mkdirs(p)
+        filled = {name for name, _ in self._fs.glob(f"{p}/{self._layout_col()}=*")}
         for f in folders:
-            if not self._fs.exists(f"{p}/{f}"):
+            if f not in filled:
                 self._fs.mkdirs(f"{p}/{f}")        # emptied by this version
-        self._fs.touch(f"{p}/_SUCCESS")
-        return Version(n, job, batch, p, True, 0, "p")
+        self._fs.put(f"{p}/_SUCCESS")
+        return self._done(Version(n, job, batch, p, True, "p"))
 
     def _aligned_folders(self, chain: list[Version], predicate: Column) -> list[str] | None:
-        """The partition folders whose value satisfies ``predicate`` when the
-        predicate reads only the partition column (evaluated on the folder
-        values, one row per folder, no data read); None when it reads any
-        other column or the table has no single partition column."""
+        """The partition folders whose value satisfies ``predicate`` when it
+        reads only the partition column (evaluated on the folder values, no
+        data read); None when it reads any other column."""
         col = self._layout_col()
         if col is None or self.bucket_key:
             return None
-        names = sorted({k for d in self._layout_index(chain).values() for k in d})
+        names = sorted({k for d in self._folders(chain).values() for k in d})
         if not names:
             return []
-        dtype = (self.schema[col].dataType if self.schema is not None and col in self.schema.fieldNames()
-                 else self.read().schema[col].dataType)
+        dtype = (self.schema if self.schema is not None and col in self.schema.fieldNames()
+                 else self.read().schema)[col].dataType
         raw = F.col("__raw")
         vals = (self.spark.createDataFrame([(k, unquote(k.split("=", 1)[1])) for k in names],
                                            "__folder string, __raw string")
@@ -405,15 +359,13 @@ class SnapshotTable:
             return None
         return [r[0] for r in hit]
 
-    # -- table operations ---------------------------------------------------
+    # -- table operations -----------------------------------------------------
     def exists(self) -> bool:
         return self.current() is not None
 
     def create(self, replace: bool = False) -> Version | None:
-        """Create the table from its declared schema (an empty full
-        version); a no-op if it exists, unless ``replace`` (then the new,
-        empty version is current and older ones stay for time travel until
-        expired)."""
+        """An empty full version of the declared schema; a no-op if the
+        table exists, unless ``replace``."""
         if self.schema is None:
             raise ValueError("create needs a declared schema")
         if self.exists() and not replace:
@@ -421,34 +373,24 @@ class SnapshotTable:
         return self.write(self.spark.createDataFrame([], self.schema), "create", 0)
 
     def drop(self) -> bool:
-        """D3: remove the table folder with all its versions (explicit request only)."""
+        """D3: remove the table's folder (explicit request only)."""
         return self._fs.delete(self.path)
 
     def replace(self, df: DataFrame, job: str = "replace", batch: int = 0) -> Version:
         return self.write(df, job, batch)
 
-    def append(self, df: DataFrame, job: str = "append", batch: int = 0) -> Version:
-        """Add rows, matched by column name, as an append version
-        holding only the new rows (O(new rows), not O(table)).  After
-        ``max_chain`` such versions the table is folded into a full one."""
-        cols = self.read().columns
-        if len(self.chain()) > self.max_chain:
-            return self.write(self.read().unionByName(df.select(*cols)), job, batch)
-        n = self._next()
-        p = f"{self.path}/{VERSION_COL}={n:06d}a__{job}__{batch}"
-        out, parts = self._with_layout(df.select(*cols))
-        w = out.write.mode("overwrite")
-        if parts:
-            w = w.partitionBy(*parts)
-        w.parquet(p)
-        return Version(n, job, batch, p, True, 0, "a")
+    def append(self, df: DataFrame, job: str | None = None, batch: int = 0) -> Version | None:
+        """Add rows, matched by column name: O(new rows).  With a
+        ``job``, (job, batch) is appended once only."""
+        if job is not None and self.published(job, batch):
+            return None
+        out, parts = self._with_layout(df.select(*self.read().columns))
+        return self._write(out, parts, "a", job or "append", batch)
 
     def delete_where(self, predicate: Column | str, job: str = "delete", batch: int = 0) -> Version:
-        """M7: the new version holds the rows for which ``predicate`` is not
-        TRUE.  When the predicate reads only the partition column, whole
-        partition folders go: the new version is a partial one made of empty
-        folders, a metadata-only delete (no data file is read or written).
-        Otherwise the rest of the table is rewritten."""
+        """M7: keeps the rows for which ``predicate`` is not TRUE.  If it reads
+        only the partition column, whole folders go and no data is read;
+        otherwise the rest of the table is rewritten."""
         p = F.expr(predicate) if isinstance(predicate, str) else predicate
         chain = self.chain()
         folders = self._aligned_folders(chain, p) if chain else None
@@ -457,9 +399,8 @@ class SnapshotTable:
         return self.write(self.read().filter(~F.coalesce(p, F.lit(False))), job, batch)
 
     def delete_keys(self, keys: DataFrame, job: str = "delete_keys", batch: int = 0) -> Version | None:
-        """M7 for a set of keys (a frame with the ``bucket_key`` column): a
-        bucket-scoped MERGE with only a delete clause, so it rewrites just
-        the buckets those keys fall into."""
+        """M7 for a set of keys (a frame with the ``bucket_key`` column),
+        rewriting just the buckets those keys fall into."""
         from tidewell.operators.merge import delete
         k = keys.select(self.bucket_key).distinct()
         return self.merge_touched(k, [self.bucket_key], [delete()], [], job, batch, cardinality="off")
@@ -469,76 +410,75 @@ class SnapshotTable:
         from tidewell.operators.merge import merge
         return self.publish(lambda t: merge(t, source, on, matched, not_matched, **kw), job, batch)
 
-    def _current_paths(self) -> list[str]:
-        chain = self.chain()
-        if len(chain) == 1 and chain[0].full:
-            return [chain[0].path]
-        return self._leaf_paths(chain)
-
-    def file_count(self) -> int:
-        return sum(len(self._fs.data_files(p)) for p in self._current_paths())
+    def data_files(self) -> DataFrame:
+        """file and rows of every data file of the current rows, by a Spark job."""
+        return self.read().groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("rows"))
 
     def compact(self, target_bytes: int = 512 * 1024 * 1024, job: str = "compact",
                 where: Column | str | None = None) -> Version:
-        """Rewrite the current rows into about ``size / target_bytes``
-        files as a new version; rows unchanged.  ``where`` on the partition
-        column compacts only those partition folders (a partial version)."""
+        """Rewrite the current rows into files of about ``target_bytes``;
+        each layout folder gets its share, ceil(its size / target) files.
+        ``where`` on the partition column compacts only those folders."""
+        from tidewell.operators.merge import estimated_bytes
+        chain, folders = self.chain(), None
         if where is not None:
-            w = F.expr(where) if isinstance(where, str) else where
-            chain = self.chain()
-            folders = self._aligned_folders(chain, w) if chain else None
-            if folders:
-                paths = self._leaf_paths(chain, set(folders))
-                n = max(1, math.ceil(sum(self._fs.size(p) for p in paths) / target_bytes))
-                df = self._read_paths(paths)
-                if self.schema is not None:
-                    df = guard_not_null(df, self.schema)
-                return self._write_partial(df.repartition(n), folders, job, 0)
-        size = sum(self._fs.size(p) for p in self._current_paths())
-        n = max(1, math.ceil(size / target_bytes))
-        df = self.read()
-        if self.partition_by:
-            df = df.repartition(n, *self.partition_by)
-        else:
-            df = df.repartition(n)
-        return self.write(df, job, 0)
+            folders = self._aligned_folders(chain, F.expr(where) if isinstance(where, str) else where)
+        df = self._read_paths(self._paths(chain, set(folders) if folders else None))
+        out, parts = self._with_layout(df, balance=False)
+        size = estimated_bytes(df)                        # of the files, no job
+        if not parts:
+            return self._write(out.repartition(max(1, math.ceil(size / target_bytes))), parts, "", job, 0)
+        # rows per layout folder, at most one row per folder
+        counted = out.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n")).collect()
+        per_row = size / max(1, sum(r["__n"] for r in counted))
+        shares = [(tuple(r[p] for p in parts), max(1, math.ceil(r["__n"] * per_row / target_bytes))) for r in counted]
+        plan = self.spark.createDataFrame(
+            [(*key, files, at) for (key, files), at in zip(shares, _running([f for _, f in shares]))],
+            StructType([out.schema[p] for p in parts]).add("__files", IntegerType()).add("__at", IntegerType()))
+        same = [out[p].eqNullSafe(plan[p]) for p in parts]
+        spread = out.join(F.broadcast(plan), same).select(
+            *(out[c] for c in out.columns), (plan["__at"] + F.pmod(F.monotonically_increasing_id(), plan["__files"])).cast("int").alias("__to"))
+        placed = spread.repartitionById(max(1, sum(f for _, f in shares)), F.col("__to")).drop("__to")
+        if folders:
+            return self._write_partial(placed, folders, job, 0)
+        return self._write(placed, parts, "", job, 0)
 
     def repartition_by(self, columns: list[str] | dict, job: str = "layout") -> Version:
         """Rewrite under a new partition layout.  ``columns`` may map
         new column names to expressions, e.g. ``{"month": date_format(ts,
         'yyyy-MM')}``."""
         df = self.read()
-        names = []
+        names = list(columns)
         if isinstance(columns, dict):
-            for name, expr in columns.items():
-                df = df.withColumn(name, expr)
-                names.append(name)
-        else:
-            names = list(columns)
-        self.partition_by = names
+            df = df.withColumns(columns)
         if self.schema is not None:
             for nm in names:
                 if nm not in self.schema.fieldNames():
                     self.schema = self.schema.add(nm, df.schema[nm].dataType)
+        self._fs.delete(f"{self.path}/_layout")
+        self.partition_by, self.bucket_key, self.bucket_expr, self.buckets = names, None, None, None
         return self.write(df, job, 0)
 
-    def expire(self, keep_last: int | None = None, older_than_ms: int | None = None,
-               dry_run: bool = False) -> list[Version]:
-        """Delete versions no longer needed.  Always kept: every version
-        the current rows live in, and, with ``keep_last``, the versions the
-        ``keep_last`` newest states need.  Returns what went."""
-        cur = self.current()
-        done = [v for v in self.versions() if v.committed]
-        keep = {v.number for v in self.chain()}
-        for v in done[-keep_last:] if keep_last else []:
-            keep |= {x.number for x in self.chain(v.number)}
-        gone = []
-        for v in self.versions():
-            if v.number in keep or (cur and v.number > cur.number):
-                continue
-            if older_than_ms is not None and v.modified_ms >= older_than_ms:
-                continue
-            gone.append(v)
-            if not dry_run:
-                self._fs.delete(v.path)
-        return gone
+    def vacuum(self) -> list[str]:
+        """Deletes the version folders that hold none of the current rows."""
+        chain = self.chain()
+        if not chain:
+            return []
+        used = {p[len(self.path) + 1:].split("/", 1)[0] for p in self._paths(chain)}
+        # emptied folders count: dropping them would bring older rows back
+        used |= {v.path[len(self.path) + 1:] for v in chain if v.full or v.number == chain[-1].number or self._empties(v, chain)}
+        gone = [v for v in self.versions() if v.committed and v.path[len(self.path) + 1:] not in used]
+        for v in gone:
+            self._fs.delete(v.path)
+        return [v.path for v in gone]
+
+    def _empties(self, v: Version, chain: list[Version]) -> bool:
+        return v.partial and any(set(self.folders_of(v)) & set(self.folders_of(o)) for o in chain if o.number < v.number)
+
+
+def _running(counts: list[int]) -> list[int]:
+    out, total = [], 0
+    for c in counts:
+        out.append(total)
+        total += c
+    return out
