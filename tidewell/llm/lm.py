@@ -467,8 +467,9 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     dealt = rows.mapInArrow(deal, "bucket long, payload binary")
     answers = dealt.groupBy("bucket").applyInArrow(ask, "part long, payload binary") \
         .groupBy("part").applyInArrow(answer, "bucket long, answer binary, " + ", ".join(f"{k} long" for k in SUMS))
-    totals = answers.filter("bucket = -1").agg(*(F.sum(k).alias(f"all_{k}") for k in SUMS))  # one row
-    told = answers.filter("bucket >= 0").select("bucket", "answer").join(F.broadcast(totals), F.col("bucket") >= 0 * F.col("all_n"))
+    # one row, that goes with every answer
+    totals = answers.filter("bucket = -1").agg((F.max("bucket") + 1).alias("zero"), *(F.sum(k).alias(f"all_{k}") for k in SUMS))
+    told = answers.filter("bucket >= 0").select("bucket", "answer", (F.col("bucket") * 0).alias("zero")).join(F.broadcast(totals), "zero").drop("zero")
     parts = dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(
         finish, "row long, doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return parts.groupBy("row", "doc_id", "train_tokens").agg(
