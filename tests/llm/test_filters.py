@@ -53,18 +53,20 @@ def test_op8_verdicts(spark):
 def test_op8_estimates_known_rules():
     """Votes drawn from known rates: the estimate finds the rates and the classes."""
     rng = random.Random(3)
-    rates = {"a": (0.6, 0.01), "b": (0.5, 0.02), "c": (0.4, 0.0), "d": (0.3, 0.3)}
+    rates = {"a": (0.6, 0.01), "b": (0.5, 0.02), "c": (0.4, 0.0), "d": (0.3, 0.3), "e": (0.5, 0.01)}
     rows = []
     for _ in range(20000):
         good = rng.random() < 0.8
-        rows.append((good, tuple(-1 if rng.random() < r[good] else rng.choice([0, 1]) for r in rates.values())))
+        rows.append((good, tuple(-1 if rng.random() < r[good] else rng.choice([0, 1, 1, 1, 1]) for r in rates.values())))
     model = quality.estimate([(dict(zip(rates, v)), n) for v, n in collections.Counter(v for _, v in rows).items()], list(rates))
     assert abs(model.prior - 0.8) < 0.05
-    for k, (bad, good) in rates.items():
-        assert abs(model.given[k][-1][0] - bad) < 0.08 and abs(model.given[k][-1][1] - good) < 0.05
+    for k, (bad, good) in rates.items():  # a fifth of the other documents get no vote
+        assert abs(model.given[k][-1][0] - bad / (bad + (1 - bad) * 0.8)) < 0.08
+        assert abs(model.given[k][-1][1] - good / (good + (1 - good) * 0.8)) < 0.05
     right = sum((model.log_odds(dict(zip(rates, v))) >= 0) == good for good, v in rows)
     assert right / len(rows) > 0.9
-    assert quality.estimate([], ["a"]).posterior is not None
+    assert all(0.5 < x <= 1 for k, x in model.accuracies().items() if k != "d")
+    assert quality.estimate([], ["a"]).prior == 0.85
 
 
 def test_op8_agrees_with_labels(spark):

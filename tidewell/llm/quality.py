@@ -115,21 +115,20 @@ def rules() -> dict[str, Column]:
 
 
 class VoteModel:
-    """Class prior and, per rule, each vote's probability for (bad, good) documents."""
+    """Class prior and, per rule, each vote's share of the votes it casts on
+    (bad, good) documents."""
 
     def __init__(self, prior: float, given: dict[str, dict[int, tuple[float, float]]]):
         self.prior, self.given = prior, given
 
     def accuracies(self) -> dict[str, float]:
-        """Per rule, how often a vote (not an abstention) is right."""
-        out = {}
-        for name, g in self.given.items():
-            right = self.prior * g[1][1] + (1 - self.prior) * g[-1][0]
-            wrong = self.prior * g[-1][1] + (1 - self.prior) * g[1][0]
-            out[name] = right / (right + wrong)
-        return out
+        """Per rule, how often a vote is right."""
+        return {k: self.prior * g[1][1] + (1 - self.prior) * g[-1][0] for k, g in self.given.items()}
 
     def weight(self, name: str, vote: int) -> float:
+        """What a vote adds to the log odds; an abstention says nothing."""
+        if not vote:
+            return 0.0
         bad, good = self.given[name][vote]
         return math.log(good / bad)
 
@@ -140,35 +139,36 @@ class VoteModel:
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
         for name, vote in votes.items():
             odds = odds + F.when(vote == 1, F.lit(self.weight(name, 1))).when(
-                vote == -1, F.lit(self.weight(name, -1))).otherwise(F.lit(self.weight(name, 0)))
+                vote == -1, F.lit(self.weight(name, -1))).otherwise(F.lit(0.0))
         return 1 / (1 + F.exp(-odds))
 
 
-#: Where the estimation starts: how often a rule votes bad on bad and on good
-#: documents.  A bad document is mostly bad in one way, so most rules miss it;
-#: a rule seldom fires on a good one.  The other two votes start as equal.
+#: Where the estimation starts: how many of a rule's votes on bad and on good
+#: documents are bad.  A bad document is mostly bad in one way, so most rules
+#: miss it; a rule seldom fires on a good one.
 FIRES = (0.25, 0.002)
 
 
 def estimate(patterns: list[tuple[dict[str, int], int]], names: list[str], rounds: int = 50,
              prior: float = 0.85, held: float = 10.0) -> VoteModel:
     """Expectation-maximisation over (votes, number of documents).  ``held`` is
-    the number of made-up documents with the starting shares that stay in each
-    round, so that no probability becomes zero."""
-    start = {-1: FIRES, 0: tuple((1 - f) / 2 for f in FIRES), 1: tuple((1 - f) / 2 for f in FIRES)}
+    the number of made-up votes and documents with the starting shares that
+    stay in each round, so that no probability becomes zero."""
+    start = {-1: FIRES, 1: tuple(1 - f for f in FIRES)}
     model = VoteModel(prior, {k: dict(start) for k in names})
     total = sum(n for _, n in patterns)
     for _ in range(rounds if total else 0):
-        size = [held * (1 - prior), held * prior]
-        votes = {k: {s: [size[c] * start[s][c] for c in (0, 1)] for s in start} for k in names}
+        good = held * prior
+        votes = {k: {s: [held * start[s][c] for c in (0, 1)] for s in start} for k in names}
         for v, n in patterns:
             p = 1 / (1 + math.exp(-max(-500.0, min(500.0, model.log_odds(v)))))
-            for c, share in ((0, n * (1 - p)), (1, n * p)):
-                size[c] += share
-                for k in names:
-                    votes[k][v[k]][c] += share
-        model = VoteModel(size[1] / (total + held), {
-            k: {s: (votes[k][s][0] / size[0], votes[k][s][1] / size[1]) for s in start} for k in names})
+            good += n * p
+            for k in names:
+                if v[k]:
+                    votes[k][v[k]][0] += n * (1 - p)
+                    votes[k][v[k]][1] += n * p
+        model = VoteModel(good / (total + held), {
+            k: {s: tuple(votes[k][s][c] / (votes[k][1][c] + votes[k][-1][c]) for c in (0, 1)) for s in start} for k in names})
     return model
 
 
