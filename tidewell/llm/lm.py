@@ -109,11 +109,11 @@ def _chunks(texts: list[str]):
 
 
 def _pack(**arrays) -> bytes:
-    """Arrays as compressed bytes; integers in the narrowest type."""
+    """Arrays as compressed bytes (hashes as they are); integers in the narrowest type."""
     z = zstandard.ZstdCompressor(level=1)
     out = {}
     for k, a in arrays.items():
-        if a.dtype != np.uint64:
+        if a.dtype != np.uint64 and a.dtype.kind != "f":
             kind = next(t for t in ("u1", "u2", "u4", "i8") if t == "i8" or not len(a) or (0 <= a.min() and a.max() <= np.iinfo(t).max))
             a = a.astype(kind)
         out[k] = (a.dtype.str, z.compress(a.tobytes()) if a.dtype != np.uint64 else a.tobytes())
@@ -364,7 +364,7 @@ def _answer(part: int, data: list[bytes], seed: int):
 
 
 def _scores(bucket: int, data: list[bytes], answers: list[bytes], sums, seed: int, burn: int, samples: int, moves: int):
-    """(rows, ids, no ids, tokens, known, base, score) of the bucket's documents."""
+    """The bucket's share of its documents: row, id, none (no id), n, known, base, score."""
     n, vocabulary, tables, roots, one, two = (float(x) for x in sums)
     b = Bucket(data)
     seats = b.seated(seed)
@@ -396,7 +396,16 @@ def _scores(bucket: int, data: list[bytes], answers: list[bytes], sums, seed: in
     def by_doc(x):
         return np.bincount(b.doc, x[b.pair], docs)
 
-    return b.row, b.id, b.none, np.bincount(b.doc, minlength=docs), by_doc((c > 0)[b.w]).astype(np.int64), by_doc(word), by_doc(score)
+    return dict(row=b.row, id=b.id, none=b.none, n=np.bincount(b.doc, minlength=docs), known=by_doc((c > 0)[b.w]).astype(np.int64),
+                base=by_doc(word), score=by_doc(score))
+
+
+def _summed_docs(data: list[bytes]) -> dict[str, np.ndarray]:
+    """The buckets' shares of documents added up, by row."""
+    parts = sorted((_unpack(x) for x in data), key=lambda x: int(x["bucket"][0]))
+    row, first, at = np.unique(np.concatenate([x["row"] for x in parts]), return_index=True, return_inverse=True)
+    out = {k: np.concatenate([x[k] for x in parts])[first] for k in ("id", "none")}
+    return out | {k: np.bincount(at, np.concatenate([x[k] for x in parts]), len(row)) for k in ("n", "known", "base", "score")}
 
 
 # ---- the operator --------------------------------------------------------------------------
@@ -458,11 +467,20 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
 
     def finish(key, left, right):
         sums = [right.column(f"all_{k}")[0].as_py() for k in SUMS]
-        row, ids, none, n, known, base, value = _scores(
-            key[0].as_py(), column(left, "payload"), column(right, "answer"), sums, seed + key[0].as_py(), burn, samples, moves)
-        return pa.table({"row": pa.array(row), "doc_id": pa.array(ids, mask=none), "n_tokens": pa.array(n, pa.int64()),
-                         "n_known": pa.array(known), "train_tokens": pa.array(np.full(len(row), int(sums[0]))),
-                         "base_score": pa.array(base), "score": pa.array(value)})
+        bucket = key[0].as_py()
+        found = _scores(bucket, column(left, "payload"), column(right, "answer"), sums, seed + bucket, burn, samples, moves)
+        part = _place(_spread(found["row"].astype(np.uint64)), buckets)
+        parts = np.unique(part)
+        share = [_pack(bucket=np.array([bucket]), **{k: v[part == p] for k, v in found.items()}) for p in parts]
+        return pa.table({"part": pa.array(parts, pa.int64()), "train_tokens": pa.array(np.full(len(parts), int(sums[0]))),
+                         "payload": pa.array(share, pa.binary())})
+
+    def gather(key, t):
+        d = _summed_docs(column(t, "payload"))
+        return pa.table({"doc_id": pa.array(d["id"].astype(np.int64), mask=d["none"].astype(bool)),
+                         "n_tokens": pa.array(d["n"].astype(np.int64)), "n_known": pa.array(d["known"].astype(np.int64)),
+                         "train_tokens": pa.array(np.full(len(d["id"]), t.column("train_tokens")[0].as_py())),
+                         "base_score": pa.array(d["base"]), "score": pa.array(d["score"])})
 
     dealt = rows.mapInArrow(deal, "bucket long, payload binary")
     answers = dealt.groupBy("bucket").applyInArrow(ask, "part long, payload binary") \
@@ -471,10 +489,9 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     totals = answers.filter("bucket = -1").agg((F.max("bucket") + 1).alias("zero"), *(F.sum(k).alias(f"all_{k}") for k in SUMS))
     told = answers.filter("bucket >= 0").select("bucket", "answer", (F.col("bucket") * 0).alias("zero")).join(F.broadcast(totals), "zero").drop("zero")
     parts = dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(
-        finish, "row long, doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return parts.groupBy("row", "doc_id", "train_tokens").agg(
-        *(F.sum(k).alias(k) for k in ("n_tokens", "n_known", "base_score", "score"))) \
-        .select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+        finish, "part long, train_tokens long, payload binary")
+    return parts.groupBy("part").applyInArrow(
+        gather, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def perplexity(scored: DataFrame) -> Column:
