@@ -245,9 +245,9 @@ def test_op6_counts_and_edges(spark):
         n = brute_model(rows, 64)[lang]
         for b in range(64):
             assert abs(2.718281828459045 ** model.log_prob[b, j] - (n[b] + 1) / (sum(n.values()) + 64)) < 1e-9
-    odd = frame(spark, [(1, None), (2, ""), (3, "12 !? \n"), (4, "Der Hund"), (4, "Der Hund"), (None, "the dog"), (6, "the dog " * 200_000)], clashes=True)
+    odd = frame(spark, [(1, None), (2, ""), (3, "12 !? \n"), (7, "😀 😀"), (4, "Der Hund"), (4, "Der Hund"), (None, "the dog"), (6, "the dog " * 200_000)], clashes=True)
     got = {(r.doc_id, r.lang_pred) for r in language.predict(odd, model).collect()}
-    assert got == {(1, "und"), (2, "und"), (3, "und"), (4, "de"), (None, "en"), (6, "en")}
+    assert got == {(1, "und"), (2, "und"), (3, "und"), (7, "und"), (4, "de"), (None, "en"), (6, "en")}
     nothing = language.train(spark.createDataFrame([], "lang string, text string"))
     assert {r.lang_pred for r in language.predict(odd, nothing).collect()} == {"und"}
     assert language.predict(frame(spark, []), model).count() == 0

@@ -29,7 +29,10 @@ def crc(ids):
 def odd_texts(n=400):
     rng = random.Random(5)
     letters = "aA bé\n\t'sS<|>endoftx ̈ΣİǄﬀ１²\x1c\xa0。😀"
+    marks = "ab, . ,.\n'É»\u0301!A1"
     return ["".join(rng.choice(letters) for _ in range(rng.randint(0, 60))) for _ in range(n)] + \
+        ["".join(rng.choice(marks) for _ in range(rng.randint(0, 40))) for _ in range(n)] + \
+        ["One, two. Three,. four ., <|EndOfText|>, end. ", "a. B, c"] + \
         ["<|endoftext|> a<|startoftext|>b<|endoftext|>", "aaaaaaaaaaaa", "ab" * 3000, "", "  "]
 
 

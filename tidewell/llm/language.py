@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewell.llm.encode import worker_state
+
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 15
 CHUNK_CHARS = 500_000
@@ -27,8 +29,8 @@ _MIX = (np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 
 
 def _letters() -> np.ndarray:
-    """Per code point of the basic plane: itself if it is a letter, else 32."""
-    return np.array([c if chr(c).isalpha() else 32 for c in range(1 << 16)], np.uint32)
+    """Whether each code point is a letter; made once per worker."""
+    return worker_state("letters", lambda: np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000))
 
 
 def features(texts: list[str | None], letters: np.ndarray, orders=ORDERS, buckets: int = BUCKETS):
@@ -38,7 +40,7 @@ def features(texts: list[str | None], letters: np.ndarray, orders=ORDERS, bucket
     # every text and the blank behind it; lower() may change a text's length
     size = np.fromiter((len((t or "").lower()) + 2 for t in texts), np.int64, len(texts))
     owner = np.repeat(np.arange(len(texts)), size)[:len(code)]
-    code = np.where(code < 1 << 16, letters[np.minimum(code, 0xFFFF)], code)
+    code = np.where(letters[code], code, np.uint32(32))
     blank = code == 32
     keep = ~blank | np.append(True, ~blank[:-1])
     code, owner, blank = code[keep], owner[keep], blank[keep]
@@ -80,9 +82,9 @@ class LanguageModel:
 
 def train(rows: DataFrame, text: str = "text", lang: str = "lang", buckets: int = BUCKETS, smooth: float = 0.5) -> LanguageModel:
     """The model of all rows of ``rows`` with a language and a text."""
-    letters = _letters()
 
     def count(batches):
+        letters = _letters()
         total: dict[str, np.ndarray] = {}
         for b in batches:
             langs, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
@@ -114,13 +116,13 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang", buckets: int
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """The columns of ``docs`` without its text, then lang_pred and score, the
     predicted language's posterior probability."""
-    letters = _letters()
     shipped = docs.sparkSession.sparkContext.broadcast((model.languages, model.log_prior, np.ascontiguousarray(model.log_prob.T, np.float32)))
     ids = [c for c in docs.columns if c not in (text, "lang_pred", "score")]
     schema = docs.select(*ids, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def of(batches):
         languages, prior, prob = shipped.value
+        letters = _letters()
         buckets = prob.shape[1]
         for b in batches:
             texts = b.column(b.schema.get_field_index(text)).to_pylist()
