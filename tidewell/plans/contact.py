@@ -49,24 +49,29 @@ def contact_points(parties: DataFrame, extra: list[str] = ()) -> DataFrame:
                     *extra))
 
 
-def merge_parties(silver: DataFrame, batch: DataFrame, **kw) -> DataFrame:
-    newer = "source.recordVersion > target.recordVersion"
+def party_clauses() -> tuple[list, list]:
+    """(matched, not matched) of the party MERGE."""
+    newer = F.expr("source.recordVersion > target.recordVersion")
     erase = all_null([f"source.{c}" for c in PAYLOAD])
-    return merge(silver, batch, ["id"],
-                 matched=[delete(F.expr(newer) & ((F.col("source.recordType") == "delete") | erase)),
-                          update(F.expr(newer) & (F.col("source.recordType") == "upsert"),
-                                 {c: f"source.{c}" for c in PARTY_COLS})],
-                 not_matched=[insert(~erase, {c: f"source.{c}" for c in PARTY_COLS})], **kw)
+    values = {c: f"source.{c}" for c in PARTY_COLS}
+    return ([delete(newer & ((F.col("source.recordType") == "delete") | erase)),
+             update(newer & (F.col("source.recordType") == "upsert"), values)], [insert(~erase, values)])
 
 
-def merge_points(silver: DataFrame, batch: DataFrame, **kw) -> DataFrame:
+def point_clauses() -> tuple[list, list]:
+    """(matched, not matched) of the contact point MERGE."""
     newer = "source.recordVersion > target.recordVersion"
-    return merge(silver, batch, ["PartyId", "ContactPointId"],
-                 matched=[delete(f"{newer} AND (source.recordType = 'delete' OR source.Ph IS NULL)"),
-                          update(f"{newer} AND source.recordType = 'upsert'",
-                                 {c: f"source.{c}" for c in POINT_COLS})],
-                 not_matched=[insert("source.Ph IS NOT NULL", {c: f"source.{c}" for c in POINT_COLS})],
-                 **kw)
+    values = {c: f"source.{c}" for c in POINT_COLS}
+    return ([delete(f"{newer} AND (source.recordType = 'delete' OR source.Ph IS NULL)"),
+             update(f"{newer} AND source.recordType = 'upsert'", values)], [insert("source.Ph IS NOT NULL", values)])
+
+
+def merge_parties(silver: DataFrame, batch: DataFrame, **kw) -> DataFrame:
+    return merge(silver, batch, ["id"], *party_clauses(), **kw)
+
+
+def merge_points(silver: DataFrame, batch: DataFrame, **kw) -> DataFrame:
+    return merge(silver, batch, ["PartyId", "ContactPointId"], *point_clauses(), **kw)
 
 
 def first_load_parties(latest: DataFrame) -> DataFrame:
@@ -182,29 +187,16 @@ def normalize_phones(spark, sf_dir):
 
 def refine_batch(parties: "SnapshotTable", points: "SnapshotTable", batch: DataFrame, job: str,
                  batch_id: int) -> None:
-    """One micro-batch of L3: one record per party (persisted once), then both
+    """One micro-batch of L3: one record per party (stored once), then both
     silver tables, each published once per (job, batch_id) and rewriting only
     the buckets the batch's parties fall into."""
-    from tidewell.streaming.refine import persisted
     from tidewell.operators.merge import measured_size_bound
-    src = persisted(latest_parties(batch))
-    try:
-        # one measurement bounds both sources (a projection; three slots per row)
-        _, nbytes = measured_size_bound(src)
-        newer = "source.recordVersion > target.recordVersion"
-        erase = all_null([f"source.{c}" for c in PAYLOAD])
-        parties.merge_touched(
-            src.select(*PARTY_COLS, "recordType"), ["id"],
-            [delete(F.expr(newer) & ((F.col("source.recordType") == "delete") | erase)),
-             update(F.expr(newer) & (F.col("source.recordType") == "upsert"),
-                    {c: f"source.{c}" for c in PARTY_COLS})],
-            [insert(~erase, {c: f"source.{c}" for c in PARTY_COLS})],
-            job, batch_id, cardinality="off", source_bytes=nbytes)
-        points.merge_touched(
-            contact_points(src), ["PartyId", "ContactPointId"],
-            [delete(f"{newer} AND (source.recordType = 'delete' OR source.Ph IS NULL)"),
-             update(f"{newer} AND source.recordType = 'upsert'", {c: f"source.{c}" for c in POINT_COLS})],
-            [insert("source.Ph IS NOT NULL", {c: f"source.{c}" for c in POINT_COLS})],
-            job, batch_id, cardinality="off", source_bytes=3 * nbytes)
-    finally:
-        src.unpersist()
+    if parties.published(job, batch_id) and points.published(job, batch_id):
+        return
+    src = materialize(latest_parties(batch))
+    # one measurement bounds both sources (a projection; three slots per row)
+    _, nbytes = measured_size_bound(src)
+    parties.merge_touched(src.select(*PARTY_COLS, "recordType"), ["id"], *party_clauses(),
+                          job, batch_id, cardinality="off", source_bytes=nbytes)
+    points.merge_touched(contact_points(src), ["PartyId", "ContactPointId"], *point_clauses(),
+                         job, batch_id, cardinality="off", source_bytes=3 * nbytes)

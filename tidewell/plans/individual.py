@@ -145,23 +145,19 @@ def surrogate_key(spark, sf_dir):
 
 def refine_batch(persons: "SnapshotTable", addrs: "SnapshotTable", batch: DataFrame, job: str,
                  batch_id: int) -> None:
-    """One micro-batch of L2: refine once (persisted), then publish both
-    silver tables under (job, batch_id); a replay skips what is done."""
-    from tidewell.streaming.refine import persisted
+    """One micro-batch of L2: refine once (stored), then publish both silver
+    tables under (job, batch_id); a replay skips what is done."""
     from tidewell.operators.merge import measured_size_bound
-    src = persisted(refine_people(batch))
-    try:
-        # one measurement of the batch bounds both sources: the person slice
-        # is a projection of it, the address rows two projections per row
-        _, nbytes = measured_size_bound(src)
-        persons.merge_touched(src.select(*PERSON_COLS), ["id"], [update(NEWER, "*")],
-                              [insert(None, "*")], job, batch_id, cardinality="off",
-                              source_bytes=nbytes)
-        addrs.merge_touched(addresses(src), ["id", "AddressId"], [update(NEWER, "*")],
-                            [insert(None, "*")], job, batch_id, cardinality="off",
-                            source_bytes=2 * nbytes)
-    finally:
-        src.unpersist()
+    if persons.published(job, batch_id) and addrs.published(job, batch_id):
+        return
+    src = materialize(refine_people(batch))
+    # one measurement of the batch bounds both sources: the person slice
+    # is a projection of it, the address rows two projections per row
+    _, nbytes = measured_size_bound(src)
+    persons.merge_touched(src.select(*PERSON_COLS), ["id"], [update(NEWER, "*")],
+                          [insert(None, "*")], job, batch_id, cardinality="off", source_bytes=nbytes)
+    addrs.merge_touched(addresses(src), ["id", "AddressId"], [update(NEWER, "*")],
+                        [insert(None, "*")], job, batch_id, cardinality="off", source_bytes=2 * nbytes)
 
 
 # Keys are declared NOT NULL, as in the reference's silver DDL; the snapshot

@@ -18,10 +18,10 @@ from tidewell.operators.merge import insert, merge, update
 from tidewell.plans import bronze as B
 from tidewell.plans.orders import MERGE_ACCUMULATE_SQL, ORDERS_SWAPPED_SQL, order_key, refine_orders
 from tidewell.plans.registry import query
-from tidewell.session import ddl_schema, fresh_dir, read_table
+from tidewell.session import ddl_schema, fresh_dir, materialize, read_table
 from tidewell.sources import sinks
 from tidewell.sources.tables import SnapshotTable, buckets_for
-from tidewell.streaming.refine import persisted, query_id, refine_stream
+from tidewell.streaming.refine import query_id, refine_stream
 
 BRONZE_SCHEMA = ("order_id string, record_version int, amount double, arrival timestamp_ntz, "
                  "record_type string, event_id bigint")
@@ -36,7 +36,7 @@ def _bronze(spark, sf_dir) -> DataFrame:
 
 def run_arrivals(spark, arrivals: list[DataFrame], silver: SnapshotTable, apply, label: str) -> DataFrame:
     """Land each arrival, run the stream once per arrival (same checkpoint);
-    each micro-batch: refine once (persisted), then ``apply(silver, batch,
+    each micro-batch: refine once (stored), then ``apply(silver, batch,
     job, batch_id)`` publishes the MERGE under (job, batch_id)."""
     landing = fresh_dir(spark, f"{label}-landing")
     checkpoint = fresh_dir(spark, f"{label}-checkpoint")
@@ -45,11 +45,7 @@ def run_arrivals(spark, arrivals: list[DataFrame], silver: SnapshotTable, apply,
         job = query_id(batch_df.sparkSession, checkpoint)
         if silver.published(job, batch_id):
             return
-        src = persisted(refine_orders(batch_df))
-        try:
-            apply(silver, src, job, batch_id)
-        finally:
-            src.unpersist()
+        apply(silver, materialize(refine_orders(batch_df)), job, batch_id)
 
     for arrival in arrivals:
         arrival.write.mode("append").parquet(landing)

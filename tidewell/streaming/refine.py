@@ -19,7 +19,6 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -83,7 +82,3 @@ def refine_stream(spark: SparkSession, source: str, schema: StructType | str,
         q.awaitTermination()
     return q
 
-
-def persisted(df: DataFrame) -> DataFrame:
-    """Cache a micro-batch that several merges read; unpersist in ``finally``."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
