@@ -55,3 +55,10 @@ def test_stages_take_odd_documents(spark):
         docs = out
     assert docs.count() > 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() >= docs.count()
+
+
+def test_every_operator_has_a_registered_query():
+    import __spark_entry__ as entry
+    names = set(entry.queries())
+    assert "pipeline" in names
+    assert all(sum(q.startswith(f"op{n}_") for q in names) == 1 for n in range(1, 11))
