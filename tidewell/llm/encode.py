@@ -3,19 +3,22 @@
 from __future__ import annotations
 
 import json
+import os
 import re
 import sys
 import types
 from itertools import chain, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import SparkSession
 
 #: Words that one Python worker keeps before it forgets those it met once.
 CACHE_WORDS = 800_000
-#: Characters of text that are encoded together.
-CHUNK_CHARS = 2_000_000
+#: Bytes of text that are encoded together.
+CHUNK_BYTES = 4_000_000
 
 
 def tokenizer_json(spark: SparkSession, path: str | None, name: str):
@@ -45,9 +48,12 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
-#: Shape of a tokenizer that drops white space: what stands between blanks is
-#: then encoded on its own.
-DROPS_SPACE = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"]}
+#: The shape of a tokenizer that lower-cases, drops white space and
+#: parts letters from marks, so that words and marks are encoded on their own.
+DROPS_SPACE = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"],
+               "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+#: A mark that may belong to another one before it.
+JOINED_MARK = r"[^\pL\pN][.,] "
 
 
 class Encoder:
@@ -62,10 +68,14 @@ class Encoder:
         self.size = self.full.get_vocab_size()
         shape = {"normalizer": [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])],
                  "pre_tokenizer": [x["type"] for x in (spec["pre_tokenizer"] or {}).get("pretokenizers", [])]}
+        first = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        shape["pattern"] = first.get("pattern", {}).get("Regex")
         self.by_word = shape == DROPS_SPACE
         if self.by_word:
-            self.pieces = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-            special = "|".join(re.escape(x["content"]) for x in spec["added_tokens"])
+            self.pieces = regex.compile(shape["pattern"])
+            contents = [x["content"] for x in spec["added_tokens"]]
+            special = "|".join(map(re.escape, contents))
+            self.mark = os.path.commonprefix(contents)
             # words for the whole tokenizer: special strings, and letters whose
             # normal or lower-case form is not one letter of Latin's first blocks
             self.odd = re.compile(f"[^\x20-\x7e\xa1-įı-ňŊ-ž]|{special}")
@@ -131,8 +141,17 @@ class Encoder:
             ids = [e.ids for e in self.full.encode_batch_fast(odd, add_special_tokens=False)]
             self._put(odd, np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids)))
             words = words.difference(odd)
-        cut = {w: self.pieces.findall(w.lower()) for w in words if not (w.isalpha() and w.islower())}
-        parts = [w for w in words if w not in cut]
+        parts, cut = [], {}
+        for w in words:  # the usual shapes are cut without the pattern
+            if w.isalpha():
+                if w.islower():
+                    parts.append(w)
+                else:
+                    cut[w] = [w.lower()]
+            elif w[-1] in ".," and w[:-1].isalpha():
+                cut[w] = [w[:-1].lower(), w[-1]]
+            else:
+                cut[w] = self.pieces.findall(w.lower())
         parts += set(chain.from_iterable(cut.values())).difference(parts, self.index)
         if parts:
             spelled = " ".join(parts)
@@ -147,26 +166,39 @@ class Encoder:
             ends = np.append(0, np.cumsum(lens))[np.append(0, last)]
             self._put(whole, flat, np.diff(ends))
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _spaced(self, texts: pa.Array) -> pa.Array:
+        """The texts with blanks for line ends, in lower case, and a blank before
+        commas and stops at the ends of words: the same ids from fewer
+        different words.  A text where a mark may belong to another one before
+        it keeps its marks, and one that may hold special tokens its case."""
+        plain = pc.replace_substring(texts, "\n", " ")
+        if self.mark and not re.search("[A-Za-z]", self.mark) and not pc.any(pc.match_substring(texts, self.mark)).as_py():
+            plain = pc.ascii_lower(plain)
+        apart = pc.replace_substring(pc.replace_substring(plain, ", ", " , "), ". ", " . ")
+        return pc.if_else(pc.match_substring_regex(plain, JOINED_MARK), plain, apart)
+
+    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.by_word:
-            ids = [e.ids for e in self.full.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = [e.ids for e in self.full.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
             return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
         if len(self.index) > CACHE_WORDS:
             self._forget()
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        words = list(chain.from_iterable(cut))
-        flat, lens = self._ids(self._places(words))
-        last = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut))) - 1
+        cut = pc.split_pattern(self._spaced(texts), " ")
+        words = cut.flatten().dictionary_encode()  # so that Python sees each word once
+        at = self._places(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        flat, lens = self._ids(at)
+        last = np.cumsum(pc.list_value_length(cut).to_numpy()) - 1
         return flat, np.diff(np.cumsum(lens)[last], prepend=0)
 
-    def encode(self, texts: list[str]):
-        """Yields (from, to, flat ids, ids per text) for runs of ``texts``."""
+    def encode(self, texts: list[str | None] | pa.Array):
+        """Yields (from, to, flat ids, ids per text) for runs of ``texts``; null
+        is empty."""
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        size = np.cumsum(pc.binary_length(texts).to_numpy())
         at = 0
         while at < len(texts):
-            to, chars = at, 0
-            while to < len(texts) and (to == at or chars + len(texts[to]) <= CHUNK_CHARS):
-                chars += len(texts[to])
-                to += 1
+            before = int(size[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(size, before + CHUNK_BYTES, side="right")))
             yield at, to, *self._encode(texts[at:to])
             at = to
 
@@ -180,6 +212,8 @@ def with_end(flat: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndar
     counts = counts + 1
     ends = np.cumsum(counts) - 1
     out = np.empty(len(flat) + len(counts), flat.dtype)
+    inner = np.ones(len(out), bool)
+    inner[ends] = False
     out[ends] = end_id
-    out[np.delete(np.arange(len(out)), ends)] = flat
+    out[inner] = flat
     return out, counts

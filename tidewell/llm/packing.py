@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import text_or_empty, written
+from tidewell.llm.common import written
 from tidewell.llm.encode import encoder, tokenizer_json, with_end
 
 TOKENS = 4096
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", tokens:
         enc = encoder(source.value)
         for b in batches:
             keys = b.column(0)
-            for at, to, flat, counts in enc.encode(text_or_empty(b.column(1).to_pylist())):
+            for at, to, flat, counts in enc.encode(b.column(1)):
                 flat, counts = with_end(flat, counts, end_id)
                 n = -(-counts // tokens)
                 doc = np.repeat(np.arange(to - at), n)

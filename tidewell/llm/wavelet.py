@@ -22,7 +22,6 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import text_or_empty
 from tidewell.llm.encode import encoder, tokenizer_json, with_end
 
 BLOCK_TOKENS = 1 << 20
@@ -43,16 +42,16 @@ class WaveletMatrix:
         zeros, planes, ones = [], [], []
         v = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         for shift in range(levels - 1, -1, -1):
-            bit = (v >> shift & 1).astype(bool)
+            bit = v & v.dtype.type(1 << shift) != 0
             packed = np.packbits(bit, bitorder="little")
             wide = np.zeros(-(-len(packed) // (SUPER // 8)) * (SUPER // 8), np.uint8)
             wide[:len(packed)] = packed
             count = np.bitwise_count(wide).reshape(-1, SUPER // 8).sum(axis=1, dtype=np.uint32)
             planes.append(packed)
             ones.append((np.cumsum(count, dtype=np.uint32) - count).astype(np.uint32))
-            low = v[~bit]
+            low = np.compress(~bit, v)
             zeros.append(len(low))
-            v = np.concatenate([low, v[bit]])
+            v = np.concatenate([low, np.compress(bit, v)])
         return cls(len(ids), np.array(zeros, np.int64), planes, ones)
 
     def _bit(self, level: int, i: int) -> int:
@@ -122,14 +121,15 @@ class WaveletMatrix:
 
     def ids(self) -> np.ndarray:
         """All ids, by undoing the orders from the lowest plane up."""
-        v = np.zeros(self.n, np.uint32)
+        kind = np.uint16 if len(self.planes) <= 16 else np.uint32
+        v = np.zeros(self.n, kind)
         for k in range(len(self.planes) - 1, -1, -1):
             bit = np.unpackbits(self.planes[k], count=self.n, bitorder="little").astype(bool)
             up = np.empty_like(v)
             up[~bit] = v[:self.zeros[k]]
-            up[bit] = v[self.zeros[k]:] | np.uint32(1 << (len(self.planes) - 1 - k))
+            up[bit] = v[self.zeros[k]:] | kind(1 << (len(self.planes) - 1 - k))
             v = up
-        return v
+        return v.astype(np.uint32)
 
 
 def matrix(row: dict) -> WaveletMatrix:
@@ -163,7 +163,7 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
         ids, counts, tokens = [], [], []
         for b in batches:
             keys = b.column(0).to_pylist()
-            for at, to, flat, n in enc.encode(text_or_empty(b.column(1).to_pylist())):
+            for at, to, flat, n in enc.encode(b.column(1)):
                 flat, n = with_end(flat, n, end_id)
                 ends = np.cumsum(n)
                 lo, held = 0, sum(map(len, tokens))
