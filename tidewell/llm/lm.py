@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 from tidewell.llm.common import text_or_empty
 
-BUCKET_TOKENS = 3_000_000
-FLUSH_TOKENS = 3_000_000
+BUCKET_TOKENS = 2_000_000
+FLUSH_TOKENS = 2_500_000
 CHUNK_BYTES = 1 << 20
 #: Bytes of text that a token takes, for the number of buckets before tokens are counted.
 TOKEN_BYTES = 6
