@@ -116,7 +116,10 @@ def candidates(lines: DataFrame, rare_documents: int = RARE_DOCUMENTS) -> DataFr
     shared = held.groupBy("line").agg(F.count("*").alias("n"), F.min("key").alias("earlier")).filter("n > 1")
     with_first = held.join(shared, "line")
     first = with_first.filter("earlier < key").select("earlier", F.col("key").alias("later"))
-    rare = with_first.filter(F.col("n").between(3, rare_documents)).groupBy("line").agg(F.array_sort(F.collect_set("key")).alias("k"))
+    # grouped by another expression than the join's, so that the join, which
+    # still has the frequent lines, may be split on them
+    rare = with_first.filter(F.col("n").between(3, rare_documents)).groupBy(F.struct("line").alias("line")) \
+        .agg(F.array_sort(F.collect_set("key")).alias("k"))
     # the first holder has its pairs already; at most rare_documents - 1 are left
     others = rare.select(F.slice("k", F.lit(2), F.size("k") - 1).alias("k")).select(F.posexplode("k").alias("at", "later"), "k") \
         .select(F.explode(F.slice("k", F.lit(1), F.col("at"))).alias("earlier"), "later")
