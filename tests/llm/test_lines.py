@@ -93,3 +93,13 @@ def test_op2_first_copy_stays(spark):
 
 def test_op2_empty_table(spark):
     assert lines.dedup(frame(spark, [])).count() == 0
+
+
+def test_op2_passage_whose_lines_stand_alone_before(spark):
+    """Single lines lead each later holder to the wrong first holder only."""
+    rng = random.Random(8)
+    one, two, blank = prose(rng, 20, 20), prose(rng, 20, 20), ""
+    rows = [(1, "a1\n" + one), (2, "a2\n" + two)]
+    rows += [(k, f"start {k}\n{one}\n{blank}\n{two}\nend {k}") for k in range(3, 12)]
+    got = {r.doc_id: r.text for r in lines.dedup_documents(frame(spark, rows)).collect()}
+    assert got == {**dict(rows[:3]), **{k: f"start {k}\nend {k}" for k in range(4, 12)}}

@@ -1,11 +1,14 @@
 """Line dedup by pairwise alignment (operator 2).
 
-Documents that share a line are candidates.  A rare line (held by up to
-``rare_documents``) pairs all its holders; a more frequent one pairs each holder
-with the first, which still links every holder and grows with the number of
-lines, not of pairs.  Each pair is aligned by patience diff on line hashes,
-and blocks of consecutive common lines with ``min_words`` words or more are
-deleted from the later document.  The first holder of a block keeps it.
+Documents that share a line, or a run of lines with ``min_words`` words, are
+candidates.  A rare one (held by up to ``rare_documents``) pairs all its holders;
+a more frequent one pairs each holder with the first, which grows with the
+number of lines, not of pairs.  The runs are, from each line on and up to each
+line, the shortest with ``min_words`` words: every common block of any two
+documents is made of such runs, so each part of it is paired with its first holder.
+Each pair is aligned by patience diff on line hashes, and blocks of consecutive
+common lines with ``min_words`` words or more are deleted from the later
+document.  The first holder of a block keeps it.
 
 "Later" is by id (null last), then by text hash.  Rows with equal id and text
 count as one document and all lose the same lines.  Lines are what stands
@@ -29,6 +32,8 @@ from tidewell.llm.common import written
 
 MIN_WORDS = 30
 RARE_DOCUMENTS = 4
+#: Base of the runs' hashes.
+BASE = 0x9E3779B97F4A7C15
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
@@ -109,10 +114,50 @@ def line_table(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
         .dropDuplicates(["key"])
 
 
-def candidates(lines: DataFrame, rare_documents: int = RARE_DOCUMENTS) -> DataFrame:
-    """Pairs earlier, later of documents that share a line with a word."""
-    zipped = F.filter(F.arrays_zip("hashes", "words"), lambda x: x["words"] > 0)
-    held = lines.select("key", F.explode(F.array_distinct(F.transform(zipped, lambda x: x["hashes"]))).alias("line"))
+def runs(words: np.ndarray, lens: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(from, to) of the shortest runs with ``min_words`` words from each line on
+    and up to each line (lines with a word), in documents of ``lens`` lines."""
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    last = np.cumsum(lens)
+    first, last = np.repeat(last - lens, lens), np.repeat(last, lens)
+    at = np.flatnonzero(words > 0)
+    to = np.searchsorted(total, total[at] + min_words)
+    start = np.searchsorted(total, total[at + 1] - min_words, "right") - 1
+    on, up = to <= last[at], start >= first[at]
+    return np.concatenate([at[on], start[up]]), np.concatenate([to[on], at[up] + 1])
+
+
+def run_hashes(hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A polynomial over the lines' hashes; a run of one line has the line's."""
+    n = len(hashes)
+    up, down = (np.cumprod(np.concatenate([[np.uint64(1)], np.full(n, b, np.uint64)])) for b in (BASE, pow(BASE, -1, 1 << 64)))
+    total = np.concatenate([[np.uint64(0)], np.cumsum(hashes.view(np.uint64) * up[:n])])
+    return ((total[end] - total[start]) * down[start]).view(np.int64)
+
+
+def held_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """key, line: the lines with a word and the runs of each document, once each."""
+    def hold(batches):
+        for batch in batches:
+            hashes, words = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (1, 2))
+            lens = batch.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            doc = np.repeat(np.arange(len(lens)), lens)
+            one = np.flatnonzero(words > 0)
+            start, end = runs(words, lens, max(min_words, 1))
+            line, doc = np.concatenate([hashes[one], run_hashes(hashes, start, end)]), np.concatenate([doc[one], doc[start]])
+            order = np.lexsort((line, doc))
+            line, doc = line[order], doc[order]
+            new = np.ones(len(line), bool)
+            new[1:] = (np.diff(line) != 0) | (np.diff(doc) != 0)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc[new])), pa.array(line[new])], names=["key", "line"])
+
+    schema = lines.select("key", F.lit(0).cast("long").alias("line")).schema
+    return lines.select("key", "hashes", "words").mapInArrow(hold, schema)
+
+
+def candidates(lines: DataFrame, rare_documents: int = RARE_DOCUMENTS, min_words: int = MIN_WORDS) -> DataFrame:
+    """Pairs earlier, later of documents that share a line with a word or a run."""
+    held = held_lines(lines, min_words)
     shared = held.groupBy("line").agg(F.count("*").alias("n"), F.min("key").alias("earlier")).filter("n > 1")
     with_first = held.join(shared, "line")
     first = with_first.filter("earlier < key").select("earlier", F.col("key").alias("later"))
@@ -131,7 +176,7 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_word
     """Per document that loses lines: _id, _h (text hash) and cut, its
     sorted (from, to) line ranges."""
     lines = written(line_table(docs, doc_id, text), "lines")
-    pairs = candidates(lines, rare_documents)
+    pairs = candidates(lines, rare_documents, min_words)
     earlier = lines.select(F.col("key").alias("earlier"), F.col("hashes").alias("a"))
     later = lines.select(F.col("key").alias("later"), F.col("hashes").alias("b"), "words")
     both = pairs.join(earlier, "earlier").join(later, "later")
