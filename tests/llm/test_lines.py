@@ -103,3 +103,43 @@ def test_op2_passage_whose_lines_stand_alone_before(spark):
     rows += [(k, f"start {k}\n{one}\n{blank}\n{two}\nend {k}") for k in range(3, 12)]
     got = {r.doc_id: r.text for r in lines.dedup_documents(frame(spark, rows)).collect()}
     assert got == {**dict(rows[:3]), **{k: f"start {k}\nend {k}" for k in range(4, 12)}}
+
+
+def every_pair(rows, min_words):
+    """{id: text left}: every pair of documents, every common run of lines."""
+    text = [t.split("\n") for _, t in rows]
+    out = {}
+    for k, b in enumerate(text):
+        gone = set()
+        for a in text[:k]:
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    n = 0
+                    while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                        n += 1
+                    if sum(len(x.split()) for x in b[j:j + n]) >= min_words:
+                        gone |= set(range(j, j + n))
+        out[rows[k][0]] = "\n".join(x for j, x in enumerate(b) if j not in gone)
+    return out
+
+
+def test_op2_repeated_passages(spark):
+    """A passage twice in the first holder, in a later one, or in both."""
+    rng = random.Random(9)
+    p = prose(rng, 40, 20)
+    rows = [(1, f"x\n{p}\nm\n{p}\ny")] + [(k, f"u{k}\n{p}\nw{k}") for k in range(2, 9)] + [(9, f"s\n{p}\nt\n{p}\nv")]
+    got = {r.doc_id: r.text for r in lines.dedup_documents(frame(spark, rows)).collect()}
+    assert got == {**dict(rows[:1]), **{k: f"u{k}\nw{k}" for k in range(2, 9)}, 9: "s\nt\nv"}
+
+
+def test_patience_without_unique_lines():
+    assert lines.patience([0, 1, 2, 3, 1, 2, 4], [5, 1, 2, 6]) == [(1, 1), (2, 2)]
+
+
+def test_op2_equals_every_pair(spark):
+    """Few lines, so that they repeat, cross and stand alone in earlier documents."""
+    rng = random.Random(10)
+    pool = [prose(rng, n, n) for n in (3, 4, 5, 6, 7, 12, 5, 6)]
+    rows = [(k, "\n".join([f"own {k}"] + [rng.choice(pool) for _ in range(rng.randint(1, 9))])) for k in range(60)]
+    got = {r.doc_id: r.text for r in lines.dedup(frame(spark, rows), min_words=11).collect()}
+    assert got == every_pair(rows, 11)

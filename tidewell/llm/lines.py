@@ -8,7 +8,9 @@ line, the shortest with ``min_words`` words: every common block of any two
 documents is made of such runs, so each part of it is paired with its first holder.
 Each pair is aligned by patience diff on line hashes, and blocks of consecutive
 common lines with ``min_words`` words or more are deleted from the later
-document.  The first holder of a block keeps it.
+document.  Where common lines are left, so are the blocks that the alignment
+does not meet (repeated in one of the two, or in another order).  The first
+holder of a block keeps it.
 
 "Later" is by id (null last), then by text hash.  Rows with equal id and text
 count as one document and all lose the same lines.  Lines are what stands
@@ -36,10 +38,19 @@ RARE_DOCUMENTS = 4
 BASE = 0x9E3779B97F4A7C15
 
 
+def _numbered(a: list[int], lo: int, hi: int) -> dict[tuple[int, int], int]:
+    """Place of the k-th occurrence of each line between ``lo`` and ``hi``."""
+    seen, out = {}, {}
+    for i in range(lo, hi):
+        k = seen[a[i]] = seen.get(a[i], -1) + 1
+        out[a[i], k] = i
+    return out
+
+
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Matched places (in a, in b), rising in both: equal ends first, then the
-    longest rising run of the lines that are unique in both, and the same again
-    between these."""
+    longest rising run of the lines that are unique in both (if there are none, of
+    the k-th occurrences in both), and the same again between these."""
     out = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
@@ -58,6 +69,9 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
         for j in range(b0, b1):
             in_b[b[j]] = -1 if b[j] in in_b else j
         unique = sorted((i, in_b[h]) for h, i in in_a.items() if i >= 0 and in_b.get(h, -1) >= 0)
+        if not unique:
+            in_a, in_b = _numbered(a, a0, a1), _numbered(b, b0, b1)
+            unique = sorted((i, in_b[h]) for h, i in in_a.items() if h in in_b)
         if not unique:
             continue
         ends, tops, back = [], [], [None] * len(unique)
@@ -83,11 +97,12 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
-    """(from, to) in b of the aligned blocks with ``min_words`` words or more."""
+    """(from, to) in b of the aligned blocks with ``min_words`` words or more, and,
+    where common lines are left, of all runs of lines that a has too."""
     shared = set(a).intersection(b)
     if sum(w for h, w in zip(b, words) if h in shared) < min_words:
         return []
-    out, start = [], None
+    out, start, left = [], None, 0
     match = patience(a, b)
     for k, (i, j) in enumerate(match):
         if start is None:
@@ -96,6 +111,54 @@ def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int)
             if sum(words[start:j + 1]) >= min_words:
                 out.append((start, j + 1))
             start = None
+    at = 0
+    for s, e in [*out, (len(b), len(b))]:
+        left += sum(w for h, w in zip(b[at:s], words[at:s]) if h in shared)
+        at = e
+    return out + repeated(a, b, words, min_words) if left else out
+
+
+def repeated(a: list[int], b: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(from, to) in b of the longest runs of lines that stand anywhere in a and
+    have ``min_words`` words: what an alignment leaves that goes once through both
+    (passages that b repeats or has in another order)."""
+    step, link, longest = [{}], [-1], [0]  # suffix automaton of a
+    end = 0
+    for h in a:
+        new = len(step)
+        step.append({})
+        link.append(0)
+        longest.append(longest[end] + 1)
+        p = end
+        while p >= 0 and h not in step[p]:
+            step[p][h] = new
+            p = link[p]
+        if p >= 0:
+            q = step[p][h]
+            if longest[q] != longest[p] + 1:
+                step.append(dict(step[q]))
+                link.append(link[q])
+                longest.append(longest[p] + 1)
+                copy = len(step) - 1
+                link[q] = copy
+                while p >= 0 and step[p].get(h) == q:
+                    step[p][h] = copy
+                    p = link[p]
+                q = copy
+            link[new] = q
+        end = new
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)]).tolist()
+    out, at, n = [], 0, 0
+    for j, h in enumerate(b):
+        while at and h not in step[at]:
+            at = link[at]
+            n = longest[at]
+        at, n = (step[at][h], n + 1) if h in step[at] else (0, 0)
+        if n and total[j + 1] - total[j + 1 - n] >= min_words:
+            s = j + 1 - n
+            while out and out[-1][0] >= s:
+                out.pop()
+            out.append((s, j + 1))
     return out
 
 
