@@ -1,6 +1,8 @@
 """Secret scan with a random forest against false positives (operator 5).
 
-Findings are long words with a digit or a run of capitals.  Each has
+Findings are long runs of value characters with a digit or a run of capitals, of
+which a word may have several, addresses with a password in them, and whatever
+is assigned to a secret's name.  Each has
 features: length, transitions between kinds of characters and between the
 characters themselves, entropy, how much of its letters is words of the
 corpus' own dictionary, what its place looks like (source, path marks) and its
@@ -32,8 +34,23 @@ TRAINING_ROWS = 100_000
 MIN_LENGTH = 10
 #: documents that must hold a word before the dictionary knows it
 DICTIONARY_DOCUMENTS = 3
+#: The last run of value characters of a word.
 VALUE = r"([A-Za-z0-9+/_.@:~-]+=*)[^A-Za-z0-9=]*$"
 SECRET_NAME = r"(?i)(passw|pwd|secret|token|api.?key|access.?key|credential|auth|private.?key)"
+#: What ends with an assignment to a secret's name.
+NAMED = SECRET_NAME + r"[\w.-]*[^\w\s:=]*\s*[:=]+>?\s*[^\w\s]*$"
+#: The assignment at the start of a run that has one, with the place of its value.
+ASSIGNED = (r"^[\w.-]*?(?i:passw|pwd|secret|token|api.?key|access.?key|credential|auth|private.?key)"
+            r"[\w.-]*[\"'`\]]*[:=]+>?[\"'`]?")
+#: scheme://user:password@host
+CREDENTIALS = r"[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\s:/@\"'`<>?#]{0,64}:(?!//)[^\s@\"'`<>]{1,128}@[A-Za-z0-9.-]+"
+#: user:password@host
+USER_AT = r"^[A-Za-z0-9_.+~-]+:(?!//)[^\s@]+@[A-Za-z0-9.-]+"
+#: The runs of a word, read from left to right: an address with a password, a value
+#: assigned to a secret's name (all up to the quote, or to a separator), or value characters.
+RUNS = (CREDENTIALS + r"[A-Za-z0-9/_.:~-]*|(?<![\w.-])[\w.-]{0,64}?" + ASSIGNED[len(r"^[\w.-]*?"):].replace(r"[\w.-]*", r"[\w.-]{0,64}").replace(r"[\"'`]?", "")
+        + r"(?:\"[^\"]+|'[^']+|`[^`]+|[^\s\"'`,;&<>(){}\[\]|]+)"
+        + r"|[A-Za-z0-9+/_.@:~-]+(?:=+(?![A-Za-z0-9+/_.@:~=\"'`-]))?")
 PLACEHOLDER = r"(?i)(example|sample|dummy|changeme|placeholder|your[_-]|xxxx|test)"
 #: Forms that are secrets whatever stands around them.
 SECRET_FORM = (r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[0-9A-Za-z]{36,}$|^xox[abprs]-[0-9A-Za-z-]{10,}$"
@@ -44,31 +61,62 @@ PLAIN_FORM = (r"^[0-9.,:/+-]+$|^[^@\s]+@[A-Za-z0-9.-]+$|^[a-z]+://|^[0-9A-Fa-f]{
 
 
 def findings(docs: DataFrame, text: str = "text", source: str | None = "source") -> DataFrame:
-    """One row per candidate: the other columns of ``docs`` in ``row``, at (the
-    word's place), value, name (what stands before it in its word), before and
-    after (two words each), and path (the document's source)."""
+    """One row per candidate, of which a word may have several: the other columns
+    of ``docs`` in ``row``, at (the word's place), value, name (what stands before
+    it in its word), before and after (two words each), and path (the document's
+    source)."""
     def found(w: Column) -> Column:
+        def named(i: Column) -> Column:
+            """The two words before end with an assignment to a secret's name, or do so with the mark that begins the word."""
+            p, q = F.coalesce(F.get(w, i - 1), F.lit("")), F.coalesce(F.get(w, i - 2), F.lit(""))
+            return (p.rlike("[:=]>?[^A-Za-z0-9]{0,4}$") | F.get(w, i).rlike("^[:=]")) & F.concat_ws(
+                " ", q, p, F.regexp_extract(F.get(w, i), "^[:=]*", 0)).rlike(NAMED)
+
         at = F.transform(w, lambda x, i: F.when(
-            (F.length(x) >= MIN_LENGTH) & x.rlike(f"[0-9]|[A-Z]{{16}}|{SECRET_NAME}"), F.struct(
+            (F.length(x) >= MIN_LENGTH) & x.rlike("[0-9]|[A-Z]{16}|://") | x.rlike("[:=]") & x.rlike(SECRET_NAME) | named(i), F.struct(
                 i.alias("at"), x.alias("word"), F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).alias("before"),
                 F.concat_ws(" ", F.get(w, i + 1), F.get(w, i + 2)).alias("after"))))
         return F.filter(at, lambda x: x.isNotNull())
 
+    def placed(runs: Column) -> Column:
+        """value and name of each run; a run is looked for behind the one before it."""
+        start = F.struct(F.lit(1).alias("to"), F.array().cast("array<struct<value:string,name:string>>").alias("out"))
+
+        def add(acc: Column, run: Column) -> Column:
+            lead = F.length(F.regexp_extract(run, ASSIGNED, 0))
+            at = F.call_function("locate", run, F.col("word"), acc["to"]) + lead
+            value = F.substring(run, lead + 1, F.length(run))
+            return F.struct((at - lead + F.length(run)).alias("to"), F.concat(acc["out"], F.array(F.struct(
+                value.alias("value"), F.substring(F.col("word"), F.lit(1), at - 1).alias("name")))).alias("out"))
+
+        return F.aggregate(runs, start, add, lambda acc: acc["out"])
+
     own = [c for c in docs.columns if c != text]
     rows = docs.select(F.struct(*own).alias("row") if own else F.struct(F.lit(0).alias("_")).alias("row"),
                        (F.col(source) if source in docs.columns else F.lit(None).cast("string")).alias("path"),
                        F.explode(let(split_words(F.col(text)), found)).alias("x"))
-    return rows.select("row", "path", "x.*").withColumn("value", F.regexp_extract("word", VALUE, 1)) \
-        .withColumn("name", F.expr("left(word, locate(value, word) - 1)")) \
-        .filter((F.length("value") >= MIN_LENGTH) & F.col("value").rlike("[0-9]|[A-Z]{16}")).drop("word")
+    runs = rows.select("row", "path", "x.*").withColumn("x", F.explode(placed(F.regexp_extract_all("word", F.lit(RUNS), F.lit(0)))))
+    return runs.select("row", "path", "at", "x.value", "x.name", "before", "after").filter(
+        strong(F.col("value")) | is_named() & F.col("value").rlike("[A-Za-z0-9]") | F.col("value").rlike("^" + CREDENTIALS))
+
+
+def strong(value: Column) -> Column:
+    """Long, with a digit or a run of capitals: a candidate wherever it stands."""
+    return (F.length(value) >= MIN_LENGTH) & value.rlike("[0-9]|[A-Z]{16}")
+
+
+def is_named() -> Column:
+    """The value stands directly after an assignment to a secret's name, in its word or before it."""
+    return F.col("name").rlike(NAMED) | ~F.col("name").rlike("[A-Za-z0-9]") & F.concat_ws(" ", "before", "name").rlike(NAMED)
 
 
 def labelled(found: DataFrame) -> Column:
-    """1.0, 0.0 or null by the finding's form, read from value, name and before."""
+    """1.0, 0.0 or null by the finding's form, read from value, name and before.
+    A short value or one without a digit after a secret's name has no label: it
+    may be a password or a word of prose."""
     v = F.col("value")
-    named = F.col("name").rlike(SECRET_NAME + r"\w*\W*[=:]") | F.col("before").rlike(SECRET_NAME + r"\w*\W*[=:]$")
     return F.when(v.rlike(PLACEHOLDER), 0.0).when(v.rlike(SECRET_FORM), 1.0) \
-        .when(v.rlike(PLAIN_FORM), 0.0).when(named, 1.0)
+        .when(v.rlike(PLAIN_FORM), 0.0).when(is_named() & strong(v), 1.0)
 
 
 def dictionary(docs: DataFrame, text: str = "text", documents: int = DICTIONARY_DOCUMENTS) -> DataFrame:
