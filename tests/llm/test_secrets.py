@@ -97,3 +97,11 @@ def test_op5_every_run_of_a_word(spark, text, want):
     found = secrets.findings(frame(spark, [(1, text)]))
     got = found.withColumn("label", secrets.labelled(found)).orderBy("at", F.length("name")).collect()
     assert [(r.value, r.name, r.label) for r in got] == want
+
+
+def test_op5_addresses_with_passwords_are_no_plain_ones(spark):
+    want = {"postgres://user:pw@host/db": 1.0, "https://bot:a1b2c3d4@git.local/x.git": 1.0, "postgres://user:changeme@host1/db": 0.0,
+            "redis://:pw12345678@host:6379/0": 1.0, "postgres://user:${PW1}@host/db": None, "user:pw@host": None, "user:pw12345@host.com": None,
+            "https://host1.com:8080/a/b": 0.0, "user.1@mail1.com": 0.0, "https://host1.com/@user/page": 0.0, "http://10.0.0.1:80/a@b1": 0.0}
+    found = secrets.findings(frame(spark, [(k, t) for k, t in enumerate(want)]))
+    assert {r.value: r.label for r in found.withColumn("label", secrets.labelled(found)).collect()} == want

@@ -43,7 +43,7 @@ NAMED = SECRET_NAME + r"[\w.-]*[^\w\s:=]*\s*[:=]+>?\s*[^\w\s]*$"
 ASSIGNED = (r"^[\w.-]*?(?i:passw|pwd|secret|token|api.?key|access.?key|credential|auth|private.?key)"
             r"[\w.-]*[\"'`\]]*[:=]+>?[\"'`]?")
 #: scheme://user:password@host
-CREDENTIALS = r"[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\s:/@\"'`<>?#]{0,64}:(?!//)[^\s@\"'`<>]{1,128}@[A-Za-z0-9.-]+"
+CREDENTIALS = r"[A-Za-z][A-Za-z0-9+.-]{0,20}://[^\s:/@\"'`<>?#]{0,64}:(?!//)[^\s/@\"'`<>]{1,128}@[A-Za-z0-9.-]+"
 #: user:password@host
 USER_AT = r"^[A-Za-z0-9_.+~-]+:(?!//)[^\s@]+@[A-Za-z0-9.-]+"
 #: The runs of a word, read from left to right: an address with a password, a value
@@ -73,7 +73,7 @@ def findings(docs: DataFrame, text: str = "text", source: str | None = "source")
                 " ", q, p, F.regexp_extract(F.get(w, i), "^[:=]*", 0)).rlike(NAMED)
 
         at = F.transform(w, lambda x, i: F.when(
-            (F.length(x) >= MIN_LENGTH) & x.rlike("[0-9]|[A-Z]{16}|://") | x.rlike("[:=]") & x.rlike(SECRET_NAME) | named(i), F.struct(
+            (F.length(x) >= MIN_LENGTH) & x.rlike("[0-9]|[A-Z]{16}|://|:.*@") | x.rlike("[:=]") & x.rlike(SECRET_NAME) | named(i), F.struct(
                 i.alias("at"), x.alias("word"), F.concat_ws(" ", F.get(w, i - 2), F.get(w, i - 1)).alias("before"),
                 F.concat_ws(" ", F.get(w, i + 1), F.get(w, i + 2)).alias("after"))))
         return F.filter(at, lambda x: x.isNotNull())
@@ -97,7 +97,7 @@ def findings(docs: DataFrame, text: str = "text", source: str | None = "source")
                        F.explode(let(split_words(F.col(text)), found)).alias("x"))
     runs = rows.select("row", "path", "x.*").withColumn("x", F.explode(placed(F.regexp_extract_all("word", F.lit(RUNS), F.lit(0)))))
     return runs.select("row", "path", "at", "x.value", "x.name", "before", "after").filter(
-        strong(F.col("value")) | is_named() & F.col("value").rlike("[A-Za-z0-9]") | F.col("value").rlike("^" + CREDENTIALS))
+        strong(F.col("value")) | is_named() & F.col("value").rlike("[A-Za-z0-9]") | F.col("value").rlike(f"^{CREDENTIALS}|{USER_AT}"))
 
 
 def strong(value: Column) -> Column:
@@ -113,9 +113,14 @@ def is_named() -> Column:
 def labelled(found: DataFrame) -> Column:
     """1.0, 0.0 or null by the finding's form, read from value, name and before.
     A short value or one without a digit after a secret's name has no label: it
-    may be a password or a word of prose."""
+    may be a password or a word of prose.  An address with a password is a secret
+    unless the password is a placeholder, or unlabelled if it is a variable;
+    user:password@host without a scheme has no label (mailto:user@host)."""
     v = F.col("value")
-    return F.when(v.rlike(PLACEHOLDER), 0.0).when(v.rlike(SECRET_FORM), 1.0) \
+    password = F.regexp_extract(v, "^" + CREDENTIALS.replace(":(?!//)[", ":((?!//)[").replace("}@", "})@"), 1)
+    return F.when(password != "", F.when(password.rlike(PLACEHOLDER), 0.0).when(~password.rlike(r"[${}%]"), 1.0)) \
+        .when(v.rlike(PLACEHOLDER), 0.0).when(v.rlike(SECRET_FORM), 1.0) \
+        .when(v.rlike(USER_AT) & ~v.rlike("^[a-z]+://"), F.lit(None).cast("double")) \
         .when(v.rlike(PLAIN_FORM), 0.0).when(is_named() & strong(v), 1.0)
 
 
