@@ -147,3 +147,30 @@ def test_split_of_common_contexts_loses_nothing():
     assert sorted(seen) == sorted(zip(context.tolist(), token.tolist(), doc.tolist()))
     for (u, w), c in pairs.items():
         assert c == int(((context == u) & (token == w) & docs[3][doc]).sum())
+
+
+def test_sweeps_stay_consistent():
+    rng = np.random.default_rng(3)
+    c = np.concatenate([rng.integers(0, 12, 200), [500, 90]])
+    r = rng.integers(0, 20, len(c))
+    p = rng.random(len(c)) * 0.3 + 0.01
+    s = lm.Seating(c, r, 20, p, rng)
+    for _ in range(10):
+        s.sweep(p)
+        consistent(s)
+    assert (s.t[c > 0] >= 1).all() and (s.t <= c).all()
+
+
+@pytest.mark.parametrize("c,p", [(12, 0.2), (40, 0.3), (130, 0.05)])
+def test_sweeps_keep_the_law_and_mix_sooner_than_single_moves(c, p):
+    """Mean number of tables: many sweeps keep the exact one, and the five of a query
+    leave less than half of the first seating's distance to it."""
+    m = 400
+    s = lm.Seating(np.full(m, c), np.arange(m), m, np.full(m, p), np.random.default_rng(1))
+    law = sum(k * x for k, x in enumerate(law_of_tables(c, lm.DISCOUNT, lm.STRENGTH, p)))
+    found = [s.t.mean()]
+    for k in range(60):
+        s.sweep(np.full(m, p))
+        found.append(s.t.mean())
+    assert np.mean(found[3:6]) - law < (found[0] - law) / 2
+    assert np.mean(found[30:]) == pytest.approx(law, rel=0.06)

@@ -12,8 +12,9 @@ One shuffle moves the tokens: packed by numpy, with 64-bit word hashes, to
 an eighth of a bucket is split by pair, and its totals are exchanged.  A
 bucket seats its restaurants (with its own share of the counts as the parent's
 probabilities), and sends counts and tables per word to the parent; the parent,
-split by word, seats these and answers each bucket's words; the bucket goes on
-sampling from there and scores its tokens.  So a bucket meets a third of all
+split by word, seats these and answers each bucket's words; the bucket seats its
+customers again with these and the estimated discount, moves every customer once
+per sweep, and scores its tokens.  So a bucket meets a third of all
 rows under one context only as its own part, and what is sent is about one row
 per distinct word and bucket.  The token shuffle is read twice and written once
 (the same exchange is reused).
@@ -42,6 +43,9 @@ CHUNK_BYTES = 1 << 20
 TOKEN_BYTES = 6
 END, START = np.uint64(1), np.uint64(2)
 DISCOUNT, STRENGTH = 0.8, 1.0
+#: Steps of a sweep; a dish with more customers moves several of them in a step.
+STEPS = 32
+PARENT_SWEEPS = 5
 
 
 # ---- tokens --------------------------------------------------------------------------------
@@ -205,12 +209,12 @@ class Seating:
     restaurant that other buckets hold.  Moves of one step are made for all dishes
     at once, each from the tables as they were before it."""
 
-    def __init__(self, c, r, restaurants, p, rng, discount=DISCOUNT, strength=STRENGTH):
+    def __init__(self, c, r, restaurants, p, rng, discount=DISCOUNT, strength=STRENGTH, extra=None):
         self.d, self.s, self.rng = discount, strength, rng
         self.t = np.minimum(c, 1)
         self.c, self.r = c, r
         self.total = np.bincount(r, self.t, restaurants)
-        self.extra = np.zeros(restaurants)
+        self.extra = np.zeros(restaurants) if extra is None else extra
         self.many = np.flatnonzero(c > 1)
         self.n = c[self.many]
         self.off = np.cumsum(self.n) - self.n
@@ -226,14 +230,15 @@ class Seating:
         a = (self.s + self.d * (self.total[r] + self.extra[r])) * p
         return a / (a + seated - self.d * t)
 
-    def _join(self, off, seated, skip=None):
-        """Table of a random seated customer, taken with a share of (size - d) / size."""
+    def _join(self, off, seated, skip=None, many=1):
+        """Table of a random seated customer, taken with a share of (size - d) / size;
+        not one of ``many`` from seat ``skip`` on."""
         out = np.empty(len(off), np.int64)
         todo = np.arange(len(off))
         while len(todo):
             j = (self.rng.random(len(todo)) * seated[todo]).astype(np.int64)
             if skip is not None:
-                j += j >= skip[todo]
+                j += (j >= skip[todo]) * (many if np.isscalar(many) else many[todo])
             table = self.seat[off[todo] + j]
             size = self.size[off[todo] + table]
             ok = self.rng.random(len(todo)) * size < size - self.d
@@ -288,6 +293,44 @@ class Seating:
         np.add.at(self.total, r[new], 1)
         self.t[self.many] = t + new
 
+    def sweep(self, p):
+        """Every customer of every dish leaves and sits down again, in ``STEPS`` steps
+        (a dish with fewer customers: one in each of as many steps)."""
+        m = -(-self.n // STEPS)
+        for k in range(STEPS):
+            lo = k * m
+            at = np.flatnonzero(lo < self.n)
+            if not len(at):
+                return
+            self._move_run(at, lo[at], np.minimum(m[at], self.n[at] - lo[at]), p[self.many[at]])
+
+    def _move_run(self, at, lo, m, p):
+        """``m`` customers of each dish ``at``, from seat ``lo`` on, leave together and sit
+        down again, each from the tables that the others left."""
+        n, off, i = self.n[at], self.off[at], self.many[at]
+        r, t = self.r[i], self.t[i]
+        of = np.repeat(np.arange(len(at)), m)
+        rank = np.arange(len(of)) - np.repeat(np.cumsum(m) - m, m)
+        seat = off[of] + lo[of] + rank
+        np.add.at(self.size, off[of] + self.seat[seat], -1)
+        gone = np.unique((off[of] + self.seat[seat])[self.size[off[of] + self.seat[seat]] == 0])
+        g = np.searchsorted(off, gone, "right") - 1
+        left = np.bincount(g, minlength=len(at))
+        self.free[off[g] + n[g] - t[g] + np.arange(len(g)) - (np.cumsum(left) - left)[g]] = gone - off[g]
+        t = t - left
+        np.add.at(self.total, r, -left)
+        new = self.rng.random(len(of)) < self._new(at, n - m, p, t)[of]
+        table = np.empty(len(of), np.int64)
+        old = of[~new]
+        table[~new] = self._join(off[old], (n - m)[old], lo[old], m[old])
+        fresh = of[new]
+        opened = np.bincount(fresh, minlength=len(at))
+        table[new] = self.free[off[fresh] + n[fresh] - t[fresh] - 1 - (np.arange(len(fresh)) - (np.cumsum(opened) - opened)[fresh])]
+        self.seat[seat] = table
+        np.add.at(self.size, off[of] + table, 1)
+        np.add.at(self.total, r, opened)
+        self.t[i] = t + opened
+
 
 # ---- buckets -------------------------------------------------------------------------------
 
@@ -349,8 +392,8 @@ def _answer(part: int, data: list[bytes], seed: int):
     known = int((c > 0).sum())
     # the base gives every word the same; parts are equal shares of the vocabulary
     seats = Seating(t, np.zeros(len(t), np.int64), 1, np.full(len(t), 1 / max(known, 1)), np.random.default_rng(seed))
-    for _ in range(20):
-        seats.move(np.full(len(t), 1 / max(known, 1)))
+    for _ in range(PARENT_SWEEPS):
+        seats.sweep(np.full(len(t), 1 / max(known, 1)))
     split, which = np.unique(np.concatenate([x["u"] for x in asked]), return_inverse=True)
     cu = np.bincount(which, np.concatenate([x["cu"] for x in asked]), len(split)).astype(np.int64) if len(split) else np.zeros(0, np.int64)
     tu = np.bincount(which, np.concatenate([x["tu"] for x in asked]), len(split)).astype(np.int64) if len(split) else np.zeros(0, np.int64)
@@ -363,7 +406,7 @@ def _answer(part: int, data: list[bytes], seed: int):
     yield -1, None, sums
 
 
-def _scores(bucket: int, data: list[bytes], answers: list[bytes], sums, seed: int, burn: int, samples: int, moves: int):
+def _scores(bucket: int, data: list[bytes], answers: list[bytes], sums, seed: int, burn: int, samples: int, sweeps: int):
     """The bucket's share of its documents: row, id, none (no id), n, known, base, score."""
     n, vocabulary, tables, roots, one, two = (float(x) for x in sums)
     b = Bucket(data)
@@ -376,16 +419,18 @@ def _scores(bucket: int, data: list[bytes], answers: list[bytes], sums, seed: in
         at = np.searchsorted(b.contexts, x["u"])
         cu[at] = x["cu"]
         tu[at] = x["tu"] - seats.total[at]
-    seats.extra = tu
     base = 1 / (vocabulary + 1)
     parent = (t - DISCOUNT * t0 + (STRENGTH + DISCOUNT * roots) * base) / (STRENGTH + tables)
     p = parent[b.w]
     # the share of pairs seen once among those seen once or twice says how much to take off
-    seats.d = d = min(0.98, max(0.3, one / (one + 2 * two))) if one else DISCOUNT
+    d = min(0.98, max(0.3, one / (one + 2 * two))) if one else DISCOUNT
+    rng = seats.rng
+    del seats  # as large as the next
+    seats = Seating(b.c, b.u, len(b.contexts), p, rng, d, extra=tu)
     mean = np.zeros(len(b.c))
     for k in range(burn + samples):
-        for _ in range(moves):
-            seats.move(p)
+        for _ in range(sweeps):
+            seats.sweep(p)
         if k >= burn:
             all_tables = (seats.total + seats.extra)[b.u]
             mean += (b.c - d * seats.t + (STRENGTH + d * all_tables) * p) / (STRENGTH + cu[b.u])
@@ -414,7 +459,7 @@ SUMS = ("n", "vocabulary", "tables", "roots", "one", "two")
 
 
 def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", bucket_tokens: int = BUCKET_TOKENS,
-          seed: int = 1, burn: int = 2, samples: int = 3, moves: int = 4) -> DataFrame:
+          seed: int = 1, burn: int = 2, samples: int = 3, sweeps: int = 1) -> DataFrame:
     """Per row of ``docs``: doc_id (an integer), n_tokens, n_known, train_tokens,
     base_score and score, from a model of the rows where ``train`` holds."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
@@ -468,7 +513,7 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     def finish(key, left, right):
         sums = [right.column(f"all_{k}")[0].as_py() for k in SUMS]
         bucket = key[0].as_py()
-        found = _scores(bucket, column(left, "payload"), column(right, "answer"), sums, seed + bucket, burn, samples, moves)
+        found = _scores(bucket, column(left, "payload"), column(right, "answer"), sums, seed + bucket, burn, samples, sweeps)
         part = _place(_spread(found["row"].astype(np.uint64)), buckets)
         parts = np.unique(part)
         share = [_pack(bucket=np.array([bucket]), **{k: v[part == p] for k, v in found.items()}) for p in parts]
