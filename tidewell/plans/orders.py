@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidewell.operators import cleanse
 from tidewell.operators.merge import insert, merge, update, cardinality_conflicts
+from tidewell.operators.numbering import numbered
 from tidewell.plans import bronze as B
 from tidewell.plans.registry import query
 from tidewell.session import materialize, read_table
@@ -317,6 +318,19 @@ def next_record(spark, sf_dir):
                  (mt.try_cast("double") + 10).alias("next_amount"))
 
 
+@query("next_ids", B.with_sql(B.ORDERS_BRONZE_SQL) + """
+SELECT event_id, amount, (SELECT max(TRY_CAST(order_id AS INTEGER)) FROM orders_bronze)
+       + row_number() OVER (ORDER BY arrival, event_id) AS new_order_id
+FROM orders_bronze WHERE order_id IS NULL OR trim(order_id) = ''""")
+def next_ids(spark, sf_dir):
+    """A2 for many rows: every order without an id gets the next free one, in
+    order of arrival, without gaps and without a single-task window."""
+    b = _bronze(spark, sf_dir)
+    top = b.agg(F.max(F.col("order_id").try_cast("int"))).first()[0] or 0
+    fresh = b.filter("order_id IS NULL OR trim(order_id) = ''").select("event_id", "amount", "arrival")
+    return numbered(fresh, ["arrival", "event_id"], "new_order_id", start=top + 1).select("event_id", "amount", "new_order_id")
+
+
 @query("distinct_rows", B.with_sql(B.SEQUENCED_BRONZE_SQL) + """
 SELECT DISTINCT order_id, record_version, amount, first_batch FROM seq_bronze""")
 def distinct_rows(spark, sf_dir):
