@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm import decontaminate, language, lines, lm, packing, quality, ranks, secrets, simhash, wavelet
+from tidewell.llm import (decontaminate, egojoin, language, lines, lm, packing, quality, ranks, repair, secrets,
+                          simhash, wavelet, whitening)
 from tidewell.llm.common import documents, shared_dir
 from tidewell.session import read_table
 
@@ -108,3 +109,42 @@ def op9_wavelet_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranks.count_tokens(documents(spark, sf_dir))
+
+
+@_query
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return egojoin.classes(read_table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+ORACLES["op11_embedding_near_dedup"] = """
+WITH RECURSIVE rows AS (SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings),
+v AS (SELECT r, vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM rows
+    WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT x.r AS a, y.r AS b FROM v x JOIN v y ON x.r <> y.r AND list_cosine_similarity(x.e, y.e) >= 0.9),
+reach AS (SELECT r AS a, r AS b FROM rows UNION SELECT reach.a, l.b FROM reach JOIN l ON reach.b = l.a),
+least AS (SELECT a, min(vec_id) AS component_id FROM reach JOIN rows ON rows.r = reach.b GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT rows.vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows JOIN least ON least.a = rows.r LEFT JOIN n ON n.a = rows.r
+"""
+
+
+@_query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found, _ = repair.repair(repair.damaged(turns))
+    every = turns.select("conv_id").distinct()
+    zero = F.lit(0).cast("bigint")
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id", *(F.coalesce(c, zero).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@_query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(read_table(spark, sf_dir, "embeddings"), components=8)
+    # beyond a long's range the exact sum is in deviation_exact only
+    return white.select(F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"),
+                        "whitened", "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
