@@ -20,6 +20,10 @@ Physical plan, chosen by ``strategy``:
   ANTI`` the target's distinct keys (reduced before their shuffle).  Both keep
   the big side on the left, where AQE can split a hot key.  Target rows with a
   null key never match; a deterministic salt spreads them over the partitions.
+* ``"outer"``: one ``FULL OUTER JOIN`` of both sides.  Its output keeps the
+  target's partitioning, so a target bucketed on the key is neither shuffled for
+  the join nor for writing it back; hot keys must be spread in the key itself
+  (:class:`tidewell.sources.bucketed.BucketedTable` does both).
 * ``"auto"``: ``"broadcast"`` when a measured upper bound of the source size
   (rows x widest row, one aggregation) is under ``broadcast_max_bytes``,
   else ``"shuffle"``; Catalyst's estimate only skips the measuring when it
@@ -213,20 +217,20 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     # Without cost-based statistics Catalyst's estimate follows the size of
     # the inputs of the lineage, so a small estimate means re-reading is
     # cheaper than writing a checkpoint.
-    extra_reads = (cardinality != "off") + (strategy != "shuffle" and source_bytes is None)
+    measure = strategy not in ("shuffle", "outer") and source_bytes is None
+    extra_reads = (cardinality != "off") + measure
     big = est < 0 or est > broadcast_max_bytes
     if extra_reads and materialize and big and not _is_materialized(source):
         from tidewell.session import materialize as cut_lineage
         source = cut_lineage(source)
-    need_bound = strategy != "shuffle" and source_bytes is None
-    if need_bound and cardinality != "off":
+    if measure and cardinality != "off":
         # one pass over the source answers both questions
         source_bytes, dup = _profile(source, on)
         if dup:
             _raise_on_conflicts(target, source, on, cardinality)
     else:
         _check_cardinality(target, source, on, cardinality)
-    if strategy != "shuffle":
+    if strategy not in ("shuffle", "outer"):
         # Broadcast only behind a measured bound; beyond it, shuffle.
         nbytes = source_bytes if source_bytes is not None else measured_size_bound(source)[1]
         strategy = "broadcast" if nbytes <= broadcast_max_bytes else "shuffle"
@@ -273,6 +277,13 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
         dropped = [f"m{i}" for i, cl in enumerate(matched) if cl.action == "delete"] + ["skip"]
         return df.filter(~F.col("__act").isin(dropped)).select(*out)
 
+    if strategy == "outer":
+        cond = reduce(lambda a, b: a & b, [te == se for te, se in pairs])
+        act = (F.when(F.col("target.__tp").isNull(), insert_action())
+                .when(F.col("source.__sp").isNull(), F.lit("keep")).otherwise(matched_action()))
+        joined = project(tgt.join(src.filter(~s_null), cond, "full"), act)
+        return joined.unionByName(project(src.filter(s_null), insert_action(), has_target=False))
+
     src_keyed = src.filter(~s_null)
     src_nullkey = src.filter(s_null)
     cond = reduce(lambda a, b: a & b, [te == se for te, se in pairs])

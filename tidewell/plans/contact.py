@@ -159,6 +159,29 @@ def merge_upsert_delete(spark, sf_dir):
     return parties_after_two_batches(spark, sf_dir)
 
 
+def parties_bucketed(spark, sf_dir) -> "BucketedTable":
+    """The party table bucketed on its key, after two batches."""
+    import uuid
+
+    from tidewell.operators.merge import measured_size_bound
+    from tidewell.session import ddl_schema, fresh_dir
+    from tidewell.sources.bucketed import BucketedTable
+    from tidewell.sources.tables import buckets_for
+    first, second = _two_batches(spark, sf_dir)
+    load = first_load_parties(first)
+    table = BucketedTable(spark, f"tw_parties_{uuid.uuid4().hex[:12]}", fresh_dir(spark, "parties-bucketed"),
+                          ddl_schema(spark, PARTY_TYPE), ["id"], buckets_for(measured_size_bound(load)[1]))
+    table.load(load)
+    table.merge(second, *party_clauses(), cardinality="off")
+    return table
+
+
+@query("merge_upsert_delete_colocated", PARTIES_SQL)
+def merge_upsert_delete_colocated(spark, sf_dir):
+    """M5 with the target kept in buckets: only the batch is shuffled."""
+    return parties_bucketed(spark, sf_dir).read()
+
+
 @query("contact_refine", POINTS_SQL)
 def contact_refine(spark, sf_dir):
     """L3: contact points after two batches (N3 + M5)."""
