@@ -143,6 +143,34 @@ def surrogate_key(spark, sf_dir):
     return b.select("seq", sk("id", 1).alias("address_key_1"), sk("zipcode2", 2).alias("zip_key_2"))
 
 
+#: The mapping table of L2: silver table, slot, silver column, bronze column, rule, key.
+PERSON_MAPPING = [
+    ("person", None, "id", "id", "column", True),
+    ("person", None, "firstName", "firstName", "column", False),
+    ("person", None, "lastName", "lastName", "column", False),
+    ("person", None, "recordVersion", "recordVersion", "column", False),
+    ("address", None, "id", "id", "column", True),
+    ("address", None, "AddressId", None, "slot", True),
+    ("address", None, "recordVersion", "recordVersion", "column", False),
+    *(("address", slot, column, f"{column}{slot}", "column", False)
+      for slot in (1, 2) for column in ("streetNo", "cityName", "zipcode", "country")),
+]
+
+
+def refine_by_mapping(tables: dict, mapping: dict, batch: DataFrame, job: str, batch_id: int) -> None:
+    """One micro-batch: refined once (stored), then each silver table that the
+    compiled ``mapping`` names gets its rows, published once per (job, batch_id)."""
+    from tidewell.operators.merge import measured_size_bound
+    if all(tables[name].published(job, batch_id) for name in mapping):
+        return
+    src = materialize(refine_people(batch))
+    _, nbytes = measured_size_bound(src)
+    for name, silver in mapping.items():
+        # a silver row has columns of one bronze row, and there is one for each slot
+        tables[name].merge_touched(silver.project(src), silver.keys, [update(NEWER, "*")], [insert(None, "*")],
+                                   job, batch_id, cardinality="off", source_bytes=len(silver.slots) * nbytes)
+
+
 def refine_batch(persons: "SnapshotTable", addrs: "SnapshotTable", batch: DataFrame, job: str,
                  batch_id: int) -> None:
     """One micro-batch of L2: refine once (stored), then publish both silver
@@ -167,10 +195,13 @@ ADDRESS_TYPE = ("id bigint NOT NULL, AddressId int NOT NULL, streetNo int, cityN
                 "country string, recordVersion int")
 
 
-@query("individual_refine", "WITH p AS (" + PERSON_SQL + "),\na AS (" + ADDRESS_SQL + """)
+INDIVIDUAL_SQL = ("WITH p AS (" + PERSON_SQL + "),\na AS (" + ADDRESS_SQL + """)
 SELECT a.id, a.AddressId, p.firstName, p.lastName, a.cityName, a.country,
        p.recordVersion AS person_version, a.recordVersion AS address_version
 FROM a LEFT JOIN p ON a.id = p.id""")
+
+
+@query("individual_refine", INDIVIDUAL_SQL)
 def individual_refine(spark, sf_dir):
     """L2 end to end: two batches through the batch handler into two
     snapshot tables bucketed by id (each batch rewrites only the buckets
@@ -193,3 +224,54 @@ def individual_refine(spark, sf_dir):
              .select("id", "AddressId", "firstName", "lastName", "cityName", "country",
                      p["recordVersion"].alias("person_version"),
                      a["recordVersion"].alias("address_version")))
+
+
+@query("individual_consistent", INDIVIDUAL_SQL)
+def individual_consistent(spark, sf_dir):
+    """L2 with both silver tables committed together per batch, read as of one
+    commit."""
+    from tidewell.operators.merge import estimated_bytes
+    from tidewell.session import ddl_schema, fresh_dir
+    from tidewell.sources.group import TableGroup
+    from tidewell.sources.tables import SnapshotTable, buckets_for
+    b = B.person_bronze(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"),
+                        read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "supplier"))
+    n = buckets_for(estimated_bytes(read_table(spark, sf_dir, "orders")))
+    root = fresh_dir(spark, "person-group")
+    group = TableGroup(f"{root}/commits", {
+        "person": SnapshotTable(spark, f"{root}/person", ddl_schema(spark, PERSON_TYPE), bucket_key="id", buckets=n),
+        "address": SnapshotTable(spark, f"{root}/address", ddl_schema(spark, ADDRESS_TYPE), bucket_key="id", buckets=n)})
+    for i, part in enumerate([b.filter("first_batch"), b.filter("NOT first_batch")]):
+        group.publish("individual", i, lambda t, rows=part.drop("first_batch"), i=i: refine_batch(
+            t["person"], t["address"], rows, "individual", i))
+    now = group.read()
+    p, a = now["person"], now["address"]
+    return (a.join(p, "id", "left")
+             .select("id", "AddressId", "firstName", "lastName", "cityName", "country",
+                     p["recordVersion"].alias("person_version"),
+                     a["recordVersion"].alias("address_version")))
+
+
+@query("individual_by_mapping", INDIVIDUAL_SQL)
+def individual_by_mapping(spark, sf_dir):
+    """L2 driven by N4's mapping table: stored as a table, read back, checked
+    against the bronze and silver schemas and compiled; no column is named in code."""
+    from tidewell.operators.mapping import MAPPING_TYPE, compile_mapping
+    from tidewell.operators.merge import estimated_bytes
+    from tidewell.session import ddl_schema, fresh_dir
+    from tidewell.sources.tables import SnapshotTable, buckets_for
+    stored = materialize(spark.createDataFrame(PERSON_MAPPING, MAPPING_TYPE), label="person-mapping")
+    b = B.person_bronze(read_table(spark, sf_dir, "orders"), read_table(spark, sf_dir, "customer"),
+                        read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "supplier"))
+    silver = {"person": ddl_schema(spark, PERSON_TYPE), "address": ddl_schema(spark, ADDRESS_TYPE)}
+    mapping = compile_mapping(stored, b.schema, silver)
+    n = buckets_for(estimated_bytes(read_table(spark, sf_dir, "orders")))
+    tables = {name: SnapshotTable(spark, fresh_dir(spark, name), silver[name], bucket_key=t.keys[0], buckets=n)
+              for name, t in mapping.items()}
+    for i, part in enumerate([b.filter("first_batch"), b.filter("NOT first_batch")]):
+        refine_by_mapping(tables, mapping, part.drop("first_batch"), "mapped", i)
+    p, a = tables["person"].read(), tables["address"].read()
+    return (a.join(p, "id", "left")
+             .select("id", "AddressId", "firstName", "lastName", "cityName", "country",
+                     p["recordVersion"].alias("person_version"),
+                     a["recordVersion"].alias("address_version")))

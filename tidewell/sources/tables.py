@@ -172,9 +172,9 @@ class SnapshotTable:
         done = [v for v in self.versions() if v.committed]
         return done[-1] if done else None
 
-    def chain(self) -> list[Version]:
-        """The newest full version and the committed ones after it."""
-        done = [v for v in self.versions() if v.committed]
+    def chain(self, upto: int | None = None) -> list[Version]:
+        """The newest full version (up to ``upto``) and the committed ones after it."""
+        done = [v for v in self.versions() if v.committed and (upto is None or v.number <= upto)]
         fulls = [v for v in done if v.full]
         return done if not fulls else [v for v in done if v.number >= fulls[-1].number]
 
@@ -221,9 +221,10 @@ class SnapshotTable:
             return df.select(*self.schema.fieldNames())
         return df.drop("bucket") if self.bucket_key else df
 
-    def read(self) -> DataFrame:
-        """The current rows."""
-        return self._read_paths(self._paths(self.chain()))
+    def read(self, upto: int | None = None) -> DataFrame:
+        """The current rows; with ``upto`` the rows as of that version, of those
+        that ``vacuum`` has left."""
+        return self._read_paths(self._paths(self.chain(upto)))
 
     def as_view(self, name: str) -> DataFrame:
         """The current rows under ``name``, for ``SELECT * FROM name`` and
