@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import DataType, StringType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructType
 
 
 def col_of(c: str | Column) -> Column:
@@ -62,19 +62,55 @@ def first_true(cases: list[tuple[Column, Column]], otherwise: Column) -> Column:
     return otherwise if expr is None else expr.otherwise(otherwise)
 
 
+def _requires(dtype: DataType) -> bool:
+    """Whether a value of the type can break a NOT NULL inside it."""
+    if isinstance(dtype, StructType):
+        return any(not f.nullable or _requires(f.dataType) for f in dtype.fields)
+    if isinstance(dtype, ArrayType):
+        return not dtype.containsNull or _requires(dtype.elementType)
+    if isinstance(dtype, MapType):
+        return not dtype.valueContainsNull or _requires(dtype.valueType) or _requires(dtype.keyType)
+    return False
+
+
+def null_path(c: Column, dtype: DataType, nullable: bool, path: Column) -> Column:
+    """The path of the first null in ``c`` where the type forbids one, e.g.
+    ``items[2].price`` or ``tags['a']``; null if there is none.  A null that is
+    allowed is not looked into."""
+    cases = [] if nullable else [F.when(c.isNull(), path)]
+    if isinstance(dtype, StructType):
+        cases += [F.when(c.isNotNull(), null_path(c.getField(f.name), f.dataType, f.nullable, F.concat(path, F.lit(f".{f.name}"))))
+                  for f in dtype.fields if not f.nullable or _requires(f.dataType)]
+    elif isinstance(dtype, ArrayType) and _requires(dtype):
+        of = F.transform(c, lambda x, i: null_path(x, dtype.elementType, dtype.containsNull,
+                                                   F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))))
+        cases.append(F.get(F.filter(of, lambda p: p.isNotNull()), 0))
+    elif isinstance(dtype, MapType) and _requires(dtype):
+        def entry(e: Column) -> Column:
+            at = F.concat(path, F.lit("['"), e["key"].cast("string"), F.lit("']"))
+            within = null_path(e["value"], dtype.valueType, dtype.valueContainsNull, at)
+            if _requires(dtype.keyType):
+                return F.coalesce(null_path(e["key"], dtype.keyType, True, F.concat(path, F.lit("{key}"))), within)
+            return within
+        cases.append(F.get(F.filter(F.transform(F.map_entries(c), entry), lambda p: p.isNotNull()), 0))
+    return F.coalesce(*cases) if cases else F.lit(None).cast("string")
+
+
 def guard_not_null(df, schema) -> "DataFrame":
-    """Enforce the NOT NULL columns of a declared ``schema`` (Parquet files do
-    not): a null there fails the job that writes the frame, with no extra pass
-    over the data (the check is a projection evaluated during the write)."""
-    required = [f.name for f in schema.fields if not f.nullable and f.name in df.columns]
+    """Enforce the NOT NULL columns, struct fields, list elements and map values
+    of a declared ``schema`` (Parquet files do not): a null there fails the job
+    that writes the frame, naming its path, with no extra pass over the data (the
+    check is a projection evaluated during the write)."""
+    required = {f.name: f for f in schema.fields if (not f.nullable or _requires(f.dataType)) and f.name in df.columns}
     if not required:
         return df
     out = []
     for c in df.columns:
+        col = F.col(f"`{c}`")
         if c in required:
-            msg = F.lit(f"NOT NULL column {c} received a null")
-            out.append(F.when(F.col(f"`{c}`").isNull(), F.raise_error(msg))
-                        .otherwise(F.col(f"`{c}`")).alias(c))
-        else:
-            out.append(F.col(f"`{c}`"))
+            f = required[c]
+            at = null_path(col, f.dataType, f.nullable, F.lit(c))
+            msg = F.concat(F.lit("NOT NULL column "), at, F.lit(" received a null"))
+            col = F.when(at.isNotNull(), F.raise_error(msg)).otherwise(col).alias(c)
+        out.append(col)
     return df.select(*out)

@@ -156,6 +156,111 @@ def profile_inferred_types(spark, sf_dir):
     return profile_types(spark, stored.schema, inferred.schema)
 
 
+_ORDER_TYPES = {"o_orderkey": "integer", "o_custkey": "integer", "o_orderstatus": "string", "o_totalprice": "double",
+                "o_orderdate": "timestamp", "o_orderpriority": "string"}
+
+
+@query("profile_type_states", "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", '{t}' AS inferred_type, count({c}) AS "values" FROM orders""" for c, t in _ORDER_TYPES.items()))
+def profile_type_states(spark, sf_dir):
+    """E4 without a second scan per file: a state per file and column of an
+    all-string CSV table, merged over the files."""
+    from tidewell.operators.profile import merge_states, states, type_of
+    p = sinks.write_csv(read_table(spark, sf_dir, "orders").select(*_ORDER_TYPES), fresh_dir(spark, "profile-states"))
+    text = files.read_csv(spark, p, header=True).withColumn("file", F.col("_metadata.file_path"))
+    merged = merge_states(states(text, ["file"])).collect()
+    rows = [(r["column"], type_of(r["seen"], r["digits"]).typeName(), r["values"]) for r in merged]
+    return spark.createDataFrame(rows, "column string, inferred_type string, values bigint")
+
+
+@query("required_nested_fields", """SELECT o.o_orderkey, o.o_custkey, o.o_orderpriority, count(l.l_orderkey) AS n_items,
+  max(l.l_extendedprice) AS max_price FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+GROUP BY o.o_orderkey, o.o_custkey, o.o_orderpriority""")
+def required_nested_fields(spark, sf_dir):
+    """Orders with their customer and items written to a table that requires
+    nested fields and list elements; a null in one would fail the write."""
+    from tidewell.session import ddl_schema
+    from tidewell.sources.tables import SnapshotTable
+    line = read_table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
+        F.collect_list(F.struct(F.col("l_linenumber").alias("line"), F.col("l_extendedprice").alias("price"))).alias("items"))
+    orders = read_table(spark, sf_dir, "orders")
+    nested = orders.join(line, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        F.col("o_orderkey").alias("id"), F.struct(F.col("o_custkey").alias("custkey"), F.col("o_orderpriority").alias("priority")).alias("who"),
+        F.coalesce("items", F.array().cast(line.schema["items"].dataType)).alias("items"))
+    schema = required_order_type(nested.schema)
+    table = SnapshotTable(spark, fresh_dir(spark, "orders-nested"), schema)
+    table.replace(nested, "load", 0)
+    out = table.read()
+    return out.select(F.col("id").alias("o_orderkey"), F.col("who.custkey").alias("o_custkey"), F.col("who.priority").alias("o_orderpriority"),
+                      F.size("items").cast("bigint").alias("n_items"), F.array_max(F.col("items.price")).alias("max_price"))
+
+
+def required_order_type(loose):
+    """The nested order type with its key, the customer's key and the items'
+    fields required."""
+    from pyspark.sql.types import ArrayType, StructField, StructType
+    item = StructType([StructField(f.name, f.dataType, False) for f in loose["items"].dataType.elementType.fields])
+    who = loose["who"].dataType
+    return StructType([
+        StructField("id", loose["id"].dataType, False),
+        StructField("who", StructType([StructField("custkey", who["custkey"].dataType, False), StructField("priority", who["priority"].dataType, True)]), False),
+        StructField("items", ArrayType(item, containsNull=False), False)])
+
+
+# --- folders that do not fit together -----------------------------------------
+
+@query("scan_csv_unlike_headers", _csv_sql({
+    0: _BASE_SEL + ", CAST(NULL AS VARCHAR) AS p_type, CAST(NULL AS VARCHAR) AS p_retailprice",
+    1: _BASE_SEL + ", p_type, CAST(p_retailprice AS VARCHAR) AS p_retailprice",
+    2: _BASE_SEL + ", CAST(NULL AS VARCHAR) AS p_type, CAST(NULL AS VARCHAR) AS p_retailprice"}))
+def scan_csv_unlike_headers(spark, sf_dir):
+    """L4's three files in one folder: grouped by header, a scan for each,
+    put together by name; the first file's columns get their inferred types."""
+    from tidewell.operators.profile import inferred_types, merge_states, states, typed
+    from tidewell.sources.folders import csv_headers, read_csv_folder
+    root = part_files(spark, sf_dir, ["base", "wide", "reordered"])["base"].rsplit("/", 1)[0]
+    text = read_csv_folder(spark, root, recursive=True)
+    first = csv_headers(spark, root, recursive=True)[0][0]
+    return typed(text, inferred_types(merge_states(states(text.select(*first)))), only=first)
+
+
+_BAD_JSON = """'{"c_custkey":' || c_custkey || ',"c_name":"' || c_name"""
+
+
+@query("quarantine_records", f"""SELECT c_custkey, c_name, CAST(NULL AS VARCHAR) AS record, CAST(NULL AS VARCHAR) AS reason
+FROM customer WHERE c_custkey % 10 <> 0
+UNION ALL
+SELECT NULL, NULL, {_BAD_JSON}, 'record does not fit the schema' FROM customer WHERE c_custkey % 10 = 0""")
+def quarantine_records(spark, sf_dir):
+    """S11 on records: JSON lines of which every tenth breaks off; the good rows
+    and, beside them, each broken line with its reason, from one pass."""
+    from tidewell.sources.folders import read_with_quarantine
+    start = F.concat(F.lit('{"c_custkey":'), F.col("c_custkey").cast("string"), F.lit(',"c_name":"'), F.col("c_name"))
+    lines = read_table(spark, sf_dir, "customer").select(
+        F.when(F.col("c_custkey") % 10 == 0, start).otherwise(F.concat(start, F.lit('"}'))).alias("value"))
+    folder = fresh_dir(spark, "broken-json")
+    sinks.write_text(lines, folder)
+    got = read_with_quarantine(spark, folder, "json", "c_custkey bigint, c_name string")
+    none = F.lit(None).cast("string")
+    return got.good.select("c_custkey", "c_name", none.alias("record"), none.alias("reason")).unionByName(
+        got.quarantine.select(F.lit(None).cast("bigint").alias("c_custkey"), none.alias("c_name"), "record", "reason"))
+
+
+@query("quarantine_files", """SELECT 'read' AS status, count(*) AS good_rows FROM customer
+UNION ALL SELECT 'unreadable', 0 FROM region HAVING count(*) > 0""")
+def quarantine_files(spark, sf_dir):
+    """S11 on files: Parquet files with one among them that is none (it holds
+    ``region`` as text); rows by status of the file they came from."""
+    from tidewell.sources.folders import read_with_quarantine
+    cust = read_table(spark, sf_dir, "customer")
+    folder = fresh_dir(spark, "broken-parquet")
+    sinks.write_parquet(cust, f"{folder}/good")
+    text = read_table(spark, sf_dir, "region").select(F.to_json(F.struct("*")).alias("value")).coalesce(1)
+    sinks.write_text(text, f"{folder}/bad")
+    got = read_with_quarantine(spark, folder, "parquet", cust.schema, recursive=True)
+    return got.account.filter("bytes > 0").groupBy("status").agg(F.sum("good_rows").alias("good_rows"))
+
+
 # --- CSV scans -------------------------------------------------------------
 
 def _customer_csv(spark, sf_dir, header=True, sep=None):
