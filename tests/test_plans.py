@@ -25,7 +25,7 @@ def test_entry_runs(spark):
 def test_registry_is_complete():
     from tidewell.plans import load_all
     q, o = load_all()
-    assert len(q) == 78 and set(q) == set(o)
+    assert len(q) == 88 and set(q) == set(o)
     assert set(q) <= set(E.queries()) and set(o) <= set(E.oracle_sql()) <= set(E.queries())
 
 

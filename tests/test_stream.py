@@ -3,6 +3,7 @@ from the checkpoint; a replayed batch leaves silver unchanged."""
 
 import datetime as dt
 
+import pytest
 from conftest import rows
 from tidewell.plans.streams import BRONZE_SCHEMA, accumulate, accumulate_touched, run_arrivals
 from tidewell.session import ddl_schema
@@ -84,3 +85,42 @@ def test_byte_limited_batches_drain_the_backlog(spark, tmp_path):
     refine_stream(spark, landing, BRONZE_SCHEMA, lambda df, b: got.append(df.count()),
                   str(tmp_path / "ck"), max_bytes="1k")
     assert sum(got) == 3 and len(got) >= 2        # several small batches, nothing lost
+
+
+def test_progress_record_and_drain(spark, tmpdir_str):
+    """A slow handler is drained, a record has every batch that ran it, and a
+    failing handler's error reaches the caller."""
+    import time
+
+    from pyspark.errors import StreamingQueryException
+
+    from tidewell.streaming.progress import Progress, drain
+    spark.createDataFrame([(0,)], "id int").limit(0).write.parquet(f"{tmpdir_str}/in")
+    seen = []
+
+    def handle(df, batch_id):
+        time.sleep(0.5)
+        n = df.count()
+        seen.append(n)
+        if n == 13:
+            raise ValueError("thirteen rows")
+
+    with Progress(spark) as p:
+        q = refine_stream(spark, f"{tmpdir_str}/in", "id int", handle, f"{tmpdir_str}/ck", trigger="50 milliseconds")
+        for n in (3, 5):
+            spark.range(n).selectExpr("CAST(id AS INT) AS id").coalesce(1).write.mode("append").parquet(f"{tmpdir_str}/in")
+            drain(q, p)
+            assert seen[-1] == n
+        record = p.record(q.id).filter("input_rows > 0").orderBy("batch").collect()
+        assert [r.input_rows for r in record] == [3, 5] and p.totals[str(q.id)][1] == 8
+        assert all(r.duration_ms >= r.handler_ms >= 500 and r.started is not None for r in record)
+        assert p.record("another").count() == 0
+        spark.range(13).selectExpr("CAST(id AS INT) AS id").coalesce(1).write.mode("append").parquet(f"{tmpdir_str}/in")
+        with pytest.raises(StreamingQueryException, match="thirteen rows"):
+            drain(q, p)
+        with pytest.raises(TimeoutError):
+            q2 = refine_stream(spark, f"{tmpdir_str}/in", "id int", lambda df, i: time.sleep(3), f"{tmpdir_str}/ck2", trigger="50 milliseconds")
+            try:
+                drain(q2, timeout=0.5)
+            finally:
+                q2.stop()

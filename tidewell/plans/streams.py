@@ -137,6 +137,39 @@ def stream_upsert_versioned(spark, sf_dir):
     return run_arrivals(spark, arrivals, silver, upsert_touched, "upsert")
 
 
+@query("stream_progress", B.with_sql(B.ORDERS_BRONZE_SQL) + f""",
+b AS (SELECT CASE WHEN arrival < TIMESTAMP '{CUT1}' THEN 0 WHEN arrival < TIMESTAMP '{CUT2}' THEN 1 ELSE 2 END AS batch FROM orders_bronze)
+SELECT CAST(batch AS BIGINT) AS arrival, count(*) AS input_rows, CAST(sum(count(*)) OVER (ORDER BY batch) AS BIGINT) AS rows_so_far
+FROM b GROUP BY batch""")
+def stream_progress(spark, sf_dir):
+    """R2 + R7: a query that keeps running, drained after each of three arrivals:
+    what its record of micro-batches says was read for each (an arrival may come in
+    several), and in all."""
+    from tidewell.streaming.progress import Progress, drain
+    b = _bronze(spark, sf_dir)
+    arrivals = [b.filter(F.col("arrival") < B.ntz(CUT1)),
+                b.filter((F.col("arrival") >= B.ntz(CUT1)) & (F.col("arrival") < B.ntz(CUT2))),
+                b.filter(F.col("arrival") >= B.ntz(CUT2))]
+    landing, out = fresh_dir(spark, "progress-landing"), fresh_dir(spark, "progress-out")
+
+    def handle(batch_df: DataFrame, batch_id: int) -> None:
+        refine_orders(batch_df).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    sinks.write_parquet(arrivals[0].limit(0), landing)
+    done = []
+    with Progress(spark) as progress:
+        q = refine_stream(spark, landing, BRONZE_SCHEMA, handle, fresh_dir(spark, "progress-ckpt"), trigger="100 milliseconds")
+        try:
+            for arrival in arrivals:
+                arrival.write.mode("append").parquet(landing)
+                drain(q, progress)
+                done.append(progress.record(q.id).agg(F.coalesce(F.sum("input_rows"), F.lit(0))).first()[0])
+        finally:
+            q.stop()
+    rows = [(k, n - before, n) for k, (before, n) in enumerate(zip([0, *done], done))]
+    return spark.createDataFrame(rows, "arrival bigint, input_rows bigint, rows_so_far bigint")
+
+
 def _schema(spark, ddl):
     return ddl_schema(spark, ddl)
 
