@@ -144,3 +144,74 @@ def test_op9_round_trip(spark, word_bpe, tmp_path, block_tokens):
 def test_op9_empty_table(spark, tmp_path):
     wavelet.write(frame(spark, []), str(tmp_path / "w"))
     assert wavelet.read(spark, str(tmp_path / "w")).count() == 0
+
+
+@pytest.mark.parametrize("mark", [". x", ", x", ".\nx"])
+def test_every_character_before_a_mark(mark):
+    """op3 and op9: a mark joins what a letter's normal or lower-case form ends in."""
+    import public_tokenizers
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as f:
+        source = f.read()
+    own = Encoder(source)
+    chars = [c for c in range(1, 0x30000) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(chars), 20_000):
+        texts = [f"a {chr(c)}{mark}" for c in chars[at:at + 20_000]]
+        want = [e.ids for e in own.full.encode_batch_fast(texts, add_special_tokens=False)]
+        got = []
+        for _, _, flat, n in own.encode(texts):
+            ends = np.cumsum(n)
+            got += [flat[e - k:e].tolist() for e, k in zip(ends, n)]
+        wrong = [hex(chars[at + i]) for i, (a, b) in enumerate(zip(got, want)) if a != b]
+        assert len(got) == len(want) and not wrong
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdefghijklmnopqrstuvwxyz", "é你 x"])
+def test_op10_long_words_by_rank(letters):
+    """A word of 200,000 letters in seconds, and every long word as the library has it."""
+    import time
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        source = f.read()
+    library, own = Tokenizer.from_str(source), ranks.RankMerger(source)
+    rng = random.Random(len(letters))
+    words = ["".join(rng.choice(letters.replace(" ", "")) for _ in range(n)) for n in (1, 700, 1025, 3000, 20_000)] + ["a" * 5000, "ab" * 4000]
+    texts = [" ".join(words[k:]) for k in range(len(words))]
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert own.count_texts(texts).tolist() == want
+    long = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    own.counts([b"warm" * 300])
+    began = time.process_time()
+    n = own.count_texts([long])[0]
+    assert time.process_time() - began < 4 and n == len(library.encode(long, add_special_tokens=False).ids)
+
+
+def test_op3_equal_rows_go_over_groups(spark):
+    """100,000 equal rows are dealt over more than one group."""
+    cut = spark.range(100_000).selectExpr("7L AS doc_id", "0 AS piece", "0L AS start", "900L AS length", "5L AS ids_crc32")
+    packed = packing.pack(packing.written(cut, "equal"), group_pieces=20_000)
+    rows = packed.selectExpr("sequence_id % 5 AS g", "sequence_id", "offset", "length").collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.g] = sizes.get(r.g, 0) + 1
+    assert len(rows) == 100_000 and len(sizes) == 5 and max(sizes.values()) < 21_000
+    filled = {}
+    for r in rows:
+        filled.setdefault(r.sequence_id, []).append(r.offset)
+    assert all(sorted(v) == [900 * k for k in range(len(v))] and len(v) <= 4 for v in filled.values())
+
+
+def test_op9_one_id_goes_over_files_and_places_are_found(spark, tmpdir_str):
+    rows = [(7, f"word{k % 3} of one id. " * 20) for k in range(400)] + [(1, "first"), (9, "last word0"), (None, "none")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        wavelet.write(frame(spark, rows), f"{tmpdir_str}/w", block_tokens=500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = wavelet.read(spark, f"{tmpdir_str}/w", tokens=True).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None, 1] + [7] * 400 + [9] and got[0].start == 0
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:]))
+    files = spark.read.parquet(f"{tmpdir_str}/w").select("part").distinct().count()
+    assert files > 2
+    flat = [t for r in got for t in r.ids]
+    for token in (flat[5], flat[-2], 1, 48_999):
+        places = sorted(r.place for r in wavelet.token_places(spark, f"{tmpdir_str}/w", token).collect())
+        assert places == [i for i, t in enumerate(flat) if t == token]

@@ -52,8 +52,11 @@ def byte_letters() -> list[str]:
 #: parts letters from marks, so that words and marks are encoded on their own.
 DROPS_SPACE = {"normalizer": ["NFC", "Replace", "Lowercase"], "pre_tokenizer": ["Split", "ByteLevel"],
                "pattern": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+#: Characters whose normal and lower-case form is one letter of Latin's first
+#: blocks, or that are ASCII; the forms of others may end in a mark.
+PLAIN_CHARS = "\x20-\x7e\xa1-įı-ňŊ-ž"
 #: A mark that may belong to another one before it.
-JOINED_MARK = r"[^\pL\pN][.,] "
+JOINED_MARK = rf"([^\pL\pN]|[^{PLAIN_CHARS}])[.,] "
 
 
 class Encoder:
@@ -76,9 +79,8 @@ class Encoder:
             contents = [x["content"] for x in spec["added_tokens"]]
             special = "|".join(map(re.escape, contents))
             self.mark = os.path.commonprefix(contents)
-            # words for the whole tokenizer: special strings, and letters whose
-            # normal or lower-case form is not one letter of Latin's first blocks
-            self.odd = re.compile(f"[^\x20-\x7e\xa1-įı-ňŊ-ž]|{special}")
+            # words for the whole tokenizer: special strings, and other letters
+            self.odd = re.compile(f"[^{PLAIN_CHARS}]|{special}")
             self.merges = Tokenizer.from_str(json.dumps(
                 {**spec, "normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []}))
             suffix = spec["model"]["end_of_word_suffix"]

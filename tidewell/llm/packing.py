@@ -128,7 +128,7 @@ def pack(cut: DataFrame, tokens: int = TOKENS, documents: int | None = None, att
         if not cut.filter(F.col("length") > longest).isEmpty():
             raise ValueError(f"a piece of more than {longest} tokens is over the attention capacity by itself")
     groups = max(1, -(-cut.count() // group_pieces))
-    keyed = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(groups)))
+    keyed = cut.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
     schema = cut.withColumns({"sequence_id": F.lit(0).cast("bigint"), "offset": F.lit(0).cast("bigint")}).schema
 
     def place(key, t):

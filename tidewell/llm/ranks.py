@@ -17,6 +17,7 @@ by row; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import json
 from itertools import chain
 
@@ -35,6 +36,8 @@ CHUNK_CHARS = 2_000_000
 SPACE = r"\t-\r \x85\xa0  -     　"
 PATTERN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 NO_RANK = np.int64(1) << 40
+#: Bytes from which on a word is merged by places kept by rank.
+LONG_WORD = 1024
 
 
 class RankMerger:
@@ -62,6 +65,71 @@ class RankMerger:
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Symbols that are left of each word after all merges."""
+        out = np.empty(len(words), np.int64)
+        long = np.fromiter((len(w) > LONG_WORD for w in words), bool, len(words))
+        for k, some in ((~long, self._short), (long, self._long)):
+            at = np.flatnonzero(k)
+            if len(at):
+                out[at] = some([words[i] for i in at.tolist()])
+        return out
+
+    def _long(self, words: list[bytes]) -> np.ndarray:
+        """As ``_short``, for words of many symbols and so of many rounds: the places
+        of pairs are kept by rank, and a round looks at those of the least rank and, after
+        merging them, at their neighbours only."""
+        lens = np.fromiter(map(len, words), np.int64, len(words))
+        sym = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
+        owner = np.repeat(np.arange(len(words)), lens)
+        n, none = len(sym), len(self.keys) - 1
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)  # n and -1: no symbol
+        edge = np.flatnonzero(owner[1:] != owner[:-1])
+        after[edge], before[edge + 1], after[-1] = n, -1, n
+        pair = np.full(n, none)
+        places: dict[int, list[np.ndarray]] = {}
+        queue: list[int] = []
+
+        def look(at: np.ndarray) -> None:
+            """The pairs that begin at ``at``, filed by rank."""
+            right = after[at]
+            there = right < n
+            pair[at] = none
+            at, right = at[there], right[there]
+            pair[at] = self.ranks(sym[at], sym[right])
+            at = at[pair[at] < none]
+            rank = self.rank[pair[at]]
+            order = np.argsort(rank, kind="stable")
+            at, rank = at[order], rank[order]
+            cuts = np.flatnonzero(np.diff(rank, prepend=-1))
+            for lo, hi in zip(cuts.tolist(), [*cuts[1:].tolist(), len(at)]):
+                r = int(rank[lo])
+                if r not in places:
+                    places[r] = []
+                    heapq.heappush(queue, r)
+                places[r].append(at[lo:hi])
+
+        look(np.arange(n))
+        while queue:
+            r = heapq.heappop(queue)
+            at = np.unique(np.concatenate(places.pop(r)))
+            at = at[self.rank[pair[at]] == r]  # the others have changed since
+            if not len(at):
+                continue
+            # of places in a row only every other one, from the left, can merge
+            run = np.append(True, after[at[:-1]] != at[1:])
+            step = np.arange(len(at))
+            at = at[(step - np.maximum.accumulate(np.where(run, step, 0))) % 2 == 0]
+            gone = after[at]
+            sym[at] = self.made[pair[at]]
+            pair[gone] = none
+            after[at] = after[gone]
+            has = after[at] < n
+            before[after[at[has]]] = at[has]
+            lens -= np.bincount(owner[at], minlength=len(lens))
+            left = before[at]
+            look(np.unique(np.concatenate([at, left[left >= 0]])))
+        return lens
+
+    def _short(self, words: list[bytes]) -> np.ndarray:
         lens = np.fromiter(map(len, words), np.int64, len(words))
         sym = self.byte_id[np.frombuffer(b"".join(words), np.uint8)]
         owner = np.repeat(np.arange(len(words)), lens)

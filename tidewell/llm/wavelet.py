@@ -19,7 +19,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.encode import encoder, tokenizer_json, with_end
@@ -117,7 +117,17 @@ class WaveletMatrix:
         return at
 
     def occurrences(self, value: int) -> list[int]:
-        return [self.select(value, k) for k in range(self.rank(value))]
+        """Places of all occurrences of ``value``: ``select`` for all of them, plane by plane."""
+        if value >> len(self.planes):
+            return []
+        at = np.arange(*self._range(value, self.n))
+        for level in range(len(self.planes) - 1, -1, -1):
+            if not len(at):
+                break
+            one = value >> (len(self.planes) - 1 - level) & 1
+            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
+            at = np.flatnonzero(bits == one)[at - int(self.zeros[level]) if one else at]
+        return at.tolist()
 
     def ids(self) -> np.ndarray:
         """All ids, by undoing the orders from the lowest plane up."""
@@ -185,9 +195,10 @@ def write(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text"
         if ids:
             yield _block(part, block, done, ids, np.concatenate(counts), np.concatenate(tokens), levels)
 
-    ordered = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")) \
-        .repartitionByRange(F.col("doc_id").asc_nulls_first()) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("hash"),
+                       F.monotonically_increasing_id().alias("row"))
+    order = [F.col("doc_id").asc_nulls_first(), "hash", "row"]  # rows of one id go over several files too
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     ordered.mapInArrow(build, BLOCKS).write.option("compression", "zstd").parquet(path)
 
 
@@ -197,9 +208,11 @@ def _blocks(spark: SparkSession, path: str) -> DataFrame:
 
 def starts(spark: SparkSession, path: str) -> DataFrame:
     """part and the number of ids in all parts before it: one row per file."""
-    parts = _blocks(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
+    rows, at = [], 0
+    for r in _blocks(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("n")).orderBy("part").collect():
+        rows.append((r["part"], at))
+        at += r["n"]
+    return F.broadcast(spark.createDataFrame(rows, "part int, part_start long"))
 
 
 def read(spark: SparkSession, path: str, tokens: bool = False) -> DataFrame:
