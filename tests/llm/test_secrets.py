@@ -11,14 +11,33 @@ from tests.llm.helpers import frame, key, prose
 from tidewell.llm import secrets
 
 
+VALUE_CHARS = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.@:~-")
+
+
 def brute_findings(text):
+    """Findings of texts without assignments to a secret's name and without
+    addresses that hold a password: every run of value characters of a word (with the
+    = signs that end it) that has ten characters and a digit or sixteen capitals in a row."""
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     out = []
     for i, w in enumerate(words):
-        if len(w) >= 10 and re.search("[0-9]|[A-Z]{16}", w) or len(w) >= 10 and re.search(secrets.SECRET_NAME, w):
-            m = re.search(secrets.VALUE.replace("$", r"\Z"), w)
-            if m and len(m[1]) >= 10 and re.search("[0-9]|[A-Z]{16}", m[1]):
-                out.append((i, m[1], w[:w.index(m[1])], " ".join(words[max(0, i - 2):i]), " ".join(words[i + 1:i + 3])))
+        at = 0
+        while at < len(w):
+            if w[at] not in VALUE_CHARS:
+                at += 1
+                continue
+            to = at
+            while to < len(w) and w[to] in VALUE_CHARS:
+                to += 1
+            end = to
+            while end < len(w) and w[end] == "=":
+                end += 1
+            if end < len(w) and (w[end] in VALUE_CHARS or w[end] in "\"'`"):
+                end = to  # = signs before more of a value assign it
+            v = w[at:end]
+            if len(w) >= 10 and len(v) >= 10 and (any(c in "0123456789" for c in v) or re.search("[A-Z]{16}", v)):
+                out.append((i, v, w[:at], " ".join(words[max(0, i - 2):i]), " ".join(words[i + 1:i + 3])))
+            at = max(end, to)
     return out
 
 
@@ -35,8 +54,10 @@ def planted(seed=3, n=300):
 
 
 def test_op5_findings(spark):
-    rows = planted() + [(900, None), (901, ""), (901, "abc123defg9 x"), (None, "key: 'a1b2c3d4e5f6', next"), (902, "9" * 50_000),
-                        (903, "é1é2é3é4é5é6é7 ---1234567890--- a=b=c1234567890==")]
+    rows = [r for r in planted() if "=" not in r[1]]  # assignments are in test_op5_every_run_of_a_word
+    rows += [(900, None), (901, ""), (901, "abc123defg9 x"), (None, "key: 'a1b2c3d4e5f6', next"), (902, "9" * 50_000),
+             (903, "é1é2é3é4é5é6é7 ---1234567890--- a=b=c1234567890== (x1234567890,y1234567890;zz)(abcdefghijk9)"),
+             (904, "ABCDEFGHIJKLMNOPQ,abcdefghijklmnop short1,1234567890123")]
     docs = frame(spark, rows, clashes=True).selectExpr("*", "'s' AS value", "'p' AS name", "1 AS at", "2 AS length")
     got = secrets.findings(docs).select("row.doc_id", "at", "value", "name", "before", "after").collect()
     assert sorted(map(tuple, got), key=key) == sorted([(i, *f) for i, t in rows for f in brute_findings(t)], key=key)
@@ -69,6 +90,26 @@ def test_op5_held_out_accuracy(spark):
     assert sum(r.is_secret == (r.label == 1.0) for r in judged) / len(judged) > 0.95
 
 
+def test_op5_sample_keeps_a_rare_class(spark):
+    """One positive among thousands, and thousands of equal findings."""
+    rows = [(k, f"at 10.{k % 250}.{k // 250}.{k % 199} now") for k in range(3000)] + [(k, "equal 1234567890 words") for k in range(3000)]
+    docs = frame(spark, rows + [(9999, "password=0a1b2c3d4e5f6789")])
+    found = secrets.with_features(secrets.findings(docs), secrets.dictionary(docs))
+    examples = secrets.written(found.withColumn("label", secrets.labelled(found)), "examples")
+    forest = secrets.train(examples, rows=100)
+    assert forest.numClasses == 2
+    got = secrets.score(examples, forest).collect()
+    assert len(got) == len(examples.collect()) and all(r.probability is not None for r in got)
+    seen = []
+    old = secrets.RandomForestClassifier.fit
+    secrets.RandomForestClassifier.fit = lambda self, df: seen.append(df.count()) or old(self, df)
+    try:
+        secrets.train(examples, rows=500)
+    finally:
+        secrets.RandomForestClassifier.fit = old
+    assert 350 < seen[0] < 650  # about 500, although half of all findings are equal
+
+
 def test_op5_edge_cases(spark):
     assert secrets.scan(frame(spark, [])).count() == 0
     only = secrets.scan(frame(spark, [(1, "password=0123456789abcdef"), (1, "password=0123456789abcdef"), (2, None)])).collect()

@@ -48,6 +48,7 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(documents(spark, sf_dir, "doc_id", "text", "source"))
     return found.select(F.col("row.doc_id").alias("doc_id"), F.col("at").cast("bigint").alias("word_at"),
+                        F.length("name").cast("bigint").alias("place_in_word"),
                         F.sha2("value", 256).alias("value_sha256"), F.col("length").cast("bigint").alias("length"),
                         "label", "probability", "is_secret")
 

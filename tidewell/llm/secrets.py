@@ -12,8 +12,8 @@ probability; those under ``threshold`` are false positives.
 ``labelled`` labels the findings whose form settles the question: a provider's
 prefix or an assignment to a secret's name is a secret, an address, a number,
 a date, a UUID or a placeholder is none.  The forest is not told which form it
-was and judges every finding.  It trains on at most ``TRAINING_ROWS`` of them,
-chosen by hash.  Everything is DataFrame operations and Spark's own forest.
+was and judges every finding.  It trains on about ``TRAINING_ROWS`` of them,
+chosen by hash within their class.  Everything is DataFrame operations and Spark's own forest.
 
 Edge cases: null and empty texts have no findings; rows with equal ids have
 their own findings each; without labels of both classes the probability is
@@ -34,8 +34,6 @@ TRAINING_ROWS = 100_000
 MIN_LENGTH = 10
 #: documents that must hold a word before the dictionary knows it
 DICTIONARY_DOCUMENTS = 3
-#: The last run of value characters of a word.
-VALUE = r"([A-Za-z0-9+/_.@:~-]+=*)[^A-Za-z0-9=]*$"
 SECRET_NAME = r"(?i)(passw|pwd|secret|token|api.?key|access.?key|credential|auth|private.?key)"
 #: What ends with an assignment to a secret's name.
 NAMED = SECRET_NAME + r"[\w.-]*[^\w\s:=]*\s*[:=]+>?\s*[^\w\s]*$"
@@ -179,17 +177,27 @@ def with_features(found: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def train(examples: DataFrame, label: str = "label", rows: int = TRAINING_ROWS, trees: int = 30, depth: int = 6, seed: int = 7):
-    """A forest of the labelled rows of ``examples`` (at most about ``rows`` of
-    them, chosen by hash), or None if a class is missing."""
+    """A forest of the labelled rows of ``examples``, or None if a class is
+    missing.  Of more than ``rows`` labelled rows each class gives its share, but
+    a tenth of ``rows`` if it has them, chosen by hash: at most about 1.1 x ``rows``."""
     known = examples.filter(F.col(label).isNotNull())
     sizes = {r[label]: r["n"] for r in known.groupBy(label).agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0.0) or not sizes.get(1.0):
         return None
-    share = min(1.0, rows / sum(sizes.values()))
-    part = known.filter(F.pmod(F.xxhash64("value", "before", "after"), F.lit(1 << 20)) < int(share * (1 << 20)))
+    total = sum(sizes.values())
+    # equal findings are chosen each by itself
+    keyed = known.withColumn("_hash", F.xxhash64("value", "before", "after", F.monotonically_increasing_id()))
+    share = {k: min(1.0, max(rows * n / total, rows / 10) / n) if total > rows else 1.0 for k, n in sizes.items()}
+    chosen = F.lit(False)
+    for k, x in share.items():
+        chosen = chosen | (F.col(label) == k) & (F.pmod("_hash", F.lit(1 << 20)) < round(x * (1 << 20)))
+    part = written(keyed.filter(chosen), "training")
+    for k in share:
+        if part.filter(F.col(label) == k).isEmpty():  # by bad luck: one of the class, so that there are two
+            part = part.unionByName(keyed.filter(F.col(label) == k).orderBy("_hash").limit(1))
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="_features")
     forest = RandomForestClassifier(featuresCol="_features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed)
-    ready = assembler.transform(part.orderBy("value", "before", "after")).select("_features", label)
+    ready = assembler.transform(part.orderBy("value", "before", "after", "_hash")).select("_features", label)
     return forest.fit(ready)
 
 
