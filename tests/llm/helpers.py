@@ -4,7 +4,9 @@ import random
 
 LETTERS = "the of and onth er in ation re is to a b c d e".split()
 #: extra columns whose names the operators use inside
-CLASHES = "n_words long, kept string, fp string, cell long, _w string, row long, n_tokens string, lang_pred string, score string"
+CLASHES = ("n_words long, kept string, fp string, cell long, _w string, row long, n_tokens string, lang_pred string, score string, "
+           "_id string, _h string, _s string, _cut string, _i long, _t string, _lines string, _l string, _fp string, component_id string, "
+           "id string, h string")
 
 
 def prose(rng, n, per_line=12):

@@ -182,7 +182,7 @@ def near_copies():
 def test_op4_classes(spark):
     rows = corpus() + near_copies()
     fps = [(i, brute_fingerprint(t)) for i, t in rows]
-    docs = frame(spark, rows, clashes=True).drop("fp")
+    docs = frame(spark, rows, clashes=True)
     got = simhash.classes(docs).select("doc_id", simhash.hex_digits(simhash.F.col("fp")), "component_id").collect()
     want = [(i, f"{f:016x}", c) for (i, f), c in zip(fps, brute_components(fps))]
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
@@ -260,3 +260,22 @@ def test_op6_features_do_not_cross_texts():
         alone, _, has = language.features([t], letters)
         assert sorted(alone.tolist()) == sorted(both[of == i].tolist())
         assert has[0] == bool(t)
+
+
+@pytest.mark.parametrize("limit", [0, 500_000])
+def test_filters_keep_texts_and_columns_whichever_side_moves(spark, monkeypatch, limit):
+    """Dropped keys go to the texts, or beyond the limit both are shuffled: the same rows."""
+    from tidewell.llm import common, lines
+    monkeypatch.setattr(common, "BROADCAST_KEYS", limit)
+    rows = corpus() + near_copies()[:20] + [(3000, "x " * 60), (3000, "x " * 60)]
+    docs = frame(spark, rows, clashes=True)
+    for out in (quality.filter_documents(docs), simhash.keep_first(docs), lines.dedup_documents(docs)):
+        assert out.columns == docs.columns
+        left = out.collect()
+        assert left and all(r["_id"] == "9" and r["row"] == 9 and r["fp"] == "9" for r in left)
+    judged = quality.judge(frame(spark, rows))
+    verdict = {(r.doc_id, r.n_words): r.kept for r in judged.collect()}
+    kept = sorted(((r.doc_id, r.text) for r in quality.filter_documents(frame(spark, rows)).collect()), key=key)
+    assert kept == sorted([(i, t) for i, t in rows if verdict[(i, len(re.findall(BLANK, t or "")))]], key=key)
+    n = quality.judge(docs).columns
+    assert len(set(n)) == len(n)

@@ -3,14 +3,15 @@
 import random
 
 import pytest
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 
 from tests.llm.helpers import corpus, frame, key, prose
 from tidewell.llm import lines
 
 
-@settings(max_examples=200, deadline=None)
+@settings(max_examples=1000, deadline=None)
+@example([1, 0, 0], [0, 1, 0])
 @given(st.lists(st.integers(0, 8), max_size=14), st.lists(st.integers(0, 8), max_size=14))
 def test_patience_is_an_alignment(a, b):
     match = lines.patience(a, b)

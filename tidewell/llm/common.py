@@ -33,9 +33,32 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_dir(spark: SparkSession, path: str) -> None:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+#: Keys of documents that are broadcast; more are joined by shuffling.
+BROADCAST_KEYS = 500_000
+
+
+def boxed(docs: DataFrame, **named: Column) -> DataFrame:
+    """``docs`` as one struct ``row``, so that its column names clash with none,
+    and beside it the columns ``named``."""
+    return docs.select(F.struct("*").alias("row"), *(c.alias(k) for k, c in named.items()))
+
+
+def unboxed(df: DataFrame, columns: list[str], own: list[str] = (), **replaced: Column) -> DataFrame:
+    """The fields ``columns`` of ``row``, ``replaced`` ones with their new value,
+    then the columns ``own``, which take the place of fields of that name."""
+    taken = {c.lower() for c in own}
+    return df.select(*(replaced.get(c, F.col("row")[c]).alias(c) for c in columns if c.lower() not in taken), *own)
+
+
+def without(docs: DataFrame, gone: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The rows of ``docs`` whose id and text hash are not in ``gone`` (_id, _h).
+    The keys are written and counted; up to ``BROADCAST_KEYS`` of them go to the texts, not
+    the texts to them."""
+    keys = written(gone.select("_id", "_h").distinct(), "gone")
+    side = F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    rows = boxed(docs, id=F.col(doc_id), h=F.xxhash64(F.col(text)))
+    left = rows.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left_anti")
+    return unboxed(left, docs.columns)
 
 
 def lower_az(text: Column) -> Column:

@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import let, lower_az, split_words, window_hashes, window_text
+from tidewell.llm.common import (BROADCAST_KEYS, boxed, let, lower_az, split_words, unboxed, window_hashes,
+                                 window_text, without, written)
 
 #: Characters between words after A-Z are lower-cased, and before that.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -117,16 +118,12 @@ def report(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str
     }).withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).drop("_row", "_ids")
 
 
-def _same_text(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> Column:
-    return docs[doc_id].eqNullSafe(found["_id"]) & (F.xxhash64(docs[text]) == found["_h"])
-
-
 def remove_documents(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                      **options) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
     bad = report(docs, items, doc_id, text, **options).filter("contaminated") \
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"))
-    return docs.join(bad, _same_text(docs, bad, doc_id, text), "left_anti")
+    return without(docs, bad, doc_id, text)
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -135,7 +132,9 @@ def remove_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     stands between two hit words; other texts are as they were."""
     bad = report(docs, items, doc_id, text, **options).filter("contaminated") \
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h"), F.col("spans").alias("_s")).distinct()
-    pieces = F.regexp_extract_all(F.col(text), F.lit(f"({RAW_BETWEEN}|{RAW_BETWEEN.replace('[', '[^')})"), F.lit(1))
+    bad = written(bad, "contaminated")
+    side = F.broadcast(bad) if (bad.agg(F.sum(F.size("_s"))).first()[0] or 0) <= BROADCAST_KEYS else bad
+    pieces = F.regexp_extract_all(F.col("text"), F.lit(f"({RAW_BETWEEN}|{RAW_BETWEEN.replace('[', '[^')})"), F.lit(1))
 
     def kept(p: Column) -> Column:
         first = F.when(F.get(p, F.lit(0)).rlike(f"^{RAW_BETWEEN}"), 1).otherwise(0)
@@ -150,6 +149,6 @@ def remove_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
 
         return F.array_join(F.filter(p, lambda x, k: stays(k)), "")
 
-    out = docs.join(bad, _same_text(docs, bad, doc_id, text), "left")
-    return out.withColumn(text, F.when(F.col("_s").isNull(), F.col(text)).otherwise(let(pieces, kept))) \
-        .select(*docs.columns)
+    rows = boxed(docs, id=F.col(doc_id), text=F.col(text), h=F.xxhash64(F.col(text)))
+    out = rows.join(side, F.col("id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h")), "left")
+    return unboxed(out, docs.columns, **{text: F.when(F.col("_s").isNull(), F.col("text")).otherwise(let(pieces, kept))})

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import written
+from tidewell.llm.common import boxed, unboxed, written
 
 MIN_WORDS = 30
 RARE_DOCUMENTS = 4
@@ -48,27 +48,28 @@ def _numbered(a: list[int], lo: int, hi: int) -> dict[tuple[int, int], int]:
 
 
 def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
-    """Matched places (in a, in b), rising in both: equal ends first, then the
-    longest rising run of the lines that are unique in both (if there are none, of
-    the k-th occurrences in both), and the same again between these."""
+    """Matched places (in a, in b), rising in both: the longest rising run of the
+    lines that are unique in both, and the same again between these; where there is
+    no such line, equal ends, then what is unique between them, and if there is none,
+    the k-th occurrences in both."""
     out = []
     todo = [(0, len(a), 0, len(b))]
     while todo:
         a0, a1, b0, b1 = todo.pop()
-        while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
-            out.append((a0, b0))
-            a0, b0 = a0 + 1, b0 + 1
-        while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
-            a1, b1 = a1 - 1, b1 - 1
-            out.append((a1, b1))
         if a0 == a1 or b0 == b1:
             continue
-        in_a, in_b = {}, {}
-        for i in range(a0, a1):
-            in_a[a[i]] = -1 if a[i] in in_a else i
-        for j in range(b0, b1):
-            in_b[b[j]] = -1 if b[j] in in_b else j
-        unique = sorted((i, in_b[h]) for h, i in in_a.items() if i >= 0 and in_b.get(h, -1) >= 0)
+        if a[a0:a1] == b[b0:b1]:
+            out += zip(range(a0, a1), range(b0, b1))
+            continue
+        unique = _unique_in_both(a, a0, a1, b, b0, b1)
+        if not unique:
+            while a0 < a1 and b0 < b1 and a[a0] == b[b0]:
+                out.append((a0, b0))
+                a0, b0 = a0 + 1, b0 + 1
+            while a0 < a1 and b0 < b1 and a[a1 - 1] == b[b1 - 1]:
+                a1, b1 = a1 - 1, b1 - 1
+                out.append((a1, b1))
+            unique = _unique_in_both(a, a0, a1, b, b0, b1)
         if not unique:
             in_a, in_b = _numbered(a, a0, a1), _numbered(b, b0, b1)
             unique = sorted((i, in_b[h]) for h, i in in_a.items() if h in in_b)
@@ -96,6 +97,15 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _unique_in_both(a: list[int], a0: int, a1: int, b: list[int], b0: int, b1: int) -> list[tuple[int, int]]:
+    in_a, in_b = {}, {}
+    for i in range(a0, a1):
+        in_a[a[i]] = -1 if a[i] in in_a else i
+    for j in range(b0, b1):
+        in_b[b[j]] = -1 if b[j] in in_b else j
+    return sorted((i, in_b[h]) for h, i in in_a.items() if i >= 0 and in_b.get(h, -1) >= 0)
+
+
 def common_blocks(a: list[int], b: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
     """(from, to) in b of the aligned blocks with ``min_words`` words or more, and,
     where common lines are left, of all runs of lines that a has too."""
@@ -277,26 +287,32 @@ def _merged(cut: Column) -> Column:
     return F.aggregate(cut, empty, add)
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with the deleted lines out of ``text``, then n_lines and
-    n_deleted."""
-    found = blocks(docs, doc_id, text, **options).select("_id", "_h", _merged(F.col("cut")).alias("_cut"))
-    rows = docs.withColumns({"_i": F.col(doc_id), "_t": F.coalesce(F.xxhash64(F.col(text)), F.lit(0))})
-    out = rows.join(found, rows["_i"].eqNullSafe(found["_id"]) & (rows["_t"] == found["_h"]), "left")
+def _dedup(docs: DataFrame, **options) -> DataFrame:
+    """``row``, ``text`` without the deleted lines, n_lines and n_deleted, from
+    ``row``, ``id`` and ``text``."""
+    found = blocks(docs, "id", "text", **options).select("_id", "_h", _merged(F.col("cut")).alias("_cut"))
+    rows = docs.withColumn("_t", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    out = rows.join(found, F.col("id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_h")), "left")
     kept = F.concat(F.array().cast("array<string>"), F.flatten(F.transform(
         F.sequence(F.lit(0), F.size("_cut")), lambda k: F.slice(
             F.col("_lines"), F.when(k == 0, 1).otherwise(F.get("_cut", k - 1)["e"] + 1),
             F.coalesce(F.get("_cut", k)["s"], F.size("_lines")) - F.when(k == 0, 0).otherwise(F.get("_cut", k - 1)["e"])))))
     gone = F.aggregate("_cut", F.lit(0), lambda a, x: a + x["e"] - x["s"])
-    return out.withColumn("_lines", F.split(F.coalesce(F.col(text), F.lit("")), "\n")).withColumns({
-        text: F.when(F.col("_cut").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")),
-        "n_lines": F.size("_lines"), "n_deleted": F.coalesce(gone, F.lit(0)),
-    }).select(*[c for c in docs.columns if c not in ("n_lines", "n_deleted")], "n_lines", "n_deleted")
+    return out.withColumn("_lines", F.split(F.coalesce(F.col("text"), F.lit("")), "\n")).select(
+        "row", F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
+        F.size("_lines").alias("n_lines"), F.coalesce(gone, F.lit(0)).alias("n_deleted"))
+
+
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with the deleted lines out of ``text``, then n_lines and
+    n_deleted (columns of ``docs`` with these names give way)."""
+    out = _dedup(boxed(docs, id=F.col(doc_id), text=F.col(text)), **options)
+    return unboxed(out, docs.columns, ["n_lines", "n_deleted"], **{text: F.col("text")})
 
 
 def dedup_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``dedup`` with the columns of ``docs`` only; a text that lost its last
     word goes."""
-    inner = docs.select(F.struct("*").alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    out = dedup(inner, "id", "text", **options).filter((F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return out.select(*(F.col("text").alias(c) if c == text else F.col("row")[c].alias(c) for c in docs.columns))
+    out = _dedup(boxed(docs, id=F.col(doc_id), text=F.col(text)), **options)
+    left = out.filter((F.col("n_deleted") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return unboxed(left, docs.columns, **{text: F.col("text")})

@@ -22,7 +22,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import let, split_words, window_hashes, written
+from tidewell.llm.common import let, split_words, unboxed, window_hashes, without, written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
@@ -187,13 +187,16 @@ def judge(docs: DataFrame, text: str = "text", threshold: float = 0.5, model: Vo
     """The rows of ``docs`` without their text, with ``SIGNALS``,
     ``base_failed``, ``posterior`` and ``kept``.  Texts are read once: the
     signals are written to the shared folder, and the model and the verdicts
-    come from there."""
-    out = written(signals(docs, text).drop(text), "signals")
+    come from there.  A column of ``docs`` with the name of one of these gives way."""
+    columns = [c for c in docs.columns if c != text]
+    inner = docs.select(F.struct(*columns).alias("row") if columns else F.struct(F.lit(0)).alias("row"), F.col(text).alias("text"))
+    out = written(signals(inner, "text").drop("text"), "signals")
     model = model or fit(out)
-    return out.withColumns({
+    judged = out.withColumns({
         "base_failed": (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")),
         "posterior": model.posterior(rules()),
     }).withColumn("kept", ~F.col("base_failed") & (F.col("posterior") >= threshold))
+    return unboxed(judged, columns, [c for c in judged.columns if c != "row"])
 
 
 def filter_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -201,4 +204,4 @@ def filter_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     the text alone, so rows with equal ids and texts share theirs."""
     keyed = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.xxhash64(F.col(text)).alias("_h"))
     bad = judge(keyed, "_text", **options).filter(~F.col("kept")).select("_id", "_h")
-    return docs.join(bad, docs[doc_id].eqNullSafe(bad["_id"]) & (F.xxhash64(docs[text]) == bad["_h"]), "left_anti")
+    return without(docs, bad, doc_id, text)

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import written
+from tidewell.llm.common import boxed, unboxed, without, written
 
 SEED = 42
 EVEN = 0x5555555555555555
@@ -138,15 +138,17 @@ def components(edges: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, width: int = 3, bits: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row of ``docs``: its columns without the text, ``fp`` and
     ``component_id``, the smallest id among all rows linked to it directly or
-    through others."""
-    marked = written(fingerprints(docs, width, text), "fingerprints")
-    first = marked.groupBy("fp").agg(F.min(doc_id).alias("least"))
+    through others.  Columns of ``docs`` with these two names give way."""
+    columns = [c for c in docs.columns if c != text]
+    inner = docs.select(F.struct(*columns).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    marked = written(fingerprints(inner, width, "text"), "fingerprints")
+    first = marked.groupBy("fp").agg(F.min("id").alias("least"))
     found = components(links(marked, bits))
     named = found.join(first, F.col("node") == F.col("fp")).groupBy("root").agg(F.min("least").alias("component"))
     linked = found.join(named, "root").select("node", "component")
     by_fp = first.join(linked, F.col("fp") == F.col("node"), "left").select(
         F.col("fp").alias("_fp"), F.coalesce("component", "least").alias("component_id"))
-    return marked.join(by_fp, F.col("fp") == F.col("_fp")).drop("_fp")
+    return unboxed(marked.join(by_fp, F.col("fp") == F.col("_fp")), columns, ["fp", "component_id"])
 
 
 def hex_digits(fp: Column) -> Column:
@@ -161,8 +163,9 @@ def keep_first(docs: DataFrame, width: int = 3, bits: int = 3, doc_id: str = "do
     order = F.struct(F.col("_id").isNull(), F.col("_id").alias("_id"), F.col("_h").alias("_h"))
     rows = written(found.select("_id", "_h", "component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("unnamed")), "classes")
     best = rows.groupBy("component_id", "unnamed").agg(F.min(order).alias("best"))
-    stay = best.select(F.col("best._id").alias("_id"), F.col("best._h").alias("_h"))
-    kept = docs.join(stay, docs[doc_id].eqNullSafe(stay["_id"]) & (F.xxhash64(docs[text]) == stay["_h"]), "left_semi")
+    stay = best.select(F.col("best._id").alias("s_id"), F.col("best._h").alias("s_h"))
+    gone = rows.join(stay, F.col("_id").eqNullSafe(F.col("s_id")) & (F.col("_h") == F.col("s_h")), "left_anti")
+    kept = without(docs, gone, doc_id, text)
     if rows.groupBy("_id", "_h").count().filter("count > 1").isEmpty():
         return kept
-    return kept.withColumn("_h", F.xxhash64(F.col(text))).dropDuplicates([doc_id, "_h"]).drop("_h")
+    return unboxed(boxed(kept, id=F.col(doc_id), h=F.xxhash64(F.col(text))).dropDuplicates(["id", "h"]), docs.columns)
