@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import text_or_empty
+from tidewell.llm.common import text_or_empty, written
 
 BUCKET_TOKENS = 2_000_000
 FLUSH_TOKENS = 2_500_000
@@ -164,6 +164,7 @@ def common_contexts(docs: DataFrame, buckets: int) -> np.ndarray:
             yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in rows.items()})
 
     rows = docs.select("text").mapInArrow(count, "h long, n long, total boolean").groupBy("total", "h").agg(F.sum("n").alias("n"))
+    rows = written(rows, "contexts")
     total = rows.filter("total").agg(F.sum("n")).first()[0] or 0
     found = rows.filter(~F.col("total") & (16 * buckets * F.col("n") >= total)).select("h").collect() if buckets > 1 else []
     return np.sort(np.array([r["h"] for r in found], np.int64).view(np.uint64))
@@ -205,16 +206,16 @@ class Seating:
     """Tables of the dishes of many restaurants.  Dish i has ``c[i]`` customers in
     restaurant ``r[i]``.  A dish with one customer has one table; the others have
     a seat (table) per customer, the tables' sizes, and a stack of free tables.
-    ``total`` counts the tables of each restaurant; ``extra`` are those of the same
-    restaurant that other buckets hold.  Moves of one step are made for all dishes
+    ``total`` counts the tables of each restaurant; other buckets hold ``elsewhere``
+    times as many of the same restaurant.  Moves of one step are made for all dishes
     at once, each from the tables as they were before it."""
 
-    def __init__(self, c, r, restaurants, p, rng, discount=DISCOUNT, strength=STRENGTH, extra=None):
+    def __init__(self, c, r, restaurants, p, rng, discount=DISCOUNT, strength=STRENGTH, elsewhere=None):
         self.d, self.s, self.rng = discount, strength, rng
         self.t = np.minimum(c, 1)
         self.c, self.r = c, r
         self.total = np.bincount(r, self.t, restaurants)
-        self.extra = np.zeros(restaurants) if extra is None else extra
+        self.share = np.ones(restaurants) if elsewhere is None else 1 + elsewhere
         self.many = np.flatnonzero(c > 1)
         self.n = c[self.many]
         self.off = np.cumsum(self.n) - self.n
@@ -227,7 +228,7 @@ class Seating:
     def _new(self, k, seated, p, t):
         """Probability that the next customer of dishes ``k`` opens a table."""
         r = self.r[self.many[k]]
-        a = (self.s + self.d * (self.total[r] + self.extra[r])) * p
+        a = (self.s + self.d * self.total[r] * self.share[r]) * p
         return a / (a + seated - self.d * t)
 
     def _join(self, off, seated, skip=None, many=1):
@@ -356,26 +357,29 @@ class Bucket:
     def by_context(self, x):
         return np.bincount(self.u, x, len(self.contexts)).astype(np.int64)
 
-    def seated(self, seed: int) -> Seating:
-        """The first seating, with the words' shares in the bucket as parent."""
+    def seated(self, seed: int, split: np.ndarray, buckets: int) -> Seating:
+        """The first seating, with the words' shares in the bucket as parent; of the
+        contexts ``split`` the bucket has about one part in ``buckets``."""
         share = (self.by_word(self.c) + 0.5) / (self.c.sum() + 0.5 * len(self.words) + 1)
-        return Seating(self.c, self.u, len(self.contexts), share[self.w], np.random.default_rng(seed))
+        elsewhere = np.zeros(len(self.contexts))
+        elsewhere[split] = buckets - 1
+        return Seating(self.c, self.u, len(self.contexts), share[self.w], np.random.default_rng(seed), elsewhere=elsewhere)
 
 
-def _send(bucket: int, data: list[bytes], seed: int, common: np.ndarray, parts: int):
-    """(part, payload) of counts and tables for the parent, and of the totals of
-    split contexts."""
+def _send(bucket: int, data: list[bytes], seed: int, common: np.ndarray, buckets: int, parts: int):
+    """(part, payload) for every part: counts and tables of its words for the
+    parent, and the totals of its split contexts."""
     b = Bucket(data)
-    seats = b.seated(seed)
+    split = np.flatnonzero(_is_in(common, b.contexts))
+    seats = b.seated(seed, split, buckets)
     c, t = b.by_word(b.c), b.by_word(seats.t)
     one, two = int((b.c == 1).sum()), int((b.c == 2).sum())
-    split = np.flatnonzero(_is_in(common, b.contexts))
     cu, tu = b.by_context(b.c)[split], seats.total[split].astype(np.int64)
     of_word, of_context = _place(_spread(b.words), parts), _place(_spread(b.contexts[split]), parts)
-    for k in np.unique(np.concatenate([of_word, of_context])):
+    for k in range(parts):
         w, s = of_word == k, of_context == k
-        yield int(k), _pack(bucket=np.array([bucket]), w=b.words[w], c=c[w], t=t[w], u=b.contexts[split][s], cu=cu[s], tu=tu[s],
-                            few=np.array([one, two]) if k == of_word[0] else np.array([0, 0]))
+        yield k, _pack(bucket=np.array([bucket]), w=b.words[w], c=c[w], t=t[w], u=b.contexts[split][s], cu=cu[s], tu=tu[s],
+                       few=np.array([one, two]) if k == 0 else np.array([0, 0]))
 
 
 def _spread(h: np.ndarray) -> np.ndarray:
@@ -383,8 +387,8 @@ def _spread(h: np.ndarray) -> np.ndarray:
 
 
 def _answer(part: int, data: list[bytes], seed: int):
-    """Seats the parent's words of one part; (bucket, payload) for each bucket that
-    asked, and totals."""
+    """Seats the parent's words of one part; (bucket, payload) for each bucket,
+    with the part's totals."""
     asked = sorted((_unpack(x) for x in data), key=lambda x: int(x["bucket"][0]))
     words, at = np.unique(np.concatenate([x["w"] for x in asked]), return_inverse=True)
     c = np.bincount(at, np.concatenate([x["c"] for x in asked]), len(words)).astype(np.int64)
@@ -397,42 +401,40 @@ def _answer(part: int, data: list[bytes], seed: int):
     split, which = np.unique(np.concatenate([x["u"] for x in asked]), return_inverse=True)
     cu = np.bincount(which, np.concatenate([x["cu"] for x in asked]), len(split)).astype(np.int64) if len(split) else np.zeros(0, np.int64)
     tu = np.bincount(which, np.concatenate([x["tu"] for x in asked]), len(split)).astype(np.int64) if len(split) else np.zeros(0, np.int64)
-    sums = [int(c.sum()), known, int(t.sum()), int(seats.t.sum()), *sum(x["few"].astype(np.int64) for x in asked).tolist()]
+    sums = np.array([int(c.sum()), known, int(t.sum()), int(seats.t.sum()), *sum(x["few"].astype(np.int64) for x in asked).tolist()])
     lo = np.cumsum([0] + [len(x["w"]) for x in asked])
     lu = np.cumsum([0] + [len(x["u"]) for x in asked])
     for k, x in enumerate(asked):
         w, u = at[lo[k]:lo[k + 1]], which[lu[k]:lu[k + 1]]
-        yield int(x["bucket"][0]), _pack(w=x["w"], c=c[w], t=t[w], t0=seats.t[w], u=x["u"], cu=cu[u], tu=tu[u]), None
-    yield -1, None, sums
+        yield int(x["bucket"][0]), _pack(w=x["w"], c=c[w], t=t[w], t0=seats.t[w], u=x["u"], cu=cu[u], tu=tu[u], own=x["tu"], sums=sums)
 
 
-def _scores(bucket: int, data: list[bytes], answers: list[bytes], sums, seed: int, burn: int, samples: int, sweeps: int):
+def _scores(bucket: int, data: list[bytes], answers: list[bytes], seed: int, burn: int, samples: int, sweeps: int):
     """The bucket's share of its documents: row, id, none (no id), n, known, base, score."""
-    n, vocabulary, tables, roots, one, two = (float(x) for x in sums)
     b = Bucket(data)
-    seats = b.seated(seed)
     c, t, t0 = (np.zeros(len(b.words)) for _ in range(3))
-    cu, tu = b.by_context(b.c).astype(float), np.zeros(len(b.contexts))
+    cu, elsewhere = b.by_context(b.c).astype(float), np.zeros(len(b.contexts))
+    sums = np.zeros(6)
     for x in map(_unpack, answers):
+        sums += x["sums"]
         at = np.searchsorted(b.words, x["w"])
         c[at], t[at], t0[at] = x["c"], x["t"], x["t0"]
         at = np.searchsorted(b.contexts, x["u"])
         cu[at] = x["cu"]
-        tu[at] = x["tu"] - seats.total[at]
+        elsewhere[at] = x["tu"] / np.maximum(x["own"], 1) - 1
+    n, vocabulary, tables, roots, one, two = sums
     base = 1 / (vocabulary + 1)
     parent = (t - DISCOUNT * t0 + (STRENGTH + DISCOUNT * roots) * base) / (STRENGTH + tables)
     p = parent[b.w]
     # the share of pairs seen once among those seen once or twice says how much to take off
     d = min(0.98, max(0.3, one / (one + 2 * two))) if one else DISCOUNT
-    rng = seats.rng
-    del seats  # as large as the next
-    seats = Seating(b.c, b.u, len(b.contexts), p, rng, d, extra=tu)
+    seats = Seating(b.c, b.u, len(b.contexts), p, np.random.default_rng(seed), d, elsewhere=np.maximum(elsewhere, 0))
     mean = np.zeros(len(b.c))
     for k in range(burn + samples):
         for _ in range(sweeps):
             seats.sweep(p)
         if k >= burn:
-            all_tables = (seats.total + seats.extra)[b.u]
+            all_tables = (seats.total * seats.share)[b.u]
             mean += (b.c - d * seats.t + (STRENGTH + d * all_tables) * p) / (STRENGTH + cu[b.u])
     score = np.log10(mean / samples)
     word = np.log10((c + 0.1) / (n + 0.1 * (vocabulary + 1)))[b.w]
@@ -455,7 +457,8 @@ def _summed_docs(data: list[bytes]) -> dict[str, np.ndarray]:
 
 # ---- the operator --------------------------------------------------------------------------
 
-SUMS = ("n", "vocabulary", "tables", "roots", "one", "two")
+#: Buckets to a part of the parent: each bucket sends to every part.
+BUCKETS_A_PART = 8
 
 
 def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", bucket_tokens: int = BUCKET_TOKENS,
@@ -500,24 +503,25 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     def column(t, name):
         return t.column(name).to_pylist()
 
+    parent_parts = -(-buckets // BUCKETS_A_PART)
+
     def ask(key, t):
-        found = list(_send(key[0].as_py(), column(t, "payload"), seed + key[0].as_py(), common, buckets))
+        found = list(_send(key[0].as_py(), column(t, "payload"), seed + key[0].as_py(), common, buckets, parent_parts))
         return pa.table({"part": pa.array([k for k, _ in found], pa.int64()), "payload": pa.array([x for _, x in found], pa.binary())})
 
     def answer(key, t):
         found = list(_answer(key[0].as_py(), column(t, "payload"), seed + 31 * key[0].as_py() + 7))
-        sums = [s or [None] * len(SUMS) for _, _, s in found]
-        return pa.table({"bucket": pa.array([k for k, _, _ in found], pa.int64()), "answer": pa.array([x for _, x, _ in found], pa.binary()),
-                         **{k: pa.array([s[i] for s in sums], pa.int64()) for i, k in enumerate(SUMS)}})
+        return pa.table({"bucket": pa.array([k for k, _ in found], pa.int64()), "answer": pa.array([x for _, x in found], pa.binary())})
 
     def finish(key, left, right):
-        sums = [right.column(f"all_{k}")[0].as_py() for k in SUMS]
         bucket = key[0].as_py()
-        found = _scores(bucket, column(left, "payload"), column(right, "answer"), sums, seed + bucket, burn, samples, sweeps)
+        answers = column(right, "answer")
+        found = _scores(bucket, column(left, "payload"), answers, seed + bucket, burn, samples, sweeps)
+        train_tokens = sum(int(_unpack(x)["sums"][0]) for x in answers)
         part = _place(_spread(found["row"].astype(np.uint64)), buckets)
         parts = np.unique(part)
         share = [_pack(bucket=np.array([bucket]), **{k: v[part == p] for k, v in found.items()}) for p in parts]
-        return pa.table({"part": pa.array(parts, pa.int64()), "train_tokens": pa.array(np.full(len(parts), int(sums[0]))),
+        return pa.table({"part": pa.array(parts, pa.int64()), "train_tokens": pa.array(np.full(len(parts), train_tokens)),
                          "payload": pa.array(share, pa.binary())})
 
     def gather(key, t):
@@ -528,11 +532,8 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
                          "base_score": pa.array(d["base"]), "score": pa.array(d["score"])})
 
     dealt = rows.mapInArrow(deal, "bucket long, payload binary")
-    answers = dealt.groupBy("bucket").applyInArrow(ask, "part long, payload binary") \
-        .groupBy("part").applyInArrow(answer, "bucket long, answer binary, " + ", ".join(f"{k} long" for k in SUMS))
-    # one row, that goes with every answer
-    totals = answers.filter("bucket = -1").agg((F.max("bucket") + 1).alias("zero"), *(F.sum(k).alias(f"all_{k}") for k in SUMS))
-    told = answers.filter("bucket >= 0").select("bucket", "answer", (F.col("bucket") * 0).alias("zero")).join(F.broadcast(totals), "zero").drop("zero")
+    told = dealt.groupBy("bucket").applyInArrow(ask, "part long, payload binary") \
+        .groupBy("part").applyInArrow(answer, "bucket long, answer binary")
     parts = dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(
         finish, "part long, train_tokens long, payload binary")
     return parts.groupBy("part").applyInArrow(
