@@ -272,3 +272,27 @@ def test_shuffle_merge_splits_a_hot_target_key(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("form", [{"strategy": "outer"}, {"strategy": "shuffle", "target_unique": True}])
+@pytest.mark.parametrize("seed", [4, 5])
+def test_one_outer_join_equals_the_other_forms(spark, form, seed):
+    """Unique target keys, null keys on both sides, duplicate source keys that the target lacks."""
+    rnd = random.Random(seed)
+    sch = "a int, b string, v int, w string"
+    keys = [(a, b) for a in [None, *range(12)] for b in [None, "x", "y"]]
+    target = [(*k, rnd.randrange(4), "t") for k in rnd.sample(keys, 20)] + [(None, "x", 1, "t")] * 3
+    source = [(*k, rnd.randrange(6), "s") for k in rnd.sample(keys, 20)] + [(50, "x", 1, "s")] * 2
+    args = (spark.createDataFrame(target, sch), spark.createDataFrame(source, sch), ["a", "b"],
+            [delete("source.v = 5"), update("source.v > target.v", "*")], [insert("source.v <> 4", "*")])
+    assert rows(merge(*args, **form)) == rows(merge(*args, strategy="broadcast"))
+
+
+def test_a_unique_target_is_shuffled_once(spark, tmpdir_str):
+    spark.range(0, 5000).selectExpr("id AS k", "id AS v").write.parquet(f"{tmpdir_str}/t")
+    s = spark.range(4000, 9000).selectExpr("id AS k", "-id AS v")
+    out = merge(spark.read.parquet(f"{tmpdir_str}/t"), s, ["k"], [update(None, "*")], [insert(None, "*")],
+                cardinality="off", strategy="shuffle", target_unique=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 2
+    assert out.count() == 9000

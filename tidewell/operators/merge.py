@@ -20,6 +20,9 @@ Physical plan, chosen by ``strategy``:
   ANTI`` the target's distinct keys (reduced before their shuffle).  Both keep
   the big side on the left, where AQE can split a hot key.  Target rows with a
   null key never match; a deterministic salt spreads them over the partitions.
+  With ``target_unique`` (no key occurs twice in the target, as in a silver table)
+  there is no hot target key, and one ``FULL OUTER JOIN`` does both: the target is
+  shuffled once.
 * ``"outer"``: one ``FULL OUTER JOIN`` of both sides.  Its output keeps the
   target's partitioning, so a target bucketed on the key is neither shuffled for
   the join nor for writing it back; hot keys must be spread in the key itself
@@ -192,7 +195,7 @@ def _raise_on_conflicts(target, source, on, mode: str) -> None:
 def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
           not_matched: list[Clause] = (), cardinality: str = "merge",
           strategy: str = "auto", broadcast_max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-          materialize: bool = True, source_bytes: int | None = None) -> DataFrame:
+          materialize: bool = True, source_bytes: int | None = None, target_unique: bool = False) -> DataFrame:
     """Return ``target`` after applying ``source`` with MERGE semantics.
 
     ``on``: column names present on both sides, or ``(target_expr,
@@ -207,6 +210,8 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
     ``source_bytes``: an upper bound of the source size the caller already
     measured (e.g. once per micro-batch for several MERGEs of projections of
     it); it replaces the measuring job.
+    ``target_unique``: the target's non-null keys are unique, so the shuffle form
+    needs no protection against a hot one.
     """
     tcols = target.columns
     ttypes = {f.name: f.dataType for f in target.schema.fields}
@@ -307,7 +312,13 @@ def merge(target: DataFrame, source: DataFrame, on, matched: list[Clause] = (),
         salt_t = F.when(t_null, F.xxhash64(*[F.col(f"target.`{c}`") for c in tcols])).otherwise(F.lit(0))
         tgt_s = tgt.withColumn("__salt", salt_t).alias("target")
         src_s = src_keyed.withColumn("__salt", F.lit(0).cast("long")).alias("source")
-        left = tgt_s.join(src_s, cond & (F.col("target.__salt") == F.col("source.__salt")), "left")
+        salted = cond & (F.col("target.__salt") == F.col("source.__salt"))
+        if target_unique:
+            act = (F.when(F.col("target.__tp").isNull(), insert_action())
+                    .when(F.col("source.__sp").isNull(), F.lit("keep")).otherwise(matched_action()))
+            joined = project(tgt_s.join(src_s, salted, "full"), act)
+            return joined.unionByName(project(src_nullkey, insert_action(), has_target=False))
+        left = tgt_s.join(src_s, salted, "left")
         act = F.when(F.col("source.__sp").isNull(), F.lit("keep")).otherwise(matched_action())
         tkeys = tgt.filter(~t_null).select(*[te.alias(f"__k{i}") for i, (te, _) in enumerate(pairs)]).distinct().alias("hit")
         hcond = reduce(lambda a, b: a & b, [se == F.col(f"hit.__k{i}") for i, (_, se) in enumerate(pairs)])

@@ -67,11 +67,11 @@ def point_clauses() -> tuple[list, list]:
 
 
 def merge_parties(silver: DataFrame, batch: DataFrame, **kw) -> DataFrame:
-    return merge(silver, batch, ["id"], *party_clauses(), **kw)
+    return merge(silver, batch, ["id"], *party_clauses(), target_unique=True, **kw)
 
 
 def merge_points(silver: DataFrame, batch: DataFrame, **kw) -> DataFrame:
-    return merge(silver, batch, ["PartyId", "ContactPointId"], *point_clauses(), **kw)
+    return merge(silver, batch, ["PartyId", "ContactPointId"], *point_clauses(), target_unique=True, **kw)
 
 
 def first_load_parties(latest: DataFrame) -> DataFrame:

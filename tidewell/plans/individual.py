@@ -46,7 +46,7 @@ def addresses(people: DataFrame, extra: list[str] = ()) -> DataFrame:
 def merge_upsert(silver: DataFrame, batch: DataFrame, keys: list[str], **kw) -> DataFrame:
     """M4: newer non-null version -> UPDATE SET *; unknown key -> INSERT *."""
     return merge(silver, batch, keys, matched=[update(NEWER, "*")],
-                 not_matched=[insert(None, "*")], **kw)
+                 not_matched=[insert(None, "*")], target_unique=True, **kw)
 
 
 def _two_batches(spark, sf_dir):
