@@ -193,7 +193,7 @@ def test_op4_classes(spark):
     assert classes == collections.Counter(set(c for _, _, c in want))
 
 
-@pytest.mark.parametrize("bits,groups", [(3, 6), (3, 4), (1, 3), (0, 1), (5, 8)])
+@pytest.mark.parametrize("bits,groups", [(3, 6), (3, 4), (3, 9), (3, None), (1, 3), (0, 1), (5, 8)])
 def test_op4_links_lose_nothing(spark, bits, groups):
     rng = random.Random(bits)
     fps = {rng.getrandbits(64) for _ in range(60)}
@@ -208,6 +208,11 @@ def test_op4_links_lose_nothing(spark, bits, groups):
     assert got == want
 
 
+def test_op4_groups_grow_with_the_fingerprints():
+    assert [simhash.groups_for(n, 3) for n in (0, 10 ** 6, 2 ** 24, 2 ** 24 + 1, 10 ** 9, 10 ** 11)] == [6, 6, 6, 7, 8, 13]
+    assert simhash.groups_for(1, 0) == 2 and simhash.groups_for(10 ** 30, 3) == 32
+
+
 def test_op4_long_chain_and_empty(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (100, 300), (250, 300)], "a long, b long")
     got = {r.node: r.root for r in simhash.components(edges).collect()}

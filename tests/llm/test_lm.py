@@ -174,3 +174,128 @@ def test_sweeps_keep_the_law_and_mix_sooner_than_single_moves(c, p):
         found.append(s.t.mean())
     assert np.mean(found[3:6]) - law < (found[0] - law) / 2
     assert np.mean(found[30:]) == pytest.approx(law, rel=0.06)
+
+
+def sampled_buckets(context, token, buckets, common, seed=1, burn=2, samples=3):
+    """The operator's steps between the shuffles, one after the other."""
+    n = len(token)
+    meta = [np.arange(n), np.arange(n), np.zeros(n, bool), np.ones(n, bool)]
+    dealt = {}
+    for k, payload in lm._dealt(context, token, np.arange(n), meta, common, buckets):
+        dealt.setdefault(k, []).append(payload)
+    parts = -(-buckets // 2)
+    asked, told = {}, {}
+    for k, data in dealt.items():
+        for part, payload in lm._send(k, data, seed + k, common, buckets, parts):
+            asked.setdefault(part, []).append(payload)
+    for part, data in asked.items():
+        for k, payload in lm._answer(part, data, seed + 31 * part + 7):
+            told.setdefault(k, []).append(payload)
+    return {k: lm.Sampled(data, told[k], seed + k, burn, samples, 1) for k, data in dealt.items()}
+
+
+def zipf_tokens(n=60_000, words=4000, seed=2):
+    rng = np.random.default_rng(seed)
+    share = 1 / np.arange(1, words + 1)
+    hashes = np.sort(rng.integers(3, 1 << 63, words, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+    rng.shuffle(hashes)
+    token = hashes[rng.choice(words, n, p=share / share.sum())]
+    context = np.where(rng.random(n) < 0.5, hashes[0], hashes[rng.choice(words, n, p=share / share.sum())])
+    return context, token, hashes[0]
+
+
+def whole_context(sampled, hot):
+    """(sum of the probabilities of all words after ``hot``, tables, {word: probability})."""
+    tables = sum(s.tables[np.searchsorted(s.bucket.contexts, hot)] for s in sampled.values() if hot in s.bucket.contexts)
+    probability, mass = {}, 0.0
+    for s in sampled.values():
+        at = np.flatnonzero(s.bucket.contexts[s.bucket.u] == hot)
+        if not len(at):
+            continue
+        u = s.bucket.u[at[0]]
+        customers, d = lm.STRENGTH + s.customers[u], s.discount
+        for i in at.tolist():
+            probability[int(s.bucket.words[s.bucket.w[i]])] = s.a[i] + s.b[i] * tables
+            mass += s.b[i] * customers / d
+    # the words that were not met after it share what is left, as the parent has it
+    return sum(probability.values()) + (lm.STRENGTH + d * tables) / customers * (1 - mass), tables, probability
+
+
+def test_split_contexts_sum_to_one_for_any_number_of_buckets():
+    context, token, hot = zipf_tokens()
+    found = {}
+    for buckets in (1, 2, 8, 32):
+        common = np.array([hot], np.uint64) if buckets > 1 else np.zeros(0, np.uint64)
+        sampled = sampled_buckets(context, token, buckets, common)
+        total, tables, probability = whole_context(sampled, hot)
+        assert abs(total - 1) < 1e-6, (buckets, total)
+        found[buckets] = (tables, probability)
+    one = found[1]
+    for buckets in (2, 8, 32):
+        tables, probability = found[buckets]
+        assert set(probability) == set(one[1])
+        assert tables == pytest.approx(one[0], rel=0.05)
+        # what the tokens under the context get, in all
+        words = token[context == hot].tolist()
+        assert sum(math.log10(probability[w]) for w in words) == pytest.approx(sum(math.log10(one[1][w]) for w in words), rel=0.005)
+
+
+def sequential(customers, p, d, strength, sweeps, burn, rng):
+    """A plain sampler of one restaurant: one customer at a time leaves and sits
+    down; mean predictive probability of each dish."""
+    tables = {w: [] for w in customers}
+    count = 0
+
+    def sit(w):
+        nonlocal count
+        t = tables[w]
+        weights = [x - d for x in t] + [(strength + d * count) * p[w]]
+        k = rng.choice(len(weights), p=np.array(weights) / sum(weights))
+        if k == len(t):
+            t.append(1)
+            count += 1
+        else:
+            t[k] += 1
+
+    every = [w for w, n in customers.items() for _ in range(n)]
+    for w in every:
+        sit(w)
+    mean = dict.fromkeys(customers, 0.0)
+    for s in range(sweeps):
+        for w in every:
+            t = tables[w]
+            k = rng.choice(len(t), p=np.array(t) / sum(t))
+            t[k] -= 1
+            if not t[k]:
+                t.pop(k)
+                count -= 1
+            sit(w)
+        if s >= burn:
+            for w, n in customers.items():
+                mean[w] += (n - d * len(tables[w]) + (strength + d * count) * p[w]) / (strength + len(every))
+    return {w: x / (sweeps - burn) for w, x in mean.items()}
+
+
+@pytest.mark.parametrize("buckets", [1, 4])
+def test_probabilities_agree_with_a_sequential_sampler(buckets):
+    """The same parent and discount, one customer at a time: the same predictive
+    probabilities within sampling noise, split over buckets or not."""
+    rng = np.random.default_rng(5)
+    hashes = rng.integers(3, 1 << 63, 30, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    token = np.repeat(hashes, rng.integers(1, 25, 30))
+    hot = np.uint64(12345678901234567)
+    context = np.full(len(token), hot)
+    common = np.array([hot], np.uint64) if buckets > 1 else np.zeros(0, np.uint64)
+    runs = [whole_context(sampled_buckets(context, token, buckets, common, seed=s, burn=30, samples=60), hot)[2] for s in range(3)]
+    sampled = sampled_buckets(context, token, buckets, common, seed=0)
+    p, d = {}, None
+    for s in sampled.values():
+        d = s.discount
+        for i in range(len(s.b)):
+            p[int(s.bucket.words[s.bucket.w[i]])] = s.b[i] * (lm.STRENGTH + s.customers[s.bucket.u[i]]) / d
+    customers = {int(w): int((token == w).sum()) for w in hashes}
+    want = sequential(customers, p, d, lm.STRENGTH, 150, 50, rng)
+    for w in customers:
+        got = sum(r[w] for r in runs) / len(runs)
+        assert got == pytest.approx(want[w], rel=0.12)
+    assert sum(abs(sum(r[w] for r in runs) / len(runs) - want[w]) for w in customers) < 0.04

@@ -17,7 +17,9 @@ customers again with these and the estimated discount, moves every customer once
 per sweep, and scores its tokens.  So a bucket meets a third of all
 rows under one context only as its own part, and what is sent is about one row
 per distinct word and bucket.  The token shuffle is read twice and written once
-(the same exchange is reused).
+(the same exchange is reused).  Tokens under split contexts are scored last, when
+the tables of all buckets are added up, so that a context's probabilities sum to one
+however many buckets hold it.
 
 Edge cases: null and empty texts are one end token; rows with a null id train;
 repeated rows count, and are scored each; without training rows every
@@ -46,6 +48,8 @@ DISCOUNT, STRENGTH = 0.8, 1.0
 #: Steps of a sweep; a dish with more customers moves several of them in a step.
 STEPS = 32
 PARENT_SWEEPS = 5
+#: Of the type of the tables' sizes: numpy adds in place many times faster without a cast.
+ONE = np.int32(1)
 
 
 # ---- tokens --------------------------------------------------------------------------------
@@ -266,10 +270,10 @@ class Seating:
             first = np.repeat(before[np.cumsum(m) - m], m)
             table[new] = (t[k] + before - first)[new]
             self.seat[self.off[k] + j] = table
-            np.add.at(self.size, self.off[k] + table, 1)
+            np.add.at(self.size, self.off[k] + table, ONE)
             opened = np.bincount(k[new], minlength=len(t))
             t += opened
-            np.add.at(self.total, self.r[self.many[k[new]]], 1)
+            np.add.at(self.total, self.r[self.many[k[new]]], 1.0)
             done += run
             active = active[self.n[active] > done]
         self.t[self.many] = t
@@ -284,14 +288,14 @@ class Seating:
         gone = self.size[off + table] == 0
         t = t - gone
         self.free[(off + n - t - 1)[gone]] = table[gone]
-        np.add.at(self.total, r[gone], -1)
+        np.add.at(self.total, r[gone], -1.0)
         new = self.rng.random(len(n)) < self._new(np.arange(len(n)), n - 1, p[self.many], t)
         stay = np.flatnonzero(~new)
         table[stay] = self._join(off[stay], (n - 1)[stay], j[stay])
         table[new] = self.free[(off + n - t - 1)[new]]
         self.seat[off + j] = table
         self.size[off + table] += 1
-        np.add.at(self.total, r[new], 1)
+        np.add.at(self.total, r[new], 1.0)
         self.t[self.many] = t + new
 
     def sweep(self, p):
@@ -313,13 +317,13 @@ class Seating:
         of = np.repeat(np.arange(len(at)), m)
         rank = np.arange(len(of)) - np.repeat(np.cumsum(m) - m, m)
         seat = off[of] + lo[of] + rank
-        np.add.at(self.size, off[of] + self.seat[seat], -1)
+        np.add.at(self.size, off[of] + self.seat[seat], -ONE)
         gone = np.unique((off[of] + self.seat[seat])[self.size[off[of] + self.seat[seat]] == 0])
         g = np.searchsorted(off, gone, "right") - 1
         left = np.bincount(g, minlength=len(at))
         self.free[off[g] + n[g] - t[g] + np.arange(len(g)) - (np.cumsum(left) - left)[g]] = gone - off[g]
         t = t - left
-        np.add.at(self.total, r, -left)
+        np.add.at(self.total, r, -left.astype(float))
         new = self.rng.random(len(of)) < self._new(at, n - m, p, t)[of]
         table = np.empty(len(of), np.int64)
         old = of[~new]
@@ -328,8 +332,8 @@ class Seating:
         opened = np.bincount(fresh, minlength=len(at))
         table[new] = self.free[off[fresh] + n[fresh] - t[fresh] - 1 - (np.arange(len(fresh)) - (np.cumsum(opened) - opened)[fresh])]
         self.seat[seat] = table
-        np.add.at(self.size, off[of] + table, 1)
-        np.add.at(self.total, r, opened)
+        np.add.at(self.size, off[of] + table, ONE)
+        np.add.at(self.total, r, opened.astype(float))
         self.t[i] = t + opened
 
 
@@ -409,49 +413,90 @@ def _answer(part: int, data: list[bytes], seed: int):
         yield int(x["bucket"][0]), _pack(w=x["w"], c=c[w], t=t[w], t0=seats.t[w], u=x["u"], cu=cu[u], tu=tu[u], own=x["tu"], sums=sums)
 
 
-def _scores(bucket: int, data: list[bytes], answers: list[bytes], seed: int, burn: int, samples: int, sweeps: int):
-    """The bucket's share of its documents: row, id, none (no id), n, known, base, score."""
-    b = Bucket(data)
-    c, t, t0 = (np.zeros(len(b.words)) for _ in range(3))
-    cu, elsewhere = b.by_context(b.c).astype(float), np.zeros(len(b.contexts))
-    sums = np.zeros(6)
-    for x in map(_unpack, answers):
-        sums += x["sums"]
-        at = np.searchsorted(b.words, x["w"])
-        c[at], t[at], t0[at] = x["c"], x["t"], x["t0"]
-        at = np.searchsorted(b.contexts, x["u"])
-        cu[at] = x["cu"]
-        elsewhere[at] = x["tu"] / np.maximum(x["own"], 1) - 1
-    n, vocabulary, tables, roots, one, two = sums
-    base = 1 / (vocabulary + 1)
-    parent = (t - DISCOUNT * t0 + (STRENGTH + DISCOUNT * roots) * base) / (STRENGTH + tables)
-    p = parent[b.w]
-    # the share of pairs seen once among those seen once or twice says how much to take off
-    d = min(0.98, max(0.3, one / (one + 2 * two))) if one else DISCOUNT
-    seats = Seating(b.c, b.u, len(b.contexts), p, np.random.default_rng(seed), d, elsewhere=np.maximum(elsewhere, 0))
-    mean = np.zeros(len(b.c))
-    for k in range(burn + samples):
-        for _ in range(sweeps):
-            seats.sweep(p)
-        if k >= burn:
-            all_tables = (seats.total * seats.share)[b.u]
-            mean += (b.c - d * seats.t + (STRENGTH + d * all_tables) * p) / (STRENGTH + cu[b.u])
-    score = np.log10(mean / samples)
-    word = np.log10((c + 0.1) / (n + 0.1 * (vocabulary + 1)))[b.w]
+class Sampled:
+    """A bucket's restaurants after all sweeps.  The probability of pair i is
+    ``a[i] + b[i] * tables``, with the mean number of tables of its context: the
+    bucket's own, or for the contexts ``split`` (places in the bucket) the sum over all buckets."""
+
+    def __init__(self, data: list[bytes], answers: list[bytes], seed: int, burn: int, samples: int, sweeps: int):
+        b = self.bucket = Bucket(data)
+        c, t, t0 = (np.zeros(len(b.words)) for _ in range(3))
+        cu, elsewhere = b.by_context(b.c).astype(float), np.zeros(len(b.contexts))
+        sums, split = np.zeros(6), []
+        for x in map(_unpack, answers):
+            sums += x["sums"]
+            at = np.searchsorted(b.words, x["w"])
+            c[at], t[at], t0[at] = x["c"], x["t"], x["t0"]
+            at = np.searchsorted(b.contexts, x["u"])
+            cu[at] = x["cu"]
+            elsewhere[at] = x["tu"] / np.maximum(x["own"], 1) - 1
+            split.append(at)
+        n, vocabulary, tables, roots, one, two = sums
+        self.split = np.sort(np.concatenate(split)).astype(np.int64) if split else np.zeros(0, np.int64)
+        base = 1 / (vocabulary + 1)
+        parent = (t - DISCOUNT * t0 + (STRENGTH + DISCOUNT * roots) * base) / (STRENGTH + tables)
+        p = parent[b.w]
+        # the share of pairs seen once among those seen once or twice says how much to take off
+        d = min(0.98, max(0.3, one / (one + 2 * two))) if one else DISCOUNT
+        seats = Seating(b.c, b.u, len(b.contexts), p, np.random.default_rng(seed), d, elsewhere=np.maximum(elsewhere, 0))
+        own, total = np.zeros(len(b.c)), np.zeros(len(b.contexts))
+        for k in range(burn + samples):
+            for _ in range(sweeps):
+                seats.sweep(p)
+            if k >= burn:
+                own += seats.t
+                total += seats.total
+        customers = STRENGTH + cu[b.u]
+        self.a = (b.c - d * own / samples + STRENGTH * p) / customers
+        self.b = d * p / customers
+        self.tables = total / samples
+        self.base = np.log10((c + 0.1) / (n + 0.1 * (vocabulary + 1)))
+        self.known = c > 0
+        self.discount, self.customers = d, cu
+
+
+def _scores(bucket: int, sampled: Sampled, common: np.ndarray, parts: int):
+    """(part, payload) of the bucket's share of its documents: row, id, none (no id),
+    n, known, base, score; the tokens under split contexts, whose tables are
+    not known yet, are a document, a context (place in ``common``), a and b each."""
+    s, b = sampled, sampled.bucket
     docs = len(b.row)
+    open_pair = np.zeros(len(b.contexts), bool)
+    open_pair[s.split] = True
+    open_pair = open_pair[b.u]
+    with np.errstate(divide="ignore"):
+        score = np.where(open_pair, 0.0, np.log10(s.a + s.b * s.tables[b.u]))
+    place = np.searchsorted(common, b.contexts)
 
     def by_doc(x):
         return np.bincount(b.doc, x[b.pair], docs)
 
-    return dict(row=b.row, id=b.id, none=b.none, n=np.bincount(b.doc, minlength=docs), known=by_doc((c > 0)[b.w]).astype(np.int64),
-                base=by_doc(word), score=by_doc(score))
+    found = dict(row=b.row, id=b.id, none=b.none, n=np.bincount(b.doc, minlength=docs), known=by_doc(s.known[b.w].astype(float)).astype(np.int64),
+                 base=by_doc(s.base[b.w]), score=by_doc(score))
+    part = _place(_spread(b.row.astype(np.uint64)), parts)
+    later = np.flatnonzero(open_pair[b.pair])
+    of_token = part[b.doc[later]]
+    for p in np.unique(part):
+        at = np.flatnonzero(part == p)
+        token = later[of_token == p]
+        pair, which = np.unique(b.pair[token], return_inverse=True)
+        yield int(p), _pack(bucket=np.array([bucket]), **{k: v[at] for k, v in found.items()},
+                            td=np.searchsorted(at, b.doc[token]), tp=which, pi=place[b.u[pair]],
+                            pa=s.a[pair].astype(np.float32), pb=s.b[pair].astype(np.float32))
 
 
 def _summed_docs(data: list[bytes]) -> dict[str, np.ndarray]:
-    """The buckets' shares of documents added up, by row."""
+    """The buckets' shares of documents added up, by row, with the tokens under
+    split contexts: ``open`` of each document, then their ``i``, ``a``, ``b``."""
     parts = sorted((_unpack(x) for x in data), key=lambda x: int(x["bucket"][0]))
     row, first, at = np.unique(np.concatenate([x["row"] for x in parts]), return_index=True, return_inverse=True)
     out = {k: np.concatenate([x[k] for x in parts])[first] for k in ("id", "none")}
+    lo = np.cumsum([0] + [len(x["row"]) for x in parts])
+    doc = np.concatenate([at[lo[k] + x["td"].astype(np.int64)] for k, x in enumerate(parts)])
+    order = np.argsort(doc, kind="stable")
+    for name, key in (("i", "pi"), ("a", "pa"), ("b", "pb")):
+        out[name] = np.concatenate([x[key][x["tp"]] for x in parts])[order]
+    out["open"] = np.bincount(doc, minlength=len(row))
     return out | {k: np.bincount(at, np.concatenate([x[k] for x in parts]), len(row)) for k in ("n", "known", "base", "score")}
 
 
@@ -516,28 +561,46 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     def finish(key, left, right):
         bucket = key[0].as_py()
         answers = column(right, "answer")
-        found = _scores(bucket, column(left, "payload"), answers, seed + bucket, burn, samples, sweeps)
+        sampled = Sampled(column(left, "payload"), answers, seed + bucket, burn, samples, sweeps)
         train_tokens = sum(int(_unpack(x)["sums"][0]) for x in answers)
-        part = _place(_spread(found["row"].astype(np.uint64)), buckets)
-        parts = np.unique(part)
-        share = [_pack(bucket=np.array([bucket]), **{k: v[part == p] for k, v in found.items()}) for p in parts]
-        return pa.table({"part": pa.array(parts, pa.int64()), "train_tokens": pa.array(np.full(len(parts), train_tokens)),
-                         "payload": pa.array(share, pa.binary())})
+        found = list(_scores(bucket, sampled, common, buckets))
+        split = sampled.split
+        tables = _pack(i=np.searchsorted(common, sampled.bucket.contexts[split]), t=sampled.tables[split]) if len(split) else None
+        n = len(found)
+        # the bucket's tables go with its first share
+        return pa.table({"part": pa.array([p for p, _ in found], pa.int64()), "train_tokens": pa.array(np.full(n, train_tokens)),
+                         "payload": pa.array([x for _, x in found], pa.binary()),
+                         "tables": pa.array([tables] + [None] * (n - 1) if n else [], pa.binary())})
+
+    def tables_of(key, t):
+        found = [_unpack(x) for x in column(t, "tables") if x is not None]
+        return pa.table({k: pa.array(np.concatenate([x[k] for x in found]) if found else np.zeros(0), kind)
+                         for k, kind in (("i", pa.int64()), ("t", pa.float64()))})
 
     def gather(key, t):
         d = _summed_docs(column(t, "payload"))
+        tokens = pa.StructArray.from_arrays([pa.array(d["i"].astype(np.int32)), pa.array(d["a"].astype(np.float32)), pa.array(d["b"].astype(np.float32))],
+                                            names=["i", "a", "b"])
         return pa.table({"doc_id": pa.array(d["id"].astype(np.int64), mask=d["none"].astype(bool)),
                          "n_tokens": pa.array(d["n"].astype(np.int64)), "n_known": pa.array(d["known"].astype(np.int64)),
                          "train_tokens": pa.array(np.full(len(d["id"]), t.column("train_tokens")[0].as_py())),
-                         "base_score": pa.array(d["base"]), "score": pa.array(d["score"])})
+                         "base_score": pa.array(d["base"]), "score": pa.array(d["score"]),
+                         "tokens": pa.ListArray.from_arrays(np.append(0, np.cumsum(d["open"])).astype(np.int32), tokens)})
 
-    dealt = rows.mapInArrow(deal, "bucket long, payload binary")
     told = dealt.groupBy("bucket").applyInArrow(ask, "part long, payload binary") \
         .groupBy("part").applyInArrow(answer, "bucket long, answer binary")
-    parts = dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(
-        finish, "part long, train_tokens long, payload binary")
-    return parts.groupBy("part").applyInArrow(
-        gather, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    shares = dealt.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(
+        finish, "part long, train_tokens long, payload binary, tables binary").groupBy("part")
+    scored = shares.applyInArrow(gather, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double, "
+                                         "tokens array<struct<i:int,a:float,b:float>>")
+    if len(common):
+        # one row: the tables of every split context, in the order of ``common``, over all buckets
+        whole = shares.applyInArrow(tables_of, "i long, t double").groupBy("i").agg(F.sum("t").alias("t")) \
+            .agg(F.array_sort(F.collect_list(F.struct("i", "t")))["t"].alias("_tables"), (F.max("i") * 0).alias("_zero"))
+        scored = scored.withColumn("_zero", F.col("n_tokens") * 0).join(F.broadcast(whole), "_zero")
+        scored = scored.withColumn("score", F.aggregate("tokens", F.col("score"), lambda x, k: x + F.log10(
+            k["a"].cast("double") + k["b"].cast("double") * F.get("_tables", k["i"]))))
+    return scored.select("doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def perplexity(scored: DataFrame) -> Column:

@@ -89,13 +89,27 @@ def cell_masks(bits: int, groups: int) -> list[int]:
             for chosen in combinations(range(groups), groups - bits)]
 
 
-def links(fps: DataFrame, bits: int = 3, groups: int = 6) -> DataFrame:
+def groups_for(fingerprints: int, bits: int) -> int:
+    """Number of groups for so many distinct fingerprints: the fewest (each
+    choice of groups is a row per fingerprint) whose cells hold about one fingerprint
+    each.  A count of two random bits has 1.5 bits of information."""
+    for groups in range(max(2 * bits, 2), 32):
+        if fingerprints <= 2 ** (48 * (groups - bits) / groups):
+            return groups
+    return 32
+
+
+def links(fps: DataFrame, bits: int = 3, groups: int | None = None) -> DataFrame:
     """Pairs a < b of the distinct values of ``fps.fp`` at ``bits`` or fewer
-    differing bits.  A value has at most sum(C(64, i), i <= bits) partners
+    differing bits, whatever the number of ``groups`` (by default chosen by the
+    number of distinct fingerprints, so that a cell stays small at every size).  A value has at most sum(C(64, i), i <= bits) partners
     however large its group of near copies is, and only verified pairs leave
     the join; a crowded cell is a skewed join key, which is split at run time."""
+    values = fps.select("fp").distinct()
+    if groups is None:
+        groups = groups_for(values.count(), bits)
     masks = F.array(*(F.lit(m) for m in cell_masks(bits, groups)))
-    cells = fps.select("fp").distinct().select("fp", F.posexplode(masks).alias("choice", "mask")).select(
+    cells = values.select("fp", F.posexplode(masks).alias("choice", "mask")).select(
         F.xxhash64("choice", embedded(F.col("fp")).bitwiseAND(F.col("mask"))).alias("cell"), "fp")
     a, b = cells.alias("a"), cells.alias("b")
     x, y = F.col("a.fp"), F.col("b.fp")
