@@ -139,3 +139,35 @@ def test_cardinality_empty_and_required(spark, tmpdir_str):
         t.merge(twice, MATCHED, NOT_MATCHED)
     t.merge(spark.createDataFrame([], SCHEMA), MATCHED, NOT_MATCHED)
     assert t.read().count() == 2
+
+
+def test_a_replayed_batch_is_skipped(spark, tmpdir_str):
+    """Accumulating MERGEs in a stream: a replay, also after vacuum, adds nothing."""
+    schema = "id long, v int"
+    t = table(spark, tmpdir_str, schema=schema)
+    add = ([update(None, {"v": "target.v + source.v"})], [insert(None, "*")])
+    one = spark.createDataFrame([(1, 10), (2, 20)], schema)
+    assert t.merge(one, *add, job="q", batch=0) == 0 and t.merge(one, *add, job="q", batch=0) is None
+    assert t.merge(one, *add, job="q", batch=1) == 1
+    t.vacuum()
+    again = table(spark, tmpdir_str, schema=schema)
+    assert again.merge(one, *add, job="q", batch=0) is None and again.merge(one, *add, job="q", batch=1) is None
+    again._fs.delete(f"{t.path}/done/q__1")  # lost between the version and its marker
+    assert again.merge(one, *add, job="q", batch=1) is None
+    assert rows(again.read()) == [(1, 20), (2, 40)]
+
+
+def test_a_stream_merges_into_buckets(spark, tmpdir_str):
+    from tidewell.streaming.refine import query_id, refine_stream
+    schema = "id long, ver int"
+    t = table(spark, tmpdir_str, schema=schema)
+    ck = f"{tmpdir_str}/ck"
+
+    def handle(batch_df, batch_id):
+        src = batch_df.groupBy("id").agg({"ver": "max"}).withColumnRenamed("max(ver)", "ver")
+        t.merge(src, [update("source.ver > target.ver", "*")], [insert(None, "*")], job=query_id(batch_df.sparkSession, ck), batch=batch_id)
+
+    for rows_in in ([(1, 1), (1, 2), (None, 1)], [(1, 1), (2, 5)]):
+        spark.createDataFrame(rows_in, schema).coalesce(1).write.mode("append").parquet(f"{tmpdir_str}/in")
+        refine_stream(spark, f"{tmpdir_str}/in", schema, handle, ck)
+    assert rows(t.read()) == [(None, 1), (1, 2), (2, 5)] and t.versions() == [0, 1]

@@ -31,12 +31,12 @@ from tidewell.session import materialize
 from tidewell.sources.tables import _FS
 
 SALT = "_salt"
-_VERSION = re.compile(r"^v(\d+)$")
+_VERSION = re.compile(r"^v(\d+)(?:__(.+)__(-?\d+))?$")
 
 
 class BucketedTable:
-    # Versions are folders v0, v1, ... with a _SUCCESS marker each; hot/v<n> has
-    # the hot keys of version n.
+    # Versions are folders v<n> or v<n>__<job>__<batch> with a _SUCCESS marker each;
+    # hot/v<n> has the hot keys of version n, done/<job>__<batch> outlives vacuum.
     def __init__(self, spark: SparkSession, name: str, path: str, schema: StructType,
                  keys: list[str], buckets: int):
         """``name``: prefix of the catalog tables (one per version); ``path``:
@@ -47,25 +47,35 @@ class BucketedTable:
         self._fs = _FS(spark, self.path)
 
     # -- versions -----------------------------------------------------------
-    def versions(self) -> list[int]:
+    def _folders(self) -> dict[int, str]:
+        """Folder of each committed version, by number."""
         done = self._fs.glob(f"{self.path}/v*/_SUCCESS")
-        return sorted(int(m[1]) for _, parent in done if (m := _VERSION.match(parent)))
+        return {int(m[1]): parent for _, parent in done if (m := _VERSION.match(parent))}
+
+    def versions(self) -> list[int]:
+        return sorted(self._folders())
+
+    def published(self, job: str, batch: int) -> bool:
+        """Whether the batch of this job is in the table, vacuumed or not."""
+        return self._fs.exists(f"{self.path}/done/{job}__{batch}") or any(
+            (m := _VERSION.match(f)) and m[2] == job and m[3] == str(batch) for f in self._folders().values())
 
     def _table(self, version: int) -> str:
         return f"{self.name}_v{version}"
 
     def _stored(self) -> DataFrame:
         """The current rows with their salt, as a bucketed scan."""
-        found = self.versions()
+        found = self._folders()
         if not found:
             return self.spark.createDataFrame([], self.schema).withColumn(SALT, F.lit(0))
-        table = self._table(found[-1])
+        newest = max(found)
+        table = self._table(newest)
         if not self.spark.catalog.tableExists(table):
             # another session wrote it: the files carry their bucket in their names
             columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
             by = ", ".join(f"`{c}`" for c in [*self.keys, SALT])
             self.spark.sql(f"CREATE TABLE {table} ({columns}, `{SALT}` INT) USING parquet CLUSTERED BY ({by}) "
-                           f"SORTED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/v{found[-1]}'")
+                           f"SORTED BY ({by}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/{found[newest]}'")
         return self.spark.table(table)
 
     def read(self) -> DataFrame:
@@ -74,20 +84,24 @@ class BucketedTable:
     def _next(self) -> int:
         return (self.versions() or [-1])[-1] + 1
 
-    def _write(self, rows: DataFrame) -> int:
+    def _write(self, rows: DataFrame, job: str | None = None, batch: int = 0) -> int:
         n = self._next()
+        folder = f"v{n}" if job is None else f"v{n}__{job}__{batch}"
         by = [*self.keys, SALT]
         self.spark.sql(f"DROP TABLE IF EXISTS {self._table(n)}")
         guard_not_null(rows, self.schema).write.mode("overwrite").format("parquet").bucketBy(self.buckets, *by) \
-            .sortBy(*by).option("path", f"{self.path}/v{n}").saveAsTable(self._table(n))
+            .sortBy(*by).option("path", f"{self.path}/{folder}").saveAsTable(self._table(n))
+        if job is not None:
+            self._fs.put(f"{self.path}/done/{job}__{batch}")
         return n
 
     def vacuum(self, keep: int = 1) -> list[int]:
         """Drops all but the newest ``keep`` versions."""
-        old = self.versions()[:-keep]
+        folders = self._folders()
+        old = sorted(folders)[:-keep]
         for n in old:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table(n)}")
-            self._fs.delete(f"{self.path}/v{n}")
+            self._fs.delete(f"{self.path}/{folders[n]}")
             self._fs.delete(f"{self.path}/hot/v{n}")
         return old
 
@@ -182,11 +196,15 @@ class BucketedTable:
         return self._salted(out.drop(SALT), hot)
 
     def merge(self, source: DataFrame, matched: list[Clause] = (), not_matched: list[Clause] = (),
-              cardinality: str = "merge") -> int:
+              cardinality: str = "merge", job: str | None = None, batch: int = 0) -> int | None:
         """MERGE on the table's key columns (equal names on both sides);
-        returns the new version's number."""
+        returns the new version's number.  With a ``job`` (the streaming query's
+        id), a batch that was published is skipped (None): the version's folder
+        carries both, so a replay after a failure meets it or nothing."""
+        if job is not None and self.published(job, batch):
+            return None
         _check_cardinality(self.read(), source, self.keys, cardinality)
         known = self._hot()
-        n = self._write(self.merged(source, matched, not_matched))
+        n = self._write(self.merged(source, matched, not_matched), job, batch)
         self._store_hot(n, known)
         return n
