@@ -191,7 +191,7 @@ def sampled_buckets(context, token, buckets, common, seed=1, burn=2, samples=3):
     for part, data in asked.items():
         for k, payload in lm._answer(part, data, seed + 31 * part + 7):
             told.setdefault(k, []).append(payload)
-    return {k: lm.Sampled(data, told[k], seed + k, burn, samples, 1) for k, data in dealt.items()}
+    return {k: lm.Sampled(data, told[k], parts, seed + k, burn, samples, 1) for k, data in dealt.items()}
 
 
 def zipf_tokens(n=60_000, words=4000, seed=2):
@@ -299,3 +299,12 @@ def test_probabilities_agree_with_a_sequential_sampler(buckets):
         got = sum(r[w] for r in runs) / len(runs)
         assert got == pytest.approx(want[w], rel=0.12)
     assert sum(abs(sum(r[w] for r in runs) / len(runs) - want[w]) for w in customers) < 0.04
+
+
+def test_packed_arrays_come_back():
+    rng = np.random.default_rng(1)
+    arrays = {"h": np.unique(rng.integers(3, 1 << 63, 500, dtype=np.uint64) * np.uint64(2)), "none": np.zeros(0, np.uint64), "empty": np.zeros(0, np.int64),
+              "small": np.arange(9), "wide": np.array([-1, 1 << 40]), "yes": np.array([True, False]), "f": rng.random(7), "g": rng.random(7).astype(np.float32)}
+    back = lm._unpack(lm._pack(**arrays))
+    assert all((back[k] == a).all() and len(back[k]) == len(a) for k, a in arrays.items())
+    assert back["h"].dtype == np.uint64 and back["g"].dtype == np.float32

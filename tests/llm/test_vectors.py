@@ -8,7 +8,7 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from tests.llm.helpers import key
-from tidewell.llm import egojoin, whitening
+from tidewell.llm import common, egojoin, whitening
 from tidewell.session import read_table
 
 EMBEDDING = "vec_id long, embedding array<float>, label int"
@@ -122,7 +122,7 @@ def brute_white(rows, components=8):
 @pytest.mark.parametrize("dim,n", [(5, 40), (20, 300), (64, 150)])
 def test_op13_against_eigenvectors(spark, monkeypatch, dim, n):
     monkeypatch.setattr(whitening, "BLOCK_BYTES", 8 * dim * 7)
-    monkeypatch.setattr(whitening, "DIRECT_SUMS", 2)
+    monkeypatch.setattr(common, "DIRECT_SUMS", 2)
     rng = np.random.default_rng(dim)
     x = rng.standard_normal((n, dim)) * np.linspace(0.05, 2, dim) + rng.standard_normal(dim)
     rows = [(i, [float(np.float32(c)) for c in v]) for i, v in enumerate(x)]

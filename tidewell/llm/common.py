@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import uuid
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,6 +65,30 @@ def without(docs: DataFrame, gone: DataFrame, doc_id: str, text: str) -> DataFra
     return unboxed(left, docs.columns)
 
 
+#: Vectors of tasks that the driver adds itself; more are added in a level of tasks first.
+DIRECT_SUMS = 256
+
+
+def vector_sum(df: DataFrame, vectors: Callable[[pa.RecordBatch], Iterator[np.ndarray]]) -> np.ndarray | None:
+    """Sum of the equally long vectors of doubles that ``vectors`` yields for the
+    batches of ``df``; None if there are none.  A task sends one vector; those of
+    many tasks are added in tasks before the driver gets them."""
+    def added(found) -> Iterator[pa.RecordBatch]:
+        acc = None
+        for v in found:
+            acc = v if acc is None else acc + v
+        if acc is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([acc.tobytes()], pa.binary())], names=["v"])
+
+    sent = df.mapInArrow(lambda batches: added(v for b in batches for v in vectors(b)), "v binary")
+    tasks = sent.rdd.getNumPartitions()
+    if tasks > DIRECT_SUMS:
+        sent = sent.repartition(math.isqrt(tasks)).mapInArrow(
+            lambda batches: added(np.frombuffer(v.as_py()) for b in batches for v in b.column(0)), "v binary")
+    found = [np.frombuffer(r["v"]) for r in sent.collect()]
+    return np.sum(found, axis=0) if found else None
+
+
 def lower_az(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, UPPER, LOWER)

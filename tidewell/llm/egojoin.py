@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import written
+from tidewell.llm.common import vector_sum, written
 from tidewell.llm.simhash import components
 from tidewell.llm.whitening import is_finite
 from tidewell.operators.numbering import numbered
@@ -27,7 +27,6 @@ from tidewell.operators.numbering import numbered
 #: Dimensions of the grid, bytes of a tile's vectors in float32, rows of a run,
 #: children of an interval of tiles.
 GRID_DIMS, TILE_BYTES, RUN_ROWS, FAN_OUT = 8, 1 << 21, 512, 16
-DIRECT_SUMS = 256
 #: Distances on the grid are rounded by less than this.
 SLACK = 1e-6
 
@@ -59,32 +58,13 @@ def unit(x: np.ndarray) -> np.ndarray:
 def _principal(reps: DataFrame, dim: int) -> tuple[np.ndarray, int]:
     """The leading principal dimensions of the unit vectors as columns, and the
     number of vectors; one pass that sums products of entries."""
-    def partial(batches):
-        acc = None
-        for b in batches:
-            u = unit(matrix(b.column(0), dim))
-            part = np.concatenate([[len(u)], u.sum(axis=0), (u.T @ u).ravel()])
-            acc = part if acc is None else acc + part
-        if acc is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([acc.tobytes()], pa.binary())], names=["v"])
-
-    def added(batches):
-        acc = None
-        for b in batches:
-            for v in b.column(0):
-                v = np.frombuffer(v.as_py())
-                acc = v if acc is None else acc + v
-        if acc is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([acc.tobytes()], pa.binary())], names=["v"])
-
-    sums = reps.select("vec").mapInArrow(partial, "v binary")
-    parts = sums.rdd.getNumPartitions()
-    if parts > DIRECT_SUMS:
-        sums = sums.repartition(math.isqrt(parts)).mapInArrow(added, "v binary")
-    got = [np.frombuffer(r["v"]) for r in sums.collect()]
-    if not got:
+    def of(batch):
+        u = unit(matrix(batch.column(0), dim))
+        yield np.concatenate([[len(u)], u.sum(axis=0), (u.T @ u).ravel()])
+
+    t = vector_sum(reps.select("vec"), of)
+    if t is None:
         return np.zeros((dim, 0)), 0
-    t = np.sum(got, axis=0)
     n, mean = t[0], t[1:dim + 1] / t[0]
     _, w = np.linalg.eigh(t[dim + 1:].reshape(dim, dim) / n - np.outer(mean, mean))
     return w[:, ::-1][:, :GRID_DIMS].copy(), int(n)

@@ -117,20 +117,32 @@ def _chunks(texts: list[str]):
 
 
 def _pack(**arrays) -> bytes:
-    """Arrays as compressed bytes (hashes as they are); integers in the narrowest type."""
+    """Arrays as compressed bytes: sorted hashes as the bytes of their steps, first
+    byte first, of which the upper are mostly zero; integers in the narrowest type."""
     z = zstandard.ZstdCompressor(level=1)
     out = {}
     for k, a in arrays.items():
-        if a.dtype != np.uint64 and a.dtype.kind != "f":
+        if a.dtype == np.uint64:
+            out[k] = "steps", z.compress(np.ascontiguousarray(np.diff(a, prepend=np.uint64(0)).view("u1").reshape(-1, 8).T).tobytes())
+            continue
+        if a.dtype.kind != "f":
             kind = next(t for t in ("u1", "u2", "u4", "i8") if t == "i8" or not len(a) or (0 <= a.min() and a.max() <= np.iinfo(t).max))
             a = a.astype(kind)
-        out[k] = (a.dtype.str, z.compress(a.tobytes()) if a.dtype != np.uint64 else a.tobytes())
+        out[k] = a.dtype.str, z.compress(a.tobytes())
     return pickle.dumps(out)
 
 
 def _unpack(data: bytes) -> dict[str, np.ndarray]:
     z = zstandard.ZstdDecompressor()
-    return {k: np.frombuffer(b if t == "<u8" else z.decompress(b), t) for k, (t, b) in pickle.loads(data).items()}
+    out = {}
+    for k, (t, b) in pickle.loads(data).items():
+        b = z.decompress(b)
+        if t == "steps":
+            steps = np.ascontiguousarray(np.frombuffer(b, "u1").reshape(8, -1).T).view("<u8").ravel()
+            out[k] = np.cumsum(steps, dtype=np.uint64)
+        else:
+            out[k] = np.frombuffer(b, t)
+    return out
 
 
 def _place(h: np.ndarray, parts: int) -> np.ndarray:
@@ -391,8 +403,8 @@ def _spread(h: np.ndarray) -> np.ndarray:
 
 
 def _answer(part: int, data: list[bytes], seed: int):
-    """Seats the parent's words of one part; (bucket, payload) for each bucket,
-    with the part's totals."""
+    """Seats the parent's words of one part; (bucket, payload) for each bucket, in
+    the order of the words it sent, with the part's totals."""
     asked = sorted((_unpack(x) for x in data), key=lambda x: int(x["bucket"][0]))
     words, at = np.unique(np.concatenate([x["w"] for x in asked]), return_inverse=True)
     c = np.bincount(at, np.concatenate([x["c"] for x in asked]), len(words)).astype(np.int64)
@@ -410,7 +422,7 @@ def _answer(part: int, data: list[bytes], seed: int):
     lu = np.cumsum([0] + [len(x["u"]) for x in asked])
     for k, x in enumerate(asked):
         w, u = at[lo[k]:lo[k + 1]], which[lu[k]:lu[k + 1]]
-        yield int(x["bucket"][0]), _pack(w=x["w"], c=c[w], t=t[w], t0=seats.t[w], u=x["u"], cu=cu[u], tu=tu[u], own=x["tu"], sums=sums)
+        yield int(x["bucket"][0]), _pack(part=np.array([part]), c=c[w], t=t[w], t0=seats.t[w], u=x["u"], cu=cu[u], tu=tu[u], own=x["tu"], sums=sums)
 
 
 class Sampled:
@@ -418,14 +430,15 @@ class Sampled:
     ``a[i] + b[i] * tables``, with the mean number of tables of its context: the
     bucket's own, or for the contexts ``split`` (places in the bucket) the sum over all buckets."""
 
-    def __init__(self, data: list[bytes], answers: list[bytes], seed: int, burn: int, samples: int, sweeps: int):
+    def __init__(self, data: list[bytes], answers: list[bytes], parts: int, seed: int, burn: int, samples: int, sweeps: int):
         b = self.bucket = Bucket(data)
+        of_word = _place(_spread(b.words), parts)
         c, t, t0 = (np.zeros(len(b.words)) for _ in range(3))
         cu, elsewhere = b.by_context(b.c).astype(float), np.zeros(len(b.contexts))
         sums, split = np.zeros(6), []
         for x in map(_unpack, answers):
             sums += x["sums"]
-            at = np.searchsorted(b.words, x["w"])
+            at = of_word == x["part"][0]
             c[at], t[at], t0[at] = x["c"], x["t"], x["t0"]
             at = np.searchsorted(b.contexts, x["u"])
             cu[at] = x["cu"]
@@ -472,7 +485,7 @@ def _scores(bucket: int, sampled: Sampled, common: np.ndarray, parts: int):
         return np.bincount(b.doc, x[b.pair], docs)
 
     found = dict(row=b.row, id=b.id, none=b.none, n=np.bincount(b.doc, minlength=docs), known=by_doc(s.known[b.w].astype(float)).astype(np.int64),
-                 base=by_doc(s.base[b.w]), score=by_doc(score))
+                 base=by_doc(s.base[b.w]), score=by_doc(score).astype(np.float32))
     part = _place(_spread(b.row.astype(np.uint64)), parts)
     later = np.flatnonzero(open_pair[b.pair])
     of_token = part[b.doc[later]]
@@ -502,7 +515,8 @@ def _summed_docs(data: list[bytes]) -> dict[str, np.ndarray]:
 
 # ---- the operator --------------------------------------------------------------------------
 
-#: Buckets to a part of the parent: each bucket sends to every part.
+#: Buckets to a part of the parent's words and of the documents: each bucket sends
+#: to every part.
 BUCKETS_A_PART = 8
 
 
@@ -548,10 +562,10 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     def column(t, name):
         return t.column(name).to_pylist()
 
-    parent_parts = -(-buckets // BUCKETS_A_PART)
+    fewer = -(-buckets // BUCKETS_A_PART)
 
     def ask(key, t):
-        found = list(_send(key[0].as_py(), column(t, "payload"), seed + key[0].as_py(), common, buckets, parent_parts))
+        found = list(_send(key[0].as_py(), column(t, "payload"), seed + key[0].as_py(), common, buckets, fewer))
         return pa.table({"part": pa.array([k for k, _ in found], pa.int64()), "payload": pa.array([x for _, x in found], pa.binary())})
 
     def answer(key, t):
@@ -561,9 +575,9 @@ def score(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "t
     def finish(key, left, right):
         bucket = key[0].as_py()
         answers = column(right, "answer")
-        sampled = Sampled(column(left, "payload"), answers, seed + bucket, burn, samples, sweeps)
+        sampled = Sampled(column(left, "payload"), answers, fewer, seed + bucket, burn, samples, sweeps)
         train_tokens = sum(int(_unpack(x)["sums"][0]) for x in answers)
-        found = list(_scores(bucket, sampled, common, buckets))
+        found = list(_scores(bucket, sampled, common, fewer))
         split = sampled.split
         tables = _pack(i=np.searchsorted(common, sampled.bucket.contexts[split]), t=sampled.tables[split]) if len(split) else None
         n = len(found)

@@ -22,14 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import written
+from tidewell.llm.common import vector_sum, written
 
 SCALE, SHIFT = 1024.0, 100_000
 #: Scaled entries beyond +-2**40 count as that, so that integers stay exact.
 ENTRY_LIMIT = float(2 ** 40)
 BLOCK_BYTES = 1 << 21
-#: Partial sums that the driver adds itself; more are added in a level of tasks first.
-DIRECT_SUMS = 256
 #: A component with less than this share of the largest deviation is rounding.
 RANK_SHARE = 1e-12
 EPS = float(np.finfo(float).eps)
@@ -90,33 +88,14 @@ def centred(x: bytes, dim: int, rows: int, sums: list[int]) -> np.ndarray:
 
 def total(blocks: Blocks, of_block: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """Sum over the blocks of ``of_block(centred rows)``, a flat vector of a
-    size that depends on the dimension only.  A task sends one vector; the
-    vectors of many tasks are added in tasks before the driver gets them."""
+    size that depends on the dimension only."""
     rows, dim, sums = blocks.rows, blocks.dim, blocks.sums
 
-    def partial(batches):
-        acc = None
-        for b in batches:
-            for x in b.column(0):
-                part = of_block(centred(x.as_py(), dim, rows, sums).astype(np.float64) / rows)
-                acc = part if acc is None else acc + part
-        if acc is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([acc.tobytes()], pa.binary())], names=["v"])
-
-    def added(batches):
-        acc = None
-        for b in batches:
-            for v in b.column(0):
-                v = np.frombuffer(v.as_py())
-                acc = v if acc is None else acc + v
-        if acc is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([acc.tobytes()], pa.binary())], names=["v"])
-
-    sent = blocks.table.select("x").mapInArrow(partial, "v binary")
-    parts = sent.rdd.getNumPartitions()
-    if parts > DIRECT_SUMS:
-        sent = sent.repartition(math.isqrt(parts)).mapInArrow(added, "v binary")
-    return np.sum([np.frombuffer(r["v"]) for r in sent.collect()], axis=0)
+    def of(batch):
+        for x in batch.column(0):
+            yield of_block(centred(x.as_py(), dim, rows, sums).astype(np.float64) / rows)
+
+    return vector_sum(blocks.table.select("x"), of)
 
 
 def left_vectors(x: np.ndarray, v: np.ndarray, coef: np.ndarray, alpha: np.ndarray) -> np.ndarray:
