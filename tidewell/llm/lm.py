@@ -463,54 +463,73 @@ class Sampled:
         self.a = (b.c - d * own / samples + STRENGTH * p) / customers
         self.b = d * p / customers
         self.tables = total / samples
-        self.base = np.log10((c + 0.1) / (n + 0.1 * (vocabulary + 1)))
-        self.known = c > 0
+        self.count, self.corpus = c.astype(np.int64), np.array([n, vocabulary], np.int64)
         self.discount, self.customers = d, cu
 
 
 def _scores(bucket: int, sampled: Sampled, common: np.ndarray, parts: int):
-    """(part, payload) of the bucket's share of its documents: row, id, none (no id),
-    n, known, base, score; the tokens under split contexts, whose tables are
-    not known yet, are a document, a context (place in ``common``), a and b each."""
+    """(part, payload) of the bucket's share of its documents, by row: n (tokens),
+    score, and id and none (no id) where the bucket has the document's first token;
+    of each token its word's count; the tokens under split contexts, whose tables
+    are not known yet, are a document, a context (place in ``common``), a and b each.
+    So what is sent grows with the tokens, however many buckets share a document."""
     s, b = sampled, sampled.bucket
-    docs = len(b.row)
     open_pair = np.zeros(len(b.contexts), bool)
     open_pair[s.split] = True
     open_pair = open_pair[b.u]
     with np.errstate(divide="ignore"):
         score = np.where(open_pair, 0.0, np.log10(s.a + s.b * s.tables[b.u]))
+    score = np.bincount(b.doc, score[b.pair], len(b.row)).astype(np.float32)
+    n = np.bincount(b.doc, minlength=len(b.row))
     place = np.searchsorted(common, b.contexts)
-
-    def by_doc(x):
-        return np.bincount(b.doc, x[b.pair], docs)
-
-    found = dict(row=b.row, id=b.id, none=b.none, n=np.bincount(b.doc, minlength=docs), known=by_doc(s.known[b.w].astype(float)).astype(np.int64),
-                 base=by_doc(s.base[b.w]), score=by_doc(score).astype(np.float32))
+    first = np.zeros(len(b.row), bool)
+    first[b.doc[b.contexts[b.u[b.pair]] == START]] = True
     part = _place(_spread(b.row.astype(np.uint64)), parts)
-    later = np.flatnonzero(open_pair[b.pair])
-    of_token = part[b.doc[later]]
-    for p in np.unique(part):
-        at = np.flatnonzero(part == p)
-        token = later[of_token == p]
-        pair, which = np.unique(b.pair[token], return_inverse=True)
-        yield int(p), _pack(bucket=np.array([bucket]), **{k: v[at] for k, v in found.items()},
-                            td=np.searchsorted(at, b.doc[token]), tp=which, pi=place[b.u[pair]],
-                            pa=s.a[pair].astype(np.float32), pb=s.b[pair].astype(np.float32))
+    docs = np.lexsort((b.row, part))  # part after part, by row
+    rank = np.empty(len(docs), np.int64)
+    rank[docs] = np.arange(len(docs))
+    tokens = np.argsort(rank[b.doc], kind="stable")
+    cut = np.searchsorted(part[docs], np.arange(parts + 1))
+    cut_tokens = np.append(0, np.cumsum(n[docs]))[cut]
+    for p in range(parts):
+        at, token = docs[cut[p]:cut[p + 1]], tokens[cut_tokens[p]:cut_tokens[p + 1]]
+        if not len(at):
+            continue
+        value, which = np.unique(s.count[b.w[b.pair[token]]], return_inverse=True)
+        later = token[open_pair[b.pair[token]]]
+        pair, of = np.unique(b.pair[later], return_inverse=True)
+        own = np.flatnonzero(first[at])
+        yield p, _pack(bucket=np.array([bucket]), corpus=s.corpus, row=b.row[at].astype(np.uint64), n=n[at], score=score[at],
+                       c=value, ci=which, at=own, id=b.id[at[own]], none=b.none[at[own]],
+                       td=rank[b.doc[later]] - cut[p], tp=of, pi=place[b.u[pair]],
+                       pa=s.a[pair].astype(np.float32), pb=s.b[pair].astype(np.float32))
 
 
 def _summed_docs(data: list[bytes]) -> dict[str, np.ndarray]:
     """The buckets' shares of documents added up, by row, with the tokens under
     split contexts: ``open`` of each document, then their ``i``, ``a``, ``b``."""
     parts = sorted((_unpack(x) for x in data), key=lambda x: int(x["bucket"][0]))
-    row, first, at = np.unique(np.concatenate([x["row"] for x in parts]), return_index=True, return_inverse=True)
-    out = {k: np.concatenate([x[k] for x in parts])[first] for k in ("id", "none")}
-    lo = np.cumsum([0] + [len(x["row"]) for x in parts])
-    doc = np.concatenate([at[lo[k] + x["td"].astype(np.int64)] for k, x in enumerate(parts)])
+    row, at = np.unique(np.concatenate([x["row"] for x in parts]), return_inverse=True)
+    at = np.split(at, np.cumsum([len(x["row"]) for x in parts])[:-1])
+    out = {"id": np.zeros(len(row), np.int64), "none": np.zeros(len(row), bool), "n": np.zeros(len(row), np.int64),
+           "known": np.zeros(len(row), np.int64), "base": np.zeros(len(row)), "score": np.zeros(len(row))}
+    doc = []
+    for x, k in zip(parts, at):
+        n, vocabulary = x["corpus"].astype(float)
+        out["id"][k[x["at"]]], out["none"][k[x["at"]]] = x["id"], x["none"]
+        out["n"][k] += x["n"]
+        out["score"][k] += x["score"]
+        token = np.repeat(k, x["n"])
+        c = x["c"].astype(np.int64)
+        out["base"] += np.bincount(token, np.log10((c + 0.1) / (n + 0.1 * (vocabulary + 1)))[x["ci"]], len(row))
+        out["known"] += np.bincount(token[(c > 0)[x["ci"]]], minlength=len(row))
+        doc.append(k[x["td"].astype(np.int64)])
+    doc = np.concatenate(doc)
     order = np.argsort(doc, kind="stable")
     for name, key in (("i", "pi"), ("a", "pa"), ("b", "pb")):
         out[name] = np.concatenate([x[key][x["tp"]] for x in parts])[order]
     out["open"] = np.bincount(doc, minlength=len(row))
-    return out | {k: np.bincount(at, np.concatenate([x[k] for x in parts]), len(row)) for k in ("n", "known", "base", "score")}
+    return out
 
 
 # ---- the operator --------------------------------------------------------------------------
