@@ -194,6 +194,17 @@ def test_compaction_follows_the_target(spark, tmp_path):
         assert rows(t.read().agg(F.sum("id"), F.count_distinct("text"))) == [(199990000, 20000)]
 
 
+def test_compaction_joins_stored_files_without_a_shuffle(spark, tmp_path, monkeypatch):
+    t = SnapshotTable(spark, str(tmp_path / "joined"))
+    t.replace(spark.range(20000).selectExpr("id", "repeat('x', 200) AS text").repartition(6))
+    written, write = [], t._write
+    monkeypatch.setattr(t, "_write", lambda out, *a: (written.append(out), write(out, *a))[1])
+    t.compact(target_bytes=1 << 30)
+    assert "Exchange" not in written[0]._jdf.queryExecution().executedPlan().toString()
+    assert set(_files_per_folder(t).values()) == {1}
+    assert rows(t.read().agg(F.sum("id"), F.count("text"))) == [(199990000, 20000)]
+
+
 def test_filtered_compaction_writes_one_file_per_folder(spark, tmp_path):
     t = SnapshotTable(spark, str(tmp_path / "f"), partition_by=["part"])
     t.replace(spark.range(400).selectExpr("id", "id % 20 AS part"))

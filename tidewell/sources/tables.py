@@ -419,6 +419,8 @@ class SnapshotTable:
                 where: Column | str | None = None) -> Version:
         """Rewrite the current rows into files of about ``target_bytes``;
         each layout folder gets its share, ceil(its size / target) files.
+        Without folders the stored files' splits are joined, not shuffled, so that a
+        task reads about ``target_bytes`` of files instead of as many rows unpacked.
         ``where`` on the partition column compacts only those folders."""
         from tidewell.operators.merge import estimated_bytes
         chain, folders = self.chain(), None
@@ -428,7 +430,9 @@ class SnapshotTable:
         out, parts = self._with_layout(df, balance=False)
         size = estimated_bytes(df)                        # of the files, no job
         if not parts:
-            return self._write(out.repartition(max(1, math.ceil(size / target_bytes))), parts, "", job, 0)
+            files = max(1, math.ceil(size / target_bytes))
+            whole = out.rdd.getNumPartitions() >= files   # else files smaller than a split
+            return self._write(out.coalesce(files) if whole else out.repartition(files), parts, "", job, 0)
         # rows per layout folder, at most one row per folder
         counted = out.groupBy(*parts).agg(F.count(F.lit(1)).alias("__n")).collect()
         per_row = size / max(1, sum(r["__n"] for r in counted))
