@@ -18,6 +18,39 @@ def test_text_line_separators_and_whole_file(spark, tmp_path):
     assert whole.count() == 1 and whole.first()["value"] == "Michael, 29\nAndy, 30\nJustin, 19\n"
 
 
+def test_one_file_per_key_in_one_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_FILES_PER_TASK", 7)
+    texts = [(i, None if i == 5 else f"a{i}\r\nb\n" * (i % 3)) for i in range(40)]
+    d = str(tmp_path / "rows")
+    ids = sinks.write_text_per_key(spark.createDataFrame(texts, "id long, value string").repartition(5), d, "value", ["id"])
+    names = os.listdir(d)
+    assert sum(f.startswith("part-") for f in names) == 40
+    assert not any(f.endswith(".crc") and f.startswith(".part-") for f in names)
+    read = files.read_text(spark, d, whole=True).withColumn("file", sinks.file_number(F.col("_metadata.file_name")))
+    got = read.join(ids, "file").select("id", "value").collect()
+    assert sorted(tuple(r) for r in got) == [(i, (t or "") + "\n") for i, t in texts]
+
+
+def test_one_file_per_key_of_no_rows(spark, tmp_path):
+    d = str(tmp_path / "none")
+    ids = sinks.write_text_per_key(spark.createDataFrame([], "id long, value string"), d, "value", ["id"])
+    assert ids.columns == ["id", "file"] and ids.count() == 0
+    assert files.read_text(spark, d, whole=True).count() == 0
+
+
+def test_scan_text_whole_makes_no_folder_per_document(spark, tmp_path, monkeypatch):
+    from tidewell.plans import io
+    made = []
+    monkeypatch.setattr(io, "fresh_dir", lambda s, label: made.append(str(tmp_path / label)) or made[-1])
+    docs = [(-3, "x"), (7, None), (8, ""), (9, "a\nb"), (9, None), (9, "c"), (None, "n")]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = io.scan_text_whole(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id or 0), r.value) for r in got) == [
+        (-3, "x\n"), (0, "n\n"), (7, "\n"), (8, "\n"), (9, "a\nb\n\nc\n")]
+    assert len([f for f in os.listdir(made[0]) if f.startswith("part-")]) == 5
+    assert not any(os.path.isdir(os.path.join(made[0], f)) for f in os.listdir(made[0]))
+
+
 def test_csv_separator_header_and_wrong_separator(spark, tmp_path):
     p = write_lines(str(tmp_path / "people.csv"), ["name;age;job", "Jorge;30;Developer", "Bob;32;Developer"])
     plain = files.read_csv(spark, p, header=False)
