@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import rows, write_lines
@@ -51,6 +53,55 @@ def test_scan_text_whole_makes_no_folder_per_document(spark, tmp_path, monkeypat
     assert not any(os.path.isdir(os.path.join(made[0], f)) for f in os.listdir(made[0]))
 
 
+def test_text_files_in_several_folders(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "_FILES_PER_FOLDER", 10)
+    monkeypatch.setattr(sinks, "_FILES_PER_TASK", 4)
+    monkeypatch.setattr(files, "_FOLDERS_AT_ONCE", 2)
+    monkeypatch.setattr(files, "fresh_dir", lambda s, label: str(tmp_path / label))
+    d = str(tmp_path / "rows")
+    texts = [(i - 3, "a", None if i == 5 else f"{i}\r\n\u00e9\n" * (i % 3)) for i in range(40)]
+    texts += [(0, "b", "other"), (7, "a", "again"), (None, "a", "x"), (None, "a", None)]
+    df = spark.createDataFrame(texts, "id long, input string, value string").repartition(3, "input")
+    written = sinks.write_text_files(df, d, "value", ["id", "input"], "id")
+    folders = sorted(os.listdir(d))
+    assert len(folders) == 5 and {f for f, _, _ in written} == {f"{d}/{f}" for f in folders}
+    assert sum(n for _, _, n in written) == sum(len(os.listdir(f"{d}/{f}")) for f in folders) == 42
+    # a file that a failed task left is not read
+    with open(f"{d}/{folders[0]}/part-00000-999999-c000000-7.txt", "w") as f:
+        f.write("left\n")
+    read = files.read_text_files(spark, written)
+    assert not any(f.endswith(".txt") for f in read.inputFiles())  # no list of all files is kept
+    got = [(r.label and int(r.label), r.value) for r in read.collect()]
+    want = [(i, (t or "") + "\n") for i, x, t in texts[:41] if i != 7] + [(7, f"{texts[10][2]}\nagain\n")]
+    assert sorted(x for x in got if x[0] is not None) == sorted(want)
+    assert [v for i, v in got if i is None] in (["x\n\n"], ["\nx\n"])
+
+
+def test_a_folder_of_text_files_that_cannot_be_read_fails_the_read(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a")], "id long, value string")
+    written = sinks.write_text_files(df, str(tmp_path / "rows"), "value", ["id"], "id")
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        files.read_text_files(spark, [*written, (str(tmp_path / "gone"), "00000-0", 1)])
+
+
+def test_text_files_of_no_rows(spark, tmp_path):
+    df = spark.createDataFrame([], "id long, value string")
+    written = sinks.write_text_files(df, str(tmp_path / "none"), "value", ["id"], "id")
+    assert files.read_text_files(spark, written).collect() == []
+
+
+def test_scan_text_whole_where_only_spark_writes(spark, tmp_path, monkeypatch):
+    from tidewell.plans import io
+    docs = [(-3, "x"), (7, None), (9, "a\nb"), (9, "c"), (None, "n")]
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    want = rows(io.scan_text_whole(spark, str(tmp_path)))
+    assert want == [(None, "n\n"), (-3, "x\n"), (7, "\n"), (9, "a\nb\nc\n")]
+    monkeypatch.setattr(sinks, "mounted", lambda s, path: None)
+    assert rows(io.scan_text_whole(spark, str(tmp_path))) == want
+    with pytest.raises(ValueError, match="mounted"):
+        sinks.write_text_files(spark.createDataFrame(docs, "id long, value string"), "/none", "value", ["id"], "id")
+
+
 def test_csv_separator_header_and_wrong_separator(spark, tmp_path):
     p = write_lines(str(tmp_path / "people.csv"), ["name;age;job", "Jorge;30;Developer", "Bob;32;Developer"])
     plain = files.read_csv(spark, p, header=False)
